@@ -39,7 +39,7 @@ def check(df: DataFrame, rules) -> DataFrame:
             missing = [c for c in r[1] if c not in present]
             static.append((seq, "columns", ",".join(missing) or "*", len(missing)))
             continue
-        cols = r[1] if len(r) > 1 else None
+        cols = r[1] if len(r) > 1 and kind != "min_rows" else None
         names = cols if isinstance(cols, (list, tuple)) else [cols] if cols else []
         if any(c not in present for c in names):
             static.append((seq, kind, ",".join(names), -1))  # cannot evaluate: column absent
