@@ -157,31 +157,36 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
                     F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), F.lit(mean).alias("mean")))
 
 
-def group_profile(df: DataFrame, group: str, features, segment: str | None = None) -> DataFrame:
+def group_profile(df: DataFrame, group: str, features, segment: str | None = None,
+                  places: tuple | None = (1, 2)) -> DataFrame:
     """Per-group size, % of total (1 dp), feature means (2 dp) and segment shares map.
 
     One groupBy for sizes and means; segment shares from a (group, segment) count
     folded into a map per group.  The total is a one-row aggregate (no window).
     """
-    aggs = [F.count(F.lit(1)).alias("size")] + [F.round(F.avg(col_of(f)), 2).alias(f"mean_{f}") for f in features]
+    def rnd(c, i):
+        return F.round(c, places[i]) if places else c
+    aggs = [F.count(F.lit(1)).alias("size")] + [rnd(F.avg(col_of(f)), 1).alias(f"mean_{f}") for f in features]
     g = df.groupBy(col_of(group).alias(group)).agg(*aggs)
     total = df.count()
-    g = g.withColumn("pct", F.round(F.col("size") / F.lit(float(total)) * 100, 1))
+    g = g.withColumn("pct", rnd(F.col("size") / F.lit(float(total)) * 100, 0))
     if segment and segment in df.columns:
         seg = (df.groupBy(col_of(group).alias(group), col_of(segment).alias("seg")).agg(F.count(F.lit(1)).alias("c"))
                .join(g.select(group, "size"), group)
-               .groupBy(group).agg(F.map_from_entries(F.collect_list(
-                   F.struct("seg", F.round(F.col("c") / F.col("size") * 100, 1)))).alias("segment_pct")))
+               .groupBy(group).agg(F.map_from_entries(F.array_sort(F.collect_list(
+                   F.struct("seg", rnd(F.col("c") / F.col("size") * 100, 0))))).alias("segment_pct")))
         g = g.join(seg, group)
     return g
 
 
-def profile_pivot(df: DataFrame, group: str, segment: str, values) -> DataFrame:
+def profile_pivot(df: DataFrame, group: str, segment: str, values, places: int | None = 1) -> DataFrame:
     """One row per group, one column per fixed segment value holding its % share (1 dp)."""
     p = df.groupBy(col_of(group).alias(group)).pivot(segment, list(values)).count()
     size = df.groupBy(col_of(group).alias(group)).agg(F.count(F.lit(1)).alias("size"))
     j = p.join(size, group)
-    return j.select(group, *[F.round(F.coalesce(col_of(v), F.lit(0)) / F.col("size") * 100, 1).alias(f"pct_{v}")
+    def rnd(c):
+        return F.round(c, places) if places is not None else c
+    return j.select(group, *[rnd(F.coalesce(col_of(v), F.lit(0)) / F.col("size") * 100).alias(f"pct_{v}")
                              for v in values])
 
 

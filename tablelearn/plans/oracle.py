@@ -323,3 +323,156 @@ cls AS (SELECT CAST(range AS INT) AS c FROM range(10)),
 pc AS (SELECT y_true AS t, y_pred AS q, count(*) AS n FROM scored GROUP BY 1, 2)
 SELECT a.c AS y_true, b.c AS y_pred, CAST(COALESCE(pc.n, 0) AS BIGINT) AS n
 FROM cls a CROSS JOIN cls b LEFT JOIN pc ON pc.t = a.c AND pc.q = b.c"""
+
+# ---------------------------------------------------------------- clustering
+PTS = f"""{CF},
+st AS (SELECT avg(acctbal) AS ma, stddev_pop(acctbal) AS sa, avg(spend) AS ms, stddev_pop(spend) AS ss,
+              avg(n_orders) AS mn, stddev_pop(n_orders) AS sn FROM cf),
+pts AS (SELECT id, segment, acctbal, spend, n_orders,
+               (acctbal - ma) / CASE WHEN sa = 0 THEN 1 ELSE sa END AS x1,
+               (spend - ms) / CASE WHEN ss = 0 THEN 1 ELSE ss END AS x2,
+               (n_orders - mn) / CASE WHEN sn = 0 THEN 1 ELSE sn END AS x3 FROM cf, st),
+c0 AS (SELECT c, x1, x2, x3 FROM (SELECT CAST(row_number() OVER (ORDER BY {H('id')}, id) - 1 AS INT) AS c, x1, x2, x3
+                                   FROM pts) WHERE c < 5)"""
+
+
+def _assign(cents, name):
+    return f"""{name} AS (SELECT id, c AS cluster FROM (
+   SELECT p.id, k.c, row_number() OVER (PARTITION BY p.id ORDER BY
+          (p.x1 - k.x1) * (p.x1 - k.x1) + (p.x2 - k.x2) * (p.x2 - k.x2) + (p.x3 - k.x3) * (p.x3 - k.x3), k.c) AS r
+   FROM pts p CROSS JOIN {cents} k) WHERE r = 1)"""
+
+
+def _means(prev, assign, name):
+    return f"""{name} AS (SELECT k.c, COALESCE(m.x1, k.x1) AS x1, COALESCE(m.x2, k.x2) AS x2, COALESCE(m.x3, k.x3) AS x3
+   FROM {prev} k LEFT JOIN (SELECT a.cluster AS c, avg(p.x1) AS x1, avg(p.x2) AS x2, avg(p.x3) AS x3
+                            FROM {assign} a JOIN pts p ON p.id = a.id GROUP BY a.cluster) m ON m.c = k.c)"""
+
+
+ASSIGNED = PTS + ",\n" + _assign("c0", "a0") + """,
+ax AS (SELECT p.*, a0.cluster FROM pts p JOIN a0 ON a0.id = p.id)"""
+
+ORACLE["assign_centroid"] = f"WITH {PTS},\n{_assign('c0', 'a0')}\nSELECT id, cluster FROM a0"
+ORACLE["kmeans_fixed_init"] = (f"WITH {PTS},\n{_assign('c0', 'a0')},\n{_means('c0', 'a0', 'c1')},\n{_assign('c1', 'a1')},"
+                               f"\n{_means('c1', 'a1', 'c2')},\n{_assign('c2', 'a2')}\nSELECT id, cluster FROM a2")
+ORACLE["kmeans_inertia"] = f"""WITH {PTS},
+d AS (SELECT p.id, min((p.x1 - k.x1) * (p.x1 - k.x1) + (p.x2 - k.x2) * (p.x2 - k.x2) + (p.x3 - k.x3) * (p.x3 - k.x3)) AS d
+      FROM pts p CROSS JOIN c0 k GROUP BY p.id)
+SELECT ROUND(SUM(d), 6) AS inertia, count(*) AS n FROM d"""
+
+ORACLE["cluster_sizes"] = f"WITH {ASSIGNED}\nSELECT cluster, count(*) AS n FROM ax GROUP BY cluster"
+ORACLE["cluster_profiles"] = f"""WITH {ASSIGNED},
+g AS (SELECT cluster, count(*) AS size, avg(acctbal) AS mean_acctbal, avg(spend) AS mean_spend,
+             avg(n_orders) AS mean_n_orders FROM ax GROUP BY cluster),
+s AS (SELECT cluster, segment, count(*) AS c FROM ax GROUP BY cluster, segment)
+SELECT g.cluster, g.size, ROUND(g.size / CAST((SELECT count(*) FROM ax) AS DOUBLE) * 100, 6) AS pct,
+       ROUND(mean_acctbal, 4) AS mean_acctbal, ROUND(mean_spend, 4) AS mean_spend, ROUND(mean_n_orders, 6) AS mean_n_orders,
+       s.segment, ROUND(s.c / CAST(g.size AS DOUBLE) * 100, 6) AS segment_pct
+FROM g JOIN s ON s.cluster = g.cluster"""
+ORACLE["profile_pivot"] = f"""WITH {ASSIGNED}
+SELECT cluster, """ + ", ".join(
+    f"ROUND(count(*) FILTER (WHERE segment = '{s}') / CAST(count(*) AS DOUBLE) * 100, 6) AS pct_{s}"
+    for s in ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]) + " FROM ax GROUP BY cluster"
+
+ORACLE["silhouette_sq"] = f"""WITH {ASSIGNED},
+sz AS (SELECT cluster, count(*) AS n FROM ax GROUP BY cluster),
+per AS (SELECT a.id, a.cluster AS ca, b.cluster AS cb,
+               avg((a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2) + (a.x3 - b.x3) * (a.x3 - b.x3)) AS md
+        FROM ax a JOIN ax b ON a.id <> b.id GROUP BY a.id, a.cluster, b.cluster),
+own AS (SELECT id, ca, md AS a FROM per WHERE ca = cb),
+oth AS (SELECT id, min(md) AS b FROM per WHERE ca <> cb GROUP BY id),
+s AS (SELECT ax.id, CASE WHEN sz.n <= 1 THEN 0.0 WHEN GREATEST(own.a, oth.b) = 0 THEN 0.0
+                         ELSE (oth.b - own.a) / GREATEST(own.a, oth.b) END AS s
+      FROM ax JOIN sz ON sz.cluster = ax.cluster LEFT JOIN own ON own.id = ax.id LEFT JOIN oth ON oth.id = ax.id)
+SELECT ROUND(avg(s), 6) AS silhouette, count(*) AS n FROM s"""
+
+ORACLE["davies_bouldin"] = f"""WITH {ASSIGNED},
+cen AS (SELECT cluster, avg(x1) AS x1, avg(x2) AS x2, avg(x3) AS x3 FROM ax GROUP BY cluster),
+sc AS (SELECT a.cluster, avg(sqrt((a.x1 - c.x1) * (a.x1 - c.x1) + (a.x2 - c.x2) * (a.x2 - c.x2) + (a.x3 - c.x3) * (a.x3 - c.x3))) AS s
+       FROM ax a JOIN cen c ON c.cluster = a.cluster GROUP BY a.cluster),
+r AS (SELECT i.cluster, max((si.s + sj.s) / sqrt((i.x1 - j.x1) * (i.x1 - j.x1) + (i.x2 - j.x2) * (i.x2 - j.x2) + (i.x3 - j.x3) * (i.x3 - j.x3))) AS r
+      FROM cen i JOIN cen j ON i.cluster <> j.cluster JOIN sc si ON si.cluster = i.cluster JOIN sc sj ON sj.cluster = j.cluster
+      GROUP BY i.cluster)
+SELECT ROUND(avg(r), 6) AS davies_bouldin, count(*) AS k FROM r"""
+
+# ---------------------------------------------------------------- lookup and history folds
+EVENT_DIM = "dim AS (SELECT * FROM (VALUES ('click', 1), ('purchase', 10), ('view', 2), ('default', 0)) t(event_type, weight))"
+ORACLE["lookup_default"] = f"""WITH {EVENT_DIM}
+SELECT e.event_id, e.event_type, CAST(COALESCE(d.weight, (SELECT weight FROM dim WHERE event_type = 'default')) AS INT) AS weight
+FROM events e LEFT JOIN dim d ON d.event_type = e.event_type"""
+ORACLE["lookup_missing"] = f"""WITH {EVENT_DIM}
+SELECT event_type, count(*) AS n FROM events WHERE event_type NOT IN (SELECT event_type FROM dim) GROUP BY event_type"""
+
+HIST = """h AS (SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INT) AS e, value AS v FROM events),
+hn AS (SELECT user_id, count(*) AS n FROM h GROUP BY user_id)"""
+
+ORACLE["early_stop"] = f"""WITH RECURSIVE {HIST},
+r AS (
+  SELECT user_id, e, v AS best, e AS be, 0 AS cnt, CAST(NULL AS INT) AS stop FROM h WHERE e = 1
+  UNION ALL
+  SELECT r.user_id, h.e,
+         CASE WHEN r.stop IS NOT NULL THEN r.best WHEN h.v < r.best - CAST(1e-5 AS DOUBLE) THEN h.v ELSE r.best END,
+         CASE WHEN r.stop IS NOT NULL THEN r.be WHEN h.v < r.best - CAST(1e-5 AS DOUBLE) THEN h.e ELSE r.be END,
+         CASE WHEN r.stop IS NOT NULL THEN r.cnt WHEN h.v < r.best - CAST(1e-5 AS DOUBLE) THEN 0 ELSE r.cnt + 1 END,
+         CASE WHEN r.stop IS NOT NULL THEN r.stop
+              WHEN NOT (h.v < r.best - CAST(1e-5 AS DOUBLE)) AND r.cnt + 1 >= 4 THEN h.e ELSE NULL END
+  FROM r JOIN h ON h.user_id = r.user_id AND h.e = r.e + 1)
+SELECT r.user_id, r.stop AS stop_epoch, ROUND(r.best, 6) AS best_loss, r.be AS best_epoch, CAST(hn.n AS INT) AS n_epochs
+FROM r JOIN hn ON hn.user_id = r.user_id AND r.e = hn.n"""
+
+ORACLE["lr_plateau"] = f"""WITH RECURSIVE {HIST},
+r AS (
+  SELECT user_id, e, v AS best, 0 AS bad, CAST(0.001 AS DOUBLE) AS lr, 0 AS red FROM h WHERE e = 1
+  UNION ALL
+  SELECT user_id, e, best, CASE WHEN bad > 2 THEN 0 ELSE bad END,
+         CASE WHEN bad > 2 AND lr - lr * CAST(0.5 AS DOUBLE) > CAST(1e-8 AS DOUBLE) THEN lr * CAST(0.5 AS DOUBLE) ELSE lr END,
+         red + CASE WHEN bad > 2 AND lr - lr * CAST(0.5 AS DOUBLE) > CAST(1e-8 AS DOUBLE) THEN 1 ELSE 0 END
+  FROM (SELECT r.user_id, h.e,
+               CASE WHEN h.v < r.best * CAST(0.9999 AS DOUBLE) THEN h.v ELSE r.best END AS best,
+               CASE WHEN h.v < r.best * CAST(0.9999 AS DOUBLE) THEN 0 ELSE r.bad + 1 END AS bad, r.lr, r.red
+        FROM r JOIN h ON h.user_id = r.user_id AND h.e = r.e + 1))
+SELECT r.user_id, r.lr AS final_lr, r.red AS n_reductions FROM r JOIN hn ON hn.user_id = r.user_id AND r.e = hn.n"""
+
+ORACLE["best_checkpoint"] = f"""WITH {HIST}
+SELECT user_id, e AS best_epoch, ROUND(v, 6) AS best_acc FROM (
+  SELECT user_id, e, v, row_number() OVER (PARTITION BY user_id ORDER BY v DESC, e) AS r FROM h WHERE v > 0) WHERE r = 1"""
+
+# ---------------------------------------------------------------- scoring
+ORACLE["score_regression"] = f"""WITH {HOLDOUT_OF},
+s AS (SELECT var_pop(qty) AS s11, var_pop(n_lines) AS s22, covar_pop(qty, n_lines) AS s12,
+             covar_pop(qty, target) AS s1y, covar_pop(n_lines, target) AS s2y,
+             avg(qty) AS m1, avg(n_lines) AS m2, avg(target) AS my FROM ho WHERE split = 'train'),
+b AS (SELECT (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
+             (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM s),
+c AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b)
+SELECT id, ROUND(b0 + b1 * qty + b2 * n_lines, 4) AS prediction FROM ho, c WHERE split = 'test'"""
+
+PROBA = EMB_LONG + """,
+cen AS (SELECT label AS c, pos, AVG(v) AS v FROM emb_long GROUP BY label, pos),
+dd AS (SELECT e.vec_id, e.label, m.c, SUM((e.v - m.v) * (e.v - m.v)) AS d FROM emb_long e JOIN cen m ON m.pos = e.pos
+       GROUP BY e.vec_id, e.label, m.c),
+ex AS (SELECT vec_id, label, c, exp(-(d - min(d) OVER (PARTITION BY vec_id))) AS x FROM dd),
+pr AS (SELECT vec_id, label, c, x / SUM(x) OVER (PARTITION BY vec_id) AS p FROM ex)"""
+
+ORACLE["proba_map"] = f"WITH {PROBA}\nSELECT vec_id, CAST(c AS VARCHAR) AS class, ROUND(p, 6) AS prob FROM pr"
+ORACLE["top1_confidence"] = f"""WITH {PROBA}
+SELECT vec_id, c AS top_class, ROUND(p, 6) AS confidence FROM (
+  SELECT vec_id, c, p, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, c) AS r FROM pr) WHERE r = 1"""
+ORACLE["log_loss"] = f"""WITH {PROBA},
+t AS (SELECT pr.vec_id, -ln(GREATEST(pr.p, CAST(1e-15 AS DOUBLE))) AS l FROM pr WHERE pr.c = pr.label),
+top AS (SELECT vec_id, label, c FROM (SELECT vec_id, label, c, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, c) AS r
+                                      FROM pr) WHERE r = 1)
+SELECT ROUND(avg(t.l), 6) AS loss, ROUND(avg(CASE WHEN top.c = top.label THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n
+FROM t JOIN top ON top.vec_id = t.vec_id"""
+
+FOOD = """food AS (SELECT * FROM (VALUES (0, 'apple_pie'), (1, 'caesar_salad'), (2, 'cheesecake'), (3, 'chicken_curry'),
+  (4, 'french_fries'), (5, 'hamburger'), (6, 'pizza'), (7, 'ramen'), (8, 'sushi'), (9, 'waffles')) t(i, name)),
+kcal AS (SELECT * FROM (VALUES ('apple_pie', 237), ('caesar_salad', 190), ('cheesecake', 321), ('chicken_curry', 165),
+  ('french_fries', 312), ('hamburger', 295), ('pizza', 266), ('ramen', 436), ('sushi', 150), ('waffles', 291),
+  ('default', 250)) t(class, kcal))"""
+ORACLE["predictions_with_lookup"] = f"""WITH {SCORED}, {FOOD}
+SELECT s.vec_id, ft.name AS true_class, fp.name AS predicted_class,
+       CAST(COALESCE(kt.kcal, 250) AS INT) AS true_kcal, CAST(COALESCE(kp.kcal, 250) AS INT) AS predicted_kcal,
+       CAST(CASE WHEN s.y_true = s.y_pred THEN 1 ELSE 0 END AS INT) AS correct
+FROM scored s LEFT JOIN food ft ON ft.i = s.y_true LEFT JOIN food fp ON fp.i = s.y_pred
+LEFT JOIN kcal kt ON kt.class = ft.name LEFT JOIN kcal kp ON kp.class = fp.name"""

@@ -319,3 +319,185 @@ def macro_weighted_f1(spark, sf):
 @q
 def confusion_matrix(spark, sf):
     return metrics.confusion(scored(spark, sf), "y_true", "y_pred", CLASSES10)
+
+
+# ---------------------------------------------------------------- clustering
+from tablelearn.operators import align, cluster, epochs  # noqa: E402
+from tablelearn.operators import score as scoring  # noqa: E402
+
+
+def seg_points(spark, sf):
+    """Customer segmentation points: raw features plus the scaled vector ``x``."""
+    cf = customer_feats(spark, sf)
+    sc = scale.apply_scaler(cf, scale.fit_scaler(cf, SCALE_COLS), SCALE_COLS)
+    sc = sc.select("id", *[F.col(c).alias(f"z_{c}") for c in SCALE_COLS])
+    return cluster.assemble(cf.join(sc, "id"), [f"z_{c}" for c in SCALE_COLS], "x").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _seeded(spark, sf):
+    pts = seg_points(spark, sf)
+    return pts, cluster.hash_seeds(pts, "id", "x", 5, 42)
+
+
+@q
+def assign_centroid(spark, sf):
+    pts, seeds = _seeded(spark, sf)
+    return cluster.assign(pts, "x", seeds).select("id", "cluster")
+
+
+@q
+def kmeans_fixed_init(spark, sf):
+    pts, seeds = _seeded(spark, sf)
+    cents = cluster.lloyd(pts, "x", seeds, 2)
+    return cluster.assign(pts, "x", cents).select("id", "cluster")
+
+
+@q
+def kmeans_inertia(spark, sf):
+    pts, seeds = _seeded(spark, sf)
+    return _r(metrics.inertia(pts, "x", seeds))
+
+
+@q
+def kmeans_fit(spark, sf):
+    """k-means++ (Spark's parallel variant), 10 restarts, best cost, canonical ids (rows-only)."""
+    pts = seg_points(spark, sf)
+    cents, cost = cluster.fit_kmeans(pts, "x", k=5, restarts=10, max_iter=300, seed=42)
+    a = cluster.assign(pts, "x", cents)
+    return a.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).withColumn("inertia", F.lit(cost))
+
+
+@q
+def elbow_curve(spark, sf):
+    """Inertia for k = 2..10 (rows-only; non-increasing is checked in tests)."""
+    return cluster.elbow(seg_points(spark, sf), "x", range(2, 11), restarts=10)
+
+
+def _assigned(spark, sf):
+    pts, seeds = _seeded(spark, sf)
+    return cluster.assign(pts, "x", seeds)
+
+
+@q
+def cluster_profiles(spark, sf):
+    a = _assigned(spark, sf)
+    p = profile.group_profile(a, "cluster", SCALE_COLS, "segment", places=None)
+    p = p.select("cluster", "size", "pct", *[f"mean_{c}" for c in SCALE_COLS],
+                 F.explode("segment_pct").alias("segment", "segment_pct"))
+    return _r(p, 6, mean_spend=4, mean_acctbal=4)
+
+
+@q
+def cluster_sizes(spark, sf):
+    return _assigned(spark, sf).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@q
+def profile_pivot(spark, sf):
+    return _r(profile.profile_pivot(_assigned(spark, sf), "cluster", "segment", SEGMENTS, places=None))
+
+
+@q
+def silhouette_sq(spark, sf):
+    return _r(metrics.silhouette_sq(_assigned(spark, sf), "x", "cluster", 3))
+
+
+@q
+def davies_bouldin(spark, sf):
+    return _r(metrics.davies_bouldin(_assigned(spark, sf), "x", "cluster", 3))
+
+
+# ---------------------------------------------------------------- lookup (J3) and history folds
+# Event-type weights of the lookup stand-in ("signup" and "error" are left
+# out on purpose; "default" is the fallback entry).
+EVENT_WEIGHTS = [("click", 1), ("purchase", 10), ("view", 2), ("default", 0)]
+
+
+def _event_dim(spark):
+    return spark.createDataFrame(EVENT_WEIGHTS, "event_type string, weight int")
+
+
+@q
+def lookup_default(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type")
+    return align.lookup_default(ev, _event_dim(spark), "event_type", "weight")
+
+
+@q
+def lookup_missing(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type")
+    return align.missing_keys(ev, _event_dim(spark), "event_type")
+
+
+def _history(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet").select("user_id", "ts", "event_id", "value")
+    return epochs.with_epoch_index(ev, "user_id", ["ts", "event_id"])
+
+
+@q
+def early_stop(spark, sf):
+    return _r(epochs.early_stop(_history(spark, sf), "user_id", "epoch", "value", patience=4, min_delta=1e-5))
+
+
+@q
+def lr_plateau(spark, sf):
+    return epochs.lr_plateau(_history(spark, sf), "user_id", "epoch", "value", lr=0.001, factor=0.5, patience=2)
+
+
+@q
+def best_checkpoint(spark, sf):
+    return _r(epochs.best_checkpoint(_history(spark, sf), "user_id", "epoch", "value"))
+
+
+# ---------------------------------------------------------------- scoring
+@q
+def score_regression(spark, sf):
+    h = _holdout_orders(spark, sf)
+    c = regress.ols_two(h.where("split = 'train'"), "qty", "n_lines", "target").first()
+    te = h.where("split = 'test'")
+    pred = F.lit(c["b0"]) + F.lit(c["b1"]) * F.col("qty") + F.lit(c["b2"]) * F.col("n_lines")
+    return _r(te.select("id", pred.alias("prediction")), 4)
+
+
+def _emb_proba(spark, sf):
+    e = emb(spark, sf)
+    from tablelearn.plans.views import label_centroids
+    cents = label_centroids(e, "label", "embedding", 64)
+    classes = [c for c, _ in cents]
+    return scoring.softmax_distance(e, "embedding", [v for _, v in cents]), classes
+
+
+@q
+def log_loss(spark, sf):
+    p, classes = _emb_proba(spark, sf)
+    return _r(metrics.log_loss(p, "label", "probability", classes))
+
+
+@q
+def top1_confidence(spark, sf):
+    p, classes = _emb_proba(spark, sf)
+    return _r(scoring.top1(p, "probability", classes).select("vec_id", "top_class", "confidence"))
+
+
+@q
+def proba_map(spark, sf):
+    p, classes = _emb_proba(spark, sf)
+    m = scoring.proba_map(p, "probability", classes)
+    return _r(m.select("vec_id", F.explode("proba_map").alias("class", "prob")))
+
+
+# The reference's food classes in configured order and their kcal per 100 g,
+# with the "default" entry used for unknown classes.
+FOOD_CLASSES = ["apple_pie", "caesar_salad", "cheesecake", "chicken_curry", "french_fries",
+                "hamburger", "pizza", "ramen", "sushi", "waffles"]
+FOOD_KCAL = [("apple_pie", 237), ("caesar_salad", 190), ("cheesecake", 321), ("chicken_curry", 165),
+             ("french_fries", 312), ("hamburger", 295), ("pizza", 266), ("ramen", 436), ("sushi", 150),
+             ("waffles", 291), ("default", 250)]
+
+
+@q
+def predictions_with_lookup(spark, sf):
+    dim = spark.createDataFrame(FOOD_KCAL, "class string, kcal int")
+    t = scoring.predictions_table(scored(spark, sf), "y_true", "y_pred", FOOD_CLASSES, dim, "class", "kcal")
+    return t.select("vec_id", "true_class", "predicted_class", F.col("true_value").alias("true_kcal"),
+                    F.col("predicted_value").alias("predicted_kcal"), "correct")
