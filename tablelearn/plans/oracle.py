@@ -476,3 +476,72 @@ SELECT s.vec_id, ft.name AS true_class, fp.name AS predicted_class,
        CAST(CASE WHEN s.y_true = s.y_pred THEN 1 ELSE 0 END AS INT) AS correct
 FROM scored s LEFT JOIN food ft ON ft.i = s.y_true LEFT JOIN food fp ON fp.i = s.y_pred
 LEFT JOIN kcal kt ON kt.class = ft.name LEFT JOIN kcal kp ON kp.class = fp.name"""
+
+# ---------------------------------------------------------------- image jobs (relational twins)
+EMB_PX = """emb_px AS (
+  SELECT vec_id, label, CAST(pos // 8 AS INT) AS y, CAST(pos % 8 AS INT) AS x,
+         CAST(floor((CAST(v AS DOUBLE) - mn) / (mx - mn) * 255) AS INT) AS px
+  FROM (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding) AS v FROM embeddings)
+  CROSS JOIN (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS mn, CAST(max(list_max(embedding)) AS DOUBLE) AS mx
+              FROM embeddings)),
+rgb AS (SELECT a.vec_id, a.y, a.x, a.y * 8 + a.x AS pos, a.px AS r, b.px AS g, 255 - a.px AS b
+        FROM emb_px a JOIN emb_px b ON b.vec_id = a.vec_id AND b.y * 8 + b.x = 63 - (a.y * 8 + a.x))"""
+
+ORACLE["resize_half"] = f"""WITH {EMB_PX},
+w AS (SELECT i, j, wr / SUM(wr) OVER (PARTITION BY i) AS w FROM (
+        SELECT CAST(o.range AS INT) AS i, CAST(s.range AS INT) AS j,
+               GREATEST(1.0 - abs((s.range + 0.5) - (o.range + 0.5) * 2.0) / 2.0, 0.0) AS wr
+        FROM range(4) o CROSS JOIN range(8) s))
+SELECT p.vec_id, wy.i AS y, wx.i AS x, ROUND(SUM(wy.w * wx.w * p.px), 6) AS v
+FROM emb_px p JOIN w wy ON wy.j = p.y JOIN w wx ON wx.j = p.x GROUP BY p.vec_id, wy.i, wx.i"""
+
+ORACLE["grayscale"] = f"""WITH {EMB_PX}
+SELECT vec_id, CAST(pos AS INT) AS pos,
+       ROUND(r / 255.0 * 0.2125 + g / 255.0 * 0.7154 + b / 255.0 * 0.0721, 6) AS gray FROM rgb"""
+
+ORACLE["pixel_normalize"] = f"""WITH {EMB_PX}
+SELECT vec_id, CAST(y * 8 + x AS INT) AS pos, ROUND((px / 255.0 - 0.5) / 0.5, 6) AS v FROM emb_px"""
+
+HOG = EMB_PX + """,
+gr AS (SELECT p.vec_id, p.y, p.x,
+              CAST(CASE WHEN p.x BETWEEN 1 AND 6 THEN r.px - l.px ELSE 0 END AS DOUBLE) AS gx,
+              CAST(CASE WHEN p.y BETWEEN 1 AND 6 THEN d.px - u.px ELSE 0 END AS DOUBLE) AS gy
+       FROM emb_px p
+       LEFT JOIN emb_px r ON r.vec_id = p.vec_id AND r.y = p.y AND r.x = p.x + 1
+       LEFT JOIN emb_px l ON l.vec_id = p.vec_id AND l.y = p.y AND l.x = p.x - 1
+       LEFT JOIN emb_px d ON d.vec_id = p.vec_id AND d.y = p.y + 1 AND d.x = p.x
+       LEFT JOIN emb_px u ON u.vec_id = p.vec_id AND u.y = p.y - 1 AND u.x = p.x),
+ang AS (SELECT vec_id, y, x, sqrt(gx * gx + gy * gy) AS mag, degrees(atan2(gy, gx)) AS a FROM gr),
+hb AS (SELECT vec_id, y // 4 AS cy, x // 4 AS cx, mag,
+              CAST(LEAST(floor((CASE WHEN a < 0 THEN a + 180 WHEN a >= 180 THEN a - 180 ELSE a END) / 20.0), 8) AS INT) AS bin
+       FROM ang),
+hc AS (SELECT vec_id, cy, cx, bin, SUM(mag) / 16.0 AS value FROM hb GROUP BY vec_id, cy, cx, bin),
+grid AS (SELECT DISTINCT e.vec_id, CAST(a.range AS INT) AS cy, CAST(b.range AS INT) AS cx, CAST(c.range AS INT) AS bin
+         FROM emb_px e, range(2) a, range(2) b, range(9) c),
+cells AS (SELECT g.vec_id, g.cy, g.cx, g.bin, COALESCE(hc.value, 0.0) AS value
+          FROM grid g LEFT JOIN hc ON hc.vec_id = g.vec_id AND hc.cy = g.cy AND hc.cx = g.cx AND hc.bin = g.bin),
+n1 AS (SELECT c.vec_id, CAST((c.cy * 2 + c.cx) * 9 + c.bin AS INT) AS i,
+              LEAST(c.value / sqrt(s.ss + 1e-10), 0.2) AS v
+       FROM cells c JOIN (SELECT vec_id, SUM(value * value) AS ss FROM cells GROUP BY vec_id) s ON s.vec_id = c.vec_id),
+blocks AS (SELECT n1.vec_id, n1.i, n1.v / sqrt(s.ss + 1e-10) AS v
+           FROM n1 JOIN (SELECT vec_id, SUM(v * v) AS ss FROM n1 GROUP BY vec_id) s ON s.vec_id = n1.vec_id)"""
+
+ORACLE["hog_cells"] = f"WITH {HOG}\nSELECT vec_id, cy, cx, bin, ROUND(value, 6) AS value FROM cells"
+ORACLE["hog_blocks"] = f"WITH {HOG}\nSELECT vec_id, i, ROUND(v, 6) AS v FROM blocks"
+
+HIST = """ch AS (SELECT vec_id, 0 AS channel, r AS px FROM rgb UNION ALL SELECT vec_id, 1, g FROM rgb
+                UNION ALL SELECT vec_id, 2, b FROM rgb),
+hcnt AS (SELECT vec_id, channel, CAST(LEAST(floor(px / (255.0 / 16)), 15) AS INT) AS bin, count(*) AS n FROM ch
+         GROUP BY ALL),
+hgrid AS (SELECT DISTINCT vec_id, CAST(a.range AS INT) AS channel, CAST(b.range AS INT) AS bin FROM rgb, range(3) a, range(16) b),
+hfull AS (SELECT g.vec_id, g.channel, g.bin, CAST(COALESCE(hcnt.n, 0) AS DOUBLE) AS n FROM hgrid g
+          LEFT JOIN hcnt ON hcnt.vec_id = g.vec_id AND hcnt.channel = g.channel AND hcnt.bin = g.bin)"""
+
+ORACLE["color_hist_density"] = f"""WITH {EMB_PX}, {HIST}
+SELECT vec_id, CAST(channel AS INT) AS channel, bin, ROUND(n / (255.0 / 16) / 64, 6) AS value FROM hfull"""
+ORACLE["color_hist_joint"] = f"""WITH {EMB_PX}, {HIST}
+SELECT vec_id, CAST(channel AS INT) AS channel, bin,
+       ROUND(n / (SUM(n) OVER (PARTITION BY vec_id) + 1e-8), 6) AS value FROM hfull"""
+ORACLE["concat_vector"] = f"""WITH {HOG}, {HIST}
+SELECT vec_id, i, ROUND(v, 6) AS v FROM blocks
+UNION ALL SELECT vec_id, CAST(36 + channel * 16 + bin AS INT), ROUND(n / (255.0 / 16) / 64, 6) FROM hfull"""

@@ -501,3 +501,90 @@ def predictions_with_lookup(spark, sf):
     t = scoring.predictions_table(scored(spark, sf), "y_true", "y_pred", FOOD_CLASSES, dim, "class", "kcal")
     return t.select("vec_id", "true_class", "predicted_class", F.col("true_value").alias("true_kcal"),
                     F.col("predicted_value").alias("predicted_kcal"), "correct")
+
+
+# ---------------------------------------------------------------- image jobs on 8×8 stand-ins
+import numpy as np  # noqa: E402
+
+from tablelearn.operators import images  # noqa: E402
+from tablelearn.plans.views import emb_images  # noqa: E402
+
+
+def _rgb(spark, sf):
+    """Three channels from one 8×8 grey image: R = px, G = px mirrored, B = 255 − px."""
+    e = emb_images(spark, sf)
+    rgb = F.flatten(F.zip_with("pixels", F.reverse("pixels"), lambda r, g: F.array(r, g, 255 - r)))
+    return e.withColumn("rgb", rgb)
+
+
+def _long(df, key, arr, idx="i", val="v"):
+    return df.select(key, F.posexplode(arr).alias(idx, val))
+
+
+@q
+def resize_half(spark, sf):
+    r = images.resize_column(emb_images(spark, sf), "vec_id", "pixels", 8, 8, 4, 4)
+    x = _long(r, "vec_id", "resized")
+    return _r(x.select("vec_id", (F.col("i") / 4).cast("int").alias("y"), (F.col("i") % 4).cast("int").alias("x"), "v"))
+
+
+@q
+def grayscale(spark, sf):
+    g = images.gray_column(_rgb(spark, sf), "vec_id", "rgb", images.GRAY_SKIMAGE)
+    return _r(_long(g, "vec_id", "gray", "pos", "gray"))
+
+
+@q
+def pixel_normalize(spark, sf):
+    e = emb_images(spark, sf).withColumn("norm", images.normalize_pixels("pixels"))
+    return _r(_long(e, "vec_id", "norm", "pos", "v"))
+
+
+def _hog(spark, sf):
+    return images.hog_column(emb_images(spark, sf), "vec_id", "pixels", 8, 8, cell=4, block=2)
+
+
+@q
+def hog_cells(spark, sf):
+    x = _long(_hog(spark, sf), "vec_id", "cells")
+    return _r(x.select("vec_id", (F.col("i") / 18).cast("int").alias("cy"), ((F.col("i") / 9).cast("int") % 2).alias("cx"),
+                       (F.col("i") % 9).cast("int").alias("bin"), F.col("v").alias("value")))
+
+
+@q
+def hog_blocks(spark, sf):
+    return _r(_long(_hog(spark, sf), "vec_id", "blocks"))
+
+
+def _hist(spark, sf, mode):
+    x = _long(images.hist_column(_rgb(spark, sf), "vec_id", "rgb", 16, mode), "vec_id", "hist")
+    return _r(x.select("vec_id", (F.col("i") / 16).cast("int").alias("channel"), (F.col("i") % 16).cast("int").alias("bin"),
+                       F.col("v").alias("value")))
+
+
+@q
+def color_hist_density(spark, sf):
+    return _hist(spark, sf, "density")
+
+
+@q
+def color_hist_joint(spark, sf):
+    return _hist(spark, sf, "joint")
+
+
+@q
+def concat_vector(spark, sf):
+    """HOG blocks of the grey image ++ per-channel density histogram of the RGB stand-in."""
+    def fn(s):
+        x = np.stack([np.asarray(v, dtype=np.float64).reshape(8, 8, 3) for v in s])
+        _, blocks = images.hog_batch(x[..., 0], 9, 4, 2)
+        return {"features": np.concatenate([blocks, images.color_hist_batch(x, 16, "density")], axis=1)}
+    f = images.map_arrays(_rgb(spark, sf), "vec_id", "rgb", fn, "vec_id bigint, features array<double>")
+    return _r(_long(f, "vec_id", "features"))
+
+
+@q
+def augment_rows(spark, sf):
+    """Two deterministic rotated/shifted copies per train image (rows-only)."""
+    a = images.augment(emb_images(spark, sf), "vec_id", "pixels", 8, 8, copies=2, seed=42)
+    return a.select("vec_id", "copy", F.aggregate("pixels", F.lit(0.0), lambda s, v: s + v).alias("checksum"))
