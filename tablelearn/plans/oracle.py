@@ -545,3 +545,61 @@ SELECT vec_id, CAST(channel AS INT) AS channel, bin,
 ORACLE["concat_vector"] = f"""WITH {HOG}, {HIST}
 SELECT vec_id, i, ROUND(v, 6) AS v FROM blocks
 UNION ALL SELECT vec_id, CAST(36 + channel * 16 + bin AS INT), ROUND(n / (255.0 / 16) / 64, 6) FROM hfull"""
+
+# ---------------------------------------------------------------- sources, sinks, projections
+ORACLE["csv_roundtrip"] = """SELECT c_mktsegment, count(*) AS n, ROUND(SUM(c_acctbal), 4) AS sum_acctbal,
+       min(c_custkey) AS min_key, max(c_custkey) AS max_key FROM customer GROUP BY c_mktsegment"""
+ORACLE["read_or_default"] = """SELECT 'all_present' AS case_name, 'real' AS origin, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'one_missing', 'default', count(*) FROM nation"""
+ORACLE["label_from_name"] = """SELECT p_partkey, lower(p_type) AS class_name,
+       CAST(CASE lower(p_type) WHEN 'economy' THEN 0 WHEN 'small' THEN 1 END AS INT) AS label
+FROM part WHERE lower(p_type) IN ('economy', 'small')"""
+ORACLE["index_tree"] = """SELECT doc_id, source AS subject, lang AS class_name,
+       CAST(CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 END AS INT) AS label
+FROM documents WHERE doc_id % 7 <> 0 AND lang IN ('en', 'fr', 'de')"""
+ORACLE["drop_invalid"] = """SELECT lang, CAST(count(*) FILTER (WHERE NOT (text IS NULL OR trim(text) = '')) AS BIGINT) AS n_valid,
+       CAST(count(*) FILTER (WHERE text IS NULL OR trim(text) = '') AS BIGINT) AS n_invalid FROM documents GROUP BY lang"""
+ORACLE["metrics_json"] = f"""WITH {DOC_PRED},
+c AS (SELECT count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE label <> 1 AND pred = 1) AS fp,
+             count(*) FILTER (WHERE label = 1 AND pred <> 1) AS fn, count(*) FILTER (WHERE label <> 1 AND pred <> 1) AS tn FROM dp)
+SELECT 'binary' AS metric_set,
+       '{{"tp":' || tp || ',"fp":' || fp || ',"fn":' || fn || ',"tn":' || tn || ',"n":' || (tp + fp + fn + tn) || '}}' AS json FROM c"""
+ORACLE["run_summary"] = f"""WITH {HOLDOUT_OF}
+SELECT CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS n_train,
+       CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) AS n_test, CAST(7 AS INT) AS n_features,
+       'n_lines,qty,gross,yr,total,weighted,age' AS features FROM ho"""
+ORACLE["select_features"] = f"WITH {CF}\nSELECT id, ROUND(acctbal, 4) AS acctbal, ROUND(spend, 4) AS spend, ROUND(n_orders, 4) AS n_orders FROM cf"
+ORACLE["column_order"] = f"""WITH {OF}
+SELECT id, cust, status, ROUND(target, 4) AS target, yr, ROUND(qty, 4) AS qty, ROUND(gross, 4) AS gross,
+       ROUND(n_lines, 4) AS n_lines FROM of"""
+ORACLE["label_encode"] = f"""WITH {CF}
+SELECT id, segment, CAST(list_position(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'], segment) - 1 AS INT) AS label,
+       segment AS decoded FROM cf"""
+ORACLE["filter_eq"] = f"WITH {CF}\nSELECT id, ROUND(acctbal, 4) AS acctbal FROM cf WHERE segment = 'BUILDING'"
+ORACLE["limit_preview"] = f"WITH {OF}\nSELECT id, ROUND(target, 4) AS target FROM of ORDER BY id LIMIT 10"
+ORACLE["math_scalars"] = f"""WITH {OF}
+SELECT id, ROUND(abs(target - 150000), 4) AS dev, ROUND(sqrt(qty), 6) AS root_qty,
+       ROUND(LEAST(GREATEST(qty, 50.0), 150.0), 4) AS clipped, ROUND(ROUND(qty / 4, 1), 4) AS rounded FROM of"""
+ORACLE["run_id_format"] = """SELECT event_id, strftime(ts, '%Y%m%dT%H%M%SZ') AS run_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso
+FROM events"""
+ORACLE["platt_apply"] = f"""WITH {DOC}
+SELECT doc_id, ROUND(1.0 / (1.0 + exp(-4.0 * (letters - 0.78) + 0.1)), 6) AS p FROM doc"""
+
+
+def _rff_sql():
+    import numpy as np
+
+    d, n, gamma = 3, 8, 0.5
+    w = [(i, j, float(np.sin(1.0 + i * d + j)) * float(np.sqrt(2.0 * gamma))) for i in range(n) for j in range(d)]
+    b = [(i, float((i * 0.7548776662466927) % 1.0 * 2.0 * np.pi)) for i in range(n)]
+    wv = ", ".join(f"({i}, {j}, {v!r})" for i, j, v in w)
+    bv = ", ".join(f"({i}, {v!r})" for i, v in b)
+    return f"""WITH {PTS},
+w AS (SELECT * FROM (VALUES {wv}) t(i, j, w)),
+bb AS (SELECT * FROM (VALUES {bv}) t(i, b)),
+xl AS (SELECT id, 0 AS j, x1 AS x FROM pts UNION ALL SELECT id, 1, x2 FROM pts UNION ALL SELECT id, 2, x3 FROM pts),
+pr AS (SELECT xl.id, w.i, SUM(w.w * xl.x) AS s FROM xl JOIN w ON w.j = xl.j GROUP BY xl.id, w.i)
+SELECT pr.id, CAST(pr.i AS INT) AS i, ROUND(sqrt(2.0 / {n}) * cos(pr.s + bb.b), 6) AS v FROM pr JOIN bb ON bb.i = pr.i"""
+
+
+ORACLE["rff_map"] = _rff_sql()

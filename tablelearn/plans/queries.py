@@ -588,3 +588,265 @@ def augment_rows(spark, sf):
     """Two deterministic rotated/shifted copies per train image (rows-only)."""
     a = images.augment(emb_images(spark, sf), "vec_id", "pixels", 8, 8, copies=2, seed=42)
     return a.select("vec_id", "copy", F.aggregate("pixels", F.lit(0.0), lambda s, v: s + v).alias("checksum"))
+
+
+# ---------------------------------------------------------------- sources and sinks
+from pyspark.sql import types as T  # noqa: E402
+
+from tablelearn.functions import project  # noqa: E402
+from tablelearn.session import shared_dir  # noqa: E402
+from tablelearn.sources import bundle, sinks  # noqa: E402
+from tablelearn.sources import images as imgsrc  # noqa: E402
+from tablelearn.sources.tables import read_csv, read_or_default as _read_or_default, table_path  # noqa: E402
+
+CUSTOMER_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType())])
+
+
+@q
+def csv_roundtrip(spark, sf):
+    """customer → CSV sink (shared folder) → CSV source with an explicit schema → aggregate."""
+    path = shared_dir(spark, "csv_roundtrip")
+    sinks.write_table(spark.read.parquet(table_path(sf, "customer")), path, fmt="csv")
+    c = read_csv(spark, path, CUSTOMER_SCHEMA)
+    return _r(c.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.sum("c_acctbal").alias("sum_acctbal"),
+                                             F.min("c_custkey").alias("min_key"), F.max("c_custkey").alias("max_key")), 4)
+
+
+@q
+def read_or_default(spark, sf):
+    """All sources present → real files; one missing → the caller's substitute."""
+    def reader(paths):
+        return spark.read.parquet(*paths)
+    a, oa = _read_or_default(spark, [table_path(sf, "customer")], reader, spark.read.parquet(table_path(sf, "nation")))
+    b, ob = _read_or_default(spark, [table_path(sf, "customer"), table_path(sf, "no_such_table")], reader,
+                             spark.read.parquet(table_path(sf, "nation")))
+    return (a.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("all_present").alias("case_name"),
+                                                              F.lit(oa).alias("origin"), "n_rows")
+            .unionByName(b.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit("one_missing").alias("case_name"), F.lit(ob).alias("origin"), "n_rows")))
+
+
+# The two prefixes of the name-labelled stand-in, in label order.
+NAME_CLASSES = ["economy", "small"]
+
+
+@q
+def label_from_name(spark, sf):
+    """Label from a file-name prefix ('<type>.<key>.jpg'); unknown prefixes skipped."""
+    p = spark.read.parquet(table_path(sf, "part")).select(
+        "p_partkey", F.concat(F.col("p_type"), F.lit("."), F.col("p_partkey").cast("string"), F.lit(".jpg")).alias("path"))
+    kept, _ = imgsrc.label_by_prefix(p, "path", NAME_CLASSES)
+    return kept.select("p_partkey", "class_name", "label")
+
+
+# Class folders kept by the tree-index stand-in, in label order.
+TREE_CLASSES = ["en", "fr", "de"]
+
+
+@q
+def index_tree(spark, sf):
+    """'<source>/<lang>/<doc>.<ext>' paths; image extensions only (case-insensitive)."""
+    d = spark.read.parquet(table_path(sf, "documents")).select("doc_id", "source", "lang")
+    ext = (F.when(F.col("doc_id") % 7 == 0, F.lit(".txt")).when(F.col("doc_id") % 2 == 0, F.lit(".PNG"))
+           .otherwise(F.lit(".jpg")))
+    p = d.select("doc_id", F.concat_ws("/", F.lit("root"), "source", "lang", F.concat(F.col("doc_id").cast("string"), ext))
+                 .alias("path"))
+    return imgsrc.index_tree(p, "path", TREE_CLASSES).select("doc_id", "subject", "class_name", "label")
+
+
+@q
+def drop_invalid(spark, sf):
+    """Unusable rows (null or blank text) are skipped and counted per language."""
+    d = spark.read.parquet(table_path(sf, "documents")).select("lang", "text")
+    bad = F.col("text").isNull() | (F.trim(F.col("text")) == "")
+    return d.groupBy("lang").agg(F.count_if(~bad).cast("bigint").alias("n_valid"),
+                                 F.count_if(bad).cast("bigint").alias("n_invalid"))
+
+
+@q
+def metrics_json(spark, sf):
+    """Binary-metric counts → JSON report sink → read back."""
+    m = metrics.binary(_doc_pred(spark, sf), "label", "pred").select("tp", "fp", "fn", "tn", "n")
+    path = shared_dir(spark, "metrics_json")
+    sinks.write_report(sinks.report_json(m.withColumn("metric_set", F.lit("binary")), "metric_set"), path)
+    return spark.read.schema("metric_set string, json string").json(path)
+
+
+@q
+def run_summary(spark, sf):
+    """Deterministic columns of the run summary row, appended to a runs table and read back."""
+    h = split.holdout(order_feats(spark, sf).select("id"), "id", 0.2, 42)
+    row = h.agg(F.count_if(F.col("split") == "train").cast("bigint").alias("n_train"),
+                F.count_if(F.col("split") == "test").cast("bigint").alias("n_test")).select(
+        "n_train", "n_test", F.lit(len(price.FEATURES)).alias("n_features"),
+        F.lit(",".join(price.FEATURES)).alias("features"))
+    return sinks.append_run(spark, shared_dir(spark, "runs"), row)
+
+
+@q
+def model_roundtrip(spark, sf):
+    """Save the regression bundle, load it, score again: predictions must be equal (rows-only)."""
+    parts = split.holdout(order_feats(spark, sf), "id", 0.2, 42)
+    tr, te, _ = price.prepare(parts.where("split = 'train'"), parts.where("split = 'test'"))
+    model = regress.fit_ols(tr, price.FEATURES, "target")
+    path = shared_dir(spark, "bundle")
+    bundle.save_bundle(spark, model, path, price.FEATURES, metrics={"n_train": tr.count()})
+    loaded, feats, _, _ = bundle.load_bundle(spark, path)
+    a = model.transform(te).select("id", F.col("prediction").alias("before"))
+    b = loaded.transform(te.select("id", *feats)).select("id", F.col("prediction").alias("after"))
+    return a.join(b, "id").withColumn("equal", F.col("before") == F.col("after"))
+
+
+# ---------------------------------------------------------------- projections
+@q
+def select_features(spark, sf):
+    return _r(project.select_features(customer_feats(spark, sf), ["acctbal", "spend", "n_orders"], keep=["id"]), 4)
+
+
+@q
+def column_order(spark, sf):
+    return _r(project.order_columns(order_feats(spark, sf), ["qty", "gross", "n_lines"]), 4)
+
+
+@q
+def label_encode(spark, sf):
+    c = project.encode_labels(customer_feats(spark, sf).select("id", "segment"), "segment", SEGMENTS, "label")
+    return project.decode_labels(c, "label", SEGMENTS, "decoded")
+
+
+@q
+def filter_eq(spark, sf):
+    return _r(customer_feats(spark, sf).where(F.col("segment") == "BUILDING").select("id", "acctbal"), 4)
+
+
+@q
+def limit_preview(spark, sf):
+    """First 10 rows by key (the limit is the feature; the order is total)."""
+    return _r(order_feats(spark, sf).orderBy("id").limit(10).select("id", "target"), 4)
+
+
+@q
+def math_scalars(spark, sf):
+    of = order_feats(spark, sf)
+    return _r(of.select("id", F.abs(F.col("target") - 150000).alias("dev"), F.sqrt("qty").alias("root_qty"),
+                        F.least(F.greatest(F.col("qty"), F.lit(50.0)), F.lit(150.0)).alias("clipped"),
+                        F.round(F.col("qty") / 4, 1).alias("rounded")), 4, root_qty=6)
+
+
+@q
+def run_id_format(spark, sf):
+    ev = spark.read.parquet(table_path(sf, "events")).select("event_id", "ts")
+    return ev.select("event_id", F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'").alias("run_id"),
+                     F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("iso"))
+
+
+# ---------------------------------------------------------------- classifiers
+from pyspark.ml.functions import array_to_vector  # noqa: E402
+
+from tablelearn.operators import classify  # noqa: E402
+
+DOC_FEATURES = ["n", "letters", "digits", "spaces"]
+
+
+def _doc_vectors(spark, sf):
+    d = doc_feats(spark, sf)
+    sc = scale.apply_scaler(d, scale.fit_scaler(d, DOC_FEATURES), DOC_FEATURES)
+    return sc.select("doc_id", "label", array_to_vector(F.array(*[F.col(c).cast("double") for c in DOC_FEATURES]))
+                     .alias("features"))
+
+
+def _rff_fixed(d: int, n_components: int = 8, gamma: float = 0.5):
+    """A fixed, formula-defined projection for the oracle check of the RFF map."""
+    w = [[float(np.sin(1.0 + i * d + j)) * float(np.sqrt(2.0 * gamma)) for j in range(d)] for i in range(n_components)]
+    b = [float((i * 0.7548776662466927) % 1.0 * 2.0 * np.pi) for i in range(n_components)]
+    return np.array(w), np.array(b)
+
+
+@q
+def rff_map(spark, sf):
+    pts = seg_points(spark, sf)
+    w, b = _rff_fixed(3)
+    z = pts.select("id", classify.rff_column(F.col("x"), w, b).alias("z"))
+    return _r(_long(z, "id", "z"))
+
+
+@q
+def platt_apply(spark, sf):
+    d = doc_feats(spark, sf)
+    return _r(d.select("doc_id", classify.platt_apply(F.col("letters") - F.lit(0.78), -4.0, 0.1).alias("p")))
+
+
+def _doc_split(spark, sf):
+    s = split.stratified(_doc_vectors(spark, sf), "doc_id", "label", 0.2, 0.0, 42).persist(StorageLevel.MEMORY_AND_DISK)
+    return s.where("split = 'train'"), s.where("split = 'test'")
+
+
+@q
+def svm_rbf(spark, sf):
+    """RBF SVC (C=5, gamma=scale) through RFF + LinearSVC: test predictions (rows-only)."""
+    tr, te = _doc_split(spark, sf)
+    m = classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, n_components=2000)
+    return m.transform(te).select("doc_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@q
+def score_binary(spark, sf):
+    """Binary scoring job → (id, label) for unlabelled rows (rows-only)."""
+    tr, te = _doc_split(spark, sf)
+    m = classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, n_components=2000)
+    return m.transform(te.drop("label")).select(F.col("doc_id").alias("id"), F.col("prediction").cast("int").alias("label"))
+
+
+@q
+def grid_search(spark, sf):
+    """C × gamma grid with 3 stratified folds, accuracy per cell (rows-only)."""
+    tr, _ = _doc_split(spark, sf)
+    f = split.stratified_kfold(tr, "doc_id", "label", 3, 42)
+    rows, _ = classify.grid_search(f, "features", "label", "fold", [0.1, 1.0], [1.0, 5.0], n_components=500)
+    return spark.createDataFrame(rows, "gamma double, C double, accuracy double")
+
+
+def _emb_split(spark, sf):
+    e = emb(spark, sf).select("vec_id", "label", array_to_vector("embedding").alias("features"))
+    s = split.stratified(e, "vec_id", "label", 0.2, 0.0, 42).persist(StorageLevel.MEMORY_AND_DISK)
+    return s.where("split = 'train'"), s.where("split = 'test'")
+
+
+@q
+def random_forest(spark, sf):
+    tr, te = _emb_split(spark, sf)
+    m = classify.fit_classifier(tr, "features", "label", "forest", 10)
+    return m.transform(te).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@q
+def mlp_fit(spark, sf):
+    tr, te = _emb_split(spark, sf)
+    m = classify.fit_classifier(tr, "features", "label", "mlp", 10)
+    return m.transform(te).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@q
+def compare_backends(spark, sf):
+    """Accuracy of each backend on one split (rows-only)."""
+    tr, te = _emb_split(spark, sf)
+    out = None
+    for backend in ("forest", "mlp", "svm_linear"):
+        m = classify.fit_classifier(tr, "features", "label", backend, 10)
+        a = m.transform(te).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
+        a = a.select(F.lit(backend).alias("backend"), "accuracy")
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+@q
+def epoch_training(spark, sf):
+    """Warm-started MLP rounds with a validation history (rows-only)."""
+    e = emb(spark, sf).select("vec_id", "label", array_to_vector("embedding").alias("features"))
+    s = split.stratified(e, "vec_id", "label", 0.15, 0.15, 42).persist(StorageLevel.MEMORY_AND_DISK)
+    hist, _ = classify.epoch_training(s.where("split = 'train'"), s.where("split = 'val'"), "features", "label", 10,
+                                      hidden=(32,), rounds=8, iters_per_round=5)
+    return spark.createDataFrame(hist, "epoch int, train_loss double, train_acc double, val_loss double, val_acc double")
