@@ -20,56 +20,117 @@ def _positions(n: int, p: float) -> tuple[int, int, float]:
     return lo, min(lo + 1, n - 1) if pos > lo else lo, pos - lo
 
 
-def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000) -> dict:
+def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000, max_bracket: int = MAX_BRACKET) -> dict:
     """Exact linear-interpolated quantiles of several columns, without one giant buffer.
 
-    Job 1: count and approximate quantiles at p ± 3/accuracy (a bracket holding the
-    exact order statistics).  Job 2: rows below and inside each bracket.  Then only the
-    rows inside a bracket (about 6·n/accuracy) are sorted to pick the exact values.
-    A bracket that fails its check widens to the column's min or max, so the answer is
-    exact whatever the sketch returns.  Returns {col: {p: value or None}}.
+    Each wanted order statistic k (0-based) is held in a value bracket [lo, hi] with a
+    known count ``below`` of values < lo.  Round 0: approximate quantiles at p ± 3/accuracy
+    (job 1).  Each round: count below/inside every bracket (one job); brackets still wider
+    than ``max_bracket`` rows are narrowed by approximate quantiles of the values inside
+    them (one job; each narrowing shrinks a bracket ~accuracy/6 times).  When all brackets
+    are small, one job collects them and the exact values are picked on the driver.  A
+    bracket that misses its statistic is widened to [min, max], so the answer is always
+    exact.  Returns {col: {p: value or None}}.
     """
     cols, probs = list(cols), list(probs)
     d = 3.0 / accuracy
     x = df.select(*[nan_to_null(df, c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def clip(v):
+        return max(0.0, min(1.0, v))
     aggs = []
     for i in range(len(cols)):
         c = F.col(f"c{i}")
-        edges = sorted({max(0.0, min(1.0, p + s)) for p in probs for s in (-d, d)})
+        edges = sorted({clip(p + s) for p in probs for s in (-d, d)})
         aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}"),
                  F.percentile_approx(c, edges, accuracy).alias(f"q{i}")]
     r1 = x.agg(*aggs).first()
-    plan = {}  # (i, p) -> (k1, k2, frac, lo, hi)
+    st = {}  # (i, p) -> dict(k1, k2, frac, lo, hi)
     for i in range(len(cols)):
         n = r1[f"n{i}"]
         if not n:
             continue
-        edges = sorted({max(0.0, min(1.0, p + s)) for p in probs for s in (-d, d)})
+        edges = sorted({clip(p + s) for p in probs for s in (-d, d)})
         q = dict(zip(edges, r1[f"q{i}"]))
         for p in probs:
             k1, k2, frac = _positions(n, p)
-            lo = q[max(0.0, min(1.0, p - d))] if p - d > 0 else r1[f"mn{i}"]
-            hi = q[max(0.0, min(1.0, p + d))] if p + d < 1 else r1[f"mx{i}"]
-            plan[(i, p)] = [k1, k2, frac, lo, hi]
-    if not plan:
-        return {c: {p: None for p in probs} for c in cols}
-    cnt = []
-    for j, ((i, p), (_, _, _, lo, hi)) in enumerate(plan.items()):
-        c = F.col(f"c{i}")
-        cnt += [F.count_if(c < F.lit(lo)).alias(f"b{j}"), F.count_if(c.between(F.lit(lo), F.lit(hi))).alias(f"w{j}")]
-    r2 = x.agg(*cnt).first()
+            lo = q[clip(p - d)] if p - d > 0 else r1[f"mn{i}"]
+            hi = q[clip(p + d)] if p + d < 1 else r1[f"mx{i}"]
+            st[(i, p)] = {"k1": k1, "k2": k2, "frac": frac, "lo": lo, "hi": hi}
     out = {c: {p: None for p in probs} for c in cols}
-    for j, ((i, p), (k1, k2, frac, lo, hi)) in enumerate(plan.items()):
-        below, inside = r2[f"b{j}"], r2[f"w{j}"]
-        c = F.col(f"c{i}")
-        if not (below <= k1 and below + inside > k2) or inside > MAX_BRACKET:
-            # sketch bracket missed (or is too wide): fall back to the whole column range
-            lo, hi, below = r1[f"mn{i}"], r1[f"mx{i}"], 0
-        vals = (x.where(c.between(F.lit(lo), F.lit(hi))).select(c.alias("v")).orderBy("v")
-                .offset(k1 - below).limit(k2 - k1 + 1).collect())
-        a = vals[0]["v"]
-        b = vals[-1]["v"]
-        out[cols[i]][p] = a + (b - a) * frac if k2 != k1 else a
+    if not st:
+        return out
+    keys = list(st)
+    for _ in range(64):
+        cnt = []
+        for j, key in enumerate(keys):
+            c, b = F.col(f"c{key[0]}"), st[key]
+            cnt += [F.count_if(c < F.lit(b["lo"])).alias(f"b{j}"),
+                    F.count_if(c.between(F.lit(b["lo"]), F.lit(b["hi"]))).alias(f"w{j}"),
+                    F.count_if(c == F.lit(b["lo"])).alias(f"el{j}"), F.count_if(c == F.lit(b["hi"])).alias(f"eh{j}")]
+        r2 = x.agg(*cnt).first()
+        wide = []
+        for j, key in enumerate(keys):
+            b = st[key]
+            if "value" in b:
+                continue
+            b["below"], b["inside"] = r2[f"b{j}"], r2[f"w{j}"]
+            if not (b["below"] <= b["k1"] and b["below"] + b["inside"] > b["k2"]):
+                i = key[0]
+                b["lo"], b["hi"] = r1[f"mn{i}"], r1[f"mx{i}"]  # missed: widen, then narrow again
+                b["below"], b["inside"] = 0, r1[f"n{i}"]
+                wide.append(key)
+                continue
+            lo_end = b["below"] + r2[f"el{j}"]            # ranks [below, lo_end) hold the value lo
+            hi_start = b["below"] + b["inside"] - r2[f"eh{j}"]  # ranks [hi_start, ...) hold hi
+            v1 = b["lo"] if b["k1"] < lo_end else b["hi"] if b["k1"] >= hi_start else None
+            v2 = b["lo"] if b["k2"] < lo_end else b["hi"] if b["k2"] >= hi_start else None
+            if v1 is not None and v2 is not None:  # both statistics sit on tied end values
+                b["value"] = v1 + (v2 - v1) * b["frac"] if b["k2"] != b["k1"] else v1
+            elif b["inside"] > max_bracket:
+                wide.append(key)
+        if not wide:
+            break
+        nar = []
+        for j, key in enumerate(wide):
+            b = st[key]
+            c = F.col(f"c{key[0]}")
+            inb = F.when(c.between(F.lit(b["lo"]), F.lit(b["hi"])), c)
+            rel_lo = (b["k1"] - b["below"]) / max(b["inside"] - 1, 1)
+            rel_hi = (b["k2"] - b["below"]) / max(b["inside"] - 1, 1)
+            nar.append(F.percentile_approx(inb, [clip(rel_lo - d), clip(rel_hi + d)], accuracy).alias(f"a{j}"))
+        r3 = x.agg(*nar).first()
+        progress = False
+        for j, key in enumerate(wide):
+            b = st[key]
+            lo, hi = r3[f"a{j}"]
+            rel_lo = (b["k1"] - b["below"]) / max(b["inside"] - 1, 1)
+            rel_hi = (b["k2"] - b["below"]) / max(b["inside"] - 1, 1)
+            new_lo = lo if rel_lo - d > 0 else b["lo"]
+            new_hi = hi if rel_hi + d < 1 else b["hi"]
+            progress |= (new_lo, new_hi) != (b["lo"], b["hi"])
+            b["lo"], b["hi"] = new_lo, new_hi
+        if not progress:
+            break
+    # one job collects every (small) bracket; order statistics are picked on the driver
+    u = None
+    for j, key in enumerate(keys):
+        b, c = st[key], F.col(f"c{key[0]}")
+        if "value" in b:
+            continue
+        part = x.where(c.between(F.lit(b["lo"]), F.lit(b["hi"]))).select(F.lit(j).alias("j"), c.alias("v"))
+        u = part if u is None else u.unionByName(part)
+    vals = {}
+    for r in (u.collect() if u is not None else []):
+        vals.setdefault(r["j"], []).append(r["v"])
+    for j, key in enumerate(keys):
+        b = st[key]
+        if "value" in b:
+            out[cols[key[0]]][key[1]] = b["value"]
+            continue
+        v = sorted(vals[j])
+        a, bb = v[b["k1"] - b["below"]], v[b["k2"] - b["below"]]
+        out[cols[key[0]]][key[1]] = a + (bb - a) * b["frac"] if b["k2"] != b["k1"] else a
     return out
 
 
