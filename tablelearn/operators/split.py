@@ -221,3 +221,32 @@ def check_partition(parts: dict, key: str) -> DataFrame:
     per = u.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     return per.agg(F.sum("n").cast("bigint").alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
                    F.count_if(F.col("n") > 1).cast("bigint").alias("n_overlap"))
+
+
+def split_by_group(df: DataFrame, group: str, test_frac: float = 0.2, seed=42, digits: int = 4,
+                   max_broadcast_groups: int = 1_000_000) -> DataFrame:
+    """Group-aware holdout: whole groups go to one part.  Groups are taken in hash order
+    while the rows before them number fewer than ceil(n·frac).  Adds ``split``.
+
+    Group sizes are pre-aggregated (one row per group); their weighted prefix sums use
+    bucket offsets plus a window inside each bucket, never a global window.  The group →
+    split table is broadcast only when it has at most ``max_broadcast_groups`` rows.
+    """
+    g = df.groupBy(col_of(group).alias("_g")).agg(F.count(F.lit(1)).alias("_w"))
+    g = g.withColumn("_h", order_hash("_g", seed)).withColumn("_b", hash_bucket(F.col("_h"), digits))
+    sums = g.groupBy("_b").agg(F.sum("_w").alias("s"), F.count(F.lit(1)).alias("c")).collect()
+    total = sum(r["s"] for r in sums)
+    quota = int(math.ceil(total * float(test_frac)))
+    offs, acc = [], 0
+    for r in sorted(sums, key=lambda r: r["_b"]):
+        offs.append((r["_b"], acc))
+        acc += r["s"]
+    spark = df.sparkSession
+    off = spark.createDataFrame(offs, "_b int, _off long")
+    w = Window.partitionBy("_b").orderBy("_h", "_g").rowsBetween(Window.unboundedPreceding, -1)
+    gs = (g.join(F.broadcast(off), "_b")
+          .withColumn("_before", F.col("_off") + F.coalesce(F.sum("_w").over(w), F.lit(0)))
+          .select(F.col("_g"), F.when(F.col("_before") < quota, "test").otherwise("train").alias("split")))
+    n_groups = sum(r["c"] for r in sums)
+    gs = F.broadcast(gs) if n_groups <= max_broadcast_groups else gs
+    return df.join(gs, col_of(group) == F.col("_g")).drop("_g")

@@ -603,3 +603,18 @@ SELECT pr.id, CAST(pr.i AS INT) AS i, ROUND(sqrt(2.0 / {n}) * cos(pr.s + bb.b),
 
 
 ORACLE["rff_map"] = _rff_sql()
+
+ORACLE["split_by_group"] = f"""WITH g AS (SELECT source, count(*) AS w, {H('source')} AS h FROM documents GROUP BY source),
+c AS (SELECT source, COALESCE(SUM(w) OVER (ORDER BY h, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             CAST(ceil(SUM(w) OVER () * CAST(0.2 AS DOUBLE)) AS BIGINT) AS quota FROM g)
+SELECT d.doc_id, d.source, CASE WHEN c.before < c.quota THEN 'test' ELSE 'train' END AS split
+FROM documents d JOIN c ON c.source = d.source"""
+
+ORACLE["stream_score"] = f"""WITH {HOLDOUT_OF},
+s AS (SELECT var_pop(qty) AS s11, var_pop(n_lines) AS s22, covar_pop(qty, n_lines) AS s12,
+             covar_pop(qty, target) AS s1y, covar_pop(n_lines, target) AS s2y,
+             avg(qty) AS m1, avg(n_lines) AS m2, avg(target) AS my FROM ho WHERE split = 'train'),
+b AS (SELECT (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
+             (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM s),
+c AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b)
+SELECT id, ROUND(b0 + b1 * qty + b2 * n_lines, 4) AS prediction FROM of, c"""

@@ -850,3 +850,30 @@ def epoch_training(spark, sf):
     hist, _ = classify.epoch_training(s.where("split = 'train'"), s.where("split = 'val'"), "features", "label", 10,
                                       hidden=(32,), rounds=8, iters_per_round=5)
     return spark.createDataFrame(hist, "epoch int, train_loss double, train_acc double, val_loss double, val_acc double")
+
+
+# ---------------------------------------------------------------- group-aware split, stream scoring
+@q
+def split_by_group(spark, sf):
+    """Holdout that keeps every source (subject) whole."""
+    d = spark.read.parquet(table_path(sf, "documents")).select("doc_id", "source")
+    return split.split_by_group(d, "source", 0.2, 42)
+
+
+@q
+def stream_score(spark, sf):
+    """Orders arrive as a stream, are joined to the static per-order line aggregate and scored
+    with the closed-form model fitted on the batch train split; parquet sink, read back."""
+    from tablelearn.streaming import scoring
+
+    h = _holdout_orders(spark, sf)
+    c = regress.ols_two(h.where("split = 'train'"), "qty", "n_lines", "target").first()
+    lines = (spark.read.parquet(table_path(sf, "lineitem")).groupBy("l_orderkey")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q")))
+    o = scoring.stream_table(spark, sf, "orders").select("o_orderkey")
+    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+    qty = F.coalesce(F.col("q"), F.lit(0.0))
+    n_lines = F.coalesce(F.col("n"), F.lit(0)).cast("double")
+    pred = F.lit(c["b0"]) + F.lit(c["b1"]) * qty + F.lit(c["b2"]) * n_lines
+    _, sink = scoring.run_to_sink(j.select(F.col("o_orderkey").alias("id"), pred.alias("prediction")))
+    return _r(spark.read.parquet(sink), 4)
