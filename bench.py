@@ -38,6 +38,15 @@ def pipeline_segments(spark, sf):
 
 
 def pipeline_images(spark, sf):
+    """Project D configuration: HOG + histogram, RBF SVC (C=5, gamma=scale) via RFF."""
+    from tablelearn.plans import image_classes
+    out = image_classes.run(spark, sf, backend="svm_rbf", test=0.2, val=0.1, C=5.0)
+    for df in out.values():
+        _sink(df)
+
+
+def pipeline_images_forest(spark, sf):
+    """Project F configuration: HOG + histogram, random forest 200 trees, depth 20."""
     from tablelearn.plans import image_classes
     out = image_classes.run(spark, sf, backend="forest")
     for df in out.values():
@@ -56,6 +65,7 @@ HEADLINE = {
     "pipeline_segments": pipeline_segments,
     "pipeline_images": pipeline_images,
 }
+EXTRA = {"pipeline_images_forest": pipeline_images_forest}
 OPERATORS = ["split_holdout", "split_stratified3", "kfold_assign", "median_cols", "describe_exact", "validate_orders",
              "duplicate_keys", "corr_matrix", "standard_scale", "regression_metrics_by", "classification_report",
              "confusion_matrix", "kmeans_fixed_init", "silhouette_sq", "davies_bouldin", "hog_blocks",
@@ -69,6 +79,8 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     jobs = dict(HEADLINE)
     jobs.update({n: _query(n) for n in OPERATORS})
+    if os.environ.get("BENCH_FOREST", "1") == "1":
+        jobs.update(EXTRA)
     if only:
         jobs = {k: v for k, v in jobs.items() if k in only}
     times = {}

@@ -73,12 +73,17 @@ class RFF(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, Default
 
 
 def gamma_scale(df: DataFrame, vec: str) -> float:
-    """gamma="scale" = 1 / (d · Var(X)) over all elements of the (vector) column."""
-    a = vector_to_array(F.col(vec))
-    r = df.select(F.explode(a).alias("v")).agg(F.var_pop("v").alias("var")).first()
-    d = len(df.select(vec).first()[0])
-    var = r["var"] or 0.0
-    return 1.0 / (d * var) if var > 0 else 1.0
+    """gamma="scale" = 1 / (d · Var(X)), Var over all n·d elements, from one Summarizer pass:
+    Var = mean_d(var_d + mean_d²) − (mean_d mean_d)² with population per-dimension variances."""
+    from pyspark.ml.stat import Summarizer
+
+    r = df.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(vec)).alias("s")).first()["s"]
+    n = r["count"]
+    mean = np.asarray(r["mean"].toArray())
+    var = np.asarray(r["variance"].toArray()) * ((n - 1) / n if n > 1 else 0.0)
+    d = len(mean)
+    total_var = float(np.mean(var + mean ** 2) - np.mean(mean) ** 2)
+    return 1.0 / (d * total_var) if total_var > 0 else 1.0
 
 
 def make_estimator(backend: str, n_features: int, n_classes: int, features: str = "features", label: str = "label",
@@ -94,8 +99,10 @@ def make_estimator(backend: str, n_features: int, n_classes: int, features: str
                                               maxIter=kw.get("max_iter", 300), seed=seed, blockSize=128)
     if backend in ("svm_linear", "svm_rbf"):
         svc = LinearSVC(featuresCol="_svm_in" if backend == "svm_rbf" else features, labelCol=label,
-                        regParam=kw.get("reg_param", 0.01), maxIter=kw.get("max_iter", 100), standardization=False)
-        est = svc if n_classes <= 2 else OneVsRest(classifier=svc, featuresCol=svc.getFeaturesCol(), labelCol=label)
+                        regParam=kw.get("reg_param", 0.01), maxIter=kw.get("max_iter", 100), standardization=False,
+                        tol=kw.get("tol", 1e-4))
+        est = svc if n_classes <= 2 else OneVsRest(classifier=svc, featuresCol=svc.getFeaturesCol(), labelCol=label,
+                                                   parallelism=min(n_classes, kw.get("parallelism", 8)))
         if backend == "svm_linear":
             return est
         rff = RFF(inputCol=features, outputCol="_svm_in", gamma=kw["gamma"], nComponents=kw.get("n_components", 2000),

@@ -39,7 +39,8 @@ def run(spark: SparkSession, sf_dir: str, backend: str = "forest", test: float =
     model = classify.fit_classifier(scaled.where("split = 'train'"), "features", "label", backend, n_classes, seed,
                                     **model_kw)
     pred = (model.transform(scaled.where("split <> 'train'"))
-            .select("vec_id", "split", "label", F.col("prediction").cast("int").alias("prediction")))
+            .select("vec_id", "split", "label", F.col("prediction").cast("int").alias("prediction"))
+            .persist(StorageLevel.MEMORY_AND_DISK))  # feeds three outputs; scoring runs once
     classes = list(range(n_classes))
     return {"predictions": pred,
             "report": metrics.report(pred, "label", "prediction", classes),

@@ -50,9 +50,11 @@ def prepare(train: DataFrame, other: DataFrame, iqr_k: float = 3.0, fit_scope: D
 
 
 def run(spark: SparkSession, sf_dir: str, test_frac: float = 0.2, seed=42, iqr_k: float = 3.0) -> DataFrame:
-    base = order_feats(spark, sf_dir)
+    # the joined base is computed once: validation materialises it, later passes reuse it
+    # (lost blocks are recomputed from the deterministic lineage)
+    base = order_feats(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     validate.require(base, ORDER_RULES)
-    parts = split.holdout(base, "id", test_frac, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = split.holdout(base, "id", test_frac, seed)
     train = parts.where(F.col("split") == "train")
     test = parts.where(F.col("split") == "test")
     tr, te, _ = prepare(train, test, iqr_k)
