@@ -13,12 +13,18 @@ from tablelearn.functions.exprs import round_doubles
 from tablelearn.operators import impute, metrics, profile, regress, scale, split, validate
 from tablelearn.plans import price
 from tablelearn.plans.views import customer_feats, doc_feats, emb, order_feats, scored
+from tablelearn.session import prepare
 
 QUERIES: dict = {}
 
 
 def q(fn):
-    QUERIES[fn.__name__] = fn
+    def run(spark, sf):
+        prepare(spark)
+        return fn(spark, sf)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    QUERIES[fn.__name__] = run
     return fn
 
 

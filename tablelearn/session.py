@@ -33,6 +33,37 @@ def get_spark(master: str | None = None, app: str = "tablelearn",
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    return prepare(spark)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tablelearn`` importable in the Python workers (image kernels, pandas UDFs):
+    zip the package once per SparkContext and distribute it with ``addPyFile``."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tablelearn-pkg-"), "tablelearn.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Everything a session needs before running operators: package shipped, checkpoint folder."""
+    ship_package(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -69,4 +100,4 @@ def local_path(p: str) -> str:
     return p[len("file:"):] if p.startswith("file:") else p
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "shared_dir", "cut_lineage", "local_path"]
+__all__ = ["get_spark", "prepare", "ship_package", "ensure_checkpoint_dir", "shared_dir", "cut_lineage", "local_path"]
