@@ -90,3 +90,91 @@ def elbow(df: DataFrame, vec: str, ks=range(2, 11), restarts: int = 10, seed: in
     rows = [(int(k), fit_kmeans(cached, vec, k, restarts, seed=seed, parallelism=parallelism)[1]) for k in ks]
     cached.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double")
+
+
+def _uniform(seed: int, r, j, key: str):
+    """Deterministic U(0,1] per (seed, restart, step, row key): recomputation-safe sampling."""
+    h = F.xxhash64(F.lit(int(seed)), r, F.lit(int(j)), F.col(key))
+    return (F.pmod(h, F.lit(1 << 52)).cast("double") + 1.0) / float(1 << 52)
+
+
+def _restart_dists(vec: str, cents_by_restart) -> "F.Column":
+    """array over restarts of struct(d = min squared distance, c = nearest centre id)."""
+    per = []
+    for cents in cents_by_restart:
+        mat = matrix_literal(cents)
+        per.append(F.array_min(F.transform(mat, lambda c, i: F.struct(vec_sqdist(F.col(vec), c).alias("d"),
+                                                                       i.alias("c")))))
+    return F.array(*per)
+
+
+def fit_kmeans_batched(df: DataFrame, vec: str, key: str, k: int = 5, restarts: int = 10, max_iter: int = 300,
+                       tol: float = 1e-4, seed: int = 42):
+    """k-means with k-means++ initialisation and ``restarts`` runs batched into one data pass
+    per step (like n_init): every Lloyd iteration is one aggregation grouped by
+    (restart, cluster), so 10 restarts cost one scan per iteration instead of ten.
+
+    Init: D²-weighted sampling of each next centre per restart via an exponential race
+    (min of −ln(u)/d over rows, u hashed from (seed, restart, step, key)) — one job per step.
+    Convergence per restart: squared centre shift ≤ tol · mean feature variance (as the
+    reference library defines tol).  Returns (centres of the best restart relabelled
+    canonically, its inertia).
+    """
+    data = df.select(F.col(key), F.col(vec)).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = data.agg(F.count(F.lit(1)).alias("n"), F.first(F.size(vec)).alias("d")).first()
+    n, dim = stats["n"], stats["d"]
+    if n < k:
+        raise ModelError(f"k-means needs at least k={k} rows, got {n}")
+    if restarts * k > MAX_K:
+        raise SizeBoundError("restarts·k centres must stay a small literal")
+    var = data.agg(*[F.var_pop(F.col(vec)[i]).alias(f"v{i}") for i in range(dim)]).first()
+    tol_abs = tol * sum(float(var[f"v{i}"] or 0.0) for i in range(dim)) / dim
+    rs = F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("_r")
+    # k-means++ seeding, all restarts per pass
+    cents = [[] for _ in range(restarts)]
+    for j in range(k):
+        x = data.select(key, vec, rs)
+        if j == 0:
+            w = F.lit(1.0)
+        else:
+            w = _restart_dists(vec, cents)[F.col("_r")]["d"]
+            x = x.withColumn("_w", w)
+            w = F.col("_w")
+        race = -F.log(_uniform(seed, F.col("_r"), j, key)) / w
+        picked = (x.where(w > 0).groupBy("_r").agg(F.min_by(F.col(vec), F.struct(race, F.col(key))).alias("c"))
+                  .collect())
+        got = {r["_r"]: [float(v) for v in r["c"]] for r in picked}
+        for r in range(restarts):
+            cents[r].append(got.get(r, cents[r][-1] if cents[r] else None))
+    # batched Lloyd
+    active = list(range(restarts))
+    for _ in range(max_iter):
+        if not active:
+            break
+        sub = [cents[r] for r in active]
+        a = data.select(vec, F.posexplode(_restart_dists(vec, sub)).alias("_i", "_dc"))
+        aggs = [F.count(F.lit(1)).alias("m")] + [F.sum(F.col(vec)[i]).alias(f"s{i}") for i in range(dim)]
+        rows = a.groupBy("_i", F.col("_dc.c").alias("_c")).agg(*aggs).collect()
+        sums = {(r["_i"], r["_c"]): r for r in rows}
+        still = []
+        for pos, r in enumerate(active):
+            shift, new = 0.0, []
+            for c in range(k):
+                row = sums.get((pos, c))
+                nc = [row[f"s{i}"] / row["m"] for i in range(dim)] if row else cents[r][c]
+                shift += sum((u - v) ** 2 for u, v in zip(nc, cents[r][c]))
+                new.append(nc)
+            cents[r] = new
+            if shift > tol_abs:
+                still.append(r)
+        active = still
+    # inertia of every restart in one pass; keep the best
+    inert = (data.select(F.posexplode(_restart_dists(vec, cents)).alias("_r", "_dc"))
+             .groupBy("_r").agg(F.sum("_dc.d").alias("cost"), F.count(F.lit(1)).alias("m")).collect())
+    cost = {r["_r"]: float(r["cost"]) for r in inert}
+    best = min(range(restarts), key=lambda r: (cost[r], r))
+    sizes = {r["c"]: r["m"] for r in assign(data, vec, cents[best], "c").groupBy("c").agg(
+        F.count(F.lit(1)).alias("m")).collect()}
+    order = sorted(range(k), key=lambda c: (-sizes.get(c, 0), cents[best][c][0]))
+    data.unpersist()
+    return [cents[best][c] for c in order], cost[best]

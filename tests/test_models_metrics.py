@@ -157,3 +157,14 @@ def test_rff_kernel_and_rbf_svm_rings(spark):
     assert acc > 0.95
     with pytest.raises(ModelError):
         classify.fit_classifier(df, "features", "label", "keras_cnn", 2)
+
+
+def test_batched_kmeans_restarts_reach_optimum(spark):
+    df, X, _ = _blobs(spark, k=4, n=30, seed=3)
+    c1, cost1 = cluster.fit_kmeans_batched(df, "x", "id", 4, restarts=5, seed=1)
+    c2, cost2 = cluster.fit_kmeans_batched(df, "x", "id", 4, restarts=5, seed=1)
+    assert c1 == c2 and cost1 == cost2
+    d = ((X[:, None, :] - np.array(c1)[None]) ** 2).sum(-1).min(1).sum()
+    assert math.isclose(d, cost1, rel_tol=1e-9)
+    _, spark_cost = cluster.fit_kmeans(df, "x", 4, restarts=5, seed=1)
+    assert cost1 <= spark_cost * (1 + 1e-6)
