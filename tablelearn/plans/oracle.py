@@ -618,3 +618,11 @@ b AS (SELECT (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
              (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM s),
 c AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b)
 SELECT id, ROUND(b0 + b1 * qty + b2 * n_lines, 4) AS prediction FROM of, c"""
+
+ORACLE["cv_rmse_summary"] = f"""WITH {KFOLD_OF},
+st AS (SELECT k.fold, covar_pop(kf.qty, kf.target) AS c, var_pop(kf.qty) AS v, avg(kf.qty) AS mx, avg(kf.target) AS my
+       FROM (SELECT DISTINCT fold FROM kf) k JOIN kf ON kf.fold <> k.fold GROUP BY k.fold),
+pf AS (SELECT kf.fold, sqrt(avg((target - ((my - (c / v) * mx) + (c / v) * qty))
+                               * (target - ((my - (c / v) * mx) + (c / v) * qty)))) AS rmse
+       FROM kf JOIN st ON st.fold = kf.fold GROUP BY kf.fold)
+SELECT ROUND(avg(rmse), 4) AS cv_rmse_mean, ROUND(stddev_pop(rmse), 4) AS cv_rmse_std, count(*) AS folds FROM pf"""

@@ -883,3 +883,18 @@ def stream_score(spark, sf):
     pred = F.lit(c["b0"]) + F.lit(c["b1"]) * qty + F.lit(c["b2"]) * n_lines
     _, sink = scoring.run_to_sink(j.select(F.col("o_orderkey").alias("id"), pred.alias("prediction")))
     return _r(spark.read.parquet(sink), 4)
+
+
+@q
+def cv_rmse_summary(spark, sf):
+    """K-fold CV of OLS: mean and population std of the fold RMSEs."""
+    f = split.kfold(order_feats(spark, sf), "id", 5, 42)
+    return _r(regress.cv_summary(regress.cv_rmse_simple(f, "qty", "target", "fold", 5)), 4)
+
+
+@q
+def platt_fit(spark, sf):
+    """Sigmoid calibration fitted on a decision value: (A, B) (rows-only)."""
+    d = doc_feats(spark, sf).withColumn("f", F.col("letters") - F.lit(0.78))
+    a, b = classify.platt_fit(d, "f", "label")
+    return spark.createDataFrame([(a, b)], "A double, B double")
