@@ -236,3 +236,45 @@ def augment(df: DataFrame, key: str, col: str, h: int, w: int, copies: int = 1,
                                 col: list(res.reshape(len(pdf), -1).astype(np.float64))})
     kt = x.schema[key].dataType.simpleString()
     return x.mapInPandas(run, f"{key} {kt}, copy int, {col} array<double>")
+
+
+def image_features_sized(df: DataFrame, key: str, rgb_col: str = "rgb", size: int = 64,
+                         hist_mode: str = "density", keep=()) -> DataFrame:
+    """Like ``image_features`` for images of differing sizes (``height``/``width`` columns):
+    each image is resized to size×size (8-bit fixed point), then the batch is featurised."""
+    keep = list(keep)
+
+    def run(it):
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            x = np.stack([resize_batch(np.asarray(v, dtype=np.uint8).reshape(1, h, w, 3), size, size, uint8=True)[0]
+                          for v, h, w in zip(pdf[rgb_col], pdf["height"], pdf["width"])]).astype(np.float64)
+            _, blocks = hog_batch(rgb_to_gray(x))
+            feats = np.concatenate([blocks, color_hist_batch(x, HIST_BINS, hist_mode)], axis=1).astype(np.float32)
+            out = pd.DataFrame({key: pdf[key].values, **{k: pdf[k].values for k in keep}})
+            out["features"] = list(feats)
+            yield out
+    kt = df.schema[key].dataType.simpleString()
+    extra = "".join(f", {k} {df.schema[k].dataType.simpleString()}" for k in keep)
+    return df.select(key, rgb_col, "height", "width", *keep).mapInPandas(run, f"{key} {kt}{extra}, features array<float>")
+
+
+def gray_pixels_sized(df: DataFrame, key: str, rgb_col: str = "rgb", size: int = 64, weights=GRAY_PIL_L,
+                      keep=()) -> DataFrame:
+    """Resize to size×size, grey ('L' weights on 0–255, rounded), normalise to [-1, 1]."""
+    keep = list(keep)
+
+    def run(it):
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            x = np.stack([resize_batch(np.asarray(v, dtype=np.uint8).reshape(1, h, w, 3), size, size, uint8=True)[0]
+                          for v, h, w in zip(pdf[rgb_col], pdf["height"], pdf["width"])])
+            g = np.clip(np.rint(rgb_to_gray(x, weights, unit=False)), 0, 255)
+            out = pd.DataFrame({key: pdf[key].values, **{k: pdf[k].values for k in keep}})
+            out["pixels"] = list(((g / 255.0 - 0.5) / 0.5).reshape(len(pdf), -1))
+            yield out
+    kt = df.schema[key].dataType.simpleString()
+    extra = "".join(f", {k} {df.schema[k].dataType.simpleString()}" for k in keep)
+    return df.select(key, rgb_col, "height", "width", *keep).mapInPandas(run, f"{key} {kt}{extra}, pixels array<double>")
