@@ -35,7 +35,8 @@ def run(spark: SparkSession, sf_dir: str, backend: str = "forest", test: float =
     feats = featurize(parts, "vec_id", 8, 8).persist(StorageLevel.MEMORY_AND_DISK)
     train = feats.where("split = 'train'")
     mean, std = scale.fit_vector_scaler(train, "raw")
-    scaled = scale.apply_vector_scaler(feats, "raw", mean, std, out="features")
+    scaled = (scale.apply_vector_scaler(feats, "raw", mean, std, out="features").drop("raw")
+              .persist(StorageLevel.MEMORY_AND_DISK))  # read by gamma, fit and scoring
     model = classify.fit_classifier(scaled.where("split = 'train'"), "features", "label", backend, n_classes, seed,
                                     **model_kw)
     pred = (model.transform(scaled.where("split <> 'train'"))

@@ -48,7 +48,8 @@ def train_classifier(spark: SparkSession, root: str, layout: str = "folder", cla
              .select("path", "label", "split", array_to_vector("features").alias("raw"))
              .persist(StorageLevel.MEMORY_AND_DISK))
     mean, std = scale.fit_vector_scaler(feats.where("split = 'train'"), "raw")
-    scaled = scale.apply_vector_scaler(feats, "raw", mean, std, out="features")
+    scaled = (scale.apply_vector_scaler(feats, "raw", mean, std, out="features").drop("raw")
+              .persist(StorageLevel.MEMORY_AND_DISK))  # read by gamma, fit and scoring
     model = classify.fit_classifier(scaled.where("split = 'train'"), "features", "label", backend, len(classes), seed,
                                     **model_kw)
     pred = (model.transform(scaled.where("split <> 'train'"))
