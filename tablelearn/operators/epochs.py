@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablelearn.errors import SizeBoundError
+
 
 def _sorted_history(df: DataFrame, run: str, epoch: str, value: str) -> DataFrame:
     return df.groupBy(run).agg(F.array_sort(F.collect_list(F.struct(F.col(epoch).alias("e"),
@@ -25,9 +27,29 @@ def with_epoch_index(df: DataFrame, run: str, order_cols) -> DataFrame:
     return df.withColumn("epoch", F.row_number().over(w))
 
 
-def early_stop(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4, min_delta: float = 1e-5) -> DataFrame:
+MAX_FOLD_EPOCHS = 100_000
+
+
+def max_run_length(df: DataFrame, run: str) -> int:
+    r = df.groupBy(run).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    return int(r["m"] or 0)
+
+
+def early_stop(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4, min_delta: float = 1e-5,
+               max_fold_len: int = MAX_FOLD_EPOCHS) -> DataFrame:
     """Improvement means loss < best − min_delta; otherwise the counter grows; stop when it
-    reaches ``patience``.  Output (run, stop_epoch or null, best_loss, best_epoch, n_epochs)."""
+    reaches ``patience``.  Output (run, stop_epoch or null, best_loss, best_epoch, n_epochs).
+
+    Epochs must be numbered 1..n per run.  Runs no longer than ``max_fold_len`` (checked with
+    one aggregate) are folded per run; longer histories use the distributed algorithm."""
+    if max_run_length(df, run) <= max_fold_len:
+        return early_stop_fold(df, run, epoch, loss, patience, min_delta)
+    return early_stop_distributed(df, run, epoch, loss, patience, min_delta)
+
+
+def early_stop_fold(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4,
+                    min_delta: float = 1e-5) -> DataFrame:
+    """Per-run sequential fold of the early-stopping rule (one task per run)."""
     h = _sorted_history(df, run, epoch, loss)
     init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("be"), F.lit(0).alias("cnt"),
                     F.lit(None).cast("int").alias("stop"))
@@ -47,9 +69,15 @@ def early_stop(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4
 
 
 def lr_plateau(df: DataFrame, run: str, epoch: str, loss: str, lr: float = 0.001, factor: float = 0.5,
-               patience: int = 2, threshold: float = 1e-4, eps: float = 1e-8) -> DataFrame:
+               patience: int = 2, threshold: float = 1e-4, eps: float = 1e-8,
+               max_fold_len: int = MAX_FOLD_EPOCHS) -> DataFrame:
     """Plateau schedule (mode min, relative threshold): after more than ``patience`` epochs
-    without improvement the rate is multiplied by ``factor``.  Output (run, final_lr, n_reductions)."""
+    without improvement the rate is multiplied by ``factor``.  Output (run, final_lr, n_reductions).
+
+    Folded per run; a run longer than ``max_fold_len`` epochs is refused rather than gathered."""
+    m = max_run_length(df, run)
+    if m > max_fold_len:
+        raise SizeBoundError(f"a run has {m} epochs (> {max_fold_len}); the plateau fold keeps one run per task")
     h = _sorted_history(df, run, epoch, loss)
     init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("bad"), F.lit(float(lr)).alias("lr"),
                     F.lit(0).alias("red"))
@@ -74,3 +102,87 @@ def best_checkpoint(df: DataFrame, run: str, epoch: str, acc: str) -> DataFrame:
             .agg(F.min_by(F.struct(F.col(epoch).alias("e"), F.col(acc).alias("a")),
                           F.struct((-F.col(acc)).alias("na"), F.col(epoch).alias("e"))).alias("b"))
             .select(run, F.col("b.e").alias("best_epoch"), F.col("b.a").alias("best_acc")))
+
+
+# ---------------------------------------------------------------------------------------------
+# Distributed exact early stopping: no run is ever gathered into one task.
+#
+# Improvements are running-minimum records (every earlier loss is ≥ best − min_delta), and the
+# improvement after record j is the first record with loss < loss_j − min_delta, i.e. in
+# ascending-loss order the last record strictly below that threshold.  Both the running
+# minimum (epoch order) and that lookup (loss order) are associative scans, computed with a
+# range-partitioned sort plus per-partition carries; the chain of improvements from epoch 1
+# is found by pointer doubling (log rounds of keyed joins, lineage cut by checkpoints).
+# ---------------------------------------------------------------------------------------------
+from pyspark.sql import Window  # noqa: E402
+
+
+def _scan(df: DataFrame, run: str, order, value: str, how: str, out: str, parts: int | None = None) -> DataFrame:
+    """Exclusive running aggregate of ``value`` along (run, *order): how ∈ {"min", "last"}
+    ("last" = last non-null).  A run may span many range partitions; each partition's
+    contribution is carried forward from a table with one row per (partition, run)."""
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = df.repartitionByRange(parts, F.col(run), *[F.col(c) for c in order]).withColumn("_pid", F.spark_partition_id())
+    key = F.struct(*[F.col(c) for c in order])
+    if how == "min":
+        per = d.groupBy("_pid", run).agg(F.min(value).alias("_p"))
+        wc = Window.partitionBy(run).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        carry = per.withColumn("_carry", F.min("_p").over(wc)).drop("_p")
+        wi = Window.partitionBy("_pid", run).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        inner = F.min(value).over(wi)
+        comb = F.least(F.col("_in"), F.col("_carry"))
+    else:
+        per = d.where(F.col(value).isNotNull()).groupBy("_pid", run).agg(F.max_by(value, key).alias("_p"))
+        wc = Window.partitionBy(run).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        carry = per.withColumn("_carry", F.last("_p", ignorenulls=True).over(wc)).drop("_p")
+        wi = Window.partitionBy("_pid", run).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        inner = F.last(value, ignorenulls=True).over(wi)
+        comb = F.coalesce(F.col("_in"), F.col("_carry"))
+    r = d.withColumn("_in", inner).join(carry, ["_pid", run], "left")
+    return r.withColumn(out, comb).drop("_pid", "_in", "_carry")
+
+
+def early_stop_distributed(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4,
+                           min_delta: float = 1e-5, checkpoint_every: int = 4) -> DataFrame:
+    """Same output as ``early_stop`` for epochs numbered 1..n per run, without a per-run task."""
+    h = df.select(F.col(run).alias("run"), F.col(epoch).cast("long").alias("e"), F.col(loss).cast("double").alias("v"))
+    n = h.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("e").alias("e0"))
+    pm = _scan(h, "run", ["e"], "v", "min", "pm")
+    rec = pm.where(F.col("pm").isNull() | (F.col("v") < F.col("pm"))).select("run", "e", "v")
+    # next improvement after each record: last record (by loss) strictly below v − min_delta
+    items = (rec.select("run", F.col("v").alias("o"), F.lit(1).alias("t"), "e", F.col("e").alias("re"))
+             .unionByName(rec.select("run", (F.col("v") - F.lit(min_delta)).alias("o"), F.lit(0).alias("t"), "e",
+                                     F.lit(None).cast("long").alias("re"))))
+    nx = (_scan(items, "run", ["o", "t", "e"], "re", "last", "nx").where("t = 0")
+          .select("run", "e", "nx"))
+    # chain from the first epoch by pointer doubling
+    nodes = rec.join(nx, ["run", "e"]).persist()
+    jump = nodes.select("run", "e", F.col("nx").alias("j"))
+    chain = n.select("run", F.col("e0").alias("e"))
+    longest = nodes.groupBy("run").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c").alias("m")).first()["m"]
+    rounds, count = 0, int(longest or 0)
+    span = 1
+    while span < max(count, 1):
+        hop = chain.join(jump, ["run", "e"]).where(F.col("j").isNotNull()).select("run", F.col("j").alias("e"))
+        chain = chain.unionByName(hop).distinct()
+        jump = (jump.alias("a").join(jump.alias("b"), (F.col("a.run") == F.col("b.run")) & (F.col("a.j") == F.col("b.e")),
+                                      "left")
+                .select(F.col("a.run").alias("run"), F.col("a.e").alias("e"), F.col("b.j").alias("j")))
+        rounds += 1
+        span *= 2
+        if rounds % checkpoint_every == 0:
+            chain, jump = chain.checkpoint(), jump.checkpoint()
+    members = chain.join(nodes, ["run", "e"]).join(n, "run")
+    gap = F.coalesce(F.col("nx"), F.col("n") + F.col("e0"))  # no further improvement: runs to the end
+    stops = members.where((gap - F.col("e") > patience) & (F.col("e") + patience <= F.col("n") + F.col("e0") - 1))
+    first_stop = stops.groupBy("run").agg(F.min_by(F.struct("e", "v"), F.col("e")).alias("s"))
+    last = members.groupBy("run").agg(F.max_by(F.struct("e", "v"), F.col("e")).alias("l"))
+    out = n.join(last, "run").join(first_stop, "run", "left").select(
+        F.col("run").alias(run),
+        (F.col("s.e") + patience).cast("int").alias("stop_epoch"),
+        F.coalesce(F.col("s.v"), F.col("l.v")).alias("best_loss"),
+        F.coalesce(F.col("s.e"), F.col("l.e")).cast("int").alias("best_epoch"),
+        F.col("n").cast("int").alias("n_epochs"))
+    nodes.unpersist()
+    return out

@@ -168,3 +168,18 @@ def test_batched_kmeans_restarts_reach_optimum(spark):
     assert math.isclose(d, cost1, rel_tol=1e-9)
     _, spark_cost = cluster.fit_kmeans(df, "x", 4, restarts=5, seed=1)
     assert cost1 <= spark_cost * (1 + 1e-6)
+
+
+def test_early_stop_distributed_equals_fold(spark):
+    rng = np.random.default_rng(0)
+    rows = []
+    for r in range(25):
+        n = 1500 if r == 7 else int(rng.integers(1, 40))
+        base = np.cumsum(rng.normal(-0.01 if r % 3 else 0.0, 0.05, n)) + (0 if r % 5 else np.linspace(0, -3, n))
+        for e in range(n):
+            rows.append((r, e + 1, float(round(base[e], 5) + (1e-5 if (r % 2 and e % 4 == 0) else 0))))
+    rows += [(99, i + 1, v) for i, v in enumerate([1.0, 0.9, 0.899995, 0.95, 0.95, 0.95])]
+    df = spark.createDataFrame(rows, "run int, epoch int, loss double")
+    a = sorted(tuple(x) for x in epochs.early_stop_fold(df, "run", "epoch", "loss", patience=4).collect())
+    b = sorted(tuple(x) for x in epochs.early_stop(df, "run", "epoch", "loss", patience=4, max_fold_len=0).collect())
+    assert a == b
