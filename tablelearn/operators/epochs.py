@@ -74,10 +74,15 @@ def lr_plateau(df: DataFrame, run: str, epoch: str, loss: str, lr: float = 0.001
     """Plateau schedule (mode min, relative threshold): after more than ``patience`` epochs
     without improvement the rate is multiplied by ``factor``.  Output (run, final_lr, n_reductions).
 
-    Folded per run; a run longer than ``max_fold_len`` epochs is refused rather than gathered."""
-    m = max_run_length(df, run)
+    Runs no longer than ``max_fold_len`` are folded per run.  Longer histories of positive
+    losses use the distributed chain method; otherwise the run is refused, not gathered."""
+    st = df.groupBy(run).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    m = int(st["m"] or 0)
     if m > max_fold_len:
-        raise SizeBoundError(f"a run has {m} epochs (> {max_fold_len}); the plateau fold keeps one run per task")
+        if df.where(F.col(loss) <= 0).limit(1).count() == 0:
+            return lr_plateau_distributed(df, run, epoch, loss, lr, factor, patience, threshold, eps)
+        raise SizeBoundError(f"a run has {m} epochs (> {max_fold_len}) and non-positive losses; "
+                             "the plateau fold keeps one run per task")
     h = _sorted_history(df, run, epoch, loss)
     init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("bad"), F.lit(float(lr)).alias("lr"),
                     F.lit(0).alias("red"))
@@ -143,27 +148,27 @@ def _scan(df: DataFrame, run: str, order, value: str, how: str, out: str, parts:
     return r.withColumn(out, comb).drop("_pid", "_in", "_carry")
 
 
-def early_stop_distributed(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4,
-                           min_delta: float = 1e-5, checkpoint_every: int = 4) -> DataFrame:
-    """Same output as ``early_stop`` for epochs numbered 1..n per run, without a per-run task."""
+def _improvement_chain(df: DataFrame, run: str, epoch: str, loss: str, threshold, checkpoint_every: int = 4):
+    """Improvement epochs of every run without a per-run task.
+
+    ``threshold(v)`` is the value a later loss must beat after an improvement at loss v
+    (v − min_delta, or v·(1 − thr) for positive losses); improvements are then running-
+    minimum records.  Returns (members(run, e, v, nx), per-run n table (run, n, e0))."""
     h = df.select(F.col(run).alias("run"), F.col(epoch).cast("long").alias("e"), F.col(loss).cast("double").alias("v"))
     n = h.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("e").alias("e0"))
     pm = _scan(h, "run", ["e"], "v", "min", "pm")
     rec = pm.where(F.col("pm").isNull() | (F.col("v") < F.col("pm"))).select("run", "e", "v")
-    # next improvement after each record: last record (by loss) strictly below v − min_delta
     items = (rec.select("run", F.col("v").alias("o"), F.lit(1).alias("t"), "e", F.col("e").alias("re"))
-             .unionByName(rec.select("run", (F.col("v") - F.lit(min_delta)).alias("o"), F.lit(0).alias("t"), "e",
+             .unionByName(rec.select("run", threshold(F.col("v")).alias("o"), F.lit(0).alias("t"), "e",
                                      F.lit(None).cast("long").alias("re"))))
     nx = (_scan(items, "run", ["o", "t", "e"], "re", "last", "nx").where("t = 0")
           .select("run", "e", "nx"))
-    # chain from the first epoch by pointer doubling
     nodes = rec.join(nx, ["run", "e"]).persist()
     jump = nodes.select("run", "e", F.col("nx").alias("j"))
     chain = n.select("run", F.col("e0").alias("e"))
     longest = nodes.groupBy("run").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c").alias("m")).first()["m"]
-    rounds, count = 0, int(longest or 0)
-    span = 1
-    while span < max(count, 1):
+    rounds, span = 0, 1
+    while span < int(longest or 0):
         hop = chain.join(jump, ["run", "e"]).where(F.col("j").isNotNull()).select("run", F.col("j").alias("e"))
         chain = chain.unionByName(hop).distinct()
         jump = (jump.alias("a").join(jump.alias("b"), (F.col("a.run") == F.col("b.run")) & (F.col("a.j") == F.col("b.e")),
@@ -173,16 +178,46 @@ def early_stop_distributed(df: DataFrame, run: str, epoch: str, loss: str, patie
         span *= 2
         if rounds % checkpoint_every == 0:
             chain, jump = chain.checkpoint(), jump.checkpoint()
-    members = chain.join(nodes, ["run", "e"]).join(n, "run")
+    members = chain.join(nodes, ["run", "e"]).persist()
+    members.count()
+    nodes.unpersist()
+    return members, n
+
+
+def early_stop_distributed(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4,
+                           min_delta: float = 1e-5) -> DataFrame:
+    """Same output as ``early_stop`` for epochs numbered consecutively per run, without a per-run task."""
+    members, n = _improvement_chain(df, run, epoch, loss, lambda v: v - F.lit(min_delta))
+    m = members.join(n, "run")
     gap = F.coalesce(F.col("nx"), F.col("n") + F.col("e0"))  # no further improvement: runs to the end
-    stops = members.where((gap - F.col("e") > patience) & (F.col("e") + patience <= F.col("n") + F.col("e0") - 1))
+    stops = m.where((gap - F.col("e") > patience) & (F.col("e") + patience <= F.col("n") + F.col("e0") - 1))
     first_stop = stops.groupBy("run").agg(F.min_by(F.struct("e", "v"), F.col("e")).alias("s"))
-    last = members.groupBy("run").agg(F.max_by(F.struct("e", "v"), F.col("e")).alias("l"))
-    out = n.join(last, "run").join(first_stop, "run", "left").select(
+    last = m.groupBy("run").agg(F.max_by(F.struct("e", "v"), F.col("e")).alias("l"))
+    return n.join(last, "run").join(first_stop, "run", "left").select(
         F.col("run").alias(run),
         (F.col("s.e") + patience).cast("int").alias("stop_epoch"),
         F.coalesce(F.col("s.v"), F.col("l.v")).alias("best_loss"),
         F.coalesce(F.col("s.e"), F.col("l.e")).cast("int").alias("best_epoch"),
         F.col("n").cast("int").alias("n_epochs"))
-    nodes.unpersist()
-    return out
+
+
+def lr_plateau_distributed(df: DataFrame, run: str, epoch: str, loss: str, lr: float = 0.001, factor: float = 0.5,
+                           patience: int = 2, threshold: float = 1e-4, eps: float = 1e-8) -> DataFrame:
+    """Same output as ``lr_plateau`` for positive losses, without a per-run task: a gap of g
+    non-improving epochs after an improvement cuts the rate ⌊g/(patience+1)⌋ times, and a cut
+    applies only while it still changes the rate by more than ``eps``."""
+    members, n = _improvement_chain(df, run, epoch, loss, lambda v: v * F.lit(1.0 - threshold))
+    m = members.join(n, "run")
+    bad = F.coalesce(F.col("nx") - F.col("e") - 1, F.col("n") + F.col("e0") - 1 - F.col("e"))
+    cuts = m.groupBy("run").agg(F.sum(F.floor(bad / F.lit(patience + 1))).cast("long").alias("cuts"))
+    rates, cur = [float(lr)], float(lr)
+    while len(rates) < 10_000:
+        new = cur * factor
+        if not (cur - new > eps):
+            break
+        cur = new
+        rates.append(cur)
+    applied = F.least(F.col("cuts"), F.lit(len(rates) - 1))
+    table = F.array(*[F.lit(r) for r in rates])
+    return n.join(cuts, "run").select(F.col("run").alias(run), F.element_at(table, (applied + 1).cast("int")).alias("final_lr"),
+                                      applied.cast("int").alias("n_reductions"))

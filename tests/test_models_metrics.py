@@ -183,3 +183,17 @@ def test_early_stop_distributed_equals_fold(spark):
     a = sorted(tuple(x) for x in epochs.early_stop_fold(df, "run", "epoch", "loss", patience=4).collect())
     b = sorted(tuple(x) for x in epochs.early_stop(df, "run", "epoch", "loss", patience=4, max_fold_len=0).collect())
     assert a == b
+
+
+def test_lr_plateau_distributed_equals_fold(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for r in range(20):
+        n = 1200 if r == 3 else int(rng.integers(1, 50))
+        v = np.exp(np.cumsum(rng.normal(-0.002, 0.01, n)))
+        for e in range(n):
+            rows.append((r, e + 1, float(v[e])))
+    df = spark.createDataFrame(rows, "run int, epoch int, loss double")
+    a = sorted(tuple(x) for x in epochs.lr_plateau(df, "run", "epoch", "loss").collect())
+    b = sorted(tuple(x) for x in epochs.lr_plateau(df, "run", "epoch", "loss", max_fold_len=0).collect())
+    assert a == b
