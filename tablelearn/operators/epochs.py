@@ -154,6 +154,9 @@ def _improvement_chain(df: DataFrame, run: str, epoch: str, loss: str, threshold
     ``threshold(v)`` is the value a later loss must beat after an improvement at loss v
     (v − min_delta, or v·(1 − thr) for positive losses); improvements are then running-
     minimum records.  Returns (members(run, e, v, nx), per-run n table (run, n, e0))."""
+    from tablelearn.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)  # lineage is cut with reliable checkpoints below
     h = df.select(F.col(run).alias("run"), F.col(epoch).cast("long").alias("e"), F.col(loss).cast("double").alias("v"))
     n = h.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("e").alias("e0"))
     pm = _scan(h, "run", ["e"], "v", "min", "pm")
