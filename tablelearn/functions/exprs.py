@@ -72,3 +72,30 @@ def array_literal(values, elem_type: str = "double") -> Column:
 
 def matrix_literal(rows) -> Column:
     return F.array(*[array_literal(r) for r in rows])
+
+
+WIDE_DIM = 64
+
+
+def grouped_vector_sums(df: DataFrame, group: str, vec: str, dim: int, max_groups: int = 1000):
+    """{group: (count, [Σ x_i])} for an array<double> column; k rows reach the driver.
+
+    Up to WIDE_DIM dimensions: one aggregate per dimension (exact sums).  Wider vectors use
+    one Summarizer aggregate (mean · count) so the plan does not grow with d."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    if dim <= WIDE_DIM:
+        aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(F.col(vec)[i]).alias(f"_s{i}") for i in range(dim)]
+        rows = df.groupBy(F.col(group).alias("_g")).agg(*aggs).limit(max_groups + 1).collect()
+        out = {r["_g"]: (r["_n"], [float(r[f"_s{i}"]) for i in range(dim)]) for r in rows}
+    else:
+        rows = (df.select(F.col(group).alias("_g"), array_to_vector(F.col(vec)).alias("_v"))
+                .groupBy("_g").agg(Summarizer.metrics("mean", "count").summary(F.col("_v")).alias("_s"))
+                .limit(max_groups + 1).collect())
+        out = {r["_g"]: (r["_s"]["count"], [float(m) * r["_s"]["count"] for m in r["_s"]["mean"].toArray()])
+               for r in rows}
+    if len(out) > max_groups:
+        from tablelearn.errors import SizeBoundError
+        raise SizeBoundError(f"more than {max_groups} groups")
+    return out

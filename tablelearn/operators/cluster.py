@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelearn.errors import ModelError, SizeBoundError
-from tablelearn.functions.exprs import matrix_literal, order_hash, vec_sqdist
+from tablelearn.functions.exprs import WIDE_DIM, grouped_vector_sums, matrix_literal, order_hash, vec_sqdist
 
 MAX_K = 1000
 
@@ -36,8 +36,11 @@ def assign(df: DataFrame, vec: str, centroids, out: str = "cluster") -> DataFram
 
 def centroid_means(df: DataFrame, vec: str, cluster: str, dim: int, k: int, previous=None):
     """Per-cluster means (k rows collected); an empty cluster keeps its previous centre."""
-    rows = df.groupBy(cluster).agg(*[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(dim)]).collect()
-    got = {r[cluster]: [float(r[f"m{i}"]) for i in range(dim)] for r in rows}
+    if dim > WIDE_DIM:
+        got = {c: [s / n for s in sums] for c, (n, sums) in grouped_vector_sums(df, cluster, vec, dim, MAX_K).items()}
+    else:
+        rows = df.groupBy(cluster).agg(*[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(dim)]).collect()
+        got = {r[cluster]: [float(r[f"m{i}"]) for i in range(dim)] for r in rows}
     return [got.get(c, previous[c] if previous else None) for c in range(k)]
 
 

@@ -116,12 +116,14 @@ def inertia(df: DataFrame, vec: str, centroids) -> DataFrame:
     return df.agg(F.sum(d).alias("inertia"), F.count(F.lit(1)).alias("n"))
 
 
-def _cluster_moments(df: DataFrame, vec: str, cluster: str, dim: int) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.sum(F.aggregate(F.col(vec), F.lit(0.0), lambda a, v: a + v * v)).alias("q")]
-    aggs += [F.sum(F.col(vec)[i]).alias(f"s{i}") for i in range(dim)]
-    m = df.groupBy(col_of(cluster).alias("cl")).agg(*aggs)
-    return m.select("cl", "n", "q", F.array(*[F.col(f"s{i}") for i in range(dim)]).alias("s"))
+def _cluster_moments(df: DataFrame, vec: str, cluster: str, dim: int, max_clusters: int = 1000) -> list[dict]:
+    """Per cluster: n, S = Σx (d values), Q = Σ‖x‖²; k rows to the driver (checked)."""
+    from tablelearn.functions.exprs import grouped_vector_sums
+
+    sums = grouped_vector_sums(df, cluster, vec, dim, max_clusters)
+    q = {r["cl"]: float(r["q"]) for r in df.groupBy(col_of(cluster).alias("cl")).agg(
+        F.sum(F.aggregate(F.col(vec), F.lit(0.0), lambda a, v: a + v * v)).alias("q")).collect()}
+    return [{"cl": c, "n": n, "q": q[c], "s": s_} for c, (n, s_) in sums.items()]
 
 
 def silhouette_sq(df: DataFrame, vec: str, cluster: str, dim: int, max_clusters: int = 1000) -> DataFrame:
@@ -131,9 +133,7 @@ def silhouette_sq(df: DataFrame, vec: str, cluster: str, dim: int, max_clusters:
     S_C = Σx, Q_C = Σ‖x‖²; the own cluster excludes x itself: ×n_C/(n_C−1).
     Singleton clusters score 0.  Per-cluster moments are k rows (bounded, literal).
     """
-    rows = _cluster_moments(df, vec, cluster, dim).limit(max_clusters + 1).collect()
-    if len(rows) > max_clusters:
-        raise ModelError("too many clusters")
+    rows = _cluster_moments(df, vec, cluster, dim, max_clusters)
     if len(rows) < 2:
         raise ModelError("silhouette needs at least 2 clusters")
     cl = [r["cl"] for r in rows]
@@ -166,9 +166,7 @@ def davies_bouldin(df: DataFrame, vec: str, cluster: str, dim: int, max_clusters
     """Davies–Bouldin index: pass 1 centroids (k rows), pass 2 mean distance to own centroid,
     then max over the k×k centroid pairs (small table, literals) and the mean."""
     spark = df.sparkSession
-    cm = _cluster_moments(df, vec, cluster, dim).limit(max_clusters + 1).collect()
-    if len(cm) > max_clusters:
-        raise ModelError("too many clusters")
+    cm = _cluster_moments(df, vec, cluster, dim, max_clusters)
     cents = {r["cl"]: [float(v) / r["n"] for v in r["s"]] for r in cm}
     keys = sorted(cents)
     cmap = F.create_map(*[z for c in keys for z in (F.lit(c), F.array(*[F.lit(v) for v in cents[c]]))])

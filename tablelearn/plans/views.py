@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelearn.errors import SizeBoundError
-from tablelearn.functions.exprs import matrix_literal, vec_sqdist
+from tablelearn.functions.exprs import WIDE_DIM, grouped_vector_sums, matrix_literal, vec_sqdist
 from tablelearn.sources.tables import read_table
 
 # The reference's reference year for house age, and the every-50th
@@ -112,6 +112,9 @@ def doc_feats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_centroids(df: DataFrame, label: str, vec: str, dim: int) -> list[tuple[int, list[float]]]:
     """Per-label mean vector; bounded by the number of labels (checked)."""
+    if dim > WIDE_DIM:
+        sums = grouped_vector_sums(df, label, vec, dim, MAX_CLASSES)
+        return [(c, [s / n for s in sums[c][1]]) for c in sorted(sums) for n in [sums[c][0]]]
     aggs = [F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(dim)]
     rows = df.groupBy(label).agg(*aggs).orderBy(label).limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
