@@ -79,3 +79,31 @@ def test_group_profile_sizes_sum_to_n(spark):
     p = profile.group_profile(df, "cluster", ["x"], "g").collect()
     assert sum(r["size"] for r in p) == 30
     assert all(set(r["segment_pct"]) == {"M", "F"} for r in p)
+
+
+CUSTOMER_RULES = [("columns", ["CustomerID", "Gender", "Age", "Annual Income (k$)", "Spending Score (1-100)"]),
+                  ("unique", ["CustomerID"]), ("non_empty",),
+                  ("not_null", "Age"), ("not_null", "Annual Income (k$)"), ("not_null", "Spending Score (1-100)"),
+                  ("non_negative", "Age"), ("between", "Age", 18, 70), ("one_of", "Gender", ["Male", "Female"])]
+
+
+@pytest.fixture()
+def customers(spark):
+    rows = [(i, "Male" if i % 2 else "Female", 18 + (i * 7) % 52, 15 + (i * 3) % 125, 1 + (i * 11) % 99)
+            for i in range(1, 41)]
+    return spark.createDataFrame(rows, "CustomerID long, Gender string, Age int, `Annual Income (k$)` int, "
+                                       "`Spending Score (1-100)` int")
+
+
+def test_customer_rules_pass_and_fire(spark, customers):
+    validate.require(customers, CUSTOMER_RULES)
+    cases = [
+        (customers.drop("Age"), "columns"),
+        (customers.unionByName(customers.limit(1)), "unique"),
+        (customers.withColumn("Age", F.when(F.col("CustomerID") == 3, None).otherwise(F.col("Age"))), "not_null"),
+        (customers.limit(0), "non_empty"),
+    ]
+    for df, rule in cases:
+        with pytest.raises(ValidationError) as e:
+            validate.require(df, CUSTOMER_RULES)
+        assert e.value.violations[0][0] == rule, rule
