@@ -42,7 +42,7 @@ def bucket_histogram(d: DataFrame) -> dict:
     """{stratum: (sorted buckets, cumulative counts before each bucket, total)}; bounded collect."""
     rows = d.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("n")).limit(MAX_HIST_ROWS + 1).collect()
     if len(rows) > MAX_HIST_ROWS:
-        raise SizeBoundError("bucket histogram too large: lower `digits`")
+        raise SizeBoundError("bucket histogram too large for the driver: fewer `digits` needed")
     per = defaultdict(list)
     for r in rows:
         per[r["_s"]].append((r["_b"], r["n"]))
@@ -124,10 +124,22 @@ def part_index(d: DataFrame, key: str, cuts: dict, th: dict) -> DataFrame:
     return j.withColumn("_part", cnt).drop("_t")
 
 
+def _hist_adaptive(df: DataFrame, key: str, seed, strata, digits: int):
+    """Histogram at ``digits`` hex digits, coarsening while strata·16^digits exceeds the bound
+    (the answer stays exact; only boundary buckets grow)."""
+    while True:
+        d = _prep(df, key, seed, strata, digits)
+        try:
+            return d, bucket_histogram(d)
+        except SizeBoundError:
+            if digits <= 1:
+                raise
+            digits -= 1
+
+
 def split_by_cuts(df: DataFrame, key: str, seed, strata, cuts_fn, digits: int = 4) -> DataFrame:
     """Generic driver: ``cuts_fn(counts) -> {stratum: [cut positions]}`` from per-stratum sizes."""
-    d = _prep(df, key, seed, strata, digits)
-    hist = bucket_histogram(d)
+    d, hist = _hist_adaptive(df, key, seed, strata, digits)
     counts = {s: v[3] for s, v in hist.items()}
     cuts = cuts_fn(counts)
     th = cut_rows(d, key, hist, cuts)
@@ -195,9 +207,8 @@ def kfold(df: DataFrame, key: str, k: int = 5, seed=42, digits: int = 4) -> Data
 def exact_rank(df: DataFrame, key: str, seed=42, strata: str | None = None, digits: int = 4) -> DataFrame:
     """0-based rank of every row within its stratum in hash order, without a stratum-wide window:
     bucket offsets (small table, broadcast) + row_number inside (stratum, bucket)."""
-    d = _prep(df, key, seed, strata, digits)
+    d, hist = _hist_adaptive(df, key, seed, strata, digits)
     spark = d.sparkSession
-    hist = bucket_histogram(d)
     rows = [(s, b, off) for s, (bs, cum, _, _) in hist.items() for b, off in zip(bs, cum)]
     stype = d.schema["_s"].dataType.simpleString()
     offs = spark.createDataFrame(rows, f"_s {stype}, _b int, _off long")
