@@ -114,3 +114,11 @@ def test_price_workflow_runs(spark):
     from tests.conftest import SF001
     rows = price.run(spark, SF001).collect()
     assert {r["split"] for r in rows} == {"train", "test"}
+
+
+def test_histogram_coarsens_when_bound_is_hit(spark, monkeypatch):
+    df = spark.range(0, 2000).withColumnRenamed("id", "k").withColumn("label", (F.col("k") % 3).cast("int"))
+    want = {r["k"]: r["split"] for r in split.stratified(df, "k", "label", 0.2, 0.1, 1, digits=4).collect()}
+    monkeypatch.setattr(split, "MAX_HIST_ROWS", 50)
+    got = {r["k"]: r["split"] for r in split.stratified(df, "k", "label", 0.2, 0.1, 1, digits=4).collect()}
+    assert got == want
