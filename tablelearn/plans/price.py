@@ -49,7 +49,10 @@ def prepare(train: DataFrame, other: DataFrame, iqr_k: float = 3.0, fit_scope: D
             {"medians": med, "bounds": bounds, "scaler": sc})
 
 
-def run(spark: SparkSession, sf_dir: str, test_frac: float = 0.2, seed=42, iqr_k: float = 3.0) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, test_frac: float = 0.2, seed=42, iqr_k: float = 3.0,
+        fit_scope: str = "train") -> DataFrame:
+    """fit_scope="train" (default) learns medians/IQR bounds on the train part only;
+    "all" learns them before the split, as the reference does."""
     # the joined base is computed once: validation materialises it, later passes reuse it
     # (lost blocks are recomputed from the deterministic lineage)
     base = order_feats(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
@@ -57,7 +60,7 @@ def run(spark: SparkSession, sf_dir: str, test_frac: float = 0.2, seed=42, iqr_k
     parts = split.holdout(base, "id", test_frac, seed)
     train = parts.where(F.col("split") == "train")
     test = parts.where(F.col("split") == "test")
-    tr, te, _ = prepare(train, test, iqr_k)
+    tr, te, _ = prepare(train, test, iqr_k, fit_scope=base if fit_scope == "all" else None)
     model = regress.fit_ols(tr, FEATURES, "target")
     scored = model.transform(tr.unionByName(te)).select("id", "split", "target", "prediction")
     return metrics.regression(scored, "target", "prediction", group="split")

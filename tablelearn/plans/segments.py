@@ -18,11 +18,15 @@ RULES = [("columns", ["id", "segment", *FEATURES]), ("non_empty",), ("unique", [
          *[("not_null", c) for c in FEATURES], ("min_rows", 5)]
 
 
-def run(spark: SparkSession, sf_dir: str, k: int = 5, restarts: int = 10, seed: int = 42) -> dict[str, DataFrame]:
+def run(spark: SparkSession, sf_dir: str, k: int = 5, restarts: int = 10, seed: int = 42,
+        scale_features: bool = True) -> dict[str, DataFrame]:
+    """``scale_features=False`` clusters the raw values (the reference's off switch)."""
     cf = customer_feats(spark, sf_dir)
     validate.require(cf, RULES)
-    st = scale.fit_scaler(cf, FEATURES).first().asDict()
-    pts = cluster.assemble(scale.apply_scaler(cf, st, FEATURES), FEATURES, "x").persist(StorageLevel.MEMORY_AND_DISK)
+    src = cf
+    if scale_features:
+        src = scale.apply_scaler(cf, scale.fit_scaler(cf, FEATURES).first().asDict(), FEATURES)
+    pts = cluster.assemble(src, FEATURES, "x").persist(StorageLevel.MEMORY_AND_DISK)
     cents, cost = cluster.fit_kmeans(pts, "x", k=k, restarts=restarts, seed=seed)
     labelled = cluster.assign(pts, "x", cents).persist(StorageLevel.MEMORY_AND_DISK)
     raw = labelled.select("id", "cluster").join(cf, "id")

@@ -122,3 +122,12 @@ def test_histogram_coarsens_when_bound_is_hit(spark, monkeypatch):
     monkeypatch.setattr(split, "MAX_HIST_ROWS", 50)
     got = {r["k"]: r["split"] for r in split.stratified(df, "k", "label", 0.2, 0.1, 1, digits=4).collect()}
     assert got == want
+
+
+def test_price_fit_scope_all_and_segments_raw(spark):
+    from tablelearn.plans import segments
+    from tests.conftest import SF001
+    rows = price.run(spark, SF001, fit_scope="all").collect()
+    assert {r["split"] for r in rows} == {"train", "test"}
+    out = segments.run(spark, SF001, k=3, restarts=2, scale_features=False)
+    assert out["labels"].count() == spark.read.parquet(f"{SF001}/customer.parquet").count()
