@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tablelearn.llm import balltree, binpack, bpe
+from tablelearn.llm import balltree, binpack, bpe, neardup
 from tablelearn.llm.common import setup, table
 
 QUERIES: dict = {}
@@ -40,9 +40,9 @@ def op5_topk(spark, sf_dir):
 
 ORACLE["op5_topk"] = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
 s AS (
   SELECT DISTINCT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
@@ -51,6 +51,12 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+@q
+def op8_neardup(spark, sf_dir):
+    """Components of documents whose sets of 3-word shingles overlap by 85 % or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
+
+
 @q
 def op9_sharding(spark, sf_dir):
     """All documents into 24 shards of near equal bytes; copies stay together."""
