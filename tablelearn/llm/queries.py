@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tablelearn.llm import balltree, binpack, bpe, neardup
+from tablelearn.llm import balltree, binpack, bpe, decontam, neardup
 from tablelearn.llm.common import setup, table
 
 QUERIES: dict = {}
@@ -51,6 +51,30 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+@q
+def op7_decontamination(spark, sf_dir):
+    """Documents that hold at least 80 % of the 5-word shingles of a benchmark item."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumn(
+        "containment", F.round("containment", 6))
+
+
+_PLAIN = r"""
+  SELECT {id} AS id, list_filter(list_transform(
+    regexp_split_to_array(coalesce(text, ''), '[ \t\n\r\x0b\x0c]+'),
+    lambda w: trim(lower(w), '!"#$%&''()*+,-./:;<=>?@[\]^_`{{|}}~')), lambda w: w <> '') AS w FROM {table}"""
+_SHINGLES = """
+  SELECT DISTINCT id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM {of} WHERE len(w) > 0)"""
+ORACLE["op7_decontamination"] = f"""
+WITH d AS ({_PLAIN.format(id="doc_id", table="documents")}), b AS ({_PLAIN.format(id="item_id", table="benchmark")}),
+ds AS ({_SHINGLES.format(of="d")}), bs AS ({_SHINGLES.format(of="b")}),
+n AS (SELECT id, count(*) AS item_shingles FROM bs GROUP BY id),
+m AS (SELECT ds.id AS doc_id, bs.id AS item_id, count(*) AS shared FROM bs JOIN ds ON bs.s = ds.s GROUP BY ALL)
+SELECT doc_id, item_id, item_shingles, shared, round(shared / item_shingles, 6) AS containment
+FROM m JOIN n ON n.id = m.item_id WHERE shared >= 0.8 * item_shingles
+"""
+
+
 @q
 def op8_neardup(spark, sf_dir):
     """Components of documents whose sets of 3-word shingles overlap by 85 % or more."""
