@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tablelearn.llm import balltree, binpack, bpe, decontam, neardup
+from tablelearn.llm import balltree, binpack, bpe, decontam, neardup, pii
 from tablelearn.llm.common import setup, table
 
 QUERIES: dict = {}
@@ -85,3 +85,10 @@ def op8_neardup(spark, sf_dir):
 def op9_sharding(spark, sf_dir):
     """All documents into 24 shards of near equal bytes; copies stay together."""
     return binpack.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@q
+def op10_pii(spark, sf_dir):
+    """Personal data of every text: counts and digest of the base spans, and all spans."""
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("base_spans", 256).alias("base_sha256"), "spans")
