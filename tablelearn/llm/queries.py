@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tablelearn.llm import balltree, binpack, bpe, decontam, neardup, pii
+from tablelearn.llm import balltree, binpack, bpe, decontam, langid, neardup, pii
 from tablelearn.llm.common import setup, table
 
 QUERIES: dict = {}
@@ -32,6 +32,13 @@ def op1_bpe(spark, sf_dir):
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), vocabulary(), decoded=True))
 
 
+@q
+def op3_langid(spark, sf_dir):
+    """Language of every text, learnt from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 @q
 def op5_topk(spark, sf_dir):
     """Five highest inner products for every vector whose id 50 divides."""
