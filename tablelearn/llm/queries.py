@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tablelearn.llm import balltree, binpack, bpe, decontam, langid, neardup, pii
+from tablelearn.llm import balltree, binpack, bpe, decontam, langid, license_scan, neardup, ordinal, pii, url_lists
 from tablelearn.llm.common import setup, table
 
 QUERIES: dict = {}
@@ -32,6 +32,12 @@ def op1_bpe(spark, sf_dir):
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), vocabulary(), decoded=True))
 
 
+@q
+def op2_licenses(spark, sf_dir):
+    """License notices of every text, with the wording differences of the confirmed template."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).withColumn("reduction", F.round("reduction", 6))
+
+
 @q
 def op3_langid(spark, sf_dir):
     """Language of every text, learnt from the documents that are not held out."""
@@ -39,6 +45,82 @@ def op3_langid(spark, sf_dir):
     return langid.identify(docs, langid.fit(docs))
 
 
+def dated(pages):
+    """Captures: every page with a fetch day that follows from its id."""
+    return pages.select("page_id", "url", F.date_add(F.lit("2023-01-01").cast("date"),
+                                                      F.pmod(F.col("page_id") * 37, F.lit(730)).cast("int")).alias("fetched"))
+
+
+def _n(c):
+    return F.conv(F.substring(F.md5(c.cast("binary")), 1, 6), 16, 10).cast("int")
+
+
+def lists(pages):
+    """Dated list entries over the hosts, domains and path prefixes that the pages have."""
+    sites = pages.select(url_lists.host("url").alias("h"), url_lists.path_parts("url").alias("p")).where("h <> ''")
+    hosts = sites.select(F.col("h").alias("pattern")).distinct()
+    domains = sites.select(F.regexp_extract("h", r"([^.]+\.[^.]+)$", 1).alias("pattern")).where("pattern <> ''").distinct()
+    paths = sites.where(F.size("p") > 0).select(F.concat("h", F.lit("/"), F.col("p")[0]).alias("pattern")).distinct()
+    n = _n(F.col("pattern"))
+    parts = [(hosts, "hosts", "block", "host", n % 3 == 0, [("add", n % 500), ("remove", n % 500 + n % 211 + 1),
+                                                           ("add", n % 500 + n % 211 + 61)]),
+             (domains, "domains", "block", "domain", n % 5 == 0, [("add", n % 300)]),
+             (paths, "paths", "block", "prefix", n % 4 == 1, [("add", n % 400), ("remove", n % 400 + n % 97 + 1)]),
+             (hosts, "trusted", "allow", "host", n % 7 == 0, [("add", n % 600), ("remove", n % 600 + 45)])]
+    out = None
+    for df, name, effect, kind, some, steps in parts:
+        turns = F.explode(F.array(*[F.struct(F.lit(v).alias("verb"), d.cast("int").alias("d")) for v, d in steps]))
+        e = df.where(some).select("pattern", turns.alias("t")).select(
+            F.lit(name).alias("list"), F.lit(effect).alias("effect"), F.lit(kind).alias("kind"), "pattern", "t.verb",
+            F.date_add(F.lit("2023-01-01").cast("date"), F.col("t.d")).alias("day"))
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+@q
+def op4_url_filter(spark, sf_dir):
+    """Every page judged by the list entries that were active on its fetch day."""
+    pages = table(spark, sf_dir, "pages")
+    return url_lists.filter_captures(dated(pages), lists(pages))
+
+
+ORACLE["op4_url_filter"] = r"""
+WITH p AS (
+  SELECT page_id, DATE '2023-01-01' + CAST((page_id * 37) % 730 AS INTEGER) AS fetched,
+    regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages),
+c AS (
+  SELECT page_id, fetched, list_filter(string_split(regexp_extract(rest, '^[^/?#]*/([^?#]*)', 1), '/'), lambda x: x <> '') AS parts,
+    regexp_replace(lower(regexp_replace(regexp_replace(regexp_extract(rest, '^([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')), '\.$', '') AS h
+  FROM p),
+pat AS (
+  SELECT DISTINCT 'host' AS kind, h AS pattern FROM c WHERE h <> ''
+  UNION SELECT 'domain', regexp_extract(h, '([^.]+\.[^.]+)$', 1) FROM c WHERE regexp_matches(h, '[^.]+\.[^.]+$')
+  UNION SELECT 'prefix', h || '/' || parts[1] FROM c WHERE h <> '' AND len(parts) > 0),
+n AS (SELECT kind, pattern, CAST('0x' || substr(md5(pattern), 1, 6) AS INTEGER) AS n FROM pat),
+e AS (
+  SELECT 'hosts' AS list, 'block' AS effect, kind, pattern, 1 AS act, n % 500 AS d FROM n WHERE kind = 'host' AND n % 3 = 0
+  UNION ALL SELECT 'hosts', 'block', kind, pattern, 0, n % 500 + n % 211 + 1 FROM n WHERE kind = 'host' AND n % 3 = 0
+  UNION ALL SELECT 'hosts', 'block', kind, pattern, 1, n % 500 + n % 211 + 61 FROM n WHERE kind = 'host' AND n % 3 = 0
+  UNION ALL SELECT 'domains', 'block', kind, pattern, 1, n % 300 FROM n WHERE kind = 'domain' AND n % 5 = 0
+  UNION ALL SELECT 'paths', 'block', kind, pattern, 1, n % 400 FROM n WHERE kind = 'prefix' AND n % 4 = 1
+  UNION ALL SELECT 'paths', 'block', kind, pattern, 0, n % 400 + n % 97 + 1 FROM n WHERE kind = 'prefix' AND n % 4 = 1
+  UNION ALL SELECT 'trusted', 'allow', kind, pattern, 1, n % 600 FROM n WHERE kind = 'host' AND n % 7 = 0
+  UNION ALL SELECT 'trusted', 'allow', kind, pattern, 0, n % 600 + 45 FROM n WHERE kind = 'host' AND n % 7 = 0),
+state AS (
+  SELECT c.page_id, e.list, e.effect, arg_max(e.act, e.d) AS act
+  FROM c JOIN e ON ((e.kind = 'host' AND e.pattern = c.h)
+      OR (e.kind = 'domain' AND e.pattern = regexp_extract(c.h, '([^.]+\.[^.]+)$', 1))
+      OR (e.kind = 'prefix' AND len(c.parts) > 0 AND e.pattern = c.h || '/' || c.parts[1]))
+    AND DATE '2023-01-01' + CAST(e.d AS INTEGER) <= c.fetched
+  GROUP BY ALL),
+v AS (
+  SELECT page_id, bool_or(effect = 'block') AND NOT bool_or(effect = 'allow') AS blocked, count(*) AS n_matches,
+    string_agg(list, ',' ORDER BY list) AS lists FROM state WHERE act = 1 GROUP BY page_id)
+SELECT c.page_id, c.fetched, coalesce(blocked, false) AS blocked, coalesce(n_matches, 0) AS n_matches, coalesce(lists, '') AS lists
+FROM c LEFT JOIN v USING (page_id)
+"""
+
+
 @q
 def op5_topk(spark, sf_dir):
     """Five highest inner products for every vector whose id 50 divides."""
@@ -58,6 +140,13 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+@q
+def op6_quality(spark, sf_dir):
+    """Expected grade of every text, and whether it is likely good and clean."""
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.grade(docs, ordinal.fit(docs, ordinal.rated(table(spark, sf_dir, "labels"))))
+
+
 @q
 def op7_decontamination(spark, sf_dir):
     """Documents that hold at least 80 % of the 5-word shingles of a benchmark item."""
