@@ -1,89 +1,90 @@
 """Training-history operators: early stopping, plateau LR schedule, best checkpoint, and
 validation-monitored epoch training re-aimed at Spark ML's warm-startable MLP.
 
-A history table holds one row per (run, epoch).  The stopping and LR rules are
-sequential state machines, so each run's history (its epochs) is folded in order with
-``aggregate`` over the sorted (epoch, value) list, JVM-side.  Runs are spread over all
-tasks; one run's history is its epoch count.
+A history table holds one row per (run, epoch).  The stopping and LR rules are sequential
+state machines.  Every run is folded block by block: one round folds the epochs of one block
+(``BLOCK_EPOCHS`` of them) of all runs in parallel, JVM-side, starting from the states that
+the round before left.  A task so holds one block of a run at most, however long the run is,
+and runs of any length follow the same rule.  Infinite and NaN losses never improve.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelearn.errors import SizeBoundError
+from tablelearn.session import cut_lineage
 
-
-def _sorted_history(df: DataFrame, run: str, epoch: str, value: str) -> DataFrame:
-    return df.groupBy(run).agg(F.array_sort(F.collect_list(F.struct(F.col(epoch).alias("e"),
-                                                                    F.col(value).cast("double").alias("v")))).alias("h"))
+BLOCK_EPOCHS = 100_000
+CUT_EVERY = 8
 
 
 def with_epoch_index(df: DataFrame, run: str, order_cols) -> DataFrame:
-    """1-based epoch number per run from an ordering (window partitioned by run)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(run).orderBy(*order_cols)
-    return df.withColumn("epoch", F.row_number().over(w))
-
-
-MAX_FOLD_EPOCHS = 100_000
-
-
-def max_run_length(df: DataFrame, run: str) -> int:
-    r = df.groupBy(run).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(r["m"] or 0)
+    """1-based epoch number per run from an ordering.
+
+    Rows are range-partitioned by (run, order); the partition ids are materialised once, each
+    partition counts and ranks its own rows, and the counts of the partitions before shift the
+    ranks.  A long run spreads over many partitions."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = cut_lineage(df.repartitionByRange(parts, F.col(run), *order_cols).withColumn("_pid", F.spark_partition_id()))
+    before = Window.partitionBy("_run").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    n = d.groupBy(F.col(run).alias("_run"), F.col("_pid").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    n = n.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    rank = F.row_number().over(Window.partitionBy("_pid", run).orderBy(*order_cols))
+    return (d.withColumn("_rank", rank).join(n, (F.col("_pid") == F.col("_of")) & F.col(run).eqNullSafe(F.col("_run")))
+            .withColumn("epoch", (F.col("_start") + F.col("_rank")).cast("int"))
+            .drop("_pid", "_rank", "_run", "_of", "_n", "_start"))
+
+
+def fold_runs(df: DataFrame, run: str, epoch: str, value: str, init, step, block: int | None = None) -> DataFrame:
+    """(run, s): the state of each run after all its epochs in order; ``step(state, x)`` sees x.e, x.v."""
+    block = block or BLOCK_EPOCHS
+    x = F.struct(F.col(epoch).alias("e"), F.col(value).cast("double").alias("v"))
+    h = df.select(F.col(run).alias("_run"), F.floor(F.col(epoch) / F.lit(block)).alias("_blk"), x.alias("x"))
+    blocks = sorted(r["_blk"] for r in h.select("_blk").distinct().collect())  # one per BLOCK_EPOCHS epochs
+    if len(blocks) > 1:
+        h = cut_lineage(h)
+    state = None
+    for i, b in enumerate(blocks or [0]):
+        part = h.where(F.col("_blk") == b).groupBy("_run").agg(F.array_sort(F.collect_list("x")).alias("h"))
+        if state is None:
+            state = part.select("_run", F.aggregate("h", init, step).alias("s"))
+            continue
+        both = state.select(F.col("_run").alias("_was"), "s").join(part, F.col("_was").eqNullSafe(F.col("_run")), "full")
+        known = F.when(F.col("s").isNotNull(), F.col("s")).otherwise(init)
+        new = F.when(F.col("h").isNull(), F.col("s")).otherwise(F.aggregate("h", known, step))
+        state = both.select(F.coalesce("_run", "_was").alias("_run"), new.alias("s"))
+        if i % CUT_EVERY == 0:
+            state = cut_lineage(state)
+    return state.select(F.col("_run").alias(run), "s")
 
 
 def early_stop(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4, min_delta: float = 1e-5,
-               max_fold_len: int = MAX_FOLD_EPOCHS) -> DataFrame:
+               block: int | None = None) -> DataFrame:
     """Improvement means loss < best − min_delta; otherwise the counter grows; stop when it
-    reaches ``patience``.  Output (run, stop_epoch or null, best_loss, best_epoch, n_epochs).
-
-    Epochs must be numbered 1..n per run.  Runs no longer than ``max_fold_len`` (checked with
-    one aggregate) are folded per run; longer histories use the distributed algorithm."""
-    if max_run_length(df, run) <= max_fold_len:
-        return early_stop_fold(df, run, epoch, loss, patience, min_delta)
-    return early_stop_distributed(df, run, epoch, loss, patience, min_delta)
-
-
-def early_stop_fold(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4,
-                    min_delta: float = 1e-5) -> DataFrame:
-    """Per-run sequential fold of the early-stopping rule (one task per run)."""
-    h = _sorted_history(df, run, epoch, loss)
+    reaches ``patience``.  Output (run, stop_epoch or null, best_loss, best_epoch, n_epochs)."""
     init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("be"), F.lit(0).alias("cnt"),
-                    F.lit(None).cast("int").alias("stop"))
+                    F.lit(None).cast("int").alias("stop"), F.lit(0).alias("n"))
 
     def step(s, x):
         improved = x["v"] < s["best"] - F.lit(min_delta)
-        cnt = F.when(improved, F.lit(0)).otherwise(s["cnt"] + 1)
         live = s["stop"].isNull()
-        return F.when(~live, s).otherwise(F.struct(
-            F.when(improved, x["v"]).otherwise(s["best"]).alias("best"),
-            F.when(improved, x["e"].cast("int")).otherwise(s["be"]).alias("be"),
-            cnt.alias("cnt"),
-            F.when(~improved & (cnt >= patience), x["e"].cast("int")).otherwise(F.lit(None).cast("int")).alias("stop")))
-    r = h.select(run, F.aggregate("h", init, step).alias("s"), F.size("h").alias("n_epochs"))
+        cnt = F.when(improved, F.lit(0)).otherwise(s["cnt"] + 1)
+        return F.struct(
+            F.when(live & improved, x["v"]).otherwise(s["best"]).alias("best"),
+            F.when(live & improved, x["e"].cast("int")).otherwise(s["be"]).alias("be"),
+            F.when(live, cnt).otherwise(s["cnt"]).alias("cnt"),
+            F.when(live & ~improved & (cnt >= patience), x["e"].cast("int")).otherwise(s["stop"]).alias("stop"),
+            (s["n"] + 1).alias("n"))
+    r = fold_runs(df, run, epoch, loss, init, step, block)
     return r.select(run, F.col("s.stop").alias("stop_epoch"), F.col("s.best").alias("best_loss"),
-                    F.col("s.be").alias("best_epoch"), "n_epochs")
+                    F.col("s.be").alias("best_epoch"), F.col("s.n").alias("n_epochs"))
 
 
 def lr_plateau(df: DataFrame, run: str, epoch: str, loss: str, lr: float = 0.001, factor: float = 0.5,
-               patience: int = 2, threshold: float = 1e-4, eps: float = 1e-8,
-               max_fold_len: int = MAX_FOLD_EPOCHS) -> DataFrame:
+               patience: int = 2, threshold: float = 1e-4, eps: float = 1e-8, block: int | None = None) -> DataFrame:
     """Plateau schedule (mode min, relative threshold): after more than ``patience`` epochs
-    without improvement the rate is multiplied by ``factor``.  Output (run, final_lr, n_reductions).
-
-    Runs no longer than ``max_fold_len`` are folded per run.  Longer histories of positive
-    losses use the distributed chain method; otherwise the run is refused, not gathered."""
-    st = df.groupBy(run).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    m = int(st["m"] or 0)
-    if m > max_fold_len:
-        if df.where(F.col(loss) <= 0).limit(1).count() == 0:
-            return lr_plateau_distributed(df, run, epoch, loss, lr, factor, patience, threshold, eps)
-        raise SizeBoundError(f"a run has {m} epochs (> {max_fold_len}) and non-positive losses; "
-                             "the plateau fold keeps one run per task")
-    h = _sorted_history(df, run, epoch, loss)
+    without improvement the rate is multiplied by ``factor``.  Output (run, final_lr, n_reductions)."""
     init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("bad"), F.lit(float(lr)).alias("lr"),
                     F.lit(0).alias("red"))
 
@@ -97,7 +98,7 @@ def lr_plateau(df: DataFrame, run: str, epoch: str, loss: str, lr: float = 0.001
         return F.struct(best.alias("best"), F.when(cut, F.lit(0)).otherwise(bad).alias("bad"),
                         F.when(applied, new_lr).otherwise(s["lr"]).alias("lr"),
                         (s["red"] + F.when(applied, 1).otherwise(0)).alias("red"))
-    r = h.select(run, F.aggregate("h", init, step).alias("s"))
+    r = fold_runs(df, run, epoch, loss, init, step, block)
     return r.select(run, F.col("s.lr").alias("final_lr"), F.col("s.red").alias("n_reductions"))
 
 
@@ -107,120 +108,3 @@ def best_checkpoint(df: DataFrame, run: str, epoch: str, acc: str) -> DataFrame:
             .agg(F.min_by(F.struct(F.col(epoch).alias("e"), F.col(acc).alias("a")),
                           F.struct((-F.col(acc)).alias("na"), F.col(epoch).alias("e"))).alias("b"))
             .select(run, F.col("b.e").alias("best_epoch"), F.col("b.a").alias("best_acc")))
-
-
-# ---------------------------------------------------------------------------------------------
-# Distributed exact early stopping: no run is ever gathered into one task.
-#
-# Improvements are running-minimum records (every earlier loss is ≥ best − min_delta), and the
-# improvement after record j is the first record with loss < loss_j − min_delta, i.e. in
-# ascending-loss order the last record strictly below that threshold.  Both the running
-# minimum (epoch order) and that lookup (loss order) are associative scans, computed with a
-# range-partitioned sort plus per-partition carries; the chain of improvements from epoch 1
-# is found by pointer doubling (log rounds of keyed joins, lineage cut by checkpoints).
-# ---------------------------------------------------------------------------------------------
-from pyspark.sql import Window  # noqa: E402
-
-
-def _scan(df: DataFrame, run: str, order, value: str, how: str, out: str, parts: int | None = None) -> DataFrame:
-    """Exclusive running aggregate of ``value`` along (run, *order): how ∈ {"min", "last"}
-    ("last" = last non-null).  A run may span many range partitions; each partition's
-    contribution is carried forward from a table with one row per (partition, run)."""
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = df.repartitionByRange(parts, F.col(run), *[F.col(c) for c in order]).withColumn("_pid", F.spark_partition_id())
-    key = F.struct(*[F.col(c) for c in order])
-    if how == "min":
-        per = d.groupBy("_pid", run).agg(F.min(value).alias("_p"))
-        wc = Window.partitionBy(run).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-        carry = per.withColumn("_carry", F.min("_p").over(wc)).drop("_p")
-        wi = Window.partitionBy("_pid", run).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        inner = F.min(value).over(wi)
-        comb = F.least(F.col("_in"), F.col("_carry"))
-    else:
-        per = d.where(F.col(value).isNotNull()).groupBy("_pid", run).agg(F.max_by(value, key).alias("_p"))
-        wc = Window.partitionBy(run).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-        carry = per.withColumn("_carry", F.last("_p", ignorenulls=True).over(wc)).drop("_p")
-        wi = Window.partitionBy("_pid", run).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        inner = F.last(value, ignorenulls=True).over(wi)
-        comb = F.coalesce(F.col("_in"), F.col("_carry"))
-    r = d.withColumn("_in", inner).join(carry, ["_pid", run], "left")
-    return r.withColumn(out, comb).drop("_pid", "_in", "_carry")
-
-
-def _improvement_chain(df: DataFrame, run: str, epoch: str, loss: str, threshold, checkpoint_every: int = 4):
-    """Improvement epochs of every run without a per-run task.
-
-    ``threshold(v)`` is the value a later loss must beat after an improvement at loss v
-    (v − min_delta, or v·(1 − thr) for positive losses); improvements are then running-
-    minimum records.  Returns (members(run, e, v, nx), per-run n table (run, n, e0))."""
-    from tablelearn.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)  # lineage is cut with reliable checkpoints below
-    h = df.select(F.col(run).alias("run"), F.col(epoch).cast("long").alias("e"), F.col(loss).cast("double").alias("v"))
-    n = h.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("e").alias("e0"))
-    pm = _scan(h, "run", ["e"], "v", "min", "pm")
-    rec = pm.where(F.col("pm").isNull() | (F.col("v") < F.col("pm"))).select("run", "e", "v")
-    items = (rec.select("run", F.col("v").alias("o"), F.lit(1).alias("t"), "e", F.col("e").alias("re"))
-             .unionByName(rec.select("run", threshold(F.col("v")).alias("o"), F.lit(0).alias("t"), "e",
-                                     F.lit(None).cast("long").alias("re"))))
-    nx = (_scan(items, "run", ["o", "t", "e"], "re", "last", "nx").where("t = 0")
-          .select("run", "e", "nx"))
-    nodes = rec.join(nx, ["run", "e"]).persist()
-    jump = nodes.select("run", "e", F.col("nx").alias("j"))
-    chain = n.select("run", F.col("e0").alias("e"))
-    longest = nodes.groupBy("run").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c").alias("m")).first()["m"]
-    rounds, span = 0, 1
-    while span < int(longest or 0):
-        hop = chain.join(jump, ["run", "e"]).where(F.col("j").isNotNull()).select("run", F.col("j").alias("e"))
-        chain = chain.unionByName(hop).distinct()
-        jump = (jump.alias("a").join(jump.alias("b"), (F.col("a.run") == F.col("b.run")) & (F.col("a.j") == F.col("b.e")),
-                                      "left")
-                .select(F.col("a.run").alias("run"), F.col("a.e").alias("e"), F.col("b.j").alias("j")))
-        rounds += 1
-        span *= 2
-        if rounds % checkpoint_every == 0:
-            chain, jump = chain.checkpoint(), jump.checkpoint()
-    members = chain.join(nodes, ["run", "e"]).persist()
-    members.count()
-    nodes.unpersist()
-    return members, n
-
-
-def early_stop_distributed(df: DataFrame, run: str, epoch: str, loss: str, patience: int = 4,
-                           min_delta: float = 1e-5) -> DataFrame:
-    """Same output as ``early_stop`` for epochs numbered consecutively per run, without a per-run task."""
-    members, n = _improvement_chain(df, run, epoch, loss, lambda v: v - F.lit(min_delta))
-    m = members.join(n, "run")
-    gap = F.coalesce(F.col("nx"), F.col("n") + F.col("e0"))  # no further improvement: runs to the end
-    stops = m.where((gap - F.col("e") > patience) & (F.col("e") + patience <= F.col("n") + F.col("e0") - 1))
-    first_stop = stops.groupBy("run").agg(F.min_by(F.struct("e", "v"), F.col("e")).alias("s"))
-    last = m.groupBy("run").agg(F.max_by(F.struct("e", "v"), F.col("e")).alias("l"))
-    return n.join(last, "run").join(first_stop, "run", "left").select(
-        F.col("run").alias(run),
-        (F.col("s.e") + patience).cast("int").alias("stop_epoch"),
-        F.coalesce(F.col("s.v"), F.col("l.v")).alias("best_loss"),
-        F.coalesce(F.col("s.e"), F.col("l.e")).cast("int").alias("best_epoch"),
-        F.col("n").cast("int").alias("n_epochs"))
-
-
-def lr_plateau_distributed(df: DataFrame, run: str, epoch: str, loss: str, lr: float = 0.001, factor: float = 0.5,
-                           patience: int = 2, threshold: float = 1e-4, eps: float = 1e-8) -> DataFrame:
-    """Same output as ``lr_plateau`` for positive losses, without a per-run task: a gap of g
-    non-improving epochs after an improvement cuts the rate ⌊g/(patience+1)⌋ times, and a cut
-    applies only while it still changes the rate by more than ``eps``."""
-    members, n = _improvement_chain(df, run, epoch, loss, lambda v: v * F.lit(1.0 - threshold))
-    m = members.join(n, "run")
-    bad = F.coalesce(F.col("nx") - F.col("e") - 1, F.col("n") + F.col("e0") - 1 - F.col("e"))
-    cuts = m.groupBy("run").agg(F.sum(F.floor(bad / F.lit(patience + 1))).cast("long").alias("cuts"))
-    rates, cur = [float(lr)], float(lr)
-    while len(rates) < 10_000:
-        new = cur * factor
-        if not (cur - new > eps):
-            break
-        cur = new
-        rates.append(cur)
-    applied = F.least(F.col("cuts"), F.lit(len(rates) - 1))
-    table = F.array(*[F.lit(r) for r in rates])
-    return n.join(cuts, "run").select(F.col("run").alias(run), F.element_at(table, (applied + 1).cast("int")).alias("final_lr"),
-                                      applied.cast("int").alias("n_reductions"))

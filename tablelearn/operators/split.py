@@ -3,28 +3,28 @@
 Contract: rows of a stratum are ordered by ``md5('<seed>:<key>')`` then key (the key
 must be unique); the first quota rows go to the first part, and so on.
 
-Scale method: a histogram of the leading hex digits of the hash per stratum
-(map-side partial counts, at most strata·16^digits rows reach the driver) locates,
-for every cut position, the one bucket holding it.  Only the rows of those boundary
-buckets are ranked (a window partitioned by stratum and bucket) to find the exact
-cut row.  The split itself is then a projection comparing each row's (hash, key)
-with the cut rows: no shuffle of the data, same answer as a full window.
+Scale method: a histogram of the leading hex digits of the hash per stratum (map-side
+partial counts) stays a DataFrame; a window over the buckets of a stratum gives each bucket
+its offset.  The driver sees one count per stratum and, for every cut position, the one row
+that holds it: only the rows of those boundary buckets are ranked (a window partitioned by
+stratum and bucket).  The split itself is then a projection comparing each row's (hash, key)
+with the cut rows: no shuffle of the data, same answer as a full window.  Null is a
+stratum, or a group, like any other value.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
-from collections import defaultdict
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelearn.errors import SizeBoundError
 from tablelearn.functions.exprs import col_of, hash_bucket, order_hash
 
-MAX_STRATA = 1000
-MAX_HIST_ROWS = 4_000_000
+#: Strata whose counts the driver may hold; more are refused.
+MAX_STRATA = 100_000
 LITERAL_STRATA = 64
 
 
@@ -38,51 +38,43 @@ def _prep(df: DataFrame, key: str, seed, strata, digits: int) -> DataFrame:
     return d
 
 
-def bucket_histogram(d: DataFrame) -> dict:
-    """{stratum: (sorted buckets, cumulative counts before each bucket, total)}; bounded collect."""
-    rows = d.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("n")).limit(MAX_HIST_ROWS + 1).collect()
-    if len(rows) > MAX_HIST_ROWS:
-        raise SizeBoundError("bucket histogram too large for the driver: fewer `digits` needed")
-    per = defaultdict(list)
-    for r in rows:
-        per[r["_s"]].append((r["_b"], r["n"]))
-    if len(per) > MAX_STRATA:
+def bucket_histogram(d: DataFrame) -> DataFrame:
+    """(_hs, _hb, n, before): rows of each stratum's buckets and in the buckets before."""
+    w = Window.partitionBy("_hs").orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
+    return (d.groupBy(F.col("_s").alias("_hs"), F.col("_b").alias("_hb")).agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))))
+
+
+def stratum_counts(hist: DataFrame) -> dict:
+    rows = hist.groupBy("_hs").agg(F.sum("n").alias("n")).limit(MAX_STRATA + 1).collect()
+    if len(rows) > MAX_STRATA:
         raise SizeBoundError(f"more than {MAX_STRATA} strata")
-    out = {}
-    for s, lst in per.items():
-        lst.sort()
-        cum, acc = [], 0
-        for _, n in lst:
-            cum.append(acc)
-            acc += n
-        out[s] = ([b for b, _ in lst], cum, [n for _, n in lst], acc)
-    return out
-
-
-def cut_rows(d: DataFrame, key: str, hist: dict, cuts: dict) -> dict:
+    return {r["_hs"]: r["n"] for r in rows}
+
+
+def cut_rows(d: DataFrame, key: str, hist: DataFrame, counts: dict, cuts: dict) -> dict:
     """For each stratum and cut c (rows ranked ≤ c fall before it) return the c-th row's
     (hash, key), or "all"/"none" when the cut lies outside the stratum."""
     need, res = [], {}
     for s, cs in cuts.items():
-        buckets, cum, cnt, total = hist.get(s, ([], [], [], 0))
         for c in cs:
             if c <= 0:
                 res[(s, c)] = "all"
-            elif c >= total:
+            elif c >= counts.get(s, 0):
                 res[(s, c)] = "none"
             else:
-                i = bisect_right(cum, c - 1) - 1  # bucket with cum ≤ c-1 < cum+cnt
-                need.append((s, buckets[i], c - cum[i], c))
+                need.append((s, c))
     if need:
-        spark = d.sparkSession
         stype = d.schema["_s"].dataType.simpleString()
-        want = spark.createDataFrame([(s, b, p, c) for s, b, p, c in need],
-                                     f"_s {stype}, _b int, _p int, _c long")
-        pairs = want.select("_s", "_b").distinct()
+        want = d.sparkSession.createDataFrame(sorted(set(need), key=str), f"_ws {stype}, _c long")
+        want = (hist.join(F.broadcast(want), F.col("_ws").eqNullSafe(F.col("_hs"))
+                          & (F.col("before") < F.col("_c")) & (F.col("_c") <= F.col("before") + F.col("n")))
+                .select("_ws", "_hb", "_c", (F.col("_c") - F.col("before")).cast("int").alias("_wp")))
         w = Window.partitionBy("_s", "_b").orderBy("_h", key)
-        ranked = (d.join(F.broadcast(pairs), ["_s", "_b"], "left_semi")
+        here = F.col("_s").eqNullSafe(F.col("_ws")) & (F.col("_b") == F.col("_hb"))
+        ranked = (d.join(F.broadcast(want.select("_ws", "_hb").distinct()), here, "left_semi")
                   .select("_s", "_b", "_h", col_of(key).alias("_k"), F.row_number().over(w).alias("_p")))
-        got = ranked.join(F.broadcast(want), ["_s", "_b", "_p"]).select("_s", "_c", "_h", "_k").collect()
+        got = ranked.join(F.broadcast(want), here & (F.col("_p") == F.col("_wp"))).select("_s", "_c", "_h", "_k").collect()
         for r in got:
             res[(r["_s"], r["_c"])] = (r["_h"], r["_k"])
     return res
@@ -104,7 +96,8 @@ def part_index(d: DataFrame, key: str, cuts: dict, th: dict) -> DataFrame:
         expr = None
         for s in strata:
             e = sum((_after(th[(s, c)], key) for c in cuts[s]), F.lit(0))
-            expr = (F.when(F.col("_s") == F.lit(s), e) if expr is None else expr.when(F.col("_s") == F.lit(s), e))
+            here = F.col("_s").eqNullSafe(F.lit(s))
+            expr = F.when(here, e) if expr is None else expr.when(here, e)
         return d.withColumn("_part", expr.otherwise(F.lit(0)) if expr is not None else F.lit(0))
     # many strata: a broadcast table with one row per stratum (size checked ≤ MAX_STRATA)
     spark = d.sparkSession
@@ -116,46 +109,37 @@ def part_index(d: DataFrame, key: str, cuts: dict, th: dict) -> DataFrame:
             ts.append(("", None, 1) if t == "all" else ("", None, 2) if t == "none" else (t[0], str(t[1]), 0))
         rows.append((s, ts))
     stype = d.schema["_s"].dataType.simpleString()
-    tab = spark.createDataFrame(rows, f"_s {stype}, _t array<struct<h:string,k:string,mode:int>>")
+    tab = spark.createDataFrame(rows, f"_ts {stype}, _t array<struct<h:string,k:string,mode:int>>")
     kk = col_of(key).cast("string") if d.schema[key].dataType.simpleString() == "string" else col_of(key)
-    j = d.join(F.broadcast(tab), "_s", "left")
+    j = d.join(F.broadcast(tab), F.col("_s").eqNullSafe(F.col("_ts")), "left")
     cnt = F.size(F.filter("_t", lambda t: (t["mode"] == 1) | ((t["mode"] == 0) & (
         (F.col("_h") > t["h"]) | ((F.col("_h") == t["h"]) & (kk > t["k"].cast(d.schema[key].dataType)))))))
-    return j.withColumn("_part", cnt).drop("_t")
-
-
-def _hist_adaptive(df: DataFrame, key: str, seed, strata, digits: int):
-    """Histogram at ``digits`` hex digits, coarsening while strata·16^digits exceeds the bound
-    (the answer stays exact; only boundary buckets grow)."""
-    while True:
-        d = _prep(df, key, seed, strata, digits)
-        try:
-            return d, bucket_histogram(d)
-        except SizeBoundError:
-            if digits <= 1:
-                raise
-            digits -= 1
+    return j.withColumn("_part", cnt).drop("_t", "_ts")
 
 
 def split_by_cuts(df: DataFrame, key: str, seed, strata, cuts_fn, digits: int = 4) -> DataFrame:
     """Generic driver: ``cuts_fn(counts) -> {stratum: [cut positions]}`` from per-stratum sizes."""
-    d, hist = _hist_adaptive(df, key, seed, strata, digits)
-    counts = {s: v[3] for s, v in hist.items()}
-    cuts = cuts_fn(counts)
-    th = cut_rows(d, key, hist, cuts)
+    d = _prep(df, key, seed, strata, digits)
+    hist = bucket_histogram(d).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = stratum_counts(hist)
+        cuts = cuts_fn(counts)
+        th = cut_rows(d, key, hist, counts, cuts)
+    finally:
+        hist.unpersist()
     return part_index(d, key, cuts, th)
 
 
 def largest_remainder(counts: dict, quota: int) -> dict:
     """Allocate ``quota`` over strata proportionally: floors, then the largest remainders
-    (ties to the smaller stratum value).  Integer arithmetic only."""
+    (ties to the smaller stratum value, null last).  Integer arithmetic only."""
     total = sum(counts.values())
     if total == 0:
         return {s: 0 for s in counts}
     base = {s: (n * quota) // total for s, n in counts.items()}
     rem = {s: (n * quota) % total for s, n in counts.items()}
     left = quota - sum(base.values())
-    for s in sorted(counts, key=lambda s: (-rem[s], s))[:left]:
+    for s in sorted(counts, key=lambda s: (-rem[s], s is None, s if s is not None else 0))[:left]:
         base[s] += 1
     return base
 
@@ -206,15 +190,14 @@ def kfold(df: DataFrame, key: str, k: int = 5, seed=42, digits: int = 4) -> Data
 
 def exact_rank(df: DataFrame, key: str, seed=42, strata: str | None = None, digits: int = 4) -> DataFrame:
     """0-based rank of every row within its stratum in hash order, without a stratum-wide window:
-    bucket offsets (small table, broadcast) + row_number inside (stratum, bucket)."""
-    d, hist = _hist_adaptive(df, key, seed, strata, digits)
-    spark = d.sparkSession
-    rows = [(s, b, off) for s, (bs, cum, _, _) in hist.items() for b, off in zip(bs, cum)]
-    stype = d.schema["_s"].dataType.simpleString()
-    offs = spark.createDataFrame(rows, f"_s {stype}, _b int, _off long")
+    bucket offsets (joined) + row_number inside (stratum, bucket)."""
+    d = _prep(df, key, seed, strata, digits)
+    offs = bucket_histogram(d).select("_hs", "_hb", "before")
     w = Window.partitionBy("_s", "_b").orderBy("_h", key)
-    r = d.join(F.broadcast(offs), ["_s", "_b"]).withColumn("_rank", F.col("_off") + F.row_number().over(w) - 1)
-    return r.drop("_h", "_b", "_s", "_off")
+    r = (d.withColumn("_n", F.row_number().over(w))
+         .join(offs, F.col("_s").eqNullSafe(F.col("_hs")) & (F.col("_b") == F.col("_hb")))
+         .withColumn("_rank", F.col("before") + F.col("_n") - 1))
+    return r.drop("_h", "_b", "_s", "_n", "_hs", "_hb", "before")
 
 
 def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 3, seed=42, digits: int = 4) -> DataFrame:
@@ -234,30 +217,26 @@ def check_partition(parts: dict, key: str) -> DataFrame:
                    F.count_if(F.col("n") > 1).cast("bigint").alias("n_overlap"))
 
 
-def split_by_group(df: DataFrame, group: str, test_frac: float = 0.2, seed=42, digits: int = 4,
-                   max_broadcast_groups: int = 1_000_000) -> DataFrame:
+def split_by_group(df: DataFrame, group: str, test_frac: float = 0.2, seed=42, digits: int = 4) -> DataFrame:
     """Group-aware holdout: whole groups go to one part.  Groups are taken in hash order
     while the rows before them number fewer than ceil(n·frac).  Adds ``split``.
 
     Group sizes are pre-aggregated (one row per group); their weighted prefix sums use
-    bucket offsets plus a window inside each bucket, never a global window.  The group →
-    split table is broadcast only when it has at most ``max_broadcast_groups`` rows.
+    bucket offsets (16^digits at most) plus a window inside each bucket, never a global window.
+    Spark broadcasts the group → split table where its measured size allows.
     """
     g = df.groupBy(col_of(group).alias("_g")).agg(F.count(F.lit(1)).alias("_w"))
     g = g.withColumn("_h", order_hash("_g", seed)).withColumn("_b", hash_bucket(F.col("_h"), digits))
-    sums = g.groupBy("_b").agg(F.sum("_w").alias("s"), F.count(F.lit(1)).alias("c")).collect()
+    sums = g.groupBy("_b").agg(F.sum("_w").alias("s")).collect()
     total = sum(r["s"] for r in sums)
     quota = int(math.ceil(total * float(test_frac)))
     offs, acc = [], 0
     for r in sorted(sums, key=lambda r: r["_b"]):
         offs.append((r["_b"], acc))
         acc += r["s"]
-    spark = df.sparkSession
-    off = spark.createDataFrame(offs, "_b int, _off long")
+    off = df.sparkSession.createDataFrame(offs, "_b int, _off long")
     w = Window.partitionBy("_b").orderBy("_h", "_g").rowsBetween(Window.unboundedPreceding, -1)
     gs = (g.join(F.broadcast(off), "_b")
           .withColumn("_before", F.col("_off") + F.coalesce(F.sum("_w").over(w), F.lit(0)))
           .select(F.col("_g"), F.when(F.col("_before") < quota, "test").otherwise("train").alias("split")))
-    n_groups = sum(r["c"] for r in sums)
-    gs = F.broadcast(gs) if n_groups <= max_broadcast_groups else gs
-    return df.join(gs, col_of(group) == F.col("_g")).drop("_g")
+    return df.join(gs, col_of(group).eqNullSafe(F.col("_g"))).drop("_g")

@@ -69,13 +69,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only if unset."""
+    """Return the session's checkpoint folder.  Only a ``local`` master may fall back to a folder of
+    this machine; elsewhere ``spark.checkpoint.dir`` has to name a shared one."""
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="tablelearn-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -95,9 +98,4 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
-def local_path(p: str) -> str:
-    """Strip a file: scheme for driver-side existence checks in tests."""
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-__all__ = ["get_spark", "prepare", "ship_package", "ensure_checkpoint_dir", "shared_dir", "cut_lineage", "local_path"]
+__all__ = ["get_spark", "prepare", "ship_package", "ensure_checkpoint_dir", "shared_dir", "cut_lineage"]

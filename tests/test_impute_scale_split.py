@@ -116,12 +116,32 @@ def test_price_workflow_runs(spark):
     assert {r["split"] for r in rows} == {"train", "test"}
 
 
-def test_histogram_coarsens_when_bound_is_hit(spark, monkeypatch):
+def test_split_is_the_same_for_any_bucket_width(spark):
     df = spark.range(0, 2000).withColumnRenamed("id", "k").withColumn("label", (F.col("k") % 3).cast("int"))
     want = {r["k"]: r["split"] for r in split.stratified(df, "k", "label", 0.2, 0.1, 1, digits=4).collect()}
-    monkeypatch.setattr(split, "MAX_HIST_ROWS", 50)
-    got = {r["k"]: r["split"] for r in split.stratified(df, "k", "label", 0.2, 0.1, 1, digits=4).collect()}
-    assert got == want
+    for digits in (1, 2):
+        got = {r["k"]: r["split"] for r in split.stratified(df, "k", "label", 0.2, 0.1, 1, digits=digits).collect()}
+        assert got == want
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_null_labels_and_groups_keep_their_rows(spark, many):
+    label = F.when(F.col("k") % 10 != 0, (F.col("k") % (150 if many else 3)).cast("string"))
+    df = spark.range(0, 1500).withColumnRenamed("id", "k").withColumn("label", label)
+    got = split.stratified(df, "k", "label", 0.2, 0.1, 1).collect()
+    assert len(got) == 1500
+    none = [r["split"] for r in got if r["label"] is None]
+    assert len(none) == 150 and none.count("test") == 30 and none.count("val") in (14, 15, 16)
+    folds = split.stratified_kfold(df, "k", "label", 3).collect()
+    assert len(folds) == 1500 and sorted([r["fold"] for r in folds if r["label"] is None].count(f) for f in range(3)) == [50, 50, 50]
+    parts = split.split_by_group(df, "label", 0.2).collect()
+    assert len(parts) == 1500 and len({r["split"] for r in parts if r["label"] is None}) == 1
+
+
+def test_many_strata_in_one_pass(spark):
+    df = spark.range(0, 3000).withColumnRenamed("id", "k").withColumn("label", (F.col("k") % 1500).cast("int"))
+    got = split.stratified(df, "k", "label", 0.5).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in got} == {"test": 1500, "train": 1500}
 
 
 def test_price_fit_scope_all_and_segments_raw(spark):

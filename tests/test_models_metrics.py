@@ -170,30 +170,69 @@ def test_batched_kmeans_restarts_reach_optimum(spark):
     assert cost1 <= spark_cost * (1 + 1e-6)
 
 
-def test_early_stop_distributed_equals_fold(spark):
+def _stop(h, patience=4, delta=1e-5):
+    best, be, cnt, stop = math.inf, 0, 0, None
+    for e, v in h:
+        if stop is None:
+            if v < best - delta:
+                best, be, cnt = v, e, 0
+            else:
+                cnt += 1
+                stop = e if cnt >= patience else None
+    return stop, best, be, len(h)
+
+
+def _plateau(h, lr=0.001, factor=0.5, patience=2, thr=1e-4, eps=1e-8):
+    best, bad, red = math.inf, 0, 0
+    for _, v in h:
+        bad = 0 if v < best * (1 - thr) else bad + 1
+        best = v if bad == 0 else best
+        if bad > patience:
+            bad = 0
+            if lr - lr * factor > eps:
+                lr, red = lr * factor, red + 1
+    return lr, red
+
+
+def _histories():
     rng = np.random.default_rng(0)
-    rows = []
-    for r in range(25):
-        n = 1500 if r == 7 else int(rng.integers(1, 40))
+    out = {}
+    for r in range(30):
+        n = 900 if r == 7 else int(rng.integers(1, 40))
         base = np.cumsum(rng.normal(-0.01 if r % 3 else 0.0, 0.05, n)) + (0 if r % 5 else np.linspace(0, -3, n))
-        for e in range(n):
-            rows.append((r, e + 1, float(round(base[e], 5) + (1e-5 if (r % 2 and e % 4 == 0) else 0))))
-    rows += [(99, i + 1, v) for i, v in enumerate([1.0, 0.9, 0.899995, 0.95, 0.95, 0.95])]
-    df = spark.createDataFrame(rows, "run int, epoch int, loss double")
-    a = sorted(tuple(x) for x in epochs.early_stop_fold(df, "run", "epoch", "loss", patience=4).collect())
-    b = sorted(tuple(x) for x in epochs.early_stop(df, "run", "epoch", "loss", patience=4, max_fold_len=0).collect())
-    assert a == b
-
-
-def test_lr_plateau_distributed_equals_fold(spark):
-    rng = np.random.default_rng(4)
-    rows = []
-    for r in range(20):
-        n = 1200 if r == 3 else int(rng.integers(1, 50))
-        v = np.exp(np.cumsum(rng.normal(-0.002, 0.01, n)))
-        for e in range(n):
-            rows.append((r, e + 1, float(v[e])))
-    df = spark.createDataFrame(rows, "run int, epoch int, loss double")
-    a = sorted(tuple(x) for x in epochs.lr_plateau(df, "run", "epoch", "loss").collect())
-    b = sorted(tuple(x) for x in epochs.lr_plateau(df, "run", "epoch", "loss", max_fold_len=0).collect())
-    assert a == b
+        out[r] = [(e + 1, float(round(base[e], 5))) for e in range(n)]
+    out[98] = [(i + 1, v) for i, v in enumerate([math.inf, math.nan, 3.0, math.nan, 2.0, math.inf, 2.0, 2.0, 2.0])]
+    out[99] = [(i + 1, v) for i, v in enumerate([1.0, 0.9, 0.95, 0.95, 0.95, 0.95])]
+    out[100] = [(10 * (i + 1), 1.0) for i in range(9)]  # gaps count as given
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 7, 300, 100_000])
+def test_histories_equal_the_plain_loop_at_any_block(spark, block):
+    hist = {r: h for r, h in _histories().items() if block > 1 or len(h) < 12}
+    df = spark.createDataFrame([(r, e, v) for r, h in hist.items() for e, v in h], "run int, epoch int, loss double").repartition(8)
+    got = {x["run"]: tuple(x)[1:] for x in epochs.early_stop(df, "run", "epoch", "loss", block=block).collect()}
+    assert got == {r: _stop(h) for r, h in hist.items()}
+    got = {x["run"]: tuple(x)[1:] for x in epochs.lr_plateau(df, "run", "epoch", "loss", block=block).collect()}
+    assert got == {r: _plateau(h) for r, h in hist.items()}
+
+
+@pytest.mark.parametrize("parts", [1, 8, 64])
+def test_long_run_and_epoch_numbers(spark, parts):
+    rng = np.random.default_rng(5)
+    v = np.minimum.accumulate(rng.normal(size=120_000)) + np.abs(rng.normal(size=120_000)) * 0.1 - np.linspace(0, 1, 120_000)
+    rows = [(1, i, float(x)) for i, x in enumerate(v)] + [(None, i, float(-i)) for i in range(50)] + [(2, 5, 1.0), (2, 3, 2.0)]
+    df = spark.createDataFrame(rows, "run int, at int, loss double")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        h = epochs.with_epoch_index(df, "run", ["at"]).persist()
+        assert h.where("run = 1 AND epoch <> at + 1").count() == 0 and h.count() == len(rows)
+        assert sorted((r["at"], r["epoch"]) for r in h.where("run = 2").collect()) == [(3, 1), (5, 2)]
+        got = {r["run"]: tuple(r)[1:] for r in epochs.early_stop(h, "run", "epoch", "loss", patience=500).collect()}
+        assert got[1] == _stop([(i + 1, float(x)) for i, x in enumerate(v)], 500) and got[None] == (None, -49.0, 50, 50)
+        got = {r["run"]: tuple(r)[1:] for r in epochs.lr_plateau(h, "run", "epoch", "loss").collect()}
+        assert got[1] == _plateau([(i + 1, float(x)) for i, x in enumerate(v)])
+        h.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
