@@ -38,7 +38,9 @@ from tablelearn.llm.common import ASCII_LOWER, WordHashes, chunks, hash64, mix64
 HASHES = 120
 BATCH = 20
 MISS = 1e-6
+#: A block of the comparison across components: rows, and shingles of their sets together.
 BLOCK = 256
+BLOCK_SHINGLES = 1_000_000
 #: Bits of the filter that keeps texts without candidate out of the verification's shuffle.
 FILTER_WORDS = 1 << 16
 _RNG = np.random.default_rng(20240601)
@@ -117,7 +119,7 @@ def sig_matrix(column) -> np.ndarray:
 
 
 def buckets(sigs: DataFrame, rows: int) -> DataFrame:
-    """(bucket, band, id): one row per band of each signature."""
+    """(bucket, id): one row per band of each signature."""
     bands = HASHES // rows
 
     def run(batches):
@@ -133,10 +135,9 @@ def buckets(sigs: DataFrame, rows: int) -> DataFrame:
                 key[:, k] = h
             ids = b.column(0).to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().view(np.int64)), pa.array(np.tile(np.arange(bands, dtype=np.int32), len(m))),
-                 pa.array(np.repeat(ids, bands))], ["bucket", "band", "id"])
+                [pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(ids, bands))], ["bucket", "id"])
 
-    return sigs.select("id", "sig").mapInArrow(run, "bucket long, band int, id long")
+    return sigs.select("id", "sig").mapInArrow(run, "bucket long, id long")
 
 
 def bayes_keep(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
@@ -235,49 +236,111 @@ def components(links: DataFrame) -> DataFrame:
     return labels if labels is not None else links.select(F.col("a").alias("id"), F.col("b").alias("root")).limit(0)
 
 
-def across(members: DataFrame, sigs: DataFrame, roots: DataFrame, threshold: float, rows: int) -> DataFrame:
-    """Candidate pairs of different components in a common bucket, after the sequential test.
+def equal_hashes(sl: np.ndarray, sr: np.ndarray, least: list[int]) -> np.ndarray:
+    """Mask of the row pairs of two blocks that survive every batch of the sequential test."""
+    equal = (sl[:, None, :BATCH] == sr[None, :, :BATCH]).sum(2, dtype=np.int32)
+    i, j = np.nonzero(equal >= least[0])
+    equal = equal[i, j]
+    for k, m in enumerate(least[1:], 1):
+        cut = slice(k * BATCH, (k + 1) * BATCH)
+        equal = equal + (sl[i, cut] == sr[j, cut]).sum(1, dtype=np.int32)
+        i, j, equal = i[equal >= m], j[equal >= m], equal[equal >= m]
+    mask = np.zeros((len(sl), len(sr)), bool)
+    mask[i, j] = True
+    return mask
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 1 << 13) -> np.ndarray:
+    """Exact intersection sizes of all pairs of two blocks of sets, as products of 0/1 matrices
+    over the shingles that both blocks hold."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    lf, rf = np.concatenate(left), np.concatenate(right)
+    common = np.intersect1d(lf, rf)
+    lrow, rrow = (np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right))
+    places = []
+    for flat, row in ((lf, lrow), (rf, rrow)):
+        at = np.minimum(np.searchsorted(common, flat), max(0, len(common) - 1))
+        ok = common[at] == flat if len(common) else np.zeros(len(flat), bool)
+        order = np.argsort(at[ok], kind="stable")
+        places.append((row[ok][order], at[ok][order]))
+    for c in range(0, len(common), width):
+        block = []
+        for (row, at), n in zip(places, (len(left), len(right))):
+            x = np.zeros((n, width), np.float32)
+            i, j = np.searchsorted(at, (c, c + width))
+            x[row[i:j], at[i:j] - c] = 1
+            block.append(x)
+        out += block[0] @ block[1].T
+    return out.astype(np.int64)
+
+
+def forest(pairs, roots: dict) -> list[tuple[int, int]]:
+    """Those of the links that join parts which earlier links and roots have not joined."""
+    up: dict = {}
+
+    def find(x):
+        while up.get(x, x) != x:
+            up[x] = up.get(up[x], up[x])
+            x = up[x]
+        return x
+    out = []
+    for a, b in pairs:
+        x, y = find(roots[a]), find(roots[b])
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            out.append((min(a, b), max(a, b)))
+    return out
 
-    In each bucket the largest component is held against all others, and these against one
-    another, by blocks of BLOCK rows; a pair comes out of its first common band only."""
-    least = least_equal(threshold)
-    m = (members.join(roots, "id", "left").select("bucket", "band", "id", F.coalesce("root", "id").alias("root")))
-    per = m.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    top = per.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"),
-                                    F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    top = top.select("bucket", F.col("top.root").alias("big"),
-                     F.ceil(F.col("top.n") / BLOCK).cast("int").alias("nb"),
-                     F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("no"))
+
+def across(members: DataFrame, sigs: DataFrame, roots: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Verified links between different components that meet in a bucket.
+
+    Buckets of equal membership count once.  In each bucket the largest component is held
+    against all others, and these against one another, by blocks of BLOCK rows and
+    BLOCK_SHINGLES shingles.  A block pair runs the sequential test on the signatures, then the
+    exact test on the sets of the survivors, and returns no more links than join its parts."""
+    least = least_equal(percent / 100)
+    m = members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+    same = m.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.min("root").alias("lo"),
+                                   F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"), F.max("root").alias("hi"))
+    one = same.where("lo <> hi").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+    m = m.join(one, "bucket", "left_semi").join(sigs.select("id", "n_shingles"), "id")
+    m = written(m, "neardup_mixed")
+    per = m.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+
+    def blocks(rows, size):
+        return F.greatest(F.ceil(rows / BLOCK), F.ceil(size / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    top = per.groupBy("bucket").agg(F.max(F.struct("n", "root", "s")).alias("top"), F.sum("n").alias("all"), F.sum("s").alias("sum"))
+    top = top.select("bucket", F.col("top.root").alias("big"), blocks(F.col("top.n"), F.col("top.s")).alias("nb"),
+                     blocks(F.col("all") - F.col("top.n"), F.col("sum") - F.col("top.s")).alias("no"))
     m = m.join(top, "bucket").withColumn("large", F.col("root") == F.col("big"))
     h = F.xxhash64("id")
     m = m.withColumn("own", F.when(F.col("large"), F.pmod(h, F.col("nb"))).otherwise(F.col("nb") + F.pmod(h, F.col("no"))).cast("int"))
     small = F.sequence(F.col("nb"), F.col("nb") + F.col("no") - 1)
     other = F.when(F.col("large"), small).otherwise(F.sequence(F.lit(0), F.col("nb") + F.col("no") - 1))
     m = m.withColumn("other", F.explode(other)).select(
-        "bucket", "band", "id", "root", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own")
-    m = m.join(sigs.select("id", "sig"), "id")
+        "bucket", "id", "root", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own")
+    m = m.join(sigs.select("id", "sig"), "id").join(needed_texts(docs, m.select("id").distinct()), "id")
+    hashes = WordHashes()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        p, q, band = int(pdf["p"].iat[0]), int(pdf["q"].iat[0]), int(pdf["band"].iat[0])
-        left = pdf[pdf["own"] == p].sort_values("id")
-        right = left if p == q else pdf[pdf["own"] == q].sort_values("id")
-        sl = np.frombuffer(b"".join(map(bytes, left["sig"])), np.uint32).reshape(-1, HASHES)
-        sr = np.frombuffer(b"".join(map(bytes, right["sig"])), np.uint32).reshape(-1, HASHES)
-        il, ir, rl, rr = (x.to_numpy() for x in (left["id"], right["id"], left["root"], right["root"]))
-        out = []
-        for i in range(len(il)):
-            js = np.flatnonzero(rr != rl[i])
-            if p == q:
-                js = js[ir[js] > il[i]]
-            if not len(js):
-                continue
-            js = js[bayes_keep(np.broadcast_to(sl[i], (len(js), HASHES)), sr[js], least)]
-            if band and len(js):
-                same = (sr[js, :band * rows] == sl[i, :band * rows]).reshape(len(js), band, rows).all(2).any(1)
-                js = js[~same]
-            out.append(np.stack((np.minimum(il[i], ir[js]), np.maximum(il[i], ir[js])), 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(pairs, columns=["a", "b"])
+        pdf = pdf.sort_values("id")
+        p, q = int(pdf["p"].iat[0]), int(pdf["q"].iat[0])
+        parts = [pdf[pdf["own"] == p]] if p == q else [pdf[pdf["own"] == p], pdf[pdf["own"] == q]]
+        left, right = parts[0], parts[-1]
+        sig = [np.frombuffer(b"".join(map(bytes, x["sig"])), np.uint32).reshape(-1, HASHES) for x in (left, right)]
+        mask = equal_hashes(*sig, least) & (left["root"].to_numpy()[:, None] != right["root"].to_numpy()[None, :])
+        i, j = np.flatnonzero(mask.any(1)), np.flatnonzero(mask.any(0))
+        found = []
+        if len(i):
+            sets = [[shingle_set(words_of(t), hashes, n) for t in x["text"].iloc[k]] for x, k in ((left, i), (right, j))]
+            size = [np.array([len(s) for s in x]) for x in sets]
+            both = overlaps(*sets)
+            ok = mask[np.ix_(i, j)] & (100 * both >= percent * (size[0][:, None] + size[1][None, :] - both))
+            ids = [x["id"].to_numpy() for x in (left, right)]
+            links = [(int(ids[0][i[a]]), int(ids[1][j[b]])) for a, b in zip(*np.nonzero(ok))]
+            found = forest(links, dict(zip(pdf["id"].tolist(), pdf["root"].tolist())))
+        return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
     return m.groupBy("bucket", "p", "q").applyInPandas(run, "a long, b long").distinct()
 
@@ -292,18 +355,16 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                     "neardup_copies")
     texts = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long"), F.col("text").cast("string"))
     sigs = every.join(first.select(F.col("rep").alias("id"), "key"), ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
-    sigs = written(sigs.select("id", "sig"), "neardup_distinct")
+    sigs = written(sigs.select("id", "n_shingles", "sig"), "neardup_distinct")
     banded = buckets(sigs, rows)
     stars = banded.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     members = written(banded.join(stars.select("bucket", "low"), "bucket"), "neardup_members")
     star = members.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
     links = written(verified(written(bayes(star, sigs, t), "neardup_star"), texts, n, percent), "neardup_links")
     roots = components(links)
-    more = written(across(members, sigs, roots, t, rows), "neardup_across")
+    more = written(across(members, sigs, roots, texts, n, percent), "neardup_across")
     if more.limit(1).count():
-        more = verified(more.join(star, ["a", "b"], "left_anti"), texts, n, percent)
-        links = written(links.unionByName(more), "neardup_links")
-        roots = components(links)
+        roots = components(links.unionByName(more))
     of = first.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("root", "rep").alias("root"))
     out = every.select("id", "key", "n_shingles").join(of, "key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
