@@ -1,6 +1,6 @@
 """Image feature jobs.  Decoding is Spark's ``image`` source (JVM, on executors); the
 per-image maths runs as numpy kernels over whole Arrow batches through ``mapInPandas``
-(one ``N×H×W`` array per batch, no per-row Python loop in the hot path).
+(one ``N×H×W`` array per batch and image size; only ``augment`` works image by image).
 
 Definitions (public library documentation, fixed here by tests):
 * resize: separable triangle ("bilinear") filter on pixel centres, support widened by the
@@ -238,43 +238,48 @@ def augment(df: DataFrame, key: str, col: str, h: int, w: int, copies: int = 1,
     return x.mapInPandas(run, f"{key} {kt}, copy int, {col} array<double>")
 
 
-def image_features_sized(df: DataFrame, key: str, rgb_col: str = "rgb", size: int = 64,
-                         hist_mode: str = "density", keep=()) -> DataFrame:
-    """Like ``image_features`` for images of differing sizes (``height``/``width`` columns):
-    each image is resized to size×size (8-bit fixed point), then the batch is featurised."""
-    keep = list(keep)
+def same_size_batches(pdf: pd.DataFrame):
+    """(row positions, N×H×W×3 RGB uint8) for each image size in a batch of decoded images
+    (columns height, width, channels, data: BGR(A) or grey bytes)."""
+    for (h, w, c), at in pdf.groupby(["height", "width", "channels"]).indices.items():
+        raw = np.frombuffer(b"".join(bytes(pdf["data"].iat[i]) for i in at), np.uint8).reshape(len(at), h, w, c)
+        yield at, np.repeat(raw, 3, axis=3) if c == 1 else raw[:, :, :, 2::-1]
 
-    def run(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            x = np.stack([resize_batch(np.asarray(v, dtype=np.uint8).reshape(1, h, w, 3), size, size, uint8=True)[0]
-                          for v, h, w in zip(pdf[rgb_col], pdf["height"], pdf["width"])]).astype(np.float64)
-            _, blocks = hog_batch(rgb_to_gray(x))
-            feats = np.concatenate([blocks, color_hist_batch(x, HIST_BINS, hist_mode)], axis=1).astype(np.float32)
-            out = pd.DataFrame({key: pdf[key].values, **{k: pdf[k].values for k in keep}})
-            out["features"] = list(feats)
-            yield out
-    kt = df.schema[key].dataType.simpleString()
-    extra = "".join(f", {k} {df.schema[k].dataType.simpleString()}" for k in keep)
-    return df.select(key, rgb_col, "height", "width", *keep).mapInPandas(run, f"{key} {kt}{extra}, features array<float>")
 
+def _resized(pdf: pd.DataFrame, size: int) -> np.ndarray:
+    x = np.empty((len(pdf), size, size, 3), np.uint8)
+    for at, rgb in same_size_batches(pdf):
+        x[at] = resize_batch(rgb, size, size, uint8=True)
+    return x
 
-def gray_pixels_sized(df: DataFrame, key: str, rgb_col: str = "rgb", size: int = 64, weights=GRAY_PIL_L,
-                      keep=()) -> DataFrame:
-    """Resize to size×size, grey ('L' weights on 0–255, rounded), normalise to [-1, 1]."""
+
+def _from_bytes(df: DataFrame, key: str, fn, column: str, element: str, keep) -> DataFrame:
+    """Decoded images → one feature array, straight from the bytes."""
     keep = list(keep)
 
     def run(it):
         for pdf in it:
-            if len(pdf) == 0:
-                continue
-            x = np.stack([resize_batch(np.asarray(v, dtype=np.uint8).reshape(1, h, w, 3), size, size, uint8=True)[0]
-                          for v, h, w in zip(pdf[rgb_col], pdf["height"], pdf["width"])])
-            g = np.clip(np.rint(rgb_to_gray(x, weights, unit=False)), 0, 255)
-            out = pd.DataFrame({key: pdf[key].values, **{k: pdf[k].values for k in keep}})
-            out["pixels"] = list(((g / 255.0 - 0.5) / 0.5).reshape(len(pdf), -1))
-            yield out
-    kt = df.schema[key].dataType.simpleString()
-    extra = "".join(f", {k} {df.schema[k].dataType.simpleString()}" for k in keep)
-    return df.select(key, rgb_col, "height", "width", *keep).mapInPandas(run, f"{key} {kt}{extra}, pixels array<double>")
+            if len(pdf):
+                out = pdf[[key, *keep]].copy()
+                out[column] = list(fn(pdf))
+                yield out
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in [key, *keep])
+    return df.select(key, "height", "width", "channels", "data", *keep).mapInPandas(run, f"{kinds}, {column} array<{element}>")
+
+
+def image_features_sized(df: DataFrame, key: str, size: int = 64, hist_mode: str = "density", keep=()) -> DataFrame:
+    """Like ``image_features`` for decoded images of differing sizes: the images of one size are
+    resized together to size×size (8-bit fixed point), then the batch is featurised."""
+    def fn(pdf):
+        x = _resized(pdf, size).astype(np.float64)
+        _, blocks = hog_batch(rgb_to_gray(x))
+        return np.concatenate([blocks, color_hist_batch(x, HIST_BINS, hist_mode)], axis=1).astype(np.float32)
+    return _from_bytes(df, key, fn, "features", "float", keep)
+
+
+def gray_pixels_sized(df: DataFrame, key: str, size: int = 64, weights=GRAY_PIL_L, keep=()) -> DataFrame:
+    """Resize to size×size, grey ('L' weights on 0–255, rounded), normalise to [-1, 1]."""
+    def fn(pdf):
+        g = np.clip(np.rint(rgb_to_gray(_resized(pdf, size), weights, unit=False)), 0, 255)
+        return ((g / 255.0 - 0.5) / 0.5).reshape(len(pdf), -1)
+    return _from_bytes(df, key, fn, "pixels", "double", keep)

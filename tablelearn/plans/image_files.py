@@ -18,47 +18,79 @@ from tablelearn.operators import score as scoring
 from tablelearn.sources import images as imgsrc
 
 
-def labelled_images(spark: SparkSession, root: str, layout: str = "folder", classes=None,
-                    on_bad: str = "skip") -> tuple[DataFrame, list]:
-    """(path, label, [subject], height, width, rgb) for every decodable, labelled image."""
-    df = imgsrc.to_rgb_arrays(imgsrc.read_images(spark, root, on_bad=on_bad))
+MAX_CLASSES = 10_000
+
+
+def label_files(df: DataFrame, layout: str, classes) -> DataFrame:
+    """Add label (and subject for "tree") from the path alone; files of other classes go."""
     if layout == "folder":
         df = df.withColumn("class_name", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
-        if classes is None:
-            classes = sorted(r["class_name"] for r in df.select("class_name").distinct().limit(10001).collect())
-        df = df.join(F.broadcast(imgsrc.class_table(spark, classes)), "class_name")
-    elif layout == "prefix":
-        df, _ = imgsrc.label_by_prefix(df, "path", classes)
-    elif layout == "tree":
-        df = imgsrc.index_tree(df, "path", classes)
-    else:
-        raise ValueError(layout)
-    if df.isEmpty():
+        return df.join(F.broadcast(imgsrc.class_table(df.sparkSession, classes)), "class_name")
+    if layout == "prefix":
+        return imgsrc.label_by_prefix(df, "path", classes)[0]
+    if layout == "tree":
+        return imgsrc.index_tree(df, "path", classes)
+    raise ValueError(layout)
+
+
+def class_names(spark: SparkSession, root: str) -> list[str]:
+    """Folder names that hold images, sorted; reads paths only."""
+    files = imgsrc.list_files(spark, root).where(imgsrc.has_image_ext(F.col("path")))
+    names = files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("c")).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(names) > MAX_CLASSES:
+        raise DataLoadError(f"more than {MAX_CLASSES} class folders under {root}")
+    return sorted(r["c"] for r in names)
+
+
+def labelled_images(spark: SparkSession, root: str, layout: str = "folder", classes=None,
+                    on_bad: str = "skip") -> tuple[DataFrame, list]:
+    """(path, label, [subject], height, width, channels, data) for every decodable, labelled image."""
+    if layout == "folder" and classes is None:
+        classes = class_names(spark, root)
+    if label_files(imgsrc.list_files(spark, root), layout, classes).isEmpty():
         raise DataLoadError(f"no labelled images under {root}")
-    return df, list(classes)
+    return label_files(imgsrc.read_images(spark, root, on_bad=on_bad), layout, classes), list(classes)
 
 
 def train_classifier(spark: SparkSession, root: str, layout: str = "folder", classes=None, backend: str = "forest",
                      test: float = 0.2, val: float = 0.0, seed: int = 42, on_bad: str = "skip",
                      hist_mode: str = "density", **model_kw) -> dict:
-    """Projects D/F: split by path hash (stratified), HOG + histogram, scaler on train, classifier."""
+    """Projects D/F: HOG + histogram, split by path hash (stratified), scaler on train, classifier.
+
+    Every image is read and decoded once, into a persisted feature table; the split reads that
+    table's path and label."""
     df, classes = labelled_images(spark, root, layout, classes, on_bad)
-    parts = split.stratified(df, "path", "label", test, val, seed)
-    feats = (images.image_features_sized(parts, "path", "rgb", 64, hist_mode, keep=("label", "split"))
-             .select("path", "label", "split", array_to_vector("features").alias("raw"))
+    feats = (images.image_features_sized(df, "path", 64, hist_mode, keep=("label",))
+             .select("path", "label", array_to_vector("features").alias("raw"))
              .persist(StorageLevel.MEMORY_AND_DISK))
-    mean, std = scale.fit_vector_scaler(feats.where("split = 'train'"), "raw")
-    scaled = (scale.apply_vector_scaler(feats, "raw", mean, std, out="features").drop("raw")
+    parts = split.stratified(feats, "path", "label", test, val, seed)
+    mean, std = scale.fit_vector_scaler(parts.where("split = 'train'"), "raw")
+    scaled = (scale.apply_vector_scaler(parts, "raw", mean, std, out="features").drop("raw")
               .persist(StorageLevel.MEMORY_AND_DISK))  # read by gamma, fit and scoring
     model = classify.fit_classifier(scaled.where("split = 'train'"), "features", "label", backend, len(classes), seed,
                                     **model_kw)
     pred = (model.transform(scaled.where("split <> 'train'"))
             .select("path", "split", "label", F.col("prediction").cast("int").alias("prediction"))
             .persist(StorageLevel.MEMORY_AND_DISK))
+    pred.count()
+    for df in (scaled, feats):
+        df.unpersist()
     return {"model": model, "classes": classes, "scaler": (mean, std), "predictions": pred,
             "report": metrics.report(pred, "label", "prediction", list(range(len(classes))))}
 
 
+def score_folder(spark: SparkSession, root: str, model, scaler, classes, hist_mode: str = "density",
+                 on_bad: str = "skip") -> DataFrame:
+    """Unlabelled images → (id, predicted_class): the file stem is the id; no image is an error."""
+    if imgsrc.list_files(spark, root).where(imgsrc.has_image_ext(F.col("path"))).isEmpty():
+        raise DataLoadError(f"no images under {root}")
+    feats = images.image_features_sized(imgsrc.read_images(spark, root, on_bad=on_bad), "path", 64, hist_mode)
+    rows = scale.apply_vector_scaler(feats.select("path", array_to_vector("features").alias("raw")), "raw", *scaler, out="features")
+    names = F.array(*[F.lit(c) for c in classes])
+    return model.transform(rows).select(imgsrc.stem(F.col("path")).alias("id"),
+                                        F.element_at(names, (F.col("prediction") + 1).cast("int")).alias("predicted_class"))
+
+
 def predictions_with_kcal(pred: DataFrame, classes, kcal: DataFrame) -> DataFrame:
     """Project F's predictions table: true/predicted class, their kcal (default for unknown), correct."""
     t = scoring.predictions_table(pred, "label", "prediction", classes, kcal, "class", "kcal")
@@ -71,10 +103,10 @@ def train_gestures(spark: SparkSession, root: str, classes, test: float = 0.15,
     """Project G: <subject>/<class>/<frame> tree → grey 64×64 in [-1, 1] → MLP trained in
     warm-started rounds with a validation history, early stop and best checkpoint → report."""
     df, classes = labelled_images(spark, root, "tree", classes)
-    parts = split.stratified(df, "path", "label", test, val, seed)
-    px = (images.gray_pixels_sized(parts, "path", "rgb", 64, keep=("label", "split"))
-          .select("path", "label", "split", array_to_vector("pixels").alias("features"))
+    px = (images.gray_pixels_sized(df, "path", 64, keep=("label",))
+          .select("path", "label", array_to_vector("pixels").alias("features"))
           .persist(StorageLevel.MEMORY_AND_DISK))
+    px = split.stratified(px, "path", "label", test, val, seed)
     hist, best = classify.epoch_training(px.where("split = 'train'"), px.where("split = 'val'"), "features", "label",
                                          len(classes), hidden=hidden, rounds=rounds, iters_per_round=iters_per_round,
                                          seed=seed, patience=patience)

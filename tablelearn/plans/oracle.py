@@ -248,6 +248,18 @@ ORACLE["stratified_folds"] = f"""WITH {EMB}
 SELECT vec_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {H('vec_id')}, vec_id) - 1) % 3 AS INT) AS fold
 FROM emb"""
 
+ORACLE["stratified_folds_nulls"] = f"""WITH {EMB}
+SELECT vec_id, nullif(label, 3) AS label,
+       CAST((row_number() OVER (PARTITION BY nullif(label, 3) ORDER BY {H('vec_id')}, vec_id) - 1) % 3 AS INT) AS fold
+FROM emb"""
+
+ORACLE["split_by_group_nulls"] = """WITH d AS (SELECT doc_id, nullif(source, 'src0') AS source FROM documents),
+g AS (SELECT source, count(*) AS w, md5('42' || coalesce(':' || source, '')) AS h FROM d GROUP BY source),
+c AS (SELECT source, COALESCE(SUM(w) OVER (ORDER BY h, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             CAST(ceil(SUM(w) OVER () * CAST(0.2 AS DOUBLE)) AS BIGINT) AS quota FROM g)
+SELECT d.doc_id, d.source, CASE WHEN c.before < c.quota THEN 'test' ELSE 'train' END AS split
+FROM d JOIN c ON c.source IS NOT DISTINCT FROM d.source"""
+
 # ---------------------------------------------------------------- regression + metrics
 SIMPLE_PRED = f"""{OF},
 c AS (SELECT covar_pop(qty, target) / var_pop(qty) AS b,

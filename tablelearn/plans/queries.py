@@ -247,6 +247,20 @@ def stratified_folds(spark, sf):
     return split.stratified_kfold(emb(spark, sf).select("vec_id", "label"), "vec_id", "label", 3, 42)
 
 
+@q
+def stratified_folds_nulls(spark, sf):
+    """Folds over labels of which one is missing: null is a stratum and keeps its rows."""
+    e = emb(spark, sf).select("vec_id", F.expr("nullif(label, 3)").alias("label"))
+    return split.stratified_kfold(e, "vec_id", "label", 3, 42)
+
+
+@q
+def split_by_group_nulls(spark, sf):
+    """Holdout by group where some rows have no group: they stay together."""
+    d = spark.read.parquet(table_path(sf, "documents")).select("doc_id", F.expr("nullif(source, 'src0')").alias("source"))
+    return split.split_by_group(d, "source", 0.2, 42)
+
+
 @q
 def split_disjoint(spark, sf):
     h = split.holdout(order_feats(spark, sf).select("id"), "id", 0.2, 42)
@@ -667,9 +681,8 @@ def index_tree(spark, sf):
 def drop_invalid(spark, sf):
     """Unusable rows (null or blank text) are skipped and counted per language."""
     d = spark.read.parquet(table_path(sf, "documents")).select("lang", "text")
-    bad = F.col("text").isNull() | (F.trim(F.col("text")) == "")
-    return d.groupBy("lang").agg(F.count_if(~bad).cast("bigint").alias("n_valid"),
-                                 F.count_if(bad).cast("bigint").alias("n_invalid"))
+    ok = F.col("text").isNotNull() & (F.trim(F.col("text")) != "")
+    return d.groupBy("lang").agg(*imgsrc.valid_counts(ok))
 
 
 @q

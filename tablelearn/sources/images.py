@@ -3,8 +3,6 @@ content column pruned); decoding is Spark's ``image`` source on the executors.""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,16 +61,20 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None, recursiv
     return r.load(root).select("path", "length")
 
 
+def _decoded(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    df = (spark.read.format("image").option("dropInvalid", "false")
+          .option("recursiveFileLookup", str(recursive).lower()).load(root))
+    return df.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
+                     F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"),
+                     F.col("image.data").alias("data"))
+
+
 def read_images(spark: SparkSession, root: str, on_bad: str = "skip", recursive: bool = True) -> DataFrame:
     """Decode with the ``image`` source → (path, height, width, channels, data BGR bytes).
 
     on_bad="skip" drops unreadable files; "fail" raises if any file cannot be decoded
     (bad files come back with height −1 when not dropped)."""
-    df = (spark.read.format("image").option("dropInvalid", "false")
-          .option("recursiveFileLookup", str(recursive).lower()).load(root))
-    df = df.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
-                   F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"),
-                   F.col("image.data").alias("data"))
+    df = _decoded(spark, root, recursive)
     if on_bad == "fail":
         bad = df.where("height < 0").limit(1).count()
         if bad:
@@ -82,23 +84,12 @@ def read_images(spark: SparkSession, root: str, on_bad: str = "skip", recursive:
     return df.where("height >= 0")
 
 
-def to_rgb_arrays(df: DataFrame, key: str = "path", keep=()) -> DataFrame:
-    """BGR(A)/grey bytes → flattened RGB int arrays (H·W·3), per Arrow batch."""
-    keep = list(keep)
-
-    def run(it):
-        for pdf in it:
-            out = []
-            for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["channels"], pdf["data"]):
-                a = np.frombuffer(bytes(data), dtype=np.uint8).reshape(h, w, c)
-                rgb = np.repeat(a, 3, axis=2) if c == 1 else a[:, :, 2::-1] if c >= 3 else a
-                out.append(rgb.reshape(-1).astype(np.int32))
-            res = pd.DataFrame({key: pdf[key].values, "height": pdf["height"].values, "width": pdf["width"].values})
-            for k in keep:
-                res[k] = pdf[k].values
-            res["rgb"] = out
-            yield res
-    kt = df.schema[key].dataType.simpleString()
-    extra = "".join(f", {k} {df.schema[k].dataType.simpleString()}" for k in keep)
-    return df.select(key, "height", "width", "channels", "data", *keep).mapInPandas(
-        run, f"{key} {kt}, height int, width int{extra}, rgb array<int>")
+def skipped_counts(spark: SparkSession, root: str, group: Column | None = None) -> DataFrame:
+    """(group, n_valid, n_invalid): how many files decode and how many ``on_bad="skip"`` leaves out."""
+    df = _decoded(spark, root)
+    return df.groupBy((group if group is not None else F.lit("all")).alias("grp")).agg(*valid_counts(F.col("height") >= 0))
+
+
+def valid_counts(ok: Column) -> list[Column]:
+    """Counts of usable and of skipped rows, as the readers report them."""
+    return [F.count_if(ok).cast("bigint").alias("n_valid"), F.count_if(~ok).cast("bigint").alias("n_invalid")]

@@ -1,9 +1,12 @@
 import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from tablelearn.errors import DataLoadError
 from tablelearn.plans import image_files
+from tablelearn.sources import images as imgsrc
 from tests.conftest import write_png
 
 
@@ -29,6 +32,12 @@ def test_folder_layout_forest_and_kcal_table(spark, tmpdir_path):
     assert pred.count() == 4
     acc = pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
     assert acc >= 0.75  # 16 training images, 1812-d: the point is the file path, not the learner
+    new = {}
+    for i in range(3):
+        _make(tmpdir_path + "-new", f"in/p{i}.png", (220, 40, 30), rng, size=(20, 10))
+    for r in image_files.score_folder(spark, tmpdir_path + "-new/in", out["model"], out["scaler"], out["classes"]).collect():
+        new[r["id"]] = r["predicted_class"]
+    assert set(new) == {"p0", "p1", "p2"} and set(new.values()) <= {"pizza", "sushi"}
     kcal = spark.createDataFrame([("pizza", 266), ("default", 250)], "class string, kcal int")
     t = image_files.predictions_with_kcal(pred, out["classes"], kcal).collect()
     assert {r["true_class"]: r["true_calories_kcal_100g"] for r in t} == {"pizza": 266, "sushi": 250}
@@ -57,3 +66,17 @@ def test_gesture_tree_epochs(spark, tmpdir_path):
     assert 1 <= len(h) <= 3 and all(0 <= r["val_acc"] <= 1 for r in h)
     if "report" in out:
         assert {r["label"] for r in out["report"].collect()} >= {"0", "1", "accuracy"}
+
+
+def test_no_images_is_an_error_and_labels_come_from_paths(spark, tmpdir_path):
+    os.makedirs(f"{tmpdir_path}/none")
+    with open(f"{tmpdir_path}/none/a.txt", "w") as f:
+        f.write("x")
+    with pytest.raises(DataLoadError):
+        image_files.score_folder(spark, f"{tmpdir_path}/none", None, None, [])
+    rng = np.random.default_rng(0)
+    for c in ("a", "b"):
+        _make(tmpdir_path, f"imgs/{c}/1.png", (1, 2, 3), rng)
+    assert image_files.class_names(spark, f"{tmpdir_path}/imgs") == ["a", "b"]
+    plan = image_files.label_files(imgsrc.list_files(spark, f"{tmpdir_path}/imgs"), "folder", ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "content" not in plan

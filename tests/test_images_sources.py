@@ -44,8 +44,10 @@ def test_image_source_bgr_to_rgb_and_bad_files(spark, tmpdir_path):
     with open(f"{tmpdir_path}/imgs/cat/broken.png", "wb") as f:
         f.write(b"fake")
     df = imgsrc.read_images(spark, f"{tmpdir_path}/imgs", on_bad="skip")
-    r = imgsrc.to_rgb_arrays(df).collect()
-    assert len(r) == 1 and list(r[0]["rgb"]) == [255, 0, 0, 0, 255, 0, 0, 0, 255, 10, 20, 30]
+    (at, rgb), = images.same_size_batches(df.toPandas())
+    assert list(at) == [0] and rgb.ravel().tolist() == [255, 0, 0, 0, 255, 0, 0, 0, 255, 10, 20, 30]
+    n = imgsrc.skipped_counts(spark, f"{tmpdir_path}/imgs").first()
+    assert (n["n_valid"], n["n_invalid"]) == (1, 1)
     with pytest.raises(DataLoadError):
         imgsrc.read_images(spark, f"{tmpdir_path}/imgs", on_bad="fail")
 
