@@ -1,20 +1,50 @@
-"""Corpus pipeline: stages over ``documents``, each written as Parquet and read again."""
+"""Corpus pipeline: from ``documents`` to clean, distinct, redacted, tokenised texts.
+
+Each stage works on the rows that the one before kept, is written as Parquet to the shared
+folder and read again, so a lost executor costs no finished stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablelearn.llm import bpe
+from tablelearn.llm import bpe, decontam, langid, neardup, pii
 from tablelearn.llm.common import setup, table, written
 from tablelearn.llm.queries import vocabulary
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with a score of 0.5 or more."""
+    return langid.keep_known(docs, langid.fit(docs), 0.5)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest id, of each group of near copies (5-word shingles, 80 %)."""
+    return neardup.one_of_each(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by its kind; ``n_chars`` follows the new text."""
+    setup(spark)
+    out = pii.redact(docs)
+    if "n_chars" not in out.columns:
+        return out
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every remaining document."""
-    return bpe.encode(docs, vocabulary())
+    """Token ids of every remaining text, and the digest of the text decoded from them."""
+    out = bpe.encode(docs, vocabulary(), decoded=True)
+    return out.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [("language", language), ("distinct", distinct), ("decontaminated", decontaminated), ("redacted", redacted), ("tokens", tokens)]
 
 #: SQL cannot express the learned stages; tests hold the rows against a brute-force version.
 ORACLE_SQL = None

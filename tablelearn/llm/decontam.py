@@ -168,7 +168,24 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, least: float = 0
                       (F.col("shared") / F.col("item_shingles")).alias("containment"))
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """Rows of documents that hold no item; all columns stay."""
-    bad = contaminated(docs, items, id_col=id_col, **how).select(id_col).distinct()
-    return docs.join(bad.withColumnRenamed(id_col, "_bad"), docs[id_col].eqNullSafe(F.col("_bad")), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, n: int = 5, least: float = 0.8, text_col: str = "text",
+          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Rows of documents that hold no item, all columns; a filter row by row, without shuffle."""
+    spark = setup(docs.sparkSession)
+    at, out = docs.columns.index(text_col), docs
+    for ids, sets in item_blocks(items, n, item_id, item_text):
+        shared = spark.sparkContext.broadcast(Index(ids, sets))
+
+        def run(batches, shared=shared):
+            hashes = WordHashes(plain)
+            for b in batches:
+                texts, keep = b.column(at).to_pylist(), np.ones(b.num_rows, bool)
+                for i, j in chunks([len(t or "") for t in texts]):
+                    some = [(i + k, d) for k, d in enumerate(shingles(t, hashes, n) for t in texts[i:j]) if len(d)]
+                    if some:
+                        for d, *_ in shared.value.matches([d for _, d in some], least):
+                            keep[some[d][0]] = False
+                yield b.filter(pa.array(keep))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out

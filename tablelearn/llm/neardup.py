@@ -167,15 +167,29 @@ def bayes(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def needed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that may be among ``ids``: a bit filter of fixed size goes to all tasks,
-    so that texts without candidate are not shuffled.  A superset; a join follows."""
+def bit_filter(ids: DataFrame) -> DataFrame:
+    """(_w, _bits): a bit set of fixed size, FILTER_WORDS rows at most, with the bits of all ids."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS * 64))
+    return (ids.select("id").withColumn("_p", slot).select(F.floor(F.col("_p") / 64).alias("_w"), _bit().alias("_bit"))
+            .groupBy("_w").agg(F.bit_or("_bit").alias("_bits")))
+
+
+def _bit():
+    return F.expr("shiftleft(1L, cast(_p % 64 as int))")
+
+
+def flagged(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` with ``_maybe``: false where the id is surely not among ``ids``.  The bit set goes
+    to all tasks, so rows without the flag need no shuffle."""
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS * 64))
-    word, bit = F.floor(slot / 64).alias("_w"), F.expr("shiftleft(1L, cast(_p % 64 as int))")
-    bits = (ids.select("id").withColumn("_p", slot).select(F.floor(F.col("_p") / 64).alias("_w"), bit.alias("_bit"))
-            .groupBy("_w").agg(F.bit_or("_bit").alias("_bits")))  # at most FILTER_WORDS rows
-    return (docs.withColumn("_p", slot).withColumn("_w", word).join(F.broadcast(bits), "_w")
-            .where(F.col("_bits").bitwiseAND(bit) != 0).select("id", "text"))
+    out = docs.withColumn("_p", slot).withColumn("_w", F.floor(F.col("_p") / 64)).join(F.broadcast(bit_filter(ids)), "_w", "left")
+    maybe = F.col("id").isNotNull() & (F.coalesce(F.col("_bits"), F.lit(0)).bitwiseAND(_bit()) != 0)
+    return out.withColumn("_maybe", maybe).drop("_w", "_p", "_bits")
+
+
+def needed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that may be among ``ids``: a superset, a join follows."""
+    return flagged(docs, ids).where("_maybe").select("id", "text")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -370,3 +384,16 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
                       (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows, all columns, of the documents that are the smallest id of their component.  Only rows
+    that may have to go are shuffled."""
+    drop = near_duplicates(docs, n, percent, id_col, text_col).where("NOT kept")
+    drop = written(drop.select(F.col(id_col).alias("id")).distinct(), "neardup_dropped")
+    names = docs.columns
+    at = names.index(id_col)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("id", F.col(f"c{at}").cast("long"))
+    rows = flagged(plain, drop)
+    kept = rows.where("NOT _maybe").unionByName(rows.where("_maybe").join(drop, "id", "left_anti").select(rows.columns))
+    return kept.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)

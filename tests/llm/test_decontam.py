@@ -63,3 +63,10 @@ def test_empty_tables(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
     assert decontam.contaminated(d, b.limit(0)).collect() == [] == decontam.contaminated(d.limit(0), b).collect()
+    assert decontam.clean(d, b.limit(0)).count() == len(docs) and decontam.clean(d.limit(0), b).collect() == []
+
+
+def test_a_null_id_is_judged_by_its_own_text(spark):
+    _, items = data()
+    d = spark.createDataFrame([(None, items[3][1], 1), (None, "something else", 2)], "doc_id long, text string, _bad int")
+    assert [r["_bad"] for r in decontam.clean(d, spark.createDataFrame(items, "item_id long, text string")).collect()] == [2]
