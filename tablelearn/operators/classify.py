@@ -57,16 +57,17 @@ class RFF(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, Default
     gamma = Param(Params._dummy(), "gamma", "RBF gamma", typeConverter=TypeConverters.toFloat)
     nComponents = Param(Params._dummy(), "nComponents", "number of features D", typeConverter=TypeConverters.toInt)
     seed = Param(Params._dummy(), "seed", "generator seed", typeConverter=TypeConverters.toInt)
+    inputDim = Param(Params._dummy(), "inputDim", "length of the input vectors", typeConverter=TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, inputCol="features", outputCol="rff", gamma=1.0, nComponents=2000, seed=42):
+    def __init__(self, inputCol="features", outputCol="rff", gamma=1.0, nComponents=2000, seed=42, inputDim=0):
         super().__init__()
-        self._setDefault(gamma=1.0, nComponents=2000, seed=42)
+        self._setDefault(gamma=1.0, nComponents=2000, seed=42, inputDim=0)
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        d = len(df.select(self.getInputCol()).first()[0])
-        w, b = rff_matrix(d, self.getOrDefault(self.nComponents), self.getOrDefault(self.gamma),
+        """Only a projection: no job runs, so empty tables and streams can be scored."""
+        w, b = rff_matrix(self.getOrDefault(self.inputDim), self.getOrDefault(self.nComponents), self.getOrDefault(self.gamma),
                           self.getOrDefault(self.seed))
         z = rff_column(vector_to_array(F.col(self.getInputCol())), w, b)
         return df.withColumn(self.getOutputCol(), array_to_vector(z))
@@ -86,6 +87,28 @@ def gamma_scale(df: DataFrame, vec: str) -> float:
     return 1.0 / (d * total_var) if total_var > 0 else 1.0
 
 
+def resolve_gamma(df: DataFrame, vec: str, gamma) -> float:
+    """A number as it is; "scale" = 1 / (d · Var(X)), "auto" = 1 / d."""
+    if gamma == "scale":
+        return gamma_scale(df, vec)
+    return 1.0 / width(df, vec) if gamma == "auto" else float(gamma)
+
+
+def width(df: DataFrame, vec: str) -> int:
+    row = df.select(vec).first()
+    if row is None:
+        raise ModelError("cannot fit on an empty table")
+    return len(row[0])
+
+
+ROWS_PER_TASK = 2_000
+
+
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """Iterative fits run one small job per step: no more partitions than their rows fill."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def make_estimator(backend: str, n_features: int, n_classes: int, features: str = "features", label: str = "label",
                    seed: int = 42, **kw):
     if backend == "forest":
@@ -106,7 +129,7 @@ def make_estimator(backend: str, n_features: int, n_classes: int, features: str
         if backend == "svm_linear":
             return est
         rff = RFF(inputCol=features, outputCol="_svm_in", gamma=kw["gamma"], nComponents=kw.get("n_components", 2000),
-                  seed=seed)
+                  seed=seed, inputDim=n_features)
         return Pipeline(stages=[rff, est])
     raise ModelError(f"unknown backend {backend!r}; choose one of {BACKENDS}")
 
@@ -115,13 +138,14 @@ def fit_classifier(df: DataFrame, features: str, label: str, backend: str, n_cla
     """Fit by backend name; returns a fitted Spark model (fit/transform/save/load interface)."""
     if backend not in BACKENDS:
         raise ModelError(f"unknown backend {backend!r}; choose one of {BACKENDS}")
-    n_features = len(df.select(features).first()[0])
-    if backend == "svm_rbf" and "gamma" not in kw:
-        kw["gamma"] = gamma_scale(df, features)
+    n_features = width(df, features)
+    if backend == "svm_rbf":
+        kw["gamma"] = resolve_gamma(df, features, kw.get("gamma", "scale"))
+    n = df.count()
     if backend == "svm_rbf" and "reg_param" not in kw:
-        kw["reg_param"] = 1.0 / (df.count() * kw.get("C", 5.0))
+        kw["reg_param"] = 1.0 / (n * kw.get("C", 5.0))
     est = make_estimator(backend, n_features, n_classes, features, label, seed, **kw)
-    return est.fit(df.withColumn(label, F.col(label).cast("double")))
+    return est.fit(few_tasks(df.withColumn(label, F.col(label).cast("double")), n))
 
 
 def margin(df: DataFrame, raw: str = "rawPrediction", out: str = "margin") -> DataFrame:
@@ -140,14 +164,21 @@ def platt_apply(score_col, a: float, b: float):
     return 1.0 / (1.0 + F.exp(F.lit(a) * score_col + F.lit(b)))
 
 
-def grid_search(df: DataFrame, features: str, label: str, fold: str, gammas, cs, n_components: int = 500,
-                seed: int = 42, parallelism: int = 12):
+def svm_probability(model, train: DataFrame, df: DataFrame, label: str, out: str = "probability") -> DataFrame:
+    """Score ``df`` with a two-class SVM and add P(label = 1): a sigmoid of the margin, fitted on
+    the margins of ``train``."""
+    a, b = platt_fit(margin(model.transform(train)), "margin", label)
+    return margin(model.transform(df)).withColumn(out, platt_apply(F.col("margin"), a, b))
+
+
+def grid_search(df: DataFrame, features: str, label: str, fold: str, gammas=("scale", "auto"), cs=(0.5, 1.0, 5.0, 10.0),
+                n_components: int = 2000, seed: int = 42, parallelism: int = 8):
     """C × gamma grid for the RFF-SVM, k-fold by a fold column, mean accuracy per cell.
 
-    Every (gamma, C, fold) fit is an independent Spark job over one cached table; they run
-    concurrently from a driver thread pool (the fits themselves stay distributed).  C is
-    applied per training sample as in the reference: regParam = 1/(n_train·C).
-    Returns (rows (gamma, C, accuracy), model refitted on all rows with the best cell).
+    The RFF block of a gamma is computed once and persisted; the fits of its (C, fold) cells are
+    independent Spark jobs over it, started from a driver thread pool.  C is applied per training
+    sample as in the reference: regParam = 1/(n_train·C).
+    Returns (rows (gamma, C, accuracy, rows scored), model refitted on all rows with the best cell).
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -155,32 +186,34 @@ def grid_search(df: DataFrame, features: str, label: str, fold: str, gammas, cs,
     data = data.select(features, label, fold).persist()
     sizes = {r[fold]: r["n"] for r in data.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
-    folds = sorted(sizes)
-
-    def fit(g, c, train, n_train):
-        rff = RFF(inputCol=features, outputCol="_svm_in", gamma=float(g), nComponents=n_components, seed=seed)
-        svc = LinearSVC(featuresCol="_svm_in", labelCol=label, standardization=False, maxIter=100, tol=1e-4,
-                        regParam=1.0 / (n_train * c))
-        return Pipeline(stages=[rff, svc]).fit(train)
-
-    def run(t):
-        g, c, f = t
-        m = fit(g, c, data.where(F.col(fold) != f), total - sizes[f])
-        acc = m.transform(data.where(F.col(fold) == f)).agg(
-            F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("a")).first()["a"]
-        return g, c, f, float(acc)
-    tasks = [(g, c, f) for g in gammas for c in cs for f in folds]
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as ex:
-        res = list(ex.map(run, tasks))
-    rows = []
+    d = width(data, features)
+    rows, best = [], None
     for g in gammas:
+        rff = RFF(inputCol=features, outputCol="_svm_in", gamma=resolve_gamma(data, features, g), nComponents=n_components,
+                  seed=seed, inputDim=d)
+        z = few_tasks(rff.transform(data).select("_svm_in", label, fold), total).persist()
+
+        def svc(c, n):
+            return LinearSVC(featuresCol="_svm_in", labelCol=label, standardization=False, maxIter=100, tol=1e-4,
+                             regParam=1.0 / (n * c))
+
+        def cell(t):
+            c, f = t
+            held = z.where(F.col(fold) == f)
+            m = svc(c, total - sizes[f]).fit(z.where(F.col(fold) != f))
+            return m.transform(held).agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("a")).first()["a"]
+        tasks = [(c, f) for c in cs for f in sorted(sizes)]
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as ex:
+            acc = dict(zip(tasks, ex.map(cell, tasks)))
         for c in cs:
-            accs = [a for gg, cc, _, a in res if gg == g and cc == c]
-            rows.append((float(g), float(c), float(sum(accs) / len(accs))))
-    best = max(rows, key=lambda r: (r[2], -r[0], -r[1]))
-    model = fit(best[0], best[1], data, total)
+            mine = [acc[c, f] for f in sorted(sizes)]
+            rows.append((str(g), float(c), float(sum(mine) / len(mine)), total))
+        top = max((r for r in rows if r[0] == str(g)), key=lambda r: (r[2], -r[1]))
+        if best is None or top[2] > best[0]:
+            best = (top[2], Pipeline(stages=[rff, svc(top[1], total)]).fit(data))
+        z.unpersist()
     data.unpersist()
-    return rows, model
+    return rows, best[1]
 
 
 def epoch_training(train: DataFrame, val: DataFrame, features: str, label: str, n_classes: int,
@@ -191,9 +224,9 @@ def epoch_training(train: DataFrame, val: DataFrame, features: str, label: str,
     History rows (epoch, train_loss, train_acc, val_loss, val_acc); best = first epoch with
     the strictly greatest val accuracy (> 0); early stop on val loss as the reference does.
     """
-    n_features = len(train.select(features).first()[0])
+    n_features = width(train, features)
     layers = [n_features, *hidden, n_classes]
-    tr = train.withColumn(label, F.col(label).cast("double")).cache()
+    tr = few_tasks(train.withColumn(label, F.col(label).cast("double")), train.count()).cache()
     va = val.withColumn(label, F.col(label).cast("double")).cache()
     weights, hist, best_acc, best_model, best_loss, counter = None, [], 0.0, None, float("inf"), 0
 

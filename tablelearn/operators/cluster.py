@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -86,13 +88,23 @@ def fit_kmeans(df: DataFrame, vec: str, k: int = 5, restarts: int = 10, max_iter
     return [cents[i] for i in order], float(cost)
 
 
-def elbow(df: DataFrame, vec: str, ks=range(2, 11), restarts: int = 10, seed: int = 42, parallelism: int = 4):
-    """(k, inertia) for each k on one cached table."""
-    spark = df.sparkSession
-    cached = df.select(vec).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = [(int(k), fit_kmeans(cached, vec, k, restarts, seed=seed, parallelism=parallelism)[1]) for k in ks]
+def elbow(df: DataFrame, vec: str, key: str, ks=range(2, 11), restarts: int = 10, seed: int = 42, tol: float = 1e-4):
+    """(k, inertia, between) for each k, all k and restarts in one pass per iteration; inertia plus
+    between is the total sum of squares."""
+    cached = df.select(key, vec).persist(StorageLevel.MEMORY_AND_DISK)
+    fits = fit_kmeans_many(cached, vec, key, ks, restarts, seed=seed, tol=tol)
+    rows = [(int(k), cost, between(cached, vec, cents)) for k, (cents, cost) in fits.items()]
     cached.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double")
+    return df.sparkSession.createDataFrame(rows, "k int, inertia double, between double")
+
+
+def between(df: DataFrame, vec: str, centroids) -> float:
+    """Sum over clusters of size times squared distance of the centre to the overall mean."""
+    dim = len(centroids[0])
+    sizes = {r["cluster"]: r["n"] for r in assign(df, vec, centroids).groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(sizes.values())
+    mean = [sum(sizes.get(c, 0) * v[i] for c, v in enumerate(centroids)) / n for i in range(dim)]
+    return float(sum(sizes.get(c, 0) * sum((v[i] - mean[i]) ** 2 for i in range(dim)) for c, v in enumerate(centroids)))
 
 
 def _uniform(seed: int, r, j, key: str):
@@ -101,83 +113,123 @@ def _uniform(seed: int, r, j, key: str):
     return (F.pmod(h, F.lit(1 << 52)).cast("double") + 1.0) / float(1 << 52)
 
 
-def _restart_dists(vec: str, cents_by_restart) -> "F.Column":
-    """array over restarts of struct(d = min squared distance, c = nearest centre id)."""
-    per = []
-    for cents in cents_by_restart:
-        mat = matrix_literal(cents)
-        per.append(F.array_min(F.transform(mat, lambda c, i: F.struct(vec_sqdist(F.col(vec), c).alias("d"),
-                                                                       i.alias("c")))))
-    return F.array(*per)
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(squared distance, centre) of the nearest centre of each row; ties go to the lower one."""
+    d = np.stack([((x - c) ** 2).sum(1) for c in centres], 1)
+    c = d.argmin(1)
+    return d[np.arange(len(x)), c], c
+
+
+def _batches(it, vec: str):
+    for pdf in it:
+        for i in range(0, len(pdf), 4096):
+            part = pdf.iloc[i:i + 4096]
+            yield part, np.stack([np.asarray(v, np.float64) for v in part[vec]])
+
+
+def _run_sums(data: DataFrame, vec: str, runs, dim: int) -> dict:
+    """{(run, cluster): (rows, squared distances, sums per dimension)} of all runs in one pass:
+    each task adds up its rows, Spark adds up the tasks; the plan is the same in every iteration."""
+    centres = [np.array(r, np.float64) for r in runs]
+    names = [f"s{i}" for i in range(dim)]
+
+    def run(it):
+        total = [np.zeros((len(c), dim + 2)) for c in centres]
+        for _, x in _batches(it, vec):
+            for t, c in zip(total, centres):
+                d, near = _nearest(x, c)
+                t[:, 0] += np.bincount(near, minlength=len(c))
+                t[:, 1] += np.bincount(near, d, len(c))
+                for i in range(dim):
+                    t[:, 2 + i] += np.bincount(near, x[:, i], len(c))
+        out = [pd.DataFrame(t, columns=["m", "cost", *names]).assign(i=i, c=np.arange(len(t))) for i, t in enumerate(total)]
+        yield pd.concat(out)[["i", "c", "m", "cost", *names]]
+
+    schema = "i int, c int, m double, cost double, " + ", ".join(f"{n} double" for n in names)
+    rows = (data.select(vec).mapInPandas(run, schema).groupBy("i", "c")
+            .agg(*[F.sum(n).alias(n) for n in ("m", "cost", *names)]).where("m > 0").collect())
+    return {(r["i"], r["c"]): (int(r["m"]), r["cost"], [r[n] for n in names]) for r in rows}
+
+
+def _next_seeds(data: DataFrame, vec: str, key: str, seeds, j: int, seed: int) -> dict:
+    """{restart: next centre}: the row that wins an exponential race weighted by squared distance."""
+    centres = [np.array(s, np.float64) for s in seeds]
+
+    def run(it):
+        for pdf, x in _batches(it, vec):
+            d = np.stack([_nearest(x, c)[0] for c in centres], 1) if j else np.ones((len(x), len(centres)))
+            yield pdf.assign(_w=list(d))
+    kinds = ", ".join(f"{c} {data.schema[c].dataType.simpleString()}" for c in (key, vec))
+    x = data.select(key, vec).mapInPandas(run, f"{kinds}, _w array<double>").select(key, vec, F.posexplode("_w").alias("_r", "_d"))
+    race = -F.log(_uniform(seed, F.col("_r"), j, key)) / F.col("_d")
+    rows = x.where(F.col("_d") > 0).groupBy("_r").agg(F.min_by(F.col(vec), F.struct(race, F.col(key))).alias("c")).collect()
+    return {r["_r"]: [float(v) for v in r["c"]] for r in rows}
 
 
 def fit_kmeans_batched(df: DataFrame, vec: str, key: str, k: int = 5, restarts: int = 10, max_iter: int = 300,
                        tol: float = 1e-4, seed: int = 42):
-    """k-means with k-means++ initialisation and ``restarts`` runs batched into one data pass
-    per step (like n_init): every Lloyd iteration is one aggregation grouped by
-    (restart, cluster), so 10 restarts cost one scan per iteration instead of ten.
+    """(centres of the best restart relabelled canonically, its inertia); see ``fit_kmeans_many``."""
+    return fit_kmeans_many(df, vec, key, [k], restarts, max_iter, tol, seed)[k]
+
+
+def fit_kmeans_many(df: DataFrame, vec: str, key: str, ks, restarts: int = 10, max_iter: int = 300,
+                    tol: float = 1e-4, seed: int = 42) -> dict:
+    """k-means with k-means++ initialisation for every k and ``restarts`` runs each, batched into
+    one data pass per step (like n_init): a Lloyd iteration is one aggregation grouped by
+    (run, cluster), so all runs together cost one scan per iteration.
 
     Init: D²-weighted sampling of each next centre per restart via an exponential race
-    (min of −ln(u)/d over rows, u hashed from (seed, restart, step, key)) — one job per step.
-    Convergence per restart: squared centre shift ≤ tol · mean feature variance (as the
-    reference library defines tol).  Returns (centres of the best restart relabelled
-    canonically, its inertia).
+    (min of −ln(u)/d over rows, u hashed from (seed, restart, step, key)) — one job per step; the
+    first k centres of a restart seed its run for k.
+    Convergence per run: squared centre shift ≤ tol · mean feature variance (as the reference
+    library defines tol).  Returns {k: (centres of the best run relabelled canonically, inertia)}.
     """
+    ks, top = sorted(set(ks)), max(ks)
     data = df.select(F.col(key), F.col(vec)).persist(StorageLevel.MEMORY_AND_DISK)
     stats = data.agg(F.count(F.lit(1)).alias("n"), F.first(F.size(vec)).alias("d")).first()
     n, dim = stats["n"], stats["d"]
-    if n < k:
-        raise ModelError(f"k-means needs at least k={k} rows, got {n}")
-    if restarts * k > MAX_K:
-        raise SizeBoundError("restarts·k centres must stay a small literal")
+    if n < top:
+        raise ModelError(f"k-means needs at least k={top} rows, got {n}")
+    if top > MAX_K:
+        raise SizeBoundError(f"more than {MAX_K} clusters")
     var = data.agg(*[F.var_pop(F.col(vec)[i]).alias(f"v{i}") for i in range(dim)]).first()
     tol_abs = tol * sum(float(var[f"v{i}"] or 0.0) for i in range(dim)) / dim
-    rs = F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("_r")
     # k-means++ seeding, all restarts per pass
-    cents = [[] for _ in range(restarts)]
-    for j in range(k):
-        x = data.select(key, vec, rs)
-        if j == 0:
-            w = F.lit(1.0)
-        else:
-            w = _restart_dists(vec, cents)[F.col("_r")]["d"]
-            x = x.withColumn("_w", w)
-            w = F.col("_w")
-        race = -F.log(_uniform(seed, F.col("_r"), j, key)) / w
-        picked = (x.where(w > 0).groupBy("_r").agg(F.min_by(F.col(vec), F.struct(race, F.col(key))).alias("c"))
-                  .collect())
-        got = {r["_r"]: [float(v) for v in r["c"]] for r in picked}
+    seeds = [[] for _ in range(restarts)]
+    for j in range(top):
+        got = _next_seeds(data, vec, key, seeds, j, seed)
         for r in range(restarts):
-            cents[r].append(got.get(r, cents[r][-1] if cents[r] else None))
+            seeds[r].append(got.get(r, seeds[r][-1] if seeds[r] else None))
+    cents = {(k, r): seeds[r][:k] for k in ks for r in range(restarts)}
     # batched Lloyd
-    active = list(range(restarts))
+    active = sorted(cents)
     for _ in range(max_iter):
         if not active:
             break
-        sub = [cents[r] for r in active]
-        a = data.select(vec, F.posexplode(_restart_dists(vec, sub)).alias("_i", "_dc"))
-        aggs = [F.count(F.lit(1)).alias("m")] + [F.sum(F.col(vec)[i]).alias(f"s{i}") for i in range(dim)]
-        rows = a.groupBy("_i", F.col("_dc.c").alias("_c")).agg(*aggs).collect()
-        sums = {(r["_i"], r["_c"]): r for r in rows}
+        sums = _run_sums(data, vec, [cents[run] for run in active], dim)
         still = []
-        for pos, r in enumerate(active):
+        for pos, run in enumerate(active):
             shift, new = 0.0, []
-            for c in range(k):
+            for c in range(run[0]):
                 row = sums.get((pos, c))
-                nc = [row[f"s{i}"] / row["m"] for i in range(dim)] if row else cents[r][c]
-                shift += sum((u - v) ** 2 for u, v in zip(nc, cents[r][c]))
+                nc = [v / row[0] for v in row[2]] if row else cents[run][c]
+                shift += sum((u - v) ** 2 for u, v in zip(nc, cents[run][c]))
                 new.append(nc)
-            cents[r] = new
+            cents[run] = new
             if shift > tol_abs:
-                still.append(r)
+                still.append(run)
         active = still
-    # inertia of every restart in one pass; keep the best
-    inert = (data.select(F.posexplode(_restart_dists(vec, cents)).alias("_r", "_dc"))
-             .groupBy("_r").agg(F.sum("_dc.d").alias("cost"), F.count(F.lit(1)).alias("m")).collect())
-    cost = {r["_r"]: float(r["cost"]) for r in inert}
-    best = min(range(restarts), key=lambda r: (cost[r], r))
-    sizes = {r["c"]: r["m"] for r in assign(data, vec, cents[best], "c").groupBy("c").agg(
-        F.count(F.lit(1)).alias("m")).collect()}
-    order = sorted(range(k), key=lambda c: (-sizes.get(c, 0), cents[best][c][0]))
+    # inertia and sizes of every run in one pass; keep the best of each k
+    runs = sorted(cents)
+    sums = _run_sums(data, vec, [cents[run] for run in runs], dim)
     data.unpersist()
-    return [cents[best][c] for c in order], cost[best]
+    cost, sizes = dict.fromkeys(runs, 0.0), {}
+    for (i, c), (m, d, _) in sorted(sums.items()):
+        cost[runs[i]] += d
+        sizes[runs[i], c] = m
+    out = {}
+    for k in ks:
+        best = min(((k, r) for r in range(restarts)), key=lambda run: (cost[run], run))
+        order = sorted(range(k), key=lambda c: (-sizes.get((best, c), 0), cents[best][c][0]))
+        out[k] = ([cents[best][c] for c in order], cost[best])
+    return out

@@ -1,6 +1,6 @@
 """Image feature jobs.  Decoding is Spark's ``image`` source (JVM, on executors); the
 per-image maths runs as numpy kernels over whole Arrow batches through ``mapInPandas``
-(one ``N×H×W`` array per batch and image size; only ``augment`` works image by image).
+(one ``N×H×W`` array per batch and image size, no per-row Python loop).
 
 Definitions (public library documentation, fixed here by tests):
 * resize: separable triangle ("bilinear") filter on pixel centres, support widened by the
@@ -121,25 +121,17 @@ def color_hist_batch(imgs: np.ndarray, bins: int = HIST_BINS, mode: str = "densi
     return h.reshape(n, -1)
 
 
-def augment_batch(imgs: np.ndarray, keys, copies, seed: int = 42, max_rot: float = 10.0,
-                  max_shift: float = 0.05) -> np.ndarray:
-    """Rotate ±max_rot degrees and shift ±max_shift of the size, nearest-neighbour, per row
-    with an RNG seeded by (seed, key, copy) so a retried task reproduces its output."""
-    out = np.empty_like(imgs)
+def augment_batch(imgs: np.ndarray, angle, shift_y, shift_x) -> np.ndarray:
+    """Rotate each image by its angle (degrees) and shift it by its pixels, nearest neighbour."""
     n, h, w = imgs.shape[:3]
     yy, xx = np.mgrid[0:h, 0:w].astype(np.float64)
     cy, cx = (h - 1) / 2.0, (w - 1) / 2.0
-    for i in range(n):
-        rng = np.random.default_rng([int(seed), int(keys[i]) & 0x7FFFFFFF, int(copies[i])])
-        a = np.deg2rad(rng.uniform(-max_rot, max_rot))
-        ty, tx = rng.uniform(-max_shift, max_shift) * h, rng.uniform(-max_shift, max_shift) * w
-        sy = np.cos(a) * (yy - cy - ty) - np.sin(a) * (xx - cx - tx) + cy
-        sx = np.sin(a) * (yy - cy - ty) + np.cos(a) * (xx - cx - tx) + cx
-        iy, ix = np.rint(sy).astype(int), np.rint(sx).astype(int)
-        ok = (iy >= 0) & (iy < h) & (ix >= 0) & (ix < w)
-        res = np.zeros_like(imgs[i])
-        res[ok] = imgs[i][iy[ok], ix[ok]]
-        out[i] = res
+    a, ty, tx = (np.asarray(v, np.float64)[:, None, None] for v in (np.deg2rad(angle), shift_y, shift_x))
+    iy = np.rint(np.cos(a) * (yy - cy - ty) - np.sin(a) * (xx - cx - tx) + cy).astype(int)
+    ix = np.rint(np.sin(a) * (yy - cy - ty) + np.cos(a) * (xx - cx - tx) + cx).astype(int)
+    ok = (iy >= 0) & (iy < h) & (ix >= 0) & (ix < w)
+    out = imgs[np.arange(n)[:, None, None], np.clip(iy, 0, h - 1), np.clip(ix, 0, w - 1)]
+    out[~ok] = 0
     return out
 
 
@@ -223,19 +215,32 @@ def image_features(df: DataFrame, key: str, rgb_col: str, h: int, w: int, size:
     return map_arrays(df, key, rgb_col, fn, f"{key} {kt}{extra}, features array<float>", keep=keep)
 
 
+def augment_parameters(key: str, copy: str, seed: int, h: int, w: int, max_rot: float = 10.0, max_shift: float = 0.05):
+    """Angle in ±max_rot degrees and shifts in ±max_shift of the size from md5(seed:key:copy:name), so
+    that a retried task, or another engine, gets the same copy."""
+    def unit(name):
+        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col(copy).cast("string"), F.lit(name)))
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 31) - 1
+    return [(unit("angle") * max_rot).alias("angle"), (unit("y") * (max_shift * h)).alias("shift_y"),
+            (unit("x") * (max_shift * w)).alias("shift_x")]
+
+
 def augment(df: DataFrame, key: str, col: str, h: int, w: int, copies: int = 1, seed: int = 42,
-            channels: int | None = None) -> DataFrame:
+            channels: int | None = None, keep=()) -> DataFrame:
     """Train-only augmentation: ``copies`` rotated/shifted versions per row (deterministic)."""
-    x = df.select(key, col).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    keep = list(keep)
+    x = df.select(key, col, *keep).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    x = x.select(key, col, *keep, "copy", *augment_parameters(key, "copy", seed, h, w))
 
     def run(it):
         for pdf in it:
-            arr = _stack(pdf[col], h, w, channels)
-            res = augment_batch(arr, pdf[key].values, pdf["copy"].values, seed)
-            yield pd.DataFrame({key: pdf[key].values, "copy": pdf["copy"].values,
-                                col: list(res.reshape(len(pdf), -1).astype(np.float64))})
-    kt = x.schema[key].dataType.simpleString()
-    return x.mapInPandas(run, f"{key} {kt}, copy int, {col} array<double>")
+            if len(pdf):
+                res = augment_batch(_stack(pdf[col], h, w, channels), pdf["angle"], pdf["shift_y"], pdf["shift_x"])
+                out = pdf[[key, *keep, "copy", "angle", "shift_y", "shift_x"]].copy()
+                out[col] = list(res.reshape(len(pdf), -1).astype(np.float64))
+                yield out
+    kinds = ", ".join(f"{k} {x.schema[k].dataType.simpleString()}" for k in [key, *keep])
+    return x.mapInPandas(run, f"{kinds}, copy int, angle double, shift_y double, shift_x double, {col} array<double>")
 
 
 def same_size_batches(pdf: pd.DataFrame):

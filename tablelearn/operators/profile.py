@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelearn.functions.exprs import col_of, is_missing, nan_to_null
@@ -27,8 +27,9 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000, max_brack
     known count ``below`` of values < lo.  Round 0: approximate quantiles at p ± 3/accuracy
     (job 1).  Each round: count below/inside every bracket (one job); brackets still wider
     than ``max_bracket`` rows are narrowed by approximate quantiles of the values inside
-    them (one job; each narrowing shrinks a bracket ~accuracy/6 times).  When all brackets
-    are small, one job collects them and the exact values are picked on the driver.  A
+    them (one job; each narrowing shrinks a bracket ~accuracy/6 times, until only ties are
+    left).  One last job ranks the values of all brackets on the executors.  So the number of
+    scans does not depend on the number of columns and probabilities.  A
     bracket that misses its statistic is widened to [min, max], so the answer is always
     exact.  Returns {col: {p: value or None}}.
     """
@@ -112,25 +113,27 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000, max_brack
             b["lo"], b["hi"] = new_lo, new_hi
         if not progress:
             break
-    # one job collects every (small) bracket; order statistics are picked on the driver
-    u = None
-    for j, key in enumerate(keys):
-        b, c = st[key], F.col(f"c{key[0]}")
-        if "value" in b:
-            continue
-        part = x.where(c.between(F.lit(b["lo"]), F.lit(b["hi"]))).select(F.lit(j).alias("j"), c.alias("v"))
-        u = part if u is None else u.unionByName(part)
-    vals = {}
-    for r in (u.collect() if u is not None else []):
-        vals.setdefault(r["j"], []).append(r["v"])
+    # one scan tags the values of all brackets; ties are counted map-side, each bracket is ranked by
+    # the executors, and at most two values a bracket reach the driver
+    open_ = [j for j, key in enumerate(keys) if "value" not in st[key]]
+    picked = {}
+    if open_:
+        hit = [F.when(F.col(f"c{keys[j][0]}").between(F.lit(st[keys[j]]["lo"]), F.lit(st[keys[j]]["hi"])),
+                      F.struct(F.lit(j).alias("j"), F.col(f"c{keys[j][0]}").alias("v"))) for j in open_]
+        g = (x.select(F.explode(F.array_compact(F.array(*hit))).alias("s"))
+             .groupBy(F.col("s.j").alias("j"), F.col("s.v").alias("v")).agg(F.count(F.lit(1)).alias("n")))
+        g = g.withColumn("upto", F.sum("n").over(Window.partitionBy("j").orderBy("v")))
+        want = {k: F.element_at(F.create_map(*[F.lit(z) for j in open_ for z in (j, st[keys[j]][k] - st[keys[j]]["below"])]), F.col("j"))
+                for k in ("k1", "k2")}
+        held = {k: (F.col("upto") > w) & (F.col("upto") - F.col("n") <= w) for k, w in want.items()}
+        for r in g.where(held["k1"] | held["k2"]).select("j", "v", held["k1"].alias("k1"), held["k2"].alias("k2")).collect():
+            picked.update({(r["j"], k): r["v"] for k in ("k1", "k2") if r[k]})
     for j, key in enumerate(keys):
         b = st[key]
-        if "value" in b:
-            out[cols[key[0]]][key[1]] = b["value"]
-            continue
-        v = sorted(vals[j])
-        a, bb = v[b["k1"] - b["below"]], v[b["k2"] - b["below"]]
-        out[cols[key[0]]][key[1]] = a + (bb - a) * b["frac"] if b["k2"] != b["k1"] else a
+        if "value" not in b:
+            v1, v2 = picked[j, "k1"], picked[j, "k2"]
+            b["value"] = v1 + (v2 - v1) * b["frac"] if b["k2"] != b["k1"] else v1
+        out[cols[key[0]]][key[1]] = b["value"]
     return out
 
 
@@ -187,17 +190,18 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Counts and shares of each non-null value: (value, n, share)."""
     c = col_of(col)
     g = df.where(c.isNotNull()).groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.where(c.isNotNull()).count()
-    return g.select("value", "n", (F.col("n") / F.lit(float(total) if total else float("nan"))).alias("share"))
+    total = F.broadcast(g.agg(F.sum("n").alias("_total")))  # one row
+    return g.crossJoin(total).select("value", "n", (F.col("n") / F.col("_total").cast("double")).alias("share"))
 
 
 def corr_matrix(df: DataFrame, cols) -> DataFrame:
-    """Pearson r for every ordered pair, one aggregation: (x, y, r)."""
-    pairs = [(a, b) for a in cols for b in cols]
-    aggs = [F.corr(nan_to_null(df, a).cast("double"), nan_to_null(df, b).cast("double")).alias(f"r{i}")
-            for i, (a, b) in enumerate(pairs)]
-    stack = ", ".join(f"'{a}', '{b}', r{i}" for i, (a, b) in enumerate(pairs))
-    return df.agg(*aggs).selectExpr(f"stack({len(pairs)}, {stack}) as (x, y, r)")
+    """Pearson r for every ordered pair, one aggregation over the unordered ones: (x, y, r)."""
+    cols = list(cols)
+    half = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    aggs = [F.corr(nan_to_null(df, cols[i]).cast("double"), nan_to_null(df, cols[j]).cast("double")).alias(f"r{i}_{j}")
+            for i, j in half]
+    stack = ", ".join(f"'{a}', '{b}', r{min(i, j)}_{max(i, j)}" for i, a in enumerate(cols) for j, b in enumerate(cols))
+    return df.agg(*aggs).selectExpr(f"stack({len(cols) ** 2}, {stack}) as (x, y, r)")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
@@ -229,8 +233,8 @@ def group_profile(df: DataFrame, group: str, features, segment: str | None = Non
         return F.round(c, places[i]) if places else c
     aggs = [F.count(F.lit(1)).alias("size")] + [rnd(F.avg(col_of(f)), 1).alias(f"mean_{f}") for f in features]
     g = df.groupBy(col_of(group).alias(group)).agg(*aggs)
-    total = df.count()
-    g = g.withColumn("pct", rnd(F.col("size") / F.lit(float(total)) * 100, 0))
+    total = F.broadcast(g.agg(F.sum("size").alias("_total")))  # one row
+    g = g.crossJoin(total).withColumn("pct", rnd(F.col("size") / F.col("_total").cast("double") * 100, 0)).drop("_total")
     if segment and segment in df.columns:
         seg = (df.groupBy(col_of(group).alias(group), col_of(segment).alias("seg")).agg(F.count(F.lit(1)).alias("c"))
                .join(g.select(group, "size"), group)

@@ -36,6 +36,15 @@ def apply_scaler(df: DataFrame, fitted, cols) -> DataFrame:
     return df.select(*out)
 
 
+def scaled_points(df: DataFrame, cols, fitted: dict | None, out: str = "x") -> DataFrame:
+    """Add the scaled columns as one array and keep the raw ones; no statistics: raw values."""
+    def one(c):
+        if fitted is None:
+            return col_of(c).cast("double")
+        return (col_of(c).cast("double") - F.lit(fitted[f"mean_{c}"])) / F.lit(fitted[f"std_{c}"] or 1.0)
+    return df.withColumn(out, F.array(*[one(c) for c in cols]))
+
+
 def fit_vector_scaler(df: DataFrame, vec: str) -> tuple[list[float], list[float]]:
     """Mean and population std of a vector column (one Summarizer pass; d-sized result)."""
     r = df.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(vec)).alias("s")).first()["s"]

@@ -638,3 +638,81 @@ pf AS (SELECT kf.fold, sqrt(avg((target - ((my - (c / v) * mx) + (c / v) * qty))
                                * (target - ((my - (c / v) * mx) + (c / v) * qty)))) AS rmse
        FROM kf JOIN st ON st.fold = kf.fold GROUP BY kf.fold)
 SELECT ROUND(avg(rmse), 4) AS cv_rmse_mean, ROUND(stddev_pop(rmse), 4) AS cv_rmse_std, count(*) AS folds FROM pf"""
+
+
+# ---------------------------------------------------------------- model fits: relations that hold for a right fit
+def _projection(steps):
+    """Least squares by orthogonalising the features one after another on the train part ``tr``."""
+    ctes = ["e0 AS (SELECT x.*, x.target AS y FROM x)"]
+    for i, c in enumerate(steps, 1):
+        prev = [f"p{j}" for j in range(1, i)]
+        coef = ", ".join(f"covar_pop({c}, {p}) / nullif(var_pop({p}), 0) AS k{j}" for j, p in enumerate(prev, 1))
+        ctes.append(f"f{i} AS (SELECT avg({c}) AS m{', ' + coef if coef else ''} FROM e{i - 1} WHERE tr)")
+        less = "".join(f" - coalesce(f.k{j}, 0) * e.{p}" for j, p in enumerate(prev, 1))
+        ctes.append(f"e{i} AS (SELECT e.*, e.{c} - f.m{less} AS p{i} FROM e{i - 1} e, f{i} f)")
+    n = len(steps)
+    b = ", ".join(f"covar_pop(y, p{i}) / nullif(var_pop(p{i}), 0) AS b{i}" for i in range(1, n + 1))
+    total = " + ".join(f"coalesce(b.b{i}, 0) * e.p{i}" for i in range(1, n + 1))
+    ctes.append(f"b AS (SELECT avg(y) AS m, {b} FROM e{n} WHERE tr)")
+    ctes.append(f"pred AS (SELECT e.id, e.target, e.split, b.m + {total} AS prediction FROM e{n} e, b)")
+    return ",\n".join(ctes)
+
+
+PREDICTED = f"""{HOLDOUT_OF},
+mg AS (SELECT median(gross) AS m FROM ho WHERE split = 'train'),
+g AS (SELECT id, split, target, n_lines, qty, COALESCE(gross, mg.m) AS gross, CAST(yr AS DOUBLE) AS yr FROM ho, mg),
+q AS (SELECT quantile_cont(gross + qty, 0.25) AS q1, quantile_cont(gross + qty, 0.75) AS q3 FROM g WHERE split = 'train'),
+x AS (SELECT g.*, split = 'train' AND gross + qty BETWEEN q1 - 3 * (q3 - q1) AND q3 + 3 * (q3 - q1) AS tr FROM g, q),
+{_projection(['n_lines', 'qty', 'gross', 'yr'])}"""
+ORACLE["ols_fit"] = f"""WITH {PREDICTED}
+SELECT id, ROUND(target, 2) AS target, ROUND(prediction, 2) AS prediction FROM pred WHERE split = 'test'"""
+ORACLE["model_roundtrip"] = f"""WITH {PREDICTED}
+SELECT id, ROUND(prediction, 2) AS prediction FROM pred WHERE split = 'test'"""
+
+_TOTAL = """(SELECT ROUND(SUM(var * n), 3) FROM (SELECT count(*) AS n, var_pop(x1) + var_pop(x2) + var_pop(x3) AS var FROM pts))"""
+ORACLE["kmeans_fit"] = f"""WITH {PTS}
+SELECT count(*) AS n_rows, CAST(LEAST(count(*), 5) AS BIGINT) AS n_clusters, {_TOTAL} AS total_ss FROM pts"""
+ORACLE["elbow_curve"] = f"""WITH {PTS}
+SELECT CAST(k AS INTEGER) AS k, {_TOTAL} AS total_ss, TRUE AS non_increasing FROM range(2, 11) t(k)"""
+
+ORACLE["assign_new_customers"] = f"""WITH {CF},
+ch AS (SELECT cf.*, CASE WHEN row_number() OVER (ORDER BY {H('id')}, id)
+                         <= CAST(ceil(count(*) OVER () * CAST(0.2 AS DOUBLE)) AS BIGINT) THEN 'test' ELSE 'train' END AS split FROM cf),
+st AS (SELECT avg(acctbal) AS ma, stddev_pop(acctbal) AS sa, avg(spend) AS ms, stddev_pop(spend) AS ss,
+              avg(n_orders) AS mn, stddev_pop(n_orders) AS sn FROM ch WHERE split = 'train'),
+all_pts AS (SELECT id, split, (acctbal - ma) / sa AS x1, (spend - ms) / ss AS x2, (n_orders - mn) / sn AS x3 FROM ch, st),
+pts AS (SELECT * FROM all_pts WHERE split = 'test'),
+c0 AS (SELECT c, x1, x2, x3 FROM (SELECT CAST(row_number() OVER (ORDER BY {H('id')}, id) - 1 AS INT) AS c, x1, x2, x3
+                                   FROM all_pts WHERE split = 'train') WHERE c < 5),
+{_assign('c0', 'a0')}
+SELECT id, cluster FROM a0"""
+
+_DOC_TEST = f"t AS ({_stratified(f'{DOC}, src AS (SELECT doc_id, label FROM doc)', 'doc_id', 0.2, 0.0)})"
+_EMB_TEST = f"t AS ({_stratified(f'{EMB}, src AS (SELECT vec_id, label FROM emb)', 'vec_id', 0.2, 0.0)})"
+_ROWS = "SELECT split AS part, label, count(*) AS n_rows, count(*) AS n_in_domain, TRUE AS beats_majority FROM t GROUP BY split, label"
+ORACLE["svm_rbf"] = f"WITH {_DOC_TEST}\n{_ROWS}"
+ORACLE["random_forest"] = ORACLE["mlp_fit"] = f"WITH {_EMB_TEST}\n{_ROWS}"
+ORACLE["compare_backends"] = f"""WITH {_EMB_TEST}
+SELECT backend, r.* FROM ({_ROWS}) r, (VALUES ('forest'), ('mlp'), ('svm_linear'), ('svm_rbf')) v(backend)"""
+ORACLE["score_binary"] = f"WITH {_DOC_TEST}\nSELECT doc_id AS id, TRUE AS is_class FROM t WHERE split = 'test'"
+ORACLE["svm_probability"] = f"""WITH {_DOC_TEST}
+SELECT count(*) AS n_rows, ROUND(avg(label), 3) AS mean_probability FROM t WHERE split = 'train'"""
+ORACLE["grid_search"] = f"""WITH {_DOC_TEST}
+SELECT g AS gamma, CAST(c AS DOUBLE) AS C, (SELECT count(*) FROM t WHERE split = 'train') AS n_rows, TRUE AS is_share, TRUE AS best_near_majority
+FROM (VALUES ('scale'), ('auto')) a(g), (VALUES (0.5), (1), (5), (10)) b(c)"""
+ORACLE["epoch_training"] = f"""WITH t AS ({_stratified(f"{EMB}, src AS (SELECT vec_id, label FROM emb)", "vec_id", 0.15, 0.15)})
+SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'val') AS n_val,
+       TRUE AS in_order, TRUE AS shares, TRUE AS beats_majority FROM t"""
+ORACLE["platt_fit"] = f"""WITH {DOC}
+SELECT count(*) AS n_rows, ROUND(avg(label), 4) AS mean_p, ROUND(avg((letters - 0.78) * label), 4) AS mean_fp FROM doc"""
+
+_UNIT = "(CAST('0x' || substr(md5('42:' || vec_id || ':' || copy || ':{}'), 1, 8) AS BIGINT) / CAST(2147483648 AS DOUBLE) - 1)"
+ORACLE["augment_rows"] = f"""WITH {EMB_PX},
+c AS (SELECT vec_id, CAST(copy AS INTEGER) AS copy, {_UNIT.format('angle')} * 10 AS angle, {_UNIT.format('y')} * 0.4 AS ty, {_UNIT.format('x')} * 0.4 AS tx
+      FROM (SELECT DISTINCT vec_id FROM emb_px), range(1, 3) r(copy)),
+s AS (SELECT c.*, CAST(round_even(cos(radians(angle)) * (y - 3.5 - ty) - sin(radians(angle)) * (x - 3.5 - tx) + 3.5, 0) AS INT) AS sy,
+             CAST(round_even(sin(radians(angle)) * (y - 3.5 - ty) + cos(radians(angle)) * (x - 3.5 - tx) + 3.5, 0) AS INT) AS sx
+      FROM c, range(8) a(y), range(8) b(x))
+SELECT s.vec_id, s.copy, ROUND(s.angle, 6) AS angle, ROUND(s.ty, 6) AS shift_y, ROUND(s.tx, 6) AS shift_x,
+       CAST(SUM(COALESCE(p.px, 0)) AS BIGINT) AS checksum
+FROM s LEFT JOIN emb_px p ON p.vec_id = s.vec_id AND p.y = s.sy AND p.x = s.sx GROUP BY ALL"""

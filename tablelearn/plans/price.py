@@ -9,6 +9,8 @@ fit-before-split behaviour).
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,18 +37,43 @@ def engineer(df: DataFrame, reference_year: int = REFERENCE_YEAR) -> DataFrame:
 
 
 def prepare(train: DataFrame, other: DataFrame, iqr_k: float = 3.0, fit_scope: DataFrame | None = None):
-    """Fit medians/IQR/scaler on ``fit_scope`` (default: train); return (train', other', state)."""
+    """Fit medians/IQR/scaler on ``fit_scope`` (default: train); return (train', other', state).
+
+    Raw columns lose infinities and get their medians, then the engineered features do: a gap
+    left in any feature is filled with that feature's learned median."""
     fit_on = fit_scope if fit_scope is not None else train
-    med = impute.fit_median(fit_on, ["gross"]).first().asDict()
-    tr = engineer(impute.apply_median(train, med))
-    bounds = impute.iqr_bounds(engineer(impute.apply_median(fit_on, med)), "total", iqr_k)
-    tr = impute.iqr_filter(tr, "total", bounds=bounds)
-    tr = impute.residual_fill(impute.sanitize_inf(tr, FEATURES), FEATURES, learned={**med})
-    ot = impute.residual_fill(impute.sanitize_inf(engineer(impute.apply_median(other, med)), FEATURES), FEATURES,
-                              learned={**med})
+    raw = impute.fit_median(impute.sanitize_inf(fit_on, RAW), RAW).first().asDict()
+
+    def filled(df):
+        return impute.sanitize_inf(engineer(impute.apply_median(impute.sanitize_inf(df, RAW), raw)), FEATURES)
+    fitted = filled(fit_on)
+    med = impute.fit_median(fitted, FEATURES).first().asDict()
+    bounds = impute.iqr_bounds(fitted, "total", iqr_k)
+    tr = impute.residual_fill(impute.iqr_filter(filled(train), "total", bounds=bounds), FEATURES, learned=med)
+    ot = impute.residual_fill(filled(other), FEATURES, learned=med)
     sc = scale.fit_scaler(tr, FEATURES).first().asDict()
     return (scale.apply_scaler(tr, sc, FEATURES), scale.apply_scaler(ot, sc, FEATURES),
-            {"medians": med, "bounds": bounds, "scaler": sc})
+            {"raw_medians": raw, "medians": med, "bounds": bounds, "scaler": sc})
+
+
+def scoring_model(state: dict, model: PipelineModel, features) -> PipelineModel:
+    """One saveable pipeline from unprepared rows to predictions: infinities and gaps, engineered
+    features, learned medians, scaler, assembler and regression."""
+    def gap(c, fill):
+        d, known = f"CAST({c} AS DOUBLE)", "NULL" if fill is None else f"{fill!r}D"
+        return f"COALESCE(CASE WHEN isnan({d}) OR abs({d}) = double('Infinity') THEN NULL ELSE {d} END, {known})"
+    raw = ", ".join(f"{gap(c, state['raw_medians'][c])} AS _r_{c}" for c in RAW)
+    made = {**{c: f"_r_{c}" for c in RAW}, "total": "_r_gross + _r_qty", "weighted": "_r_n_lines + 0.5D * _r_qty",
+            "age": f"greatest({REFERENCE_YEAR} - _r_yr, 0)"}
+    sc = state["scaler"]
+    scaled = ", ".join(f"({gap('(' + made[c] + ')', state['medians'][c])} - {sc[f'mean_{c}']!r}D) / {(sc[f'std_{c}'] or 1.0)!r}D AS _f_{c}"
+                       for c in features)
+    drop = ", ".join([*(f"_r_{c}" for c in RAW), *(f"_f_{c}" for c in features), "_features"])
+    return PipelineModel(stages=[
+        SQLTransformer(statement=f"SELECT *, {raw} FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"_f_{c}" for c in features], outputCol="_features"), model.stages[-1],
+        SQLTransformer(statement=f"SELECT * EXCEPT ({drop}) FROM __THIS__")])
 
 
 def run(spark: SparkSession, sf_dir: str, test_frac: float = 0.2, seed=42, iqr_k: float = 3.0,
@@ -64,3 +91,9 @@ def run(spark: SparkSession, sf_dir: str, test_frac: float = 0.2, seed=42, iqr_k
     model = regress.fit_ols(tr, FEATURES, "target")
     scored = model.transform(tr.unionByName(te)).select("id", "split", "target", "prediction")
     return metrics.regression(scored, "target", "prediction", group="split")
+
+
+def fit_scoring(train: DataFrame, features=tuple(FEATURES)) -> PipelineModel:
+    """Fit on prepared ``train`` and return the pipeline that scores unprepared rows."""
+    tr, _, state = prepare(train, train)
+    return scoring_model(state, regress.fit_ols(tr, list(features), "target"), list(features))

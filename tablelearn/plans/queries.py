@@ -303,11 +303,11 @@ def cv_rmse(spark, sf):
 
 @q
 def ols_fit(spark, sf):
-    """Full-design OLS of the regression workflow: holdout predictions (rows-only)."""
+    """OLS of the regression workflow on its four raw features: holdout predictions."""
     parts = split.holdout(order_feats(spark, sf), "id", 0.2, 42)
     tr, te, _ = price.prepare(parts.where("split = 'train'"), parts.where("split = 'test'"))
-    model = regress.fit_ols(tr, price.FEATURES, "target")
-    return model.transform(te).select("id", "target", "prediction")
+    model = regress.fit_ols(tr, price.RAW, "target")
+    return _r(model.transform(te).select("id", "target", "prediction"), 2)
 
 
 def _doc_pred(spark, sf):
@@ -380,17 +380,21 @@ def kmeans_inertia(spark, sf):
 
 @q
 def kmeans_fit(spark, sf):
-    """k-means++ (Spark's parallel variant), 10 restarts, best cost, canonical ids (rows-only)."""
+    """k-means, 10 restarts batched into one pass per iteration: rows assigned, and within plus
+    between sum of squares (the total, if centres are means and inertia is right)."""
     pts = seg_points(spark, sf)
-    cents, cost = cluster.fit_kmeans(pts, "x", k=5, restarts=10, max_iter=300, seed=42)
-    a = cluster.assign(pts, "x", cents)
-    return a.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).withColumn("inertia", F.lit(cost))
+    cents, cost = cluster.fit_kmeans_batched(pts, "x", "id", k=5, restarts=10, tol=0.0, seed=42)
+    a = cluster.assign(pts, "x", cents).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("cluster").alias("n_clusters"))
+    return _r(a.withColumn("total_ss", F.lit(cost + cluster.between(pts, "x", cents))), 3)
 
 
 @q
 def elbow_curve(spark, sf):
-    """Inertia for k = 2..10 (rows-only; non-increasing is checked in tests)."""
-    return cluster.elbow(seg_points(spark, sf), "x", range(2, 11), restarts=10)
+    """Inertia for k = 2..10: falling, and with the between sum of squares always the total."""
+    e = cluster.elbow(seg_points(spark, sf), "x", "id", range(2, 11), restarts=10, tol=0.0)
+    rows = sorted(e.collect())
+    falls = all(a["inertia"] >= b["inertia"] for a, b in zip(rows, rows[1:]))
+    return _r(e.select("k", (F.col("inertia") + F.col("between")).alias("total_ss"), F.lit(falls).alias("non_increasing")), 3)
 
 
 def _assigned(spark, sf):
@@ -605,9 +609,10 @@ def concat_vector(spark, sf):
 
 @q
 def augment_rows(spark, sf):
-    """Two deterministic rotated/shifted copies per train image (rows-only)."""
+    """Two deterministic rotated/shifted copies per image: their parameters and pixel sums."""
     a = images.augment(emb_images(spark, sf), "vec_id", "pixels", 8, 8, copies=2, seed=42)
-    return a.select("vec_id", "copy", F.aggregate("pixels", F.lit(0.0), lambda s, v: s + v).alias("checksum"))
+    px = F.aggregate("pixels", F.lit(0.0), lambda s, v: s + v).cast("long").alias("checksum")
+    return _r(a.select("vec_id", "copy", "angle", "shift_y", "shift_x", px))
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -707,16 +712,26 @@ def run_summary(spark, sf):
 
 @q
 def model_roundtrip(spark, sf):
-    """Save the regression bundle, load it, score again: predictions must be equal (rows-only)."""
+    """Save the scoring bundle (medians, scaler, features, model), load it, score unprepared rows."""
     parts = split.holdout(order_feats(spark, sf), "id", 0.2, 42)
-    tr, te, _ = price.prepare(parts.where("split = 'train'"), parts.where("split = 'test'"))
-    model = regress.fit_ols(tr, price.FEATURES, "target")
+    model = price.fit_scoring(parts.where("split = 'train'"), price.RAW)
     path = shared_dir(spark, "bundle")
-    bundle.save_bundle(spark, model, path, price.FEATURES, metrics={"n_train": tr.count()})
-    loaded, feats, _, _ = bundle.load_bundle(spark, path)
-    a = model.transform(te).select("id", F.col("prediction").alias("before"))
-    b = loaded.transform(te.select("id", *feats)).select("id", F.col("prediction").alias("after"))
-    return a.join(b, "id").withColumn("equal", F.col("before") == F.col("after"))
+    bundle.save_bundle(spark, model, path, price.RAW)
+    loaded, _, _, _ = bundle.load_bundle(spark, path)
+    return _r(loaded.transform(parts.where("split = 'test'")).select("id", "prediction"), 2)
+
+
+@q
+def assign_new_customers(spark, sf):
+    """Fit scaler and centres on one part, save and load them, assign the customers of the other."""
+    from tablelearn.plans import segments
+    parts = split.holdout(customer_feats(spark, sf), "id", 0.2, 42)
+    tr = parts.where("split = 'train'")
+    st = scale.fit_scaler(tr, segments.FEATURES).first().asDict()
+    seeds = cluster.hash_seeds(scale.scaled_points(tr, segments.FEATURES, st, "x"), "id", "x", 5, 42)
+    path = shared_dir(spark, "segment_state")
+    segments.segment_state(spark, st, seeds).write.parquet(path)
+    return segments.assign_new(parts.where("split = 'test'"), spark.read.parquet(path))
 
 
 # ---------------------------------------------------------------- projections
@@ -803,29 +818,52 @@ def _doc_split(spark, sf):
     return s.where("split = 'train'"), s.where("split = 'test'")
 
 
+def _fit_rows(model, train, test, k, label="label"):
+    """Per part and true label: rows, predictions that are a class, and whether the accuracy on the
+    training part, recomputed from the predictions, reaches the share of its largest class."""
+    pred = model.transform(train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))))
+    per = pred.groupBy("part", label).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prediction").between(0, k - 1)).cast("long").alias("n_in_domain"),
+        F.count_if(F.col("prediction") == F.col(label)).alias("hit"))
+    tot = per.where("part = 'train'").agg((F.sum("hit") >= F.max("n_rows")).alias("beats_majority"))
+    return per.crossJoin(F.broadcast(tot)).select("part", label, "n_rows", "n_in_domain", "beats_majority")
+
+
 @q
 def svm_rbf(spark, sf):
-    """RBF SVC (C=5, gamma=scale) through RFF + LinearSVC: test predictions (rows-only)."""
+    """RBF SVC (C=5, gamma=scale) through RFF + LinearSVC."""
     tr, te = _doc_split(spark, sf)
     m = classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, n_components=2000)
-    return m.transform(te).select("doc_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    return _fit_rows(m, tr, te, 2)
+
+
+@q
+def svm_probability(spark, sf):
+    """Sigmoid of the SVM margin: on the rows that fitted it, mean probability equals mean label."""
+    tr, _ = _doc_split(spark, sf)
+    m = classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, n_components=2000)
+    p = classify.svm_probability(m, tr, tr, "label")
+    return _r(p.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("probability").alias("mean_probability")), 3)
 
 
 @q
 def score_binary(spark, sf):
-    """Binary scoring job → (id, label) for unlabelled rows (rows-only)."""
+    """Binary scoring job for unlabelled rows: every id once, its label a class."""
     tr, te = _doc_split(spark, sf)
     m = classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, n_components=2000)
-    return m.transform(te.drop("label")).select(F.col("doc_id").alias("id"), F.col("prediction").cast("int").alias("label"))
+    return m.transform(te.drop("label")).select(F.col("doc_id").alias("id"), F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
 
 @q
 def grid_search(spark, sf):
-    """C × gamma grid with 3 stratified folds, accuracy per cell (rows-only)."""
+    """The full C × gamma grid, 3 stratified folds: per cell the rows scored and an accuracy check."""
     tr, _ = _doc_split(spark, sf)
     f = split.stratified_kfold(tr, "doc_id", "label", 3, 42)
-    rows, _ = classify.grid_search(f, "features", "label", "fold", [0.1, 1.0], [1.0, 5.0], n_components=500)
-    return spark.createDataFrame(rows, "gamma double, C double, accuracy double")
+    rows, _ = classify.grid_search(f, "features", "label", "fold")
+    top = tr.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
+    best = max(r[2] for r in rows)
+    return spark.createDataFrame([(g, c, n, 0.0 <= a <= 1.0, best >= top / n - 0.01) for g, c, a, n in rows],
+                                 "gamma string, C double, n_rows long, is_share boolean, best_near_majority boolean")
 
 
 def _emb_split(spark, sf):
@@ -837,38 +875,42 @@ def _emb_split(spark, sf):
 @q
 def random_forest(spark, sf):
     tr, te = _emb_split(spark, sf)
-    m = classify.fit_classifier(tr, "features", "label", "forest", 10)
-    return m.transform(te).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    return _fit_rows(classify.fit_classifier(tr, "features", "label", "forest", 10), tr, te, 10)
 
 
 @q
 def mlp_fit(spark, sf):
     tr, te = _emb_split(spark, sf)
-    m = classify.fit_classifier(tr, "features", "label", "mlp", 10)
-    return m.transform(te).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    return _fit_rows(classify.fit_classifier(tr, "features", "label", "mlp", 10), tr, te, 10)
 
 
 @q
 def compare_backends(spark, sf):
-    """Accuracy of each backend on one split (rows-only)."""
+    """Every backend on one split, judged per part and label."""
     tr, te = _emb_split(spark, sf)
     out = None
-    for backend in ("forest", "mlp", "svm_linear"):
+    for backend in classify.BACKENDS:
         m = classify.fit_classifier(tr, "features", "label", backend, 10)
-        a = m.transform(te).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
-        a = a.select(F.lit(backend).alias("backend"), "accuracy")
+        a = _fit_rows(m, tr, te, 10).withColumn("backend", F.lit(backend))
         out = a if out is None else out.unionByName(a)
     return out
 
 
 @q
 def epoch_training(spark, sf):
-    """Warm-started MLP rounds with a validation history (rows-only)."""
+    """Warm-started MLP rounds with a validation history: part sizes, epochs in order, accuracies
+    that are shares of the validation rows, best epoch at least at the majority share."""
     e = emb(spark, sf).select("vec_id", "label", array_to_vector("embedding").alias("features"))
     s = split.stratified(e, "vec_id", "label", 0.15, 0.15, 42).persist(StorageLevel.MEMORY_AND_DISK)
     hist, _ = classify.epoch_training(s.where("split = 'train'"), s.where("split = 'val'"), "features", "label", 10,
                                       hidden=(32,), rounds=8, iters_per_round=5)
-    return spark.createDataFrame(hist, "epoch int, train_loss double, train_acc double, val_loss double, val_acc double")
+    n = {r["split"]: r["n"] for r in s.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    top = s.where("split = 'val'").groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
+    s.unpersist()
+    in_order = [h[0] for h in hist] == list(range(1, len(hist) + 1)) and 1 <= len(hist) <= 8
+    shares = all(abs(h[4] * n["val"] - round(h[4] * n["val"])) < 1e-6 for h in hist)
+    return spark.createDataFrame([(n["train"], n["val"], in_order, shares, round(max(h[4] for h in hist) * n["val"]) >= top)],
+                                 "n_train long, n_val long, in_order boolean, shares boolean, beats_majority boolean")
 
 
 # ---------------------------------------------------------------- group-aware split, stream scoring
@@ -907,7 +949,9 @@ def cv_rmse_summary(spark, sf):
 
 @q
 def platt_fit(spark, sf):
-    """Sigmoid calibration fitted on a decision value: (A, B) (rows-only)."""
+    """Sigmoid calibration of a decision value f: at the optimum the sums of p and of f·p equal
+    those of the label and of f times the label."""
     d = doc_feats(spark, sf).withColumn("f", F.col("letters") - F.lit(0.78))
     a, b = classify.platt_fit(d, "f", "label")
-    return spark.createDataFrame([(a, b)], "A double, B double")
+    p = d.withColumn("p", classify.platt_apply(F.col("f"), a, b))
+    return _r(p.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("p").alias("mean_p"), F.avg(F.col("f") * F.col("p")).alias("mean_fp")), 4)

@@ -95,7 +95,7 @@ def test_kmeans_restarts_reproducible_and_elbow_monotone(spark):
     assert np.allclose(c1, c2, rtol=1e-9) and math.isclose(cost1, cost2, rel_tol=1e-9)
     sizes = cluster.assign(df, "x", c1).groupBy("cluster").count().collect()
     assert sum(r["count"] for r in sizes) == 80
-    el = [r["inertia"] for r in cluster.elbow(df, "x", range(2, 6), restarts=3).orderBy("k").collect()]
+    el = [r["inertia"] for r in cluster.elbow(df, "x", "id", range(2, 6), restarts=3).orderBy("k").collect()]
     assert all(a >= b - 1e-9 for a, b in zip(el, el[1:]))
     with pytest.raises(ModelError):
         cluster.fit_kmeans(df.limit(3), "x", k=4, restarts=1)
