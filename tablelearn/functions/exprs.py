@@ -62,10 +62,6 @@ def vec_sqdist(a: Column, b: Column) -> Column:
                        lambda acc, v: acc + v)
 
 
-def vec_dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-
-
 def array_literal(values, elem_type: str = "double") -> Column:
     return F.array(*[F.lit(float(v) if elem_type == "double" else v) for v in values]).cast(f"array<{elem_type}>")
 

@@ -218,17 +218,21 @@ def grid_search(df: DataFrame, features: str, label: str, fold: str, gammas=("sc
 
 def epoch_training(train: DataFrame, val: DataFrame, features: str, label: str, n_classes: int,
                    hidden=(32,), rounds: int = 8, iters_per_round: int = 5, seed: int = 42,
-                   patience: int = 4, min_delta: float = 1e-5):
+                   patience: int = 4, min_delta: float = 1e-5, lr: float | None = None, factor: float = 0.5,
+                   lr_patience: int = 2, lr_threshold: float = 1e-4):
     """Validation-monitored training: MLP rounds warm-started from the previous weights.
 
-    History rows (epoch, train_loss, train_acc, val_loss, val_acc); best = first epoch with
+    History rows (epoch, train_loss, train_acc, val_loss, val_acc[, lr]); best = first epoch with
     the strictly greatest val accuracy (> 0); early stop on val loss as the reference does.
+    Without ``lr`` the rounds use L-BFGS; with it gradient descent, whose step is multiplied by
+    ``factor`` after more than ``lr_patience`` rounds without a better validation loss.
     """
     n_features = width(train, features)
     layers = [n_features, *hidden, n_classes]
     tr = few_tasks(train.withColumn(label, F.col(label).cast("double")), train.count()).cache()
     va = val.withColumn(label, F.col(label).cast("double")).cache()
     weights, hist, best_acc, best_model, best_loss, counter = None, [], 0.0, None, float("inf"), 0
+    plateau, bad = float("inf"), 0
 
     def loss_acc(model, d):
         p = model.transform(d).select(vector_to_array("probability").alias("p"), F.col(label).cast("int").alias("y"),
@@ -238,14 +242,20 @@ def epoch_training(train: DataFrame, val: DataFrame, features: str, label: str,
         return float(r["l"]), float(r["a"])
     for epoch in range(1, rounds + 1):
         est = MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, layers=layers,
-                                             maxIter=iters_per_round, seed=seed)
+                                             maxIter=iters_per_round, seed=seed, solver="l-bfgs" if lr is None else "gd",
+                                             stepSize=lr or 0.03)
         if weights is not None:
             est.setInitialWeights(weights)
         model = est.fit(tr)
         weights = model.weights
         tl, ta = loss_acc(model, tr)
         vl, vacc = loss_acc(model, va)
-        hist.append((epoch, tl, ta, vl, vacc))
+        hist.append((epoch, tl, ta, vl, vacc) + (() if lr is None else (lr,)))
+        if lr is not None:
+            better = vl < plateau * (1 - lr_threshold)
+            plateau, bad = (vl, 0) if better else (plateau, bad + 1)
+            if bad > lr_patience:
+                lr, bad = lr * factor, 0
         if vacc > best_acc:
             best_acc, best_model = vacc, model
         if vl < best_loss - min_delta:

@@ -33,23 +33,29 @@ JOINT_EPS = 1e-8
 
 
 # ------------------------------------------------------------------ numpy kernels
-def resize_weights(n_in: int, n_out: int) -> np.ndarray:
-    """n_out×n_in triangle-filter weights on pixel centres; support scales with the factor."""
+def resize_weights(n_in: int, n_out: int, resample: str = "bilinear") -> np.ndarray:
+    """n_out×n_in weights on pixel centres: a triangle of support 1 ("bilinear") or the cubic
+    convolution kernel with a = −1/2 and support 2 ("bicubic"), widened by the down-scale factor."""
     scale = n_in / n_out
     fs = max(scale, 1.0)
     centers = (np.arange(n_out) + 0.5) * scale
-    src = np.arange(n_in) + 0.5
-    w = np.clip(1.0 - np.abs(src[None, :] - centers[:, None]) / fs, 0.0, None)
+    d = np.abs(np.arange(n_in) + 0.5 - centers[:, None]) / fs
+    if resample == "bilinear":
+        w = np.clip(1.0 - d, 0.0, None)
+    elif resample == "bicubic":
+        w = np.where(d < 1, 1.5 * d ** 3 - 2.5 * d ** 2 + 1, np.where(d < 2, -0.5 * d ** 3 + 2.5 * d ** 2 - 4 * d + 2, 0.0))
+    else:
+        raise ValueError(resample)
     return w / w.sum(axis=1, keepdims=True)
 
 
-def resize_batch(imgs: np.ndarray, out_h: int, out_w: int, uint8: bool = False) -> np.ndarray:
+def resize_batch(imgs: np.ndarray, out_h: int, out_w: int, uint8: bool = False, resample: str = "bilinear") -> np.ndarray:
     """Resize N×H×W(×C) images: horizontal pass then vertical pass (Wy @ img @ Wx.T).
 
     ``uint8=True`` mimics 8-bit fixed-point resampling: 22-bit integer coefficients and
     rounding to 0–255 after each pass."""
     n, h, w = imgs.shape[:3]
-    wx, wy = resize_weights(w, out_w), resize_weights(h, out_h)
+    wx, wy = resize_weights(w, out_w, resample), resize_weights(h, out_h, resample)
     x = imgs.astype(np.float64)
     if not uint8:
         x = np.einsum("ow,nhw...->nho...", wx, x)
@@ -251,10 +257,10 @@ def same_size_batches(pdf: pd.DataFrame):
         yield at, np.repeat(raw, 3, axis=3) if c == 1 else raw[:, :, :, 2::-1]
 
 
-def _resized(pdf: pd.DataFrame, size: int) -> np.ndarray:
+def _resized(pdf: pd.DataFrame, size: int, resample: str) -> np.ndarray:
     x = np.empty((len(pdf), size, size, 3), np.uint8)
     for at, rgb in same_size_batches(pdf):
-        x[at] = resize_batch(rgb, size, size, uint8=True)
+        x[at] = resize_batch(rgb, size, size, uint8=True, resample=resample)
     return x
 
 
@@ -272,19 +278,23 @@ def _from_bytes(df: DataFrame, key: str, fn, column: str, element: str, keep) ->
     return df.select(key, "height", "width", "channels", "data", *keep).mapInPandas(run, f"{kinds}, {column} array<{element}>")
 
 
-def image_features_sized(df: DataFrame, key: str, size: int = 64, hist_mode: str = "density", keep=()) -> DataFrame:
+def image_features_sized(df: DataFrame, key: str, size: int = 64, hist_mode: str = "density", keep=(),
+                         resample: str = "bilinear") -> DataFrame:
     """Like ``image_features`` for decoded images of differing sizes: the images of one size are
     resized together to size×size (8-bit fixed point), then the batch is featurised."""
     def fn(pdf):
-        x = _resized(pdf, size).astype(np.float64)
+        x = _resized(pdf, size, resample).astype(np.float64)
         _, blocks = hog_batch(rgb_to_gray(x))
         return np.concatenate([blocks, color_hist_batch(x, HIST_BINS, hist_mode)], axis=1).astype(np.float32)
     return _from_bytes(df, key, fn, "features", "float", keep)
 
 
-def gray_pixels_sized(df: DataFrame, key: str, size: int = 64, weights=GRAY_PIL_L, keep=()) -> DataFrame:
-    """Resize to size×size, grey ('L' weights on 0–255, rounded), normalise to [-1, 1]."""
+def gray_sized(df: DataFrame, key: str, size: int = 64, weights=GRAY_PIL_L, keep=()) -> DataFrame:
+    """Grey ('L' weights on 0–255, rounded) first, then resize to size×size: ``gray`` 0–255, flat."""
     def fn(pdf):
-        g = np.clip(np.rint(rgb_to_gray(_resized(pdf, size), weights, unit=False)), 0, 255)
-        return ((g / 255.0 - 0.5) / 0.5).reshape(len(pdf), -1)
-    return _from_bytes(df, key, fn, "pixels", "double", keep)
+        x = np.empty((len(pdf), size, size), np.float64)
+        for at, rgb in same_size_batches(pdf):
+            g = np.clip(np.rint(rgb_to_gray(rgb, weights, unit=False)), 0, 255)
+            x[at] = resize_batch(g, size, size, uint8=True)
+        return x.reshape(len(pdf), -1)
+    return _from_bytes(df, key, fn, "gray", "double", keep)

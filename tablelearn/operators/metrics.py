@@ -13,7 +13,8 @@ from tablelearn.functions.exprs import col_of, vec_sqdist, matrix_literal
 
 
 def regression(df: DataFrame, y: str, p: str, group: str | None = None) -> DataFrame:
-    """RMSE, MAE, R², MAPE (%), n — per group when given.  y = 0 makes MAPE infinite."""
+    """RMSE, MAE, R², MAPE (%), n — per group when given.  y = 0 makes MAPE infinite; evaluating
+    an empty prediction set is an error."""
     e = col_of(p).cast("double") - col_of(y).cast("double")
     yy = col_of(y).cast("double")
     ape = F.when(yy == 0, F.lit(float("inf"))).otherwise(F.abs(e) / F.abs(yy))
@@ -21,12 +22,10 @@ def regression(df: DataFrame, y: str, p: str, group: str | None = None) -> DataF
     aggs = [F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
             F.when(sst == 0, F.lit(float("nan"))).otherwise(1 - F.sum(e * e) / sst).alias("r2"),
             (F.avg(ape) * 100).alias("mape"), F.count(F.lit(1)).alias("n")]
-    return df.groupBy(col_of(group)).agg(*aggs) if group else df.agg(*aggs)
-
-
-def require_rows(df: DataFrame) -> None:
-    if df.isEmpty():
-        raise ModelError("cannot evaluate an empty prediction set")
+    if group:
+        return df.groupBy(col_of(group)).agg(*aggs)
+    empty = F.raise_error(F.lit("cannot evaluate an empty prediction set")).cast("bigint")
+    return df.agg(*aggs).withColumn("n", F.when(F.col("n") == 0, empty).otherwise(F.col("n")))
 
 
 def binary(df: DataFrame, y: str, p: str, positive=1) -> DataFrame:

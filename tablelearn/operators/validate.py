@@ -91,12 +91,6 @@ def require(df: DataFrame, rules) -> None:
         raise ValidationError(f"validation failed: {rule}({col}) violations={n}", failed)
 
 
-def duplicate_rows(df: DataFrame, keys) -> DataFrame:
-    """Keys that occur more than once with their extra-row counts (map-side partial counts)."""
-    return (df.groupBy(*[col_of(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-            .where("n > 1").select(*keys, (F.col("n") - 1).alias("extra")))
-
-
 def aligned_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Two-table length check by key: rows only left, only right, and matched."""
     l = left.select(F.col(key).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("nl"))

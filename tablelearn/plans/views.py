@@ -74,19 +74,6 @@ def emb_range(spark: SparkSession, sf_dir: str) -> tuple[float, float]:
     return float(r["mn"]), float(r["mx"])
 
 
-def emb_px(spark: SparkSession, sf_dir: str, side: int = 8) -> DataFrame:
-    """Embeddings as side×side grey images in long form (vec_id, label, y, x, px 0–255)."""
-    mn, mx = emb_range(spark, sf_dir)
-    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"])
-    ex = e.select("vec_id", "label", F.posexplode("embedding").alias("pos", "v"))
-    return ex.select(
-        "vec_id", "label",
-        (F.col("pos") / F.lit(side)).cast("int").alias("y"),
-        (F.col("pos") % F.lit(side)).cast("int").alias("x"),
-        F.floor((F.col("v").cast("double") - F.lit(mn)) / F.lit(mx - mn) * F.lit(255)).cast("int").alias("px"),
-    )
-
-
 def emb_images(spark: SparkSession, sf_dir: str, side: int = 8) -> DataFrame:
     """Embeddings as flattened side×side 0–255 images: (vec_id, label, pixels array<int>)."""
     mn, mx = emb_range(spark, sf_dir)

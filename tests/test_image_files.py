@@ -26,7 +26,10 @@ def test_folder_layout_forest_and_kcal_table(spark, tmpdir_path):
         _make(tmpdir_path, f"sushi/{i}.png", (30, 60, 220), rng, size=(16, 12))
     with open(os.path.join(tmpdir_path, "sushi", "bad.png"), "wb") as f:
         f.write(b"fake")
-    out = image_files.train_classifier(spark, tmpdir_path, "folder", backend="forest", num_trees=100, max_depth=5)
+    out = image_files.train_classifier(spark, tmpdir_path, "folder", backend="forest", num_trees=100, max_depth=5,
+                                       runs_path=f"{tmpdir_path}-runs")
+    run = out["runs"].first()
+    assert (run["n_images"], run["n_skipped"]) == (20, 1) and run["elapsed_seconds"] > 0 and 0 <= run["accuracy"] <= 1
     assert out["classes"] == ["pizza", "sushi"]
     pred = out["predictions"]
     assert pred.count() == 4
@@ -61,6 +64,8 @@ def test_gesture_tree_epochs(spark, tmpdir_path):
             _make(tmpdir_path, f"{s}/fist/{i}.png", (240, 240, 240), rng)
             _make(tmpdir_path, f"{s}/palm/{i}.png", (10, 10, 10), rng)
             _make(tmpdir_path, f"{s}/other/{i}.txt.png", (120, 0, 0), rng)
+    sched = image_files.train_gestures(spark, tmpdir_path, ["fist", "palm"], rounds=2, iters_per_round=2, lr=0.03, copies=0)
+    assert [r["lr"] for r in sched["history"].orderBy("epoch").collect()][0] == 0.03
     out = image_files.train_gestures(spark, tmpdir_path, ["fist", "palm"], rounds=3, iters_per_round=3)
     h = out["history"].collect()
     assert 1 <= len(h) <= 3 and all(0 <= r["val_acc"] <= 1 for r in h)

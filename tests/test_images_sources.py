@@ -73,3 +73,25 @@ def test_bundle_roundtrip_and_missing_part(spark, tmpdir_path):
     assert a == b and feats == ["x"] and met == {"rmse": 0.0}
     with pytest.raises(ModelError):
         bundle.load_bundle(spark, f"{tmpdir_path}/nothing")
+
+
+def test_bicubic_weights_keep_constants_and_reach_over():
+    from tablelearn.operators.images import resize_batch, resize_weights
+    w = resize_weights(9, 4, "bicubic")
+    assert np.allclose(w.sum(1), 1) and (w < 0).any() and np.allclose(resize_weights(5, 5, "bicubic"), np.eye(5))
+    x = np.full((2, 9, 7, 3), 200, np.uint8)
+    assert (resize_batch(x, 4, 4, uint8=True, resample="bicubic") == 200).all()
+
+
+def test_augmentation_is_a_rotation_and_shift():
+    from tablelearn.operators.images import augment_batch
+    x = np.arange(50, dtype=float).reshape(2, 5, 5)
+    assert (augment_batch(x, [0, 0], [0, 0], [0, 0]) == x).all()
+    assert (augment_batch(x, [0, 0], [1, 0], [0, 2])[0, 1:] == x[0, :-1]).all() and (augment_batch(x, [0, 0], [1, 0], [0, 2])[1, :, 2:] == x[1, :, :-2]).all()
+    assert (augment_batch(x, [180, 90], [0, 0], [0, 0])[0] == x[0, ::-1, ::-1]).all()
+
+
+def test_empty_prediction_set_is_an_error(spark):
+    from tablelearn.operators import metrics
+    with pytest.raises(Exception, match="empty prediction set"):
+        metrics.regression(spark.createDataFrame([], "y double, p double"), "y", "p").collect()
