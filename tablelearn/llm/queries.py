@@ -177,6 +177,25 @@ def op8_neardup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
 
 
+ORACLE["op8_neardup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id AS id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ \t\n\r\x0b\x0c]+'), lambda w: w <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 2], ' ') END AS s
+  FROM (SELECT id, w, unnest(range(1, greatest(2, len(w) - 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+m AS (SELECT a.id AS a, b.id AS b, count(*) AS m FROM s a JOIN s b ON a.s = b.s AND a.id < b.id GROUP BY ALL),
+e AS (SELECT a, b FROM m JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * m >= 85 * (x.n + y.n - m)),
+r(id, root) AS (
+  SELECT id, id FROM d
+  UNION SELECT e2.b, r.root FROM r JOIN (SELECT a, b FROM e UNION ALL SELECT b, a FROM e) e2 ON e2.a = r.id),
+c AS (SELECT id, min(root) AS root FROM r GROUP BY id)
+SELECT c.id AS doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id, c.id = c.root AS kept FROM c LEFT JOIN n USING (id)
+"""
+
+
 @q
 def op9_sharding(spark, sf_dir):
     """All documents into 24 shards of near equal bytes; copies stay together."""
