@@ -5,27 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.errors import SizeBoundError
 from tablelearn.functions.exprs import col_of
 
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def bounded(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a dimension only after proving its size (bounded count of max_rows+1)."""
-    n = dim.limit(max_rows + 1).count()
-    if n > max_rows:
-        return dim  # too large: let the planner shuffle-join it
-    return F.broadcast(dim)
+def bounded(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a dimension only after measuring its size (bytes of its values as text)."""
+    size = dim.agg(F.sum(F.octet_length(F.to_json(F.struct(*dim.columns)))).alias("b")).first()["b"] or 0
+    return F.broadcast(dim) if size <= max_bytes else dim  # too large: let the planner shuffle-join it
 
 
 def lookup_default(df: DataFrame, dim: DataFrame, key: str, value: str, default_key: str = "default",
                    default=None, out: str | None = None) -> DataFrame:
     """Left lookup of ``value`` by ``key``; unknown keys get the dimension's ``default`` entry
-    (or the given default).  A literal key equal to ``default_key`` matches like any other."""
+    (or the given default; the smallest of several).  A literal key equal to ``default_key`` matches like any other."""
     if default is None:
-        r = dim.where(col_of(key) == F.lit(default_key)).select(value).limit(2).collect()
-        default = r[0][0] if r else None
+        default = dim.where(col_of(key) == F.lit(default_key)).agg(F.min(col_of(value))).first()[0]
     d = dim.select(col_of(key).alias("_lk"), col_of(value).alias("_lv"))
     j = df.join(bounded(d), col_of(key) == F.col("_lk"), "left")
     return j.withColumn(out or value, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv")

@@ -187,7 +187,8 @@ def semi_align(spark, sf):
     e = price.engineer(impute.apply_median(of, impute.fit_median(of, ["gross"])))
     kept = impute.iqr_filter(e, "total", 0.5)
     y = of.select("id", "target")
-    return y.join(kept.select("id"), "id", "left_semi")
+    from tablelearn.operators import align
+    return align.semi_align(y, kept, "id")
 
 
 @q
