@@ -144,7 +144,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 def op6_quality(spark, sf_dir):
     """Expected grade of every text, and whether it is likely good and clean."""
     docs = table(spark, sf_dir, "documents")
-    return ordinal.grade(docs, ordinal.fit(docs, ordinal.rated(table(spark, sf_dir, "labels"))))
+    graded = ordinal.grade(docs, ordinal.fit(docs, ordinal.rated(table(spark, sf_dir, "labels"))))
+    return graded.withColumnRenamed("selected", "kept")
 
 
 @q
