@@ -145,7 +145,8 @@ def fit_classifier(df: DataFrame, features: str, label: str, backend: str, n_cla
     if backend == "svm_rbf" and "reg_param" not in kw:
         kw["reg_param"] = 1.0 / (n * kw.get("C", 5.0))
     est = make_estimator(backend, n_features, n_classes, features, label, seed, **kw)
-    return est.fit(few_tasks(df.withColumn(label, F.col(label).cast("double")), n))
+    data = df.withColumn(label, F.col(label).cast("double"))
+    return est.fit(data if backend == "forest" else few_tasks(data, n))  # a forest's step works per node, not per row
 
 
 def margin(df: DataFrame, raw: str = "rawPrediction", out: str = "margin") -> DataFrame:

@@ -21,6 +21,7 @@ from tablelearn.errors import ModelError, SizeBoundError
 from tablelearn.functions.exprs import WIDE_DIM, grouped_vector_sums, matrix_literal, order_hash, vec_sqdist
 
 MAX_K = 1000
+ROWS_PER_TASK = 20_000
 
 
 def assemble(df: DataFrame, cols, out: str = "x") -> DataFrame:
@@ -192,6 +193,7 @@ def fit_kmeans_many(df: DataFrame, vec: str, key: str, ks, restarts: int = 10, m
         raise ModelError(f"k-means needs at least k={top} rows, got {n}")
     if top > MAX_K:
         raise SizeBoundError(f"more than {MAX_K} clusters")
+    whole, data = data, data.coalesce(max(1, -(-n // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)  # one small job per step
     var = data.agg(*[F.var_pop(F.col(vec)[i]).alias(f"v{i}") for i in range(dim)]).first()
     tol_abs = tol * sum(float(var[f"v{i}"] or 0.0) for i in range(dim)) / dim
     # k-means++ seeding, all restarts per pass
@@ -222,7 +224,8 @@ def fit_kmeans_many(df: DataFrame, vec: str, key: str, ks, restarts: int = 10, m
     # inertia and sizes of every run in one pass; keep the best of each k
     runs = sorted(cents)
     sums = _run_sums(data, vec, [cents[run] for run in runs], dim)
-    data.unpersist()
+    for d in (data, whole):
+        d.unpersist()
     cost, sizes = dict.fromkeys(runs, 0.0), {}
     for (i, c), (m, d, _) in sorted(sums.items()):
         cost[runs[i]] += d

@@ -14,7 +14,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.operators import impute, metrics, regress, scale, split, validate
+from tablelearn.operators import impute, metrics, profile, regress, scale, split, validate
 from tablelearn.plans.views import REFERENCE_YEAR, order_feats
 
 ORDER_RULES = [
@@ -47,8 +47,9 @@ def prepare(train: DataFrame, other: DataFrame, iqr_k: float = 3.0, fit_scope: D
     def filled(df):
         return impute.sanitize_inf(engineer(impute.apply_median(impute.sanitize_inf(df, RAW), raw)), FEATURES)
     fitted = filled(fit_on)
-    med = impute.fit_median(fitted, FEATURES).first().asDict()
-    bounds = impute.iqr_bounds(fitted, "total", iqr_k)
+    q = profile.exact_quantiles(fitted, FEATURES, [0.25, 0.5, 0.75])  # medians and quartiles in the same scans
+    med, (q1, q3) = {c: q[c][0.5] for c in FEATURES}, (q["total"][0.25], q["total"][0.75])
+    bounds = (q1 - iqr_k * (q3 - q1), q3 + iqr_k * (q3 - q1))
     tr = impute.residual_fill(impute.iqr_filter(filled(train), "total", bounds=bounds), FEATURES, learned=med)
     ot = impute.residual_fill(filled(other), FEATURES, learned=med)
     sc = scale.fit_scaler(tr, FEATURES).first().asDict()
