@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import chunks, pick, setup
+from tablelearn.llm.common import chunks, lean, pick, setup
 
 # Fixed value: the split pattern of byte-level BPE.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -273,7 +273,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                     cols.append(pa.array(decode_ids(enc.t, ids, n), pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, ["_id", "n_tokens", "ids", "decoded"][:len(cols)])
 
-    out = rows.mapInArrow(run, f"_id {id_type}, n_tokens long, ids binary" + ", decoded string" * decoded)
+    out = rows.mapInArrow(lean(run), f"_id {id_type}, n_tokens long, ids binary" + ", decoded string" * decoded)
     return out.withColumnRenamed("_id", id_col)
 
 
@@ -299,7 +299,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(decode_ids(t, ids, n), pa.string())],
                                                  ["_id", "text"])
 
-    return rows.mapInArrow(run, f"_id {id_type}, text string").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(lean(run), f"_id {id_type}, text string").withColumnRenamed("_id", id_col)
 
 
 def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

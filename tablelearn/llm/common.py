@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +16,7 @@ from tablelearn.session import prepare, shared_dir
 
 #: Bytes of text that one Arrow batch may bring into a Python worker, and characters handled at once inside it.
 BATCH_BYTES = "4m"
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 
 
 def setup(spark: SparkSession) -> SparkSession:
@@ -43,6 +47,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(run):
+    """``run`` over Arrow batches; when its task ends, memory that is free goes back to the system,
+    since a Python worker lives on through the tasks of later stages."""
+    def whole(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+    return whole
+
+
 def chunks(lengths, limit: int = CHUNK_CHARS):
     """(from, to) index ranges whose summed lengths stay near ``limit`` (one long item alone)."""
     at, total = 0, 0

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import WordHashes, chunks, pick, setup, shingle_hashes, written
+from tablelearn.llm.common import WordHashes, chunks, lean, pick, setup, shingle_hashes, written
 from tablelearn.llm.neardup import A, B, fold32
 
 HASHES = 48
@@ -160,7 +160,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, least: float = 0
                             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*got)],
                                                              ["id", "item_id", "item_shingles", "shared"])
 
-        part = written(rows.mapInArrow(run, schema), "decontam_matches")
+        part = written(rows.mapInArrow(lean(run), schema), "decontam_matches")
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = spark.createDataFrame([], schema)
@@ -187,5 +187,5 @@ def clean(docs: DataFrame, items: DataFrame, n: int = 5, least: float = 0.8, tex
                             keep[some[d][0]] = False
                 yield b.filter(pa.array(keep))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(lean(run), docs.schema)
     return out

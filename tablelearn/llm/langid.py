@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import chunks, pick, setup, written
+from tablelearn.llm.common import chunks, lean, pick, setup, written
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -174,7 +174,7 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
         if total:
             yield pa.RecordBatch.from_arrays([pa.array([df.tobytes()], pa.binary()), pa.array([total], pa.int64())], ["df", "n"])
 
-    parts = rows.select("text").mapInArrow(count, "df binary, n long").repartition(4).mapInArrow(add, "df binary, n long").collect()
+    parts = rows.select("text").mapInArrow(lean(count), "df binary, n long").repartition(4).mapInArrow(lean(add), "df binary, n long").collect()
     return (sum((np.frombuffer(r["df"], np.int64) for r in parts), np.zeros(SIZE, np.int64)), sum(r["n"] for r in parts))
 
 
@@ -249,7 +249,7 @@ def _calibrated(spark, sample: DataFrame, weights: np.ndarray) -> float:
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in x[keep]], pa.binary()),
                                               b.column(1).take(pa.array(keep))], ["x", "y"])
 
-    rows = sample.where(F.pmod(F.shiftright("h", 24), F.lit(4)) == 0).select("text", "y").mapInArrow(run, "x binary, y int").collect()
+    rows = sample.where(F.pmod(F.shiftright("h", 24), F.lit(4)) == 0).select("text", "y").mapInArrow(lean(run), "x binary, y int").collect()
     x = np.array([np.frombuffer(r["x"]) for r in rows]).reshape(len(rows), -1)
     return temperature(x, np.array([r["y"] for r in rows], int))
 
@@ -274,7 +274,7 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(lang.tolist(), pa.string()), pa.array(score)],
                                              ["_id", "held_out", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"_id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(lean(run), f"_id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("_id", id_col)
 
 
 def keep_known(docs: DataFrame, model: dict, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,4 +291,4 @@ def keep_known(docs: DataFrame, model: dict, least: float = 0.5, id_col: str = "
                 keep = np.flatnonzero(has & (softmax(x / m["temperature"]).max(1) >= least))
                 yield b.take(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import ASCII_LOWER, WordHashes, chunks, hash64, mix64, pick, setup, shingle_hashes, written
+from tablelearn.llm.common import ASCII_LOWER, WordHashes, chunks, hash64, lean, mix64, pick, setup, shingle_hashes, written
 
 HASHES = 120
 BATCH = 20
@@ -111,7 +111,7 @@ def signatures(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame
                      pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary())],
                     ["id", "key", "n_shingles", "sig"])
 
-    return rows.mapInArrow(run, "id long, key binary, n_shingles long, sig binary")
+    return rows.mapInArrow(lean(run), "id long, key binary, n_shingles long, sig binary")
 
 
 def sig_matrix(column) -> np.ndarray:
@@ -137,7 +137,7 @@ def buckets(sigs: DataFrame, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(ids, bands))], ["bucket", "id"])
 
-    return sigs.select("id", "sig").mapInArrow(run, "bucket long, id long")
+    return sigs.select("id", "sig").mapInArrow(lean(run), "bucket long, id long")
 
 
 def bayes_keep(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
@@ -164,7 +164,7 @@ def bayes(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
                 keep = bayes_keep(sig_matrix(x.column(2)), sig_matrix(x.column(3)), least)
                 yield x.select(["a", "b"]).take(pa.array(keep))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(lean(run), "a long, b long")
 
 
 def bit_filter(ids: DataFrame) -> DataFrame:
@@ -219,7 +219,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
                     keep.append(k)
             yield x.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import chunks, hash64, pick, setup, written
+from tablelearn.llm.common import chunks, hash64, lean, pick, setup, written
 from tablelearn.llm.decontam import plain
 
 BITS = 18
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
               .select("id", "y", "weight", h.alias("h")))  # about per_grade rows a grade: bounded
     rows = pick(docs, id=id_col, text=text_col)
     sample = rows.join(F.broadcast(chosen), "id").select("text", "y", "weight", "h")
-    sample = written(sample.mapInArrow(_featurized, "y int, weight double, h long, ids binary, x binary"), "ordinal_sample")
+    sample = written(sample.mapInArrow(lean(_featurized), "y int, weight double, h long, ids binary, x binary"), "ordinal_sample")
     held = F.pmod(F.shiftright("h", 24), F.lit(4)) == 0
     train = sample.where(~held).withColumn("block", F.pmod(F.shiftright("h", 30), F.lit(BLOCKS)).cast("int"))
     z, n = np.zeros(SIZE + SHAPES), np.zeros(SIZE + SHAPES)
@@ -245,7 +245,7 @@ def _margins(spark, rows: DataFrame, model: dict):
             s = [float(shared.value["w"][i] @ v) for i, v in map(_features, b.column(0).to_pylist(), b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.float64()), b.column(2), b.column(3)], ["s", "y", "weight"])
 
-    got = rows.select("ids", "x", "y", "weight").mapInArrow(run, "s double, y int, weight double").collect()
+    got = rows.select("ids", "x", "y", "weight").mapInArrow(lean(run), "s double, y int, weight double").collect()
     return tuple(np.array([r[c] for r in got], t) for c, t in (("s", float), ("y", int), ("weight", float)))
 
 
@@ -287,4 +287,4 @@ def grade(docs: DataFrame, model: dict | None, at_least: float = 2, least: float
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(e), pa.array(tail), pa.array(tail >= least)],
                                                  ["_id", "expected_grade", "tail_prob", "selected"])
 
-    return rows.mapInArrow(run, f"_id {kind}, expected_grade double, tail_prob double, selected boolean").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(lean(run), f"_id {kind}, expected_grade double, tail_prob double, selected boolean").withColumnRenamed("_id", id_col)
