@@ -30,6 +30,9 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 _UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: Words of more bytes than this are merged with a heap, since rounds grow with a word's length.
 LONG_WORD = 512
+#: Texts of more characters than this are encoded part by part.
+LONG_TEXT = 1 << 22
+_CUT = re.compile(r"(?<=\S)(?= \S)")
 #: Distinct units that a worker keeps encoded.
 MAX_UNITS = 400_000
 
@@ -219,6 +222,16 @@ class Encoder:
         return ids, total[ends] - total[ends - n_units]
 
 
+def parts(text: str) -> list[str]:
+    """A very long text in parts that can be encoded on their own: cut before a single blank
+    between other characters, where the split pattern always starts a new word."""
+    out, at = [], 0
+    while len(text) - at > LONG_TEXT and (m := _CUT.search(text, at + LONG_TEXT)):
+        out.append(text[at:m.start()])
+        at = m.start()
+    return [*out, text[at:]]
+
+
 def ranges(at: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Concatenated index ranges [at, at + n)."""
     shift = np.repeat(at - (np.cumsum(n) - n), n)
@@ -264,13 +277,18 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         for b in batches:
             texts = [x or "" for x in b.column(1).to_pylist()]
             for i, j in chunks([len(x) for x in texts]):
-                ids, n = enc.batch(texts[i:j])
-                ends = np.cumsum(n)
-                packed = ids.astype("<u4")
-                cols = [b.column(0).slice(i, j - i), pa.array(n, pa.int64()),
-                        pa.array([packed[e - c:e].tobytes() for e, c in zip(ends.tolist(), n.tolist())], pa.binary())]
+                n, packed, back = [], [], []
+                for some in (texts[i:j],) if j - i > 1 or len(texts[i]) <= LONG_TEXT else ([p] for p in parts(texts[i])):
+                    ids, k = enc.batch(some)
+                    ends = np.cumsum(k).tolist()
+                    n += k.tolist()
+                    packed += [ids[e - c:e].astype("<u4").tobytes() for e, c in zip(ends, k.tolist())]
+                    back += decode_ids(enc.t, ids, k) if decoded else []
+                if len(n) > j - i:
+                    n, packed, back = [sum(n)], [b"".join(packed)], ["".join(back)]
+                cols = [b.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(packed, pa.binary())]
                 if decoded:
-                    cols.append(pa.array(decode_ids(enc.t, ids, n), pa.string()))
+                    cols.append(pa.array(back, pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, ["_id", "n_tokens", "ids", "decoded"][:len(cols)])
 
     out = rows.mapInArrow(lean(run), f"_id {id_type}, n_tokens long, ids binary" + ", decoded string" * decoded)

@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +100,22 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_codes(text: bytes, hashes: WordHashes, block: int = 1 << 22) -> np.ndarray:
+    """Hashes of the words (runs of other than ASCII white space), a very long text block by block."""
+    if len(text) <= block:
+        return hashes.codes(text.split())
+    out, at = [], 0
+    while at < len(text):
+        m = _SPACE.search(text, at + block)
+        end = m.start() if m else len(text)
+        out.append(hashes.codes(text[at:end].split()))
+        at = end
+    return np.concatenate(out)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64 (public domain constants) over uint64."""
     x = x ^ (x >> np.uint64(30))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import WordHashes, chunks, lean, pick, setup, shingle_hashes, written
+from tablelearn.llm.common import WordHashes, chunks, lean, pick, setup, shingle_hashes, word_codes, written
 from tablelearn.llm.neardup import A, B, fold32
 
 HASHES = 48
@@ -42,7 +42,7 @@ def plain(word: bytes) -> bytes:
 
 def shingles(text: str | None, hashes: WordHashes, n: int) -> np.ndarray:
     """Shingle hashes in order, repeats kept."""
-    codes = hashes.codes((text or "").encode("utf-8", "surrogatepass").split())
+    codes = word_codes((text or "").encode("utf-8", "surrogatepass"), hashes)
     return shingle_hashes(codes[codes != 0], n)
 
 

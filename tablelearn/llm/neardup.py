@@ -25,6 +25,7 @@ component and are kept.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -33,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import ASCII_LOWER, WordHashes, chunks, hash64, lean, mix64, pick, setup, shingle_hashes, written
+from tablelearn.llm.common import (ASCII_LOWER, WordHashes, chunks, lean, mix64, pick, setup, shingle_hashes,
+                                   word_codes, written)
 
 HASHES = 120
 BATCH = 20
@@ -67,12 +69,12 @@ def least_equal(threshold: float, miss: float = MISS) -> list[int]:
     return out
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split()
+def codes_of(text: str | None, hashes: WordHashes) -> np.ndarray:
+    return word_codes((text or "").encode("utf-8", "surrogatepass").translate(ASCII_LOWER), hashes)
 
 
-def shingle_set(words: list[bytes], hashes: WordHashes, n: int) -> np.ndarray:
-    return np.unique(shingle_hashes(hashes.codes(words), n))
+def shingle_set(codes: np.ndarray, n: int) -> np.ndarray:
+    return np.unique(shingle_hashes(codes, n))
 
 
 def fold32(h: np.ndarray) -> np.ndarray:
@@ -90,7 +92,8 @@ def minhash(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, n_shingles, sig) of every row; key and sig are null without words."""
+    """(id, key, n_shingles, sig) of every row; key (128 bits of the word sequence) and sig are null
+    without words."""
     rows = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long"), F.col("text").cast("string"))
 
     def run(batches):
@@ -98,14 +101,14 @@ def signatures(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame
         for b in batches:
             texts = b.column(1).to_pylist()
             for i, j in chunks([len(t or "") for t in texts]):
-                words = [words_of(t) for t in texts[i:j]]
-                sets = [shingle_set(w, hashes, n) for w in words]
+                words = [codes_of(t, hashes) for t in texts[i:j]]
+                sets = [shingle_set(w, n) for w in words]
                 full = [k for k, s in enumerate(sets) if len(s)]
                 sig = [None] * len(sets)
                 if full:
                     for k, row in zip(full, minhash([sets[k] for k in full])):
                         sig[k] = row.tobytes()
-                key = [b"%016x%016x" % (hash64(s := b" ".join(w)), hash64(s + b"+")) if w else None for w in words]
+                key = [hashlib.blake2b(w.tobytes(), digest_size=16).digest() if len(w) else None for w in words]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(key, pa.binary()),
                      pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary())],
@@ -210,7 +213,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
                     if i not in last:
                         if size > 1 << 20:
                             last, size = {}, 0
-                        last[i] = shingle_set(words_of(t), hashes, n)
+                        last[i] = shingle_set(codes_of(t, hashes), n)
                         size += len(last[i])
                     sets.append(last[i])
                 one, two = sets
@@ -347,7 +350,7 @@ def across(members: DataFrame, sigs: DataFrame, roots: DataFrame, docs: DataFram
         i, j = np.flatnonzero(mask.any(1)), np.flatnonzero(mask.any(0))
         found = []
         if len(i):
-            sets = [[shingle_set(words_of(t), hashes, n) for t in x["text"].iloc[k]] for x, k in ((left, i), (right, j))]
+            sets = [[shingle_set(codes_of(t, hashes), n) for t in x["text"].iloc[k]] for x, k in ((left, i), (right, j))]
             size = [np.array([len(s) for s in x]) for x in sets]
             both = overlaps(*sets)
             ok = mask[np.ix_(i, j)] & (100 * both >= percent * (size[0][:, None] + size[1][None, :] - both))

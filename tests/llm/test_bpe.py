@@ -70,3 +70,24 @@ def test_on_spark(spark, reference):
     back = {r["doc_id"]: r["text"] for r in bpe.decode(out.drop("decoded"), vocabulary()).collect()}
     assert back == {i: t or "" for i, t, _ in rows}
     assert bpe.encode(df.limit(0), vocabulary()).collect() == []
+
+
+def test_long_texts_part_by_part(spark, reference, monkeypatch):
+    import random as r
+    rnd = r.Random(9)
+    texts = ["".join(rnd.choice(["ab", " ", "  ", "\n", "é", "<|endoftext|>", "12", "!?", "'s", "\xa0", "x y"]) for _ in range(400)) for _ in range(60)]
+    monkeypatch.setattr(bpe, "LONG_TEXT", 37)
+    enc = bpe.Encoder(bpe.Tables.read(vocabulary()))
+    for t in texts:
+        some = bpe.parts(t)
+        assert "".join(some) == t
+        ids, n = enc.batch(some)
+        assert ids.tolist() == reference.encode(t, add_special_tokens=False).ids
+    assert sum(len(bpe.parts(t)) > 3 for t in texts) > 30
+
+
+def test_a_text_beyond_the_limit(spark, reference):
+    text = "some words in a row, " * 250_000
+    r = bpe.encode(spark.createDataFrame([(1, text), (2, "b")], "doc_id long, text string"), vocabulary(), decoded=True).orderBy("doc_id").collect()
+    ids = reference.encode(text, add_special_tokens=False).ids
+    assert r[0]["n_tokens"] == len(ids) and r[0]["ids"] == np.array(ids, "<u4").tobytes() and r[0]["decoded"] == text and r[1]["decoded"] == "b"

@@ -98,3 +98,12 @@ def test_components_of_a_path(spark):
     random.Random(3).shuffle(ids)
     links = spark.createDataFrame([(min(x, y), max(x, y)) for x, y in zip(ids, ids[1:])], "a long, b long")
     assert {r["root"] for r in neardup.components(links).collect()} == {1}
+
+
+def test_long_text_in_blocks_has_the_same_words():
+    from tablelearn.llm.common import WordHashes, word_codes
+    text = " ".join(f"word{i}\t\n" for i in range(5000)).encode()
+    whole = word_codes(text, WordHashes())
+    for block in (1, 7, 1000):
+        assert np.array_equal(word_codes(text, WordHashes(), block), whole)
+    assert len(whole) == 5000 and len(word_codes(b"", WordHashes(), 1)) == 0
