@@ -101,7 +101,7 @@ def width(df: DataFrame, vec: str) -> int:
     return len(row[0])
 
 
-ROWS_PER_TASK = 2_000
+ROWS_PER_TASK = 200
 
 
 def few_tasks(df: DataFrame, rows: int) -> DataFrame:

@@ -31,9 +31,10 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000, max_brack
     left).  One last job ranks the values of all brackets on the executors.  So the number of
     scans does not depend on the number of columns and probabilities.  A
     bracket that misses its statistic is widened to [min, max], so the answer is always
-    exact.  Returns {col: {p: value or None}}.
+    exact.  ``probs`` may differ by column ({col: probs}).  Returns {col: {p: value or None}}.
     """
-    cols, probs = list(cols), list(probs)
+    cols = list(cols)
+    asked = {c: list(probs[c] if isinstance(probs, dict) else probs) for c in cols}
     d = 3.0 / accuracy
     x = df.select(*[nan_to_null(df, c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
 
@@ -42,7 +43,7 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000, max_brack
     aggs = []
     for i in range(len(cols)):
         c = F.col(f"c{i}")
-        edges = sorted({clip(p + s) for p in probs for s in (-d, d)})
+        edges = sorted({clip(p + s) for p in asked[cols[i]] for s in (-d, d)})
         aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}"),
                  F.percentile_approx(c, edges, accuracy).alias(f"q{i}")]
     r1 = x.agg(*aggs).first()
@@ -51,14 +52,14 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000, max_brack
         n = r1[f"n{i}"]
         if not n:
             continue
-        edges = sorted({clip(p + s) for p in probs for s in (-d, d)})
+        edges = sorted({clip(p + s) for p in asked[cols[i]] for s in (-d, d)})
         q = dict(zip(edges, r1[f"q{i}"]))
-        for p in probs:
+        for p in asked[cols[i]]:
             k1, k2, frac = _positions(n, p)
             lo = q[clip(p - d)] if p - d > 0 else r1[f"mn{i}"]
             hi = q[clip(p + d)] if p + d < 1 else r1[f"mx{i}"]
             st[(i, p)] = {"k1": k1, "k2": k2, "frac": frac, "lo": lo, "hi": hi}
-    out = {c: {p: None for p in probs} for c in cols}
+    out = {c: {p: None for p in asked[c]} for c in cols}
     if not st:
         return out
     keys = list(st)

@@ -47,8 +47,9 @@ def prepare(train: DataFrame, other: DataFrame, iqr_k: float = 3.0, fit_scope: D
     def filled(df):
         return impute.sanitize_inf(engineer(impute.apply_median(impute.sanitize_inf(df, RAW), raw)), FEATURES)
     fitted = filled(fit_on)
-    q = profile.exact_quantiles(fitted, FEATURES, [0.25, 0.5, 0.75])  # medians and quartiles in the same scans
-    med, (q1, q3) = {c: q[c][0.5] for c in FEATURES}, (q["total"][0.25], q["total"][0.75])
+    made = [c for c in FEATURES if c not in RAW]  # a raw column's median stays after filling with it
+    q = profile.exact_quantiles(fitted, made, {c: [0.25, 0.5, 0.75] if c == "total" else [0.5] for c in made})
+    med, (q1, q3) = {**raw, **{c: q[c][0.5] for c in made}}, (q["total"][0.25], q["total"][0.75])
     bounds = (q1 - iqr_k * (q3 - q1), q3 + iqr_k * (q3 - q1))
     tr = impute.residual_fill(impute.iqr_filter(filled(train), "total", bounds=bounds), FEATURES, learned=med)
     ot = impute.residual_fill(filled(other), FEATURES, learned=med)
