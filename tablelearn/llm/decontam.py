@@ -33,6 +33,8 @@ from tablelearn.llm.neardup import A, B, fold32
 
 HASHES = 48
 ITEM_SHINGLES = 200_000
+#: Characters handled at once: 48 hashes over small arrays would cost more in calls than in work.
+TEXT_CHARS = 1 << 20
 _EDGE = string.punctuation
 
 
@@ -150,7 +152,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, least: float = 0
             hashes = WordHashes(plain)
             for b in batches:
                 key, texts = (c.to_pylist() for c in b.columns)
-                for i, j in chunks([len(t or "") for t in texts]):
+                for i, j in chunks([len(t or "") for t in texts], TEXT_CHARS):
                     docs = [shingles(t, hashes, n) for t in texts[i:j]]
                     who = [i + k for k, d in enumerate(docs) if len(d)]
                     docs = [d for d in docs if len(d)]
@@ -180,7 +182,7 @@ def clean(docs: DataFrame, items: DataFrame, n: int = 5, least: float = 0.8, tex
             hashes = WordHashes(plain)
             for b in batches:
                 texts, keep = b.column(at).to_pylist(), np.ones(b.num_rows, bool)
-                for i, j in chunks([len(t or "") for t in texts]):
+                for i, j in chunks([len(t or "") for t in texts], TEXT_CHARS):
                     some = [(i + k, d) for k, d in enumerate(shingles(t, hashes, n) for t in texts[i:j]) if len(d)]
                     if some:
                         for d, *_ in shared.value.matches([d for _, d in some], least):
