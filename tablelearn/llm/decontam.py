@@ -1,7 +1,7 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
-Items are partitioned by the size of their shingle set, each partition twice as wide as the
-one before.  Against a partition of sizes up to ``hi`` a document is cut into blocks of hi/2
+Items of one shingle are looked up exactly.  The others are partitioned by the size of their
+shingle set, each partition twice as wide as the one before.  Against a partition of sizes up to ``hi`` a document is cut into blocks of hi/2
 shingles; any three adjacent blocks form a window, so a passage of one item always lies
 inside one window, whatever the document's length, and the item's similarity to that window
 stays high.  Window and item share a MinHash value for one of HASHES hashes with probability
@@ -62,10 +62,15 @@ class Partition:
 
 
 class Index:
-    """A block of items: exact shingle sets and the size partitions with their sketches."""
+    """A block of items: exact shingle sets, the items of one shingle sorted by it, and the size
+    partitions of the others with their sketches."""
 
     def __init__(self, ids: list, sets: list[np.ndarray]):
         self.ids, self.sets, self.parts = ids, sets, []
+        one = [i for i, s in enumerate(sets) if len(s) == 1]
+        single = np.array([sets[i][0] for i in one], np.uint64)
+        order = np.argsort(single, kind="stable")
+        self.single, self.one = single[order], np.array(one, np.int64)[order]
         sketch = np.empty((len(sets), HASHES), np.uint32)
         for i, s in enumerate(sets):
             f = fold32(s)
@@ -73,17 +78,21 @@ class Index:
                 sketch[i, k] = (f * A[k] + B[k]).min()
         classes: dict[int, list[int]] = {}
         for i, s in enumerate(sets):
-            hi = 8
+            if len(s) == 1:
+                continue
+            hi = 2
             while hi < len(s):
                 hi *= 2
             classes.setdefault(hi, []).append(i)
         self.parts = [Partition(hi, items, sketch[items]) for hi, items in sorted(classes.items())]
 
     def candidates(self, docs: list[np.ndarray]) -> set:
-        """(document, item) pairs with a common MinHash value in some window."""
+        """(document, item) pairs with a common MinHash value in some window, or with the item's one shingle."""
         size = np.array([len(d) for d in docs])
         at = np.cumsum(size) - size
-        flat = fold32(np.concatenate(docs))
+        flat = np.concatenate(docs)
+        found = self.singles(flat, at) if len(self.one) else set()
+        flat = fold32(flat)
         cuts = []
         for p in self.parts:
             n = -(-size // p.block)
@@ -92,7 +101,6 @@ class Index:
             one = np.concatenate((doc[1:] != doc[:-1], [True]))  # last block of its document
             two = np.concatenate((doc[2:] != doc[:-2], [True, True][:len(doc)])) if len(doc) > 1 else np.ones(1, bool)
             cuts.append((at[doc] + nth * p.block, doc, one, two))
-        found = set()
         for k in range(HASHES):
             h = flat * A[k] + B[k]
             for p, (starts, doc, one, two) in zip(self.parts, cuts):
@@ -110,6 +118,13 @@ class Index:
                     found.update((int(doc[w]), int(i)) for i in p.item[k, x:y])
         return found
 
+    def singles(self, flat: np.ndarray, at: np.ndarray) -> set:
+        a = np.searchsorted(self.single, flat, "left")
+        hit = np.flatnonzero(self.single[np.minimum(a, len(self.single) - 1)] == flat)
+        doc = np.searchsorted(at, hit, "right") - 1
+        return {(d, int(i)) for d, x in set(zip(doc.tolist(), a[hit].tolist()))
+                for i in self.one[x:np.searchsorted(self.single, self.single[x], "right")]}
+
     def matches(self, docs: list[np.ndarray], least: float):
         """(document, item id, shingles of the item, shared) of the confirmed candidates."""
         known: dict[int, np.ndarray] = {}

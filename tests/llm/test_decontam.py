@@ -70,3 +70,20 @@ def test_a_null_id_is_judged_by_its_own_text(spark):
     _, items = data()
     d = spark.createDataFrame([(None, items[3][1], 1), (None, "something else", 2)], "doc_id long, text string, _bad int")
     assert [r["_bad"] for r in decontam.clean(d, spark.createDataFrame(items, "item_id long, text string")).collect()] == [2]
+
+
+def test_items_of_few_shingles_in_long_documents(spark):
+    rnd = random.Random(11)
+    vocab = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rnd.choice(vocab) for _ in range(5 + i % 4))) for i in range(4000)]
+    items += [(9000, items[0][1]), (9001, items[0][1].upper())]
+    docs = []
+    for d in range(100):
+        w = []
+        for _, t in items[d * 40:d * 40 + 40]:
+            w += [rnd.choice(vocab) for _ in range(60)] + t.split()
+        docs.append((d, " ".join(w)))
+    docs += [(100, items[4][1]), (101, "x " + items[8][1]), (102, items[0][1].rsplit(" ", 1)[0])]
+    found = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = sorted(((r["doc_id"], r["item_id"], r["item_shingles"], r["shared"]) for r in found.collect()), key=str)
+    assert got == brute(docs, items) and len(got) >= 4004
