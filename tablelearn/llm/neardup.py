@@ -209,16 +209,16 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
             keep = []
             for k in range(len(a)):
                 sets = []
-                for i, t in ((a[k], ta[k]), (b[k], tb[k])):
-                    if i not in last:
+                for t in (ta[k], tb[k]):  # by text: rows may share an id but not a text
+                    if t not in last:
                         if size > 1 << 20:
                             last, size = {}, 0
-                        last[i] = shingle_set(codes_of(t, hashes), n)
-                        size += len(last[i])
-                    sets.append(last[i])
+                        last[t] = shingle_set(codes_of(t, hashes), n)
+                        size += len(last[t])
+                    sets.append(last[t])
                 one, two = sets
                 inter = len(np.intersect1d(one, two, assume_unique=True))
-                if 100 * inter >= percent * (len(one) + len(two) - inter):
+                if inter and 100 * inter >= percent * (len(one) + len(two) - inter):
                     keep.append(k)
             yield x.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
@@ -353,7 +353,7 @@ def across(members: DataFrame, sigs: DataFrame, roots: DataFrame, docs: DataFram
             sets = [[shingle_set(codes_of(t, hashes), n) for t in x["text"].iloc[k]] for x, k in ((left, i), (right, j))]
             size = [np.array([len(s) for s in x]) for x in sets]
             both = overlaps(*sets)
-            ok = mask[np.ix_(i, j)] & (100 * both >= percent * (size[0][:, None] + size[1][None, :] - both))
+            ok = mask[np.ix_(i, j)] & (both > 0) & (100 * both >= percent * (size[0][:, None] + size[1][None, :] - both))
             ids = [x["id"].to_numpy() for x in (left, right)]
             links = [(int(ids[0][i[a]]), int(ids[1][j[b]])) for a, b in zip(*np.nonzero(ok))]
             found = forest(links, dict(zip(pdf["id"].tolist(), pdf["root"].tolist())))

@@ -107,3 +107,22 @@ def test_long_text_in_blocks_has_the_same_words():
     for block in (1, 7, 1000):
         assert np.array_equal(word_codes(text, WordHashes(), block), whole)
     assert len(whole) == 5000 and len(word_codes(b"", WordHashes(), 1)) == 0
+
+
+def test_texts_that_share_an_id_are_each_compared(spark):
+    rnd = random.Random(5)
+    rows, want = [], {}
+    for k in range(40):
+        some = [[f"v{rnd.randrange(10 ** 6)}" for _ in range(60)] for _ in range(3)]
+        near = some[k % 3][:-1] + ["other"]
+        first, second = 10 * k, 10 * k + 1
+        mine, yours = (first, second) if k % 2 else (second, first)
+        rows += [(mine, " ".join(w)) for w in some] + [(yours, " ".join(near))]
+        want |= {first: first, second: first}
+    for k in range(40, 60):  # candidates that fail, both with an empty text besides
+        w = [f"v{rnd.randrange(10 ** 6)}" for _ in range(120)]
+        far = w[:40] + ["x"] + w[41:80] + ["y"] + w[81:100] + ["z"] * 8 + w[108:]
+        rows += [(10 * k, " ".join(w)), (10 * k, ""), (10 * k + 1, " ".join(far)), (10 * k + 1, None)]
+        want |= {10 * k: 10 * k, 10 * k + 1: 10 * k + 1}
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert len(out) == len(rows) and {(r["doc_id"], r["component_id"]) for r in out} == set(want.items())
