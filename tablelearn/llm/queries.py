@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tablelearn.llm import balltree, binpack, bpe, decontam, langid, license_scan, neardup, ordinal, pii, url_lists
+from tablelearn.llm import balltree, binpack, bpe, decontam, langid, license_scan, neardup, ordinal, periodic, pii, transducer, url_lists
 from tablelearn.llm.common import setup, table
 
 QUERIES: dict = {}
@@ -208,3 +208,22 @@ def op10_pii(spark, sf_dir):
     """Personal data of every text: counts and digest of the base spans, and all spans."""
     found = pii.detect(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+def op11_periodic_table(docs):
+    return periodic.report(periodic.runs(periodic.looped(docs)))
+
+
+@q
+def op11_periodic_runs(spark, sf_dir):
+    """Periodic runs of words in every text, periodic tails written into a tenth of them first."""
+    return op11_periodic_table(table(spark, sf_dir, "documents"))
+
+
+@q
+def op13_transducer(spark, sf_dir):
+    """Ids of every text by ranks, and the bytes decoded from them, as digests."""
+    import public_tokenizers as p
+
+    docs = table(spark, sf_dir, "documents")
+    return transducer.digests(transducer.encode(docs, p.path("byte_bpe_50k.tiktoken"), p.PATTERN, decoded=True))
