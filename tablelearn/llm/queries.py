@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tablelearn.llm import balltree, binpack, bpe, decontam, langid, license_scan, neardup, ordinal, periodic, pii, transducer, url_lists
+from tablelearn.llm import alignment, balltree, binpack, bpe, decontam, langid, license_scan, neardup, ordinal, periodic, pii, transducer, url_lists
 from tablelearn.llm.common import setup, table
 
 QUERIES: dict = {}
@@ -220,6 +220,14 @@ def op11_periodic_runs(spark, sf_dir):
     return op11_periodic_table(table(spark, sf_dir, "documents"))
 
 
+@q
+def op12_alignment(spark, sf_dir):
+    """Tokens of two tokenisers aligned in every text: groups, links, and how common the linked id pairs are."""
+    import public_tokenizers as p
+
+    return alignment.digests(table(spark, sf_dir, "documents"), vocabulary(), p.path("piece_bpe_32k.model"))
+
+
 @q
 def op13_transducer(spark, sf_dir):
     """Ids of every text by ranks, and the bytes decoded from them, as digests."""
