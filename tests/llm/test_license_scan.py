@@ -144,7 +144,7 @@ def test_compression_decides(monkeypatch):
     text = "x\n" + TEMPLATES["Apache-2.0"][2] + "\n" + TEMPLATES["BSD-3-Clause"][1]
     s = Scanner()
     assert [n[2] for n in s.found(text)] == ["Apache-2.0", "BSD-3-Clause"]
-    assert [(n[1] - n[0]) for n in s.found(text)] == [len(TEMPLATES["Apache-2.0"][2]) - 1, len(TEMPLATES["BSD-3-Clause"][1]) - 1]
+    assert [(n[1] - n[0]) for n in s.found(text)] == [len(TEMPLATES["Apache-2.0"][2]), len(TEMPLATES["BSD-3-Clause"][1])]
     turned = Scanner()
     monkeypatch.setattr(turned, "ranked", lambda t: Scanner.ranked(turned, t)[::-1])
     assert turned.found(text) != s.found(text)
