@@ -16,7 +16,8 @@ UTF-8 state machine, which holds an unfinished character over to the next block.
 from __future__ import annotations
 
 import base64
-import re
+import contextlib
+import gc
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +28,15 @@ from pyspark.sql import functions as F
 from tablelearn.llm.bpe import LONG_TEXT, SPLIT, parts, ranges
 from tablelearn.llm.common import chunks, lean, pick, setup
 
-#: Compiled states, and bytes of encoded units, that a worker keeps before it starts afresh.
+#: Compiled states, and bytes of encoded words, that a worker keeps before it starts afresh.
 MAX_STATES = 250_000
-MAX_CACHE = 96 << 20
-#: Units of more characters than this are encoded but not kept.
-LONG_UNIT = 1000
+MAX_CACHE = 128 << 20
+#: Words of more characters than this are encoded but not kept.
+LONG_WORD = 1000
 #: Token ids that are decoded at a time.
 DECODE_BLOCK = 1 << 20
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-_UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: A token begun is dropped at once if no ending can follow, where the endings are at most so many.
+FEW = 8
 NEVER = 1 << 60
 
 
@@ -73,9 +74,21 @@ class Merges:
                 a, b = ranks.get(t[:i]), ranks.get(t[i:])
                 if a is not None and b is not None:
                     self.joint[a << 32 | b] = r
+        self.below = self._few_below()
         self.spines: dict[int, tuple] = {}
         self.odd: set[int] = set()
 
+    def _few_below(self) -> list:
+        """Per node the tokens strictly below it, or None where they are more than FEW."""
+        out: list = [()] * len(self.token)
+        for key in sorted(self.child, key=self.child.get, reverse=True):  # children are numbered after their parents
+            parent, node = key >> 8, self.child[key]
+            mine = out[node]
+            if mine is not None and self.token[node] >= 0:
+                mine = (*mine, self.token[node])
+            out[parent] = None if mine is None or out[parent] is None or len(mine) + len(out[parent]) > FEW else (*out[parent], *mine)
+        return out
+
     def _add(self, t: bytes, r: int):
         node = self.root
         for c in t:
@@ -166,9 +179,13 @@ class Machine:
         self.merges = merges
         self.packed = {r: int(r).to_bytes(4, "little") for r in merges.bytes_of}
         self.allowed: dict[int, bool] = {}
+        self.useful: dict[int, bool] = {}
+        self.states: dict[tuple, State] = {}
         self.forget()
 
     def forget(self):
+        for state in self.states.values():  # transitions form cycles, which only clearing takes apart
+            state.clear()
         self.states: dict[tuple, State] = {}
         self.start = self.state((((-1,), self.merges.root),))
 
@@ -187,10 +204,20 @@ class Machine:
             ok = self.allowed[key] = self.merges.follows(t, u) if t >= 0 else self.merges.whole(u)
         return ok
 
+    def any_follows(self, t: int, node: int, ends: tuple) -> bool:
+        """Whether a token begun after ``t`` can still end below a node."""
+        key = t << 32 | node
+        ok = self.useful.get(key)
+        if ok is None:
+            if len(self.useful) > 1_000_000:
+                self.useful.clear()
+            ok = self.useful[key] = any(self.may_follow(t, u) for u in ends)
+        return ok
+
     def step(self, threads: tuple, byte: int) -> tuple[State, bytes]:
         """Threads in the order of their start; the last one has just ended a token."""
         m = self.merges
-        child, token, more = m.child, m.token, m.open
+        child, token, more, below = m.child, m.token, m.open, m.below
         alive, ended, held = [], None, True
         for path, node in threads:
             node = child.get(node << 8 | byte)
@@ -199,6 +226,9 @@ class Machine:
             if ended is None and token[node] >= 0 and self.may_follow(path[-1], token[node]):
                 ended = (*path, token[node])
             if more[node]:
+                ends = below[node]
+                if ends is not None and not self.any_follows(path[-1], node, ends):
+                    continue
                 alive.append((path, node))
                 held &= len(path) > 1
         if ended is None:
@@ -221,7 +251,7 @@ class Machine:
         if len(self.states) > MAX_STATES:
             self.forget()
         state, out = self.start, []
-        if len(word) > LONG_UNIT:  # the table of states stays bounded inside a long word too
+        if len(word) > LONG_WORD:  # the table of states stays bounded inside a long word too
             for i in range(0, len(word), 1024):
                 if len(self.states) > MAX_STATES:
                     threads = state.threads
@@ -241,31 +271,32 @@ class Machine:
 
 
 class Encoder:
-    """Encodes texts; the packed ids of the units it has seen are kept up to a number of bytes."""
+    """Encodes texts; packed ids of the words last seen are kept, in two generations of bounded size."""
 
     def __init__(self, merges: Merges, pattern: str = SPLIT):
         self.machine = Machine(merges)
         self.split = regex.compile(pattern).findall
-        self.by_units = pattern == SPLIT
-        self.unit: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.held = 0
 
     def text(self, text: str) -> bytes:
-        # With the usual pattern a run of blanks and line ends together with what follows can be split on its own.
-        units = _UNIT.findall(text) if self.by_units and not _OTHER_SPACE.search(text) else self.split(text)
-        if self.held > MAX_CACHE:
-            self.unit.clear()
-            self.held = 0
-        long = []
-        for u in set(units).difference(self.unit):
-            ids = self.unit[u] = b"".join([self.machine.encode(w.encode()) for w in self.split(u)])
-            if len(u) > LONG_UNIT:
-                long.append(u)
+        words = self.split(text)
+        if self.held > MAX_CACHE // 2:
+            self.young, self.old, self.held = {}, self.young, 0
+        young, old, encode, long = self.young, self.old, self.machine.encode, []
+        for w in set(words).difference(young):
+            ids = old.get(w)
+            if ids is None:
+                ids = encode(w.encode())
+            young[w] = ids
+            if len(w) > LONG_WORD:
+                long.append(w)
             else:
-                self.held += 200 + 4 * len(u) + len(ids)
-        out = b"".join(map(self.unit.__getitem__, units))
-        for u in long:
-            del self.unit[u]
+                self.held += 170 + len(ids)
+        out = b"".join(map(young.__getitem__, words))
+        for w in long:
+            del young[w]
         return out
 
 
@@ -343,6 +374,18 @@ class Decoder:
         return "".join([*map(machine.feed, self.blocks(packed)), machine.finish()])
 
 
+@contextlib.contextmanager
+def resting_collector():
+    """No cyclic garbage collection over the millions of parts of a machine, which live as long as the
+    worker (``forget`` takes its cycles apart); what is there at the end is left out of later ones too."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.freeze()
+        gc.enable()
+
+
 _BUILT: dict = {}
 
 
@@ -375,6 +418,10 @@ def encode(df: DataFrame, path: str, pattern: str = SPLIT, id_col: str = "doc_id
 
     def run(batches):
         enc, dec = _of(shared, Encoder, pattern), _of(shared, Decoder)
+        with resting_collector():
+            yield from encoded(batches, enc, dec)
+
+    def encoded(batches, enc, dec):
         for b in batches:
             texts = [x or "" for x in b.column(1).to_pylist()]
             for i, j in chunks([len(x) for x in texts]):
