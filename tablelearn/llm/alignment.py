@@ -12,7 +12,7 @@ id pair of the corpus, the documents that hold it linked; ``scored`` looks these
 
 from __future__ import annotations
 
-import os
+import json
 import re
 from itertools import chain
 
@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablelearn.llm import bpe
 from tablelearn.llm.bpe import byte_chars, ranges
 from tablelearn.llm.common import chunks, lean, pick, setup, written
 
@@ -39,23 +40,37 @@ _CUT = re.compile(r"(?<=[A-Za-z0-9])(?= [A-Za-z0-9])")
 
 
 class ByteSide:
-    """Byte-level BPE of a blank and the text, by the tokenizers library; special strings are plain text."""
+    """Byte-level BPE of a blank and the text; special strings are plain text.
 
-    def __init__(self, spec: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.t = Tokenizer.from_str(spec)
-        self.t.no_truncation()
-        self.t.no_padding()
-        self.t.encode_special_tokens = True
-        byte_of = {c: b for b, c in enumerate(byte_chars())}
-        self.bytes = [b""] * self.t.get_vocab_size()
-        for token, i in self.t.get_vocab().items():
-            self.bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+    The vocabulary's ids follow the order of its merges (checked), so the tiktoken library gives the same
+    ids by rank; a text with white space too long for its split takes this package's own encoder."""
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.t.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
+    def __init__(self, spec: str):
+        import tiktoken
+
+        spec = json.loads(spec) | {"added_tokens": []}
+        vocab, byte_of = spec["model"]["vocab"], {c: b for b, c in enumerate(byte_chars())}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        self.own = bpe.Encoder(bpe.Tables(spec))
+        self.lengths = self.own.t.tok_len
+        ids = [vocab[a + b] for a, b in pairs]
+        self.fast = None
+        if ids == sorted(ids) and set(vocab.values()) >= set(range(256)) and ids[:1] > [255]:
+            ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if all(c in byte_of for c in t)}
+            made = set(ids) | set(range(256))
+            self.fast = tiktoken.Encoding("a", pat_str=bpe.SPLIT, mergeable_ranks={t: i for t, i in ranks.items() if i in made},
+                                          special_tokens={})
+
+    def one(self, text: str) -> np.ndarray:
+        try:
+            return self.fast.encode_to_numpy(text, disallowed_special=())
+        except (ValueError, AttributeError):
+            return self.own.batch([text])[0]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and how many each has."""
+        ids = [self.one(" " + x) for x in texts]
+        return np.concatenate(ids).astype(np.int64), np.array([len(x) for x in ids], np.int64)
 
 
 class PieceSide:
@@ -65,32 +80,39 @@ class PieceSide:
         import sentencepiece
 
         self.t = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.bytes = [bytes([int(self.t.id_to_piece(i)[3:5], 16)]) if self.t.is_byte(i)
-                      else self.t.id_to_piece(i).replace("▁", " ").encode() for i in range(self.t.vocab_size())]
+        names = [self.t.id_to_piece(i) for i in range(self.t.vocab_size())]
+        self.bytes = [bytes([int(x[3:5], 16)]) if self.t.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(names)]
+        self.lengths = np.array([len(x) for x in self.bytes], np.int64)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.t.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and how many each has; -1 for a text that the pieces do not give back."""
+        got = self.t.encode(texts, num_threads=1)
+        for t, ids in enumerate(got):
+            if b"".join(map(self.bytes.__getitem__, ids)) != (" " + texts[t]).encode():
+                got[t] = None
+        n = np.array([-1 if ids is None else len(ids) for ids in got], np.int64)
+        return np.fromiter(chain.from_iterable(filter(None, got)), np.int64, int(n[n > 0].sum())), n
 
 
-def tokens(side, texts: list[str]) -> pd.DataFrame:
-    """Rows (doc, start, end, id) of all texts; ``doc`` is the place in the list, offsets run on over the whole list."""
-    ids = side.encode(texts)
-    n = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
-    size = side.lengths[flat]
-    end = np.cumsum(size)
-    return pd.DataFrame({"doc": np.repeat(np.arange(len(texts)), n), "start": end - size, "end": end, "id": flat})
+def rows(ids: np.ndarray, n: np.ndarray, keep: np.ndarray, lengths: np.ndarray) -> pd.DataFrame:
+    """Rows (doc, start, end, id) of the texts to keep; offsets run on over all of them."""
+    doc = np.repeat(np.arange(len(n)), np.maximum(n, 0))
+    some = keep[doc]
+    doc, ids = doc[some], ids[some]
+    end = np.cumsum(lengths[ids])
+    return pd.DataFrame({"doc": doc, "start": end - lengths[ids], "end": end, "id": ids}, copy=False)
 
 
 def covering(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Places (in a, in b) of all overlapping tokens: every start of either side with the other side's token over it."""
-    a = a.assign(place=np.arange(len(a)))
-    b = b.assign(place=np.arange(len(b)))
-    one = pd.merge_asof(a[["doc", "start", "place"]], b[["doc", "start", "place"]], on="start", by="doc", suffixes=("_a", "_b"))
-    two = pd.merge_asof(b[["doc", "start", "place"]], a[["doc", "start", "place"]], on="start", by="doc", suffixes=("_b", "_a"))
-    key = np.concatenate([x["place_a"].to_numpy(np.int64) * len(b) + x["place_b"].to_numpy(np.int64) for x in (one, two)])
-    key = np.unique(key)
-    return key // len(b), key % len(b)
+    def cover(x, y):
+        over = y[["doc", "start"]].assign(place=np.arange(len(y)))
+        return pd.merge_asof(x[["doc", "start"]], over, on="start", by="doc")["place"].to_numpy(np.int64)
+
+    over_a, over_b = cover(a, b), cover(b, a)
+    # Tokens that start together are in the first direction already.
+    more = np.flatnonzero(b["start"].to_numpy() != a["start"].to_numpy()[over_b])
+    return np.concatenate((np.arange(len(a)), over_b[more])), np.concatenate((over_a, more))
 
 
 def groups(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -145,29 +167,18 @@ def summed(doc, pair, n):
 
 
 class Aligner:
-    """Both sides with the texts of their ids, each with every mark that may follow one in the groups' notation."""
+    """Both sides, and the texts of their ids with every mark that may follow one in the groups' notation."""
 
     def __init__(self, a_spec: str, b_model: bytes):
         self.a, self.b = ByteSide(a_spec), PieceSide(b_model)
-        for side in (self.a, self.b):
-            side.lengths = np.array([len(x) for x in side.bytes], np.int64)
-        n = max(len(self.a.bytes), len(self.b.bytes))
+        n = max(len(self.a.lengths), len(self.b.lengths))
         self.marked = [f"{i}{mark}" for i in range(n) for mark in ",|;"]
 
     def batch(self, texts: list[str]):
         """For each text (n_a, n_b, n_groups, n_links, groups, pairs, links): the pairs sorted, with the links of each."""
-        a, b = tokens(self.a, texts), tokens(self.b, texts)
-        raw = [(" " + x).encode() for x in texts]
-        ok = np.array([bool(x) for x in texts], bool)
-        for side, rows in ((self.a, a), (self.b, b)):
-            cut = np.searchsorted(rows["doc"].to_numpy(), np.arange(len(texts) + 1))
-            ids = rows["id"].tolist()
-            whole = [b"".join(map(side.bytes.__getitem__, ids[x:y])) for x, y in zip(cut[:-1], cut[1:])]
-            ok &= np.fromiter(map(bytes.__eq__, whole, raw), bool, len(texts))
-        a, b = a[ok[a["doc"]]].reset_index(drop=True), b[ok[b["doc"]]].reset_index(drop=True)
-        for rows in (a, b):  # offsets over the texts that stay
-            rows["end"] = np.cumsum(rows["end"] - rows["start"])
-            rows["start"] = rows["end"].shift(fill_value=0)
+        (ids_a, n_a), (ids_b, n_b) = self.a.encode(texts), self.b.encode(texts)
+        keep = (n_b >= 0) & np.array([bool(x) for x in texts], bool)
+        a, b = rows(ids_a, n_a, keep, self.a.lengths), rows(ids_b, n_b, keep, self.b.lengths)
         ga, gb = groups(a, b) if len(a) else (np.zeros(0, np.int64),) * 2
         da, db, ia, ib = (x.to_numpy(np.int64) for x in (a["doc"], b["doc"], a["id"], b["id"]))
         doc = np.zeros(int(ga[-1]) + 1 if len(ga) else 0, np.int64)

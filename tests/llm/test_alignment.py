@@ -82,6 +82,20 @@ def test_groups_and_links_by_hand(block, monkeypatch):
         assert dict(zip(row[5].tolist(), row[6].tolist())) == {i << 32 | j: n for (i, j), n in want["links"].items()}
 
 
+def test_byte_side_gives_the_ids_of_the_tokenizers_library():
+    with open(A, encoding="utf-8") as f:
+        side = alignment.ByteSide(f.read())
+    t = Tokenizer.from_file(A)
+    t.encode_special_tokens = True
+    assert side.fast is not None
+    rnd = random.Random(7)
+    texts = [x or "" for x in _texts()] + ["".join(chr(rnd.choice([rnd.randrange(32, 127), rnd.randrange(128, 0x3000)])) for _ in range(40)) for _ in range(2000)]
+    texts += [" " * 120_000 + "x", "\n " * 60_000, "ab" * 50_000]
+    ids, n = side.encode(texts)
+    want = [e.ids for e in t.encode_batch([" " + x for x in texts], add_special_tokens=False)]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_long_texts_part_by_part(monkeypatch):
     with open(A, encoding="utf-8") as f, open(B, "rb") as g:
         aligner = alignment.Aligner(f.read(), g.read())
