@@ -1,11 +1,11 @@
-"""Classifiers behind one name-based interface, on Spark ML estimators.
-
-* "forest"     RandomForestClassifier (200 trees, depth ≤ 20, sqrt features, seed)
-* "mlp"        MultilayerPerceptronClassifier (hidden 256-128, ≤ 300 iterations)
-* "svm_linear" LinearSVC (OneVsRest for more than two classes)
-* "svm_rbf"    random Fourier features (Rahimi & Recht 2007) → LinearSVC: an explicit,
-               seeded approximation of the RBF kernel; W is regenerated from the seed,
-               so a saved pipeline needs no stored matrix.
+"""Classifiers behind one name-based interface, as Spark ML models (transform, save, load).
+
+* "forest"     200 trees, depth ≤ 20, sqrt features, by mixed growth (``forest``)
+* "mlp"        rectified layers (256, 128) trained on minibatches (``network``)
+* "svm_linear" squared-hinge machines, one per class against the rest, all in the same passes
+* "svm_rbf"    the same on an explicit map of the RBF kernel: random Fourier features (Rahimi &
+               Recht 2007; W is regenerated from the seed, so a saved pipeline needs no stored
+               matrix) or, with ``kernel_map="landmarks"``, the Nyström map of hashed landmarks.
 """
 
 from __future__ import annotations
@@ -13,9 +13,8 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Pipeline, Transformer
-from pyspark.ml.classification import (LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelearn.errors import ModelError
+from tablelearn.operators import blocks, calibrate, forest, hinge, landmarks, network
 
 BACKENDS = ("forest", "mlp", "svm_linear", "svm_rbf")
 
@@ -36,18 +36,20 @@ def rff_matrix(d: int, n_components: int, gamma: float, seed: int):
     return w, b
 
 
+def rff_map(w: np.ndarray, b: np.ndarray):
+    """x → sqrt(2/D)·cos(W x + b) for the rows of a matrix."""
+    return lambda x: np.sqrt(2.0 / len(b)) * np.cos(x @ w.T + b)
+
+
 def rff_column(col, w: np.ndarray, b: np.ndarray):
-    """z = sqrt(2/D)·cos(W x + b) over Arrow batches (pandas UDF, one matmul per batch)."""
-    D = w.shape[0]
-    scale = np.sqrt(2.0 / D)
+    """The map over Arrow batches (pandas UDF, one matmul per batch)."""
+    mapped = rff_map(w, b)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def rff(s: pd.Series) -> pd.Series:
         if len(s) == 0:
             return pd.Series([], dtype=object)
-        x = np.stack([np.asarray(v, dtype=np.float64) for v in s])
-        z = scale * np.cos(x @ w.T + b)
-        return pd.Series(list(z))
+        return pd.Series(list(mapped(np.stack([np.asarray(v, dtype=np.float64) for v in s]))))
     return rff(col)
 
 
@@ -65,10 +67,19 @@ class RFF(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, Default
         self._setDefault(gamma=1.0, nComponents=2000, seed=42, inputDim=0)
         self._set(**self._input_kwargs)
 
+    def matrix(self):
+        return rff_matrix(self.getOrDefault(self.inputDim), self.getOrDefault(self.nComponents), self.getOrDefault(self.gamma),
+                          self.getOrDefault(self.seed))
+
+    def size(self) -> int:
+        return self.getOrDefault(self.nComponents)
+
+    def mapping(self):
+        return rff_map(*self.matrix())
+
     def _transform(self, df: DataFrame) -> DataFrame:
         """Only a projection: no job runs, so empty tables and streams can be scored."""
-        w, b = rff_matrix(self.getOrDefault(self.inputDim), self.getOrDefault(self.nComponents), self.getOrDefault(self.gamma),
-                          self.getOrDefault(self.seed))
+        w, b = self.matrix()
         z = rff_column(vector_to_array(F.col(self.getInputCol())), w, b)
         return df.withColumn(self.getOutputCol(), array_to_vector(z))
 
@@ -102,6 +113,7 @@ def width(df: DataFrame, vec: str) -> int:
 
 
 ROWS_PER_TASK = 200
+MAX_CLASSES = 10_000
 
 
 def few_tasks(df: DataFrame, rows: int) -> DataFrame:
@@ -109,29 +121,15 @@ def few_tasks(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
 
 
-def make_estimator(backend: str, n_features: int, n_classes: int, features: str = "features", label: str = "label",
-                   seed: int = 42, **kw):
-    if backend == "forest":
-        return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=kw.get("num_trees", 200),
-                                      maxDepth=kw.get("max_depth", 20), featureSubsetStrategy="sqrt", seed=seed,
-                                      maxMemoryInMB=kw.get("max_memory_mb", 512), cacheNodeIds=True)
-    if backend == "mlp":
-        hidden = list(kw.get("hidden", [256, 128]))
-        return MultilayerPerceptronClassifier(featuresCol=features, labelCol=label,
-                                              layers=[n_features, *hidden, n_classes],
-                                              maxIter=kw.get("max_iter", 300), seed=seed, blockSize=128)
-    if backend in ("svm_linear", "svm_rbf"):
-        svc = LinearSVC(featuresCol="_svm_in" if backend == "svm_rbf" else features, labelCol=label,
-                        regParam=kw.get("reg_param", 0.01), maxIter=kw.get("max_iter", 100), standardization=False,
-                        tol=kw.get("tol", 1e-4))
-        est = svc if n_classes <= 2 else OneVsRest(classifier=svc, featuresCol=svc.getFeaturesCol(), labelCol=label,
-                                                   parallelism=min(n_classes, kw.get("parallelism", 8)))
-        if backend == "svm_linear":
-            return est
-        rff = RFF(inputCol=features, outputCol="_svm_in", gamma=kw["gamma"], nComponents=kw.get("n_components", 2000),
-                  seed=seed, inputDim=n_features)
-        return Pipeline(stages=[rff, est])
-    raise ModelError(f"unknown backend {backend!r}; choose one of {BACKENDS}")
+def kernel_map(df: DataFrame, features: str, n_features: int, seed: int, gamma="scale", kernel_map: str = "fourier",
+               n_components: int = 2000):
+    """The stage that maps ``features`` to ``_svm_in``, where a linear machine is one with an RBF kernel."""
+    gamma = resolve_gamma(df, features, gamma)
+    if kernel_map == "landmarks":
+        return landmarks.fit(df, features, gamma, n_components, out="_svm_in")
+    if kernel_map != "fourier":
+        raise ModelError(f"unknown kernel map {kernel_map!r}")
+    return RFF(inputCol=features, outputCol="_svm_in", gamma=gamma, nComponents=n_components, seed=seed, inputDim=n_features)
 
 
 def fit_classifier(df: DataFrame, features: str, label: str, backend: str, n_classes: int, seed: int = 42, **kw):
@@ -139,14 +137,19 @@ def fit_classifier(df: DataFrame, features: str, label: str, backend: str, n_cla
     if backend not in BACKENDS:
         raise ModelError(f"unknown backend {backend!r}; choose one of {BACKENDS}")
     n_features = width(df, features)
-    if backend == "svm_rbf":
-        kw["gamma"] = resolve_gamma(df, features, kw.get("gamma", "scale"))
+    if backend == "forest":
+        return forest.fit(df, features, label, n_classes, kw.get("num_trees", 200), kw.get("max_depth", 20), seed=seed)
     n = df.count()
-    if backend == "svm_rbf" and "reg_param" not in kw:
-        kw["reg_param"] = 1.0 / (n * kw.get("C", 5.0))
-    est = make_estimator(backend, n_features, n_classes, features, label, seed, **kw)
-    data = df.withColumn(label, F.col(label).cast("double"))
-    return est.fit(data if backend == "forest" else few_tasks(data, n))  # a forest's step works per node, not per row
+    if backend == "mlp":
+        more = {k: kw[k] for k in ("max_epochs", "rate", "l2", "batch_rows") if k in kw}
+        return network.fit(few_tasks(df, n), features, label, n_classes, n_features, kw.get("hidden", [256, 128]), seed=seed, rows=n, **more)
+    some, steps = few_tasks(df, n), {"tol": kw.get("tol", 1e-5), "max_iter": kw.get("max_iter", 200)}
+    if backend == "svm_linear":
+        return hinge.fit(some, features, label, n_classes, 1.0 / (n * kw.get("reg_param", 0.01)), n_features, **steps)
+    stage = kernel_map(df, features, n_features, seed, **{k: kw[k] for k in ("gamma", "kernel_map", "n_components") if k in kw})
+    c = 1.0 / (n * kw["reg_param"]) if "reg_param" in kw else kw.get("C", 5.0)
+    machine = hinge.fit(some, features, label, n_classes, c, stage.size(), via=stage.mapping(), out="_svm_in", **steps)
+    return PipelineModel(stages=[stage, machine])
 
 
 def margin(df: DataFrame, raw: str = "rawPrediction", out: str = "margin") -> DataFrame:
@@ -165,106 +168,88 @@ def platt_apply(score_col, a: float, b: float):
     return 1.0 / (1.0 + F.exp(F.lit(a) * score_col + F.lit(b)))
 
 
-def svm_probability(model, train: DataFrame, df: DataFrame, label: str, out: str = "probability") -> DataFrame:
-    """Score ``df`` with a two-class SVM and add P(label = 1): a sigmoid of the margin, fitted on
-    the margins of ``train``."""
-    a, b = platt_fit(margin(model.transform(train)), "margin", label)
-    return margin(model.transform(df)).withColumn(out, platt_apply(F.col("margin"), a, b))
-
-
 def grid_search(df: DataFrame, features: str, label: str, fold: str, gammas=("scale", "auto"), cs=(0.5, 1.0, 5.0, 10.0),
-                n_components: int = 2000, seed: int = 42, parallelism: int = 8):
-    """C × gamma grid for the RFF-SVM, k-fold by a fold column, mean accuracy per cell.
+                n_components: int = 2000, seed: int = 42, kernel: str = "fourier", tol: float = 1e-5, max_iter: int = 200):
+    """C × gamma grid of RBF machines, k-fold by a fold column, mean accuracy per cell.
 
-    The RFF block of a gamma is computed once and persisted; the fits of its (C, fold) cells are
-    independent Spark jobs over it, started from a driver thread pool.  C is applied per training
-    sample as in the reference: regParam = 1/(n_train·C).
-    Returns (rows (gamma, C, accuracy, rows scored), model refitted on all rows with the best cell).
+    For a gamma the mapped rows are packed once; all its C × fold machines, and those of every C
+    on all rows, are fitted in the same passes, and one more pass scores the left-out rows.
+    Returns (rows (gamma, C, accuracy, rows scored), model of the best cell on all rows; ties to
+    the earlier gamma and the smaller C).
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    data = df.withColumn(label, F.col(label).cast("double")).withColumn(fold, F.col(fold).cast("int"))
-    data = data.select(features, label, fold).persist()
-    sizes = {r[fold]: r["n"] for r in data.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
-    d = width(data, features)
+    rows_in = df.select(features, label, fold).persist()
+    sizes = {int(r[fold]): r["n"] for r in rows_in.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
+    classes = sorted(float(r[0]) for r in rows_in.select(label).distinct().limit(MAX_CLASSES + 1).collect())
+    total, d = sum(sizes.values()), width(rows_in, features)
+    if len(classes) > MAX_CLASSES:
+        raise ModelError(f"more than {MAX_CLASSES} classes")
+    n_classes = max(2, int(classes[-1]) + 1)
     rows, best = [], None
     for g in gammas:
-        rff = RFF(inputCol=features, outputCol="_svm_in", gamma=resolve_gamma(data, features, g), nComponents=n_components,
-                  seed=seed, inputDim=d)
-        z = few_tasks(rff.transform(data).select("_svm_in", label, fold), total).persist()
-
-        def svc(c, n):
-            return LinearSVC(featuresCol="_svm_in", labelCol=label, standardization=False, maxIter=100, tol=1e-4,
-                             regParam=1.0 / (n * c))
-
-        def cell(t):
-            c, f = t
-            held = z.where(F.col(fold) == f)
-            m = svc(c, total - sizes[f]).fit(z.where(F.col(fold) != f))
-            return m.transform(held).agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("a")).first()["a"]
-        tasks = [(c, f) for c in cs for f in sorted(sizes)]
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as ex:
-            acc = dict(zip(tasks, ex.map(cell, tasks)))
+        stage = kernel_map(rows_in, features, d, seed, g, kernel, n_components)
+        packed = blocks.pack(few_tasks(rows_in, total), features, [label, fold], stage.mapping()).persist()
+        cells, groups = [], {}
+        for c in cs:
+            for f in [*sorted(sizes), -1]:
+                machines = hinge.against_rest(c, n_classes, f)
+                groups[c, f] = list(range(len(cells), len(cells) + len(machines)))
+                cells += machines
+        w = hinge.fit_cells(packed, stage.size(), cells, tol, max_iter)
+        held = [k for k in groups if k[1] >= 0]
+        right = dict(zip(held, hinge.hits(packed, w, [groups[k] for k in held], [k[1] for k in held], [float(k) for k in range(n_classes)])))
+        packed.unpersist()
         for c in cs:
-            mine = [acc[c, f] for f in sorted(sizes)]
-            rows.append((str(g), float(c), float(sum(mine) / len(mine)), total))
-        top = max((r for r in rows if r[0] == str(g)), key=lambda r: (r[2], -r[1]))
-        if best is None or top[2] > best[0]:
-            best = (top[2], Pipeline(stages=[rff, svc(top[1], total)]).fit(data))
-        z.unpersist()
-    data.unpersist()
+            accuracy = float(np.mean([right[c, f] / n for f, n in sorted(sizes.items())]))
+            rows.append((str(g), float(c), accuracy, total))
+            if best is None or accuracy > best[0]:
+                best = accuracy, PipelineModel(stages=[stage, hinge.model(w[:, groups[c, -1]], "_svm_in")])
+    rows_in.unpersist()
     return rows, best[1]
 
 
+def svm_probabilities(df: DataFrame, features: str, label: str, fold: str, n_classes: int = 2, C: float = 5.0, seed: int = 42, **kw):
+    """An RBF machine with class probabilities from margins of folds it has not seen; pairs of classes coupled."""
+    d = width(df, features)
+    folds = int(df.agg(F.max(fold)).first()[0]) + 1
+    return calibrate.fit(few_tasks(df, df.count()), label, fold, folds, n_classes, C, kernel_map(df, features, d, seed, **kw))
+
+
 def epoch_training(train: DataFrame, val: DataFrame, features: str, label: str, n_classes: int,
                    hidden=(32,), rounds: int = 8, iters_per_round: int = 5, seed: int = 42,
                    patience: int = 4, min_delta: float = 1e-5, lr: float | None = None, factor: float = 0.5,
-                   lr_patience: int = 2, lr_threshold: float = 1e-4):
-    """Validation-monitored training: MLP rounds warm-started from the previous weights.
-
-    History rows (epoch, train_loss, train_acc, val_loss, val_acc[, lr]); best = first epoch with
-    the strictly greatest val accuracy (> 0); early stop on val loss as the reference does.
-    Without ``lr`` the rounds use L-BFGS; with it gradient descent, whose step is multiplied by
-    ``factor`` after more than ``lr_patience`` rounds without a better validation loss.
+                   lr_patience: int = 2, lr_threshold: float = 1e-4, batch_rows: int = 256):
+    """Validation-monitored minibatch training; a round is ``iters_per_round`` epochs.
+
+    History rows (epoch, train_loss, train_acc, val_loss, val_acc[, lr]), the training figures being
+    those of the round's last epoch as its steps meet the rows; best = first round with the strictly
+    greatest val accuracy (> 0); early stop on val loss as the reference does.  With ``lr`` the
+    step is multiplied by ``factor`` after more than ``lr_patience`` rounds without a better
+    validation loss; without it it stays at 0.005.
     """
-    n_features = width(train, features)
-    layers = [n_features, *hidden, n_classes]
-    tr = few_tasks(train.withColumn(label, F.col(label).cast("double")), train.count()).cache()
-    va = val.withColumn(label, F.col(label).cast("double")).cache()
-    weights, hist, best_acc, best_model, best_loss, counter = None, [], 0.0, None, float("inf"), 0
+    n = train.count()
+    t = network.Training(few_tasks(train, n), features, label, [width(train, features), *hidden, n_classes], seed, lr or 0.005,
+                         batch_rows=batch_rows, rows=n)
+    held = blocks.pack(val, features, [label]).persist()
+    hist, best_acc, best_model, best_loss, counter = [], 0.0, None, float("inf"), 0
     plateau, bad = float("inf"), 0
-
-    def loss_acc(model, d):
-        p = model.transform(d).select(vector_to_array("probability").alias("p"), F.col(label).cast("int").alias("y"),
-                                      F.col("prediction").cast("int").alias("yhat"))
-        r = p.agg(F.avg(-F.log(F.greatest(F.element_at("p", F.col("y") + 1), F.lit(1e-15)))).alias("l"),
-                  F.avg((F.col("y") == F.col("yhat")).cast("double")).alias("a")).first()
-        return float(r["l"]), float(r["a"])
     for epoch in range(1, rounds + 1):
-        est = MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, layers=layers,
-                                             maxIter=iters_per_round, seed=seed, solver="l-bfgs" if lr is None else "gd",
-                                             stepSize=lr or 0.03)
-        if weights is not None:
-            est.setInitialWeights(weights)
-        model = est.fit(tr)
-        weights = model.weights
-        tl, ta = loss_acc(model, tr)
-        vl, vacc = loss_acc(model, va)
-        hist.append((epoch, tl, ta, vl, vacc) + (() if lr is None else (lr,)))
+        for _ in range(iters_per_round):
+            tl, ta = t.epoch()
+        vl, vacc = network.evaluate(held, t.weights)
+        hist.append((epoch, float(tl), float(ta), float(vl), float(vacc)) + (() if lr is None else (t.adam.rate,)))
         if lr is not None:
             better = vl < plateau * (1 - lr_threshold)
             plateau, bad = (vl, 0) if better else (plateau, bad + 1)
             if bad > lr_patience:
-                lr, bad = lr * factor, 0
+                t.adam.rate, bad = t.adam.rate * factor, 0
         if vacc > best_acc:
-            best_acc, best_model = vacc, model
+            best_acc, best_model = vacc, t.model()
         if vl < best_loss - min_delta:
             best_loss, counter = vl, 0
         else:
             counter += 1
             if counter >= patience:
                 break
-    tr.unpersist()
-    va.unpersist()
+    held.unpersist()
+    t.close()
     return hist, best_model

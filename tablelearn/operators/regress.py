@@ -1,30 +1,36 @@
-"""Least squares: Spark ML OLS for the full design, closed forms for 1–2 features,
+"""Least squares: the full design from second moments (``gram``), closed forms for 1–2 features,
 and K-fold cross-validated RMSE computed in one pass per stage."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.errors import ModelError
 from tablelearn.functions.exprs import col_of
+from tablelearn.operators import gram
 
 
-def fit_ols(df: DataFrame, features, label: str, prediction: str = "prediction"):
-    """Intercept OLS (no regularisation) as a PipelineModel(assembler → regression).
+def linear_sql(fit: gram.Fit, columns, prediction: str = "prediction") -> str:
+    """The fit as a SQL projection over ``columns``."""
+    terms = "".join(f" + {float(b)!r}D * CAST(`{c}` AS DOUBLE)" for b, c in zip(fit.coefficients, columns))
+    return f"SELECT *, {fit.intercept!r}D{terms} AS `{prediction}` FROM __THIS__"
 
-    Collinear designs are fine: predictions are the least-squares fit even where
-    coefficients are not unique, so compare predictions, never coefficients.
-    """
-    if df.isEmpty():
-        raise ModelError("cannot fit on an empty table")
-    asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="error")
-    lr = LinearRegression(featuresCol="_features", labelCol=label, predictionCol=prediction,
-                          regParam=0.0, elasticNetParam=0.0, solver="normal", standardization=False)
-    return Pipeline(stages=[asm, lr]).fit(df)
+
+def fit_ols(df: DataFrame, features, label: str, prediction: str = "prediction") -> PipelineModel:
+    """Intercept OLS (no regularisation) from one pass over the rows, as a pipeline of one SQL projection.
+
+    On a collinear design the coefficients are those of minimum norm.  Rows with a null take no part in
+    the fit and get no prediction."""
+    return PipelineModel(stages=[SQLTransformer(statement=linear_sql(gram.fit(df, features, label), features, prediction))])
+
+
+def ols_coefficients(df: DataFrame, features, label: str) -> DataFrame:
+    """(feature, coefficient) of the minimum-norm fit, the intercept first."""
+    f = gram.fit(df, features, label)
+    rows = [("intercept", f.intercept), *[(str(c), float(b)) for c, b in zip(features, f.coefficients)]]
+    return df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
 
 
 def ols_simple(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -80,16 +86,7 @@ def cv_summary(per_fold: DataFrame) -> DataFrame:
                         F.count(F.lit(1)).alias("folds"))
 
 
-def cross_validate(df: DataFrame, features, label: str, fold: str, k: int, parallelism: int = 2):
-    """Full-design K-fold CV with Spark's CrossValidator on a fold column: (avgMetrics, stdMetrics)."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
-    asm = VectorAssembler(inputCols=list(features), outputCol="_features")
-    lr = LinearRegression(featuresCol="_features", labelCol=label, regParam=0.0, solver="normal",
-                          standardization=False)
-    cv = CrossValidator(estimator=Pipeline(stages=[asm, lr]), estimatorParamMaps=ParamGridBuilder().build(),
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
-                        foldCol=fold, numFolds=k, parallelism=parallelism)
-    m = cv.fit(df.withColumn(fold, col_of(fold).cast("int")))
-    return m.avgMetrics, m.stdMetrics
+def cross_validate(df: DataFrame, features, label: str, fold: str) -> DataFrame:
+    """(fold, rmse, n): full-design K-fold CV on a fold column, all fits and errors from one pass."""
+    rows = [(f, e, n) for f, e, n, _ in gram.cross_validated(df, features, label, fold)]
+    return df.sparkSession.createDataFrame(rows, "fold int, rmse double, n long")

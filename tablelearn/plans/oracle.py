@@ -398,6 +398,11 @@ s AS (SELECT ax.id, CASE WHEN sz.n <= 1 THEN 0.0 WHEN GREATEST(own.a, oth.b) = 0
       FROM ax JOIN sz ON sz.cluster = ax.cluster LEFT JOIN own ON own.id = ax.id LEFT JOIN oth ON oth.id = ax.id)
 SELECT ROUND(avg(s), 6) AS silhouette, count(*) AS n FROM s"""
 
+ORACLE["silhouette"] = ORACLE["silhouette_sq"].replace(
+    "avg((a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2) + (a.x3 - b.x3) * (a.x3 - b.x3)) AS md",
+    "avg(sqrt((a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2) + (a.x3 - b.x3) * (a.x3 - b.x3))) AS md").replace(
+    "AS silhouette, count(*) AS n FROM s", "AS silhouette, CAST(0 AS DOUBLE) AS standard_error, count(*) AS n FROM s")
+
 ORACLE["davies_bouldin"] = f"""WITH {ASSIGNED},
 cen AS (SELECT cluster, avg(x1) AS x1, avg(x2) AS x2, avg(x3) AS x3 FROM ax GROUP BY cluster),
 sc AS (SELECT a.cluster, avg(sqrt((a.x1 - c.x1) * (a.x1 - c.x1) + (a.x2 - c.x2) * (a.x2 - c.x2) + (a.x3 - c.x3) * (a.x3 - c.x3))) AS s
@@ -666,13 +671,35 @@ x AS (SELECT g.*, split = 'train' AND gross + qty BETWEEN q1 - 3 * (q3 - q1) AND
 {_projection(['n_lines', 'qty', 'gross', 'yr'])}"""
 ORACLE["ols_fit"] = f"""WITH {PREDICTED}
 SELECT id, ROUND(target, 2) AS target, ROUND(prediction, 2) AS prediction FROM pred WHERE split = 'test'"""
+
+
+def _fold_fit(fold):
+    steps = _projection(["n_lines", "qty", "gross", "yr"])
+    return f"""SELECT * FROM (WITH x AS (SELECT *, CASE WHEN fold = {fold} THEN 'test' ELSE 'train' END AS split, fold <> {fold} AS tr FROM kg),
+{steps}
+SELECT CAST({fold} AS INT) AS fold, ROUND(sqrt(avg((target - prediction) * (target - prediction))), 2) AS rmse, count(*) AS n
+FROM pred WHERE split = 'test')"""
+
+
+ORACLE["cv_rmse_full"] = f"""WITH {KFOLD_OF},
+kg AS (SELECT id, fold, target, n_lines, qty, gross, CAST(yr AS DOUBLE) AS yr FROM kf WHERE gross IS NOT NULL)
+""" + "\nUNION ALL ".join(_fold_fit(f) for f in range(5))
+#: Coefficients from predictions: the fit moved by one unit of a feature.
+ORACLE["ols_coefficients"] = f"""WITH {OF},
+x AS (SELECT id, target, 'train' AS split, TRUE AS tr, n_lines, qty, gross, CAST(yr AS DOUBLE) AS yr FROM of WHERE gross IS NOT NULL
+      UNION ALL SELECT i, 0.0, 'probe', FALSE, CAST(i = -1 AS INT), CAST(i = -2 AS INT), CAST(i = -3 AS INT), CAST(i = -4 AS INT) FROM range(-4, 1) t(i)),
+{_projection(['n_lines', 'qty', 'gross', 'yr'])},
+at AS (SELECT id, prediction FROM pred WHERE split = 'probe')
+SELECT 'intercept' AS feature, ROUND(prediction, 3) AS coefficient FROM at WHERE id = 0
+UNION ALL SELECT CASE id WHEN -1 THEN 'n_lines' WHEN -2 THEN 'qty' WHEN -3 THEN 'gross' ELSE 'yr' END,
+                 ROUND(prediction - (SELECT prediction FROM at WHERE id = 0), 3) FROM at WHERE id < 0"""
 ORACLE["model_roundtrip"] = f"""WITH {PREDICTED}
 SELECT id, ROUND(prediction, 2) AS prediction FROM pred WHERE split = 'test'"""
 
 _TOTAL = """(SELECT ROUND(SUM(var * n), 3) FROM (SELECT count(*) AS n, var_pop(x1) + var_pop(x2) + var_pop(x3) AS var FROM pts))"""
-ORACLE["kmeans_fit"] = f"""WITH {PTS}
+ORACLE["kmeans_relations"] = f"""WITH {PTS}
 SELECT count(*) AS n_rows, CAST(LEAST(count(*), 5) AS BIGINT) AS n_clusters, {_TOTAL} AS total_ss FROM pts"""
-ORACLE["elbow_curve"] = f"""WITH {PTS}
+ORACLE["elbow_relations"] = f"""WITH {PTS}
 SELECT CAST(k AS INTEGER) AS k, {_TOTAL} AS total_ss, TRUE AS non_increasing FROM range(2, 11) t(k)"""
 
 ORACLE["assign_new_customers"] = f"""WITH {CF},
@@ -687,25 +714,34 @@ c0 AS (SELECT c, x1, x2, x3 FROM (SELECT CAST(row_number() OVER (ORDER BY {H('id
 {_assign('c0', 'a0')}
 SELECT id, cluster FROM a0"""
 
-_DOC_TEST = f"t AS ({_stratified(f'{DOC}, src AS (SELECT doc_id, label FROM doc)', 'doc_id', 0.2, 0.0)})"
 _EMB_TEST = f"t AS ({_stratified(f'{EMB}, src AS (SELECT vec_id, label FROM emb)', 'vec_id', 0.2, 0.0)})"
 _ROWS = "SELECT split AS part, label, count(*) AS n_rows, count(*) AS n_in_domain, TRUE AS beats_majority FROM t GROUP BY split, label"
-ORACLE["svm_rbf"] = f"WITH {_DOC_TEST}\n{_ROWS}"
-ORACLE["random_forest"] = ORACLE["mlp_fit"] = f"WITH {_EMB_TEST}\n{_ROWS}"
-ORACLE["compare_backends"] = f"""WITH {_EMB_TEST}
+ORACLE["backend_relations"] = f"""WITH {_EMB_TEST}
 SELECT backend, r.* FROM ({_ROWS}) r, (VALUES ('forest'), ('mlp'), ('svm_linear'), ('svm_rbf')) v(backend)"""
-ORACLE["score_binary"] = f"WITH {_DOC_TEST}\nSELECT doc_id AS id, TRUE AS is_class FROM t WHERE split = 'test'"
-ORACLE["svm_probability"] = f"""WITH {_DOC_TEST}
-SELECT count(*) AS n_rows, ROUND(avg(label), 3) AS mean_probability FROM t WHERE split = 'train'"""
-ORACLE["grid_search"] = f"""WITH {_DOC_TEST}
-SELECT g AS gamma, CAST(c AS DOUBLE) AS C, (SELECT count(*) FROM t WHERE split = 'train') AS n_rows, TRUE AS is_share, TRUE AS best_near_majority
-FROM (VALUES ('scale'), ('auto')) a(g), (VALUES (0.5), (1), (5), (10)) b(c)"""
-ORACLE["epoch_training"] = f"""WITH t AS ({_stratified(f"{EMB}, src AS (SELECT vec_id, label FROM emb)", "vec_id", 0.15, 0.15)})
-SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'val') AS n_val,
-       TRUE AS in_order, TRUE AS shares, TRUE AS beats_majority FROM t"""
-ORACLE["platt_fit"] = f"""WITH {DOC}
+ORACLE["platt_relations"] = f"""WITH {DOC}
 SELECT count(*) AS n_rows, ROUND(avg(label), 4) AS mean_p, ROUND(avg((letters - 0.78) * label), 4) AS mean_fp FROM doc"""
 
+
+def _newton(names, rows):
+    """Newton steps for the sigmoids of every name over the rows (name, f, y) that fit it."""
+    return f"""it(k, name, a, b) AS (
+  SELECT 0, name, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM ({names})
+  UNION ALL
+  SELECT k + 1, name, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+  FROM (SELECT k, name, a, b, sum((y - p) * f) AS ga, sum(y - p) AS gb, sum(p * (1 - p) * f * f) AS haa, sum(p * (1 - p) * f) AS hab,
+               sum(p * (1 - p)) AS hbb
+        FROM (SELECT it.*, r.f, r.y, 1 / (1 + exp(it.a * r.f + it.b)) AS p FROM it JOIN ({rows}) r ON r.name = it.name WHERE k < 15)
+        GROUP BY k, name, a, b))"""
+
+
+ORACLE["platt_fit"] = f"""WITH RECURSIVE {DOC},
+{_newton('SELECT 0 AS name', 'SELECT 0 AS name, letters - 0.78 AS f, label AS y FROM doc')}
+SELECT ROUND(a, 3) AS a, ROUND(b, 3) AS b FROM it WHERE k = 15"""
+ORACLE["svm_probability"] = f"""WITH RECURSIVE {DOC},
+fo AS (SELECT doc_id, doc_id % 5 AS fold, letters - 0.78 AS f, label AS y FROM doc),
+{_newton('SELECT DISTINCT fold AS name FROM fo', 'SELECT n.fold AS name, fo.f, fo.y FROM fo JOIN (SELECT DISTINCT fold FROM fo) n ON n.fold <> fo.fold')}
+SELECT doc_id, ROUND(1 / (1 + exp(it.a * fo.f + it.b)), 5) AS probability FROM fo JOIN it ON it.name = fo.fold AND it.k = 15"""
+
 _UNIT = "(CAST('0x' || substr(md5('42:' || vec_id || ':' || copy || ':{}'), 1, 8) AS BIGINT) / CAST(2147483648 AS DOUBLE) - 1)"
 ORACLE["augment_rows"] = f"""WITH {EMB_PX},
 c AS (SELECT vec_id, CAST(copy AS INTEGER) AS copy, {_UNIT.format('angle')} * 10 AS angle, {_UNIT.format('y')} * 0.4 AS ty, {_UNIT.format('x')} * 0.4 AS tx

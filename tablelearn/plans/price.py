@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.operators import impute, metrics, profile, regress, scale, split, validate
+from tablelearn.operators import gram, impute, metrics, profile, regress, scale, split, validate
 from tablelearn.plans.views import REFERENCE_YEAR, order_feats
 
 ORDER_RULES = [
@@ -58,9 +58,9 @@ def prepare(train: DataFrame, other: DataFrame, iqr_k: float = 3.0, fit_scope: D
             {"raw_medians": raw, "medians": med, "bounds": bounds, "scaler": sc})
 
 
-def scoring_model(state: dict, model: PipelineModel, features) -> PipelineModel:
+def scoring_model(state: dict, fit: gram.Fit, features) -> PipelineModel:
     """One saveable pipeline from unprepared rows to predictions: infinities and gaps, engineered
-    features, learned medians, scaler, assembler and regression."""
+    features, learned medians, scaler and regression."""
     def gap(c, fill):
         d, known = f"CAST({c} AS DOUBLE)", "NULL" if fill is None else f"{fill!r}D"
         return f"COALESCE(CASE WHEN isnan({d}) OR abs({d}) = double('Infinity') THEN NULL ELSE {d} END, {known})"
@@ -70,11 +70,11 @@ def scoring_model(state: dict, model: PipelineModel, features) -> PipelineModel:
     sc = state["scaler"]
     scaled = ", ".join(f"({gap('(' + made[c] + ')', state['medians'][c])} - {sc[f'mean_{c}']!r}D) / {(sc[f'std_{c}'] or 1.0)!r}D AS _f_{c}"
                        for c in features)
-    drop = ", ".join([*(f"_r_{c}" for c in RAW), *(f"_f_{c}" for c in features), "_features"])
+    drop = ", ".join([*(f"_r_{c}" for c in RAW), *(f"_f_{c}" for c in features)])
     return PipelineModel(stages=[
         SQLTransformer(statement=f"SELECT *, {raw} FROM __THIS__"),
         SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"_f_{c}" for c in features], outputCol="_features"), model.stages[-1],
+        SQLTransformer(statement=regress.linear_sql(fit, [f"_f_{c}" for c in features])),
         SQLTransformer(statement=f"SELECT * EXCEPT ({drop}) FROM __THIS__")])
 
 
@@ -98,4 +98,4 @@ def run(spark: SparkSession, sf_dir: str, test_frac: float = 0.2, seed=42, iqr_k
 def fit_scoring(train: DataFrame, features=tuple(FEATURES)) -> PipelineModel:
     """Fit on prepared ``train`` and return the pipeline that scores unprepared rows."""
     tr, _, state = prepare(train, train)
-    return scoring_model(state, regress.fit_ols(tr, list(features), "target"), list(features))
+    return scoring_model(state, gram.fit(tr, list(features), "target"), list(features))

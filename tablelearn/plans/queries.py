@@ -311,6 +311,19 @@ def ols_fit(spark, sf):
     return _r(model.transform(te).select("id", "target", "prediction"), 2)
 
 
+@q
+def ols_coefficients(spark, sf):
+    """Intercept and coefficients of the OLS on the raw features of all orders with a gross value."""
+    return _r(regress.ols_coefficients(order_feats(spark, sf), price.RAW, "target"), 3)
+
+
+@q
+def cv_rmse_full(spark, sf):
+    """K-fold CV of the full design: the RMSE of every fold, from the second moments of one pass."""
+    f = split.kfold(order_feats(spark, sf), "id", 5, 42).where("gross IS NOT NULL")
+    return _r(regress.cross_validate(f, price.RAW, "target", "fold"), 2)
+
+
 def _doc_pred(spark, sf):
     return doc_feats(spark, sf).withColumn("pred", F.when(F.col("letters") > 0.78, 1).otherwise(0))
 
@@ -343,7 +356,7 @@ def confusion_matrix(spark, sf):
 
 
 # ---------------------------------------------------------------- clustering
-from tablelearn.operators import align, cluster, epochs  # noqa: E402
+from tablelearn.operators import align, cluster, epochs, silhouettes  # noqa: E402
 from tablelearn.operators import score as scoring  # noqa: E402
 
 
@@ -379,20 +392,44 @@ def kmeans_inertia(spark, sf):
     return _r(metrics.inertia(pts, "x", seeds))
 
 
-@q
-def kmeans_fit(spark, sf):
-    """k-means, 10 restarts batched into one pass per iteration: rows assigned, and within plus
-    between sum of squares (the total, if centres are means and inertia is right)."""
+def _kmeans(spark, sf):
     pts = seg_points(spark, sf)
     cents, cost = cluster.fit_kmeans_batched(pts, "x", "id", k=5, restarts=10, tol=0.0, seed=42)
+    return pts, cents, cost
+
+
+@q
+def kmeans_fit(spark, sf):
+    """k-means, 10 restarts batched into one pass per iteration: size and centre of every cluster, inertia."""
+    pts, cents, cost = _kmeans(spark, sf)
+    sizes = cluster.assign(pts, "x", cents).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    rows = [(int(c), [round(float(v), 6) for v in x], round(float(cost), 6)) for c, x in enumerate(cents)]
+    return sizes.join(F.broadcast(spark.createDataFrame(rows, "cluster int, center array<double>, inertia double")), "cluster")
+
+
+@q
+def kmeans_relations(spark, sf):
+    """Rows assigned, clusters in use, and within plus between sum of squares (the total, if centres
+    are means and inertia is right)."""
+    pts, cents, cost = _kmeans(spark, sf)
     a = cluster.assign(pts, "x", cents).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("cluster").alias("n_clusters"))
     return _r(a.withColumn("total_ss", F.lit(cost + cluster.between(pts, "x", cents))), 3)
 
 
+def _elbow(spark, sf):
+    return cluster.elbow(seg_points(spark, sf), "x", "id", range(2, 11), restarts=10, tol=0.0)
+
+
 @q
 def elbow_curve(spark, sf):
-    """Inertia for k = 2..10: falling, and with the between sum of squares always the total."""
-    e = cluster.elbow(seg_points(spark, sf), "x", "id", range(2, 11), restarts=10, tol=0.0)
+    """Inertia for k = 2..10."""
+    return _r(_elbow(spark, sf).select("k", "inertia", "between"))
+
+
+@q
+def elbow_relations(spark, sf):
+    """Inertia for k = 2..10 falls, and with the between sum of squares is always the total."""
+    e = _elbow(spark, sf)
     rows = sorted(e.collect())
     falls = all(a["inertia"] >= b["inertia"] for a, b in zip(rows, rows[1:]))
     return _r(e.select("k", (F.col("inertia") + F.col("between")).alias("total_ss"), F.lit(falls).alias("non_increasing")), 3)
@@ -422,6 +459,12 @@ def profile_pivot(spark, sf):
     return _r(profile.profile_pivot(_assigned(spark, sf), "cluster", "segment", SEGMENTS, places=None))
 
 
+@q
+def silhouette(spark, sf):
+    """Silhouette with Euclidean distance: exact within the cost limit, else from reference rows with a standard error."""
+    return _r(silhouettes.silhouette(_assigned(spark, sf), "x", "cluster"))
+
+
 @q
 def silhouette_sq(spark, sf):
     return _r(metrics.silhouette_sq(_assigned(spark, sf), "x", "cluster", 3))
@@ -779,9 +822,9 @@ def run_id_format(spark, sf):
 
 
 # ---------------------------------------------------------------- classifiers
-from pyspark.ml.functions import array_to_vector  # noqa: E402
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
 
-from tablelearn.operators import classify  # noqa: E402
+from tablelearn.operators import calibrate, classify  # noqa: E402
 
 DOC_FEATURES = ["n", "letters", "digits", "spaces"]
 
@@ -830,41 +873,58 @@ def _fit_rows(model, train, test, k, label="label"):
     return per.crossJoin(F.broadcast(tot)).select("part", label, "n_rows", "n_in_domain", "beats_majority")
 
 
+def _predictions(model, train, test, key, label="label"):
+    """Part, key, label and prediction of every row of both parts."""
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return model.transform(both).select("part", key, label, F.col("prediction").cast("int").alias("prediction"))
+
+
 @q
 def svm_rbf(spark, sf):
-    """RBF SVC (C=5, gamma=scale) through RFF + LinearSVC."""
+    """RBF machine (C=5, gamma=scale) on random Fourier features: the prediction of every row."""
     tr, te = _doc_split(spark, sf)
-    m = classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, n_components=2000)
-    return _fit_rows(m, tr, te, 2)
+    return _predictions(classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, n_components=2000), tr, te, "doc_id")
+
+
+@q
+def svm_landmarks(spark, sf):
+    """The same machine on the Nyström map of 300 landmarks."""
+    tr, te = _doc_split(spark, sf)
+    m = classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, kernel_map="landmarks", n_components=300)
+    return _predictions(m, tr, te, "doc_id")
 
 
 @q
 def svm_probability(spark, sf):
-    """Sigmoid of the SVM margin: on the rows that fitted it, mean probability equals mean label."""
-    tr, _ = _doc_split(spark, sf)
-    m = classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, n_components=2000)
-    p = classify.svm_probability(m, tr, tr, "label")
-    return _r(p.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("probability").alias("mean_probability")), 3)
+    """P(label = 1) from a decision value, every fifth of the rows with a sigmoid fitted on the others."""
+    d = doc_feats(spark, sf).select("doc_id", "label", (F.col("letters") - F.lit(0.78)).alias("f"), (F.col("doc_id") % 5).cast("int").alias("fold"))
+    return _r(calibrate.cross_fitted(d, "f", "label", "fold", 5).select("doc_id", "probability"), 5)
+
+
+@q
+def svm_class_probabilities(spark, sf):
+    """Machines for all pairs of ten classes with sigmoids from left-out folds, coupled: probabilities of every test row."""
+    tr, te = _emb_split(spark, sf)
+    f = split.stratified_kfold(tr, "vec_id", "label", 3, 42)
+    m = classify.svm_probabilities(f, "features", "label", "fold", 10, n_components=300)
+    return m.transform(te).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability").alias("probability"))
 
 
 @q
 def score_binary(spark, sf):
-    """Binary scoring job for unlabelled rows: every id once, its label a class."""
+    """Binary scoring job for unlabelled rows: every id with its label."""
     tr, te = _doc_split(spark, sf)
     m = classify.fit_classifier(tr, "features", "label", "svm_rbf", 2, C=5.0, n_components=2000)
-    return m.transform(te.drop("label")).select(F.col("doc_id").alias("id"), F.col("prediction").isin(0.0, 1.0).alias("is_class"))
+    return m.transform(te.drop("label")).select(F.col("doc_id").alias("id"), F.col("prediction").cast("int").alias("label"))
 
 
 @q
 def grid_search(spark, sf):
-    """The full C × gamma grid, 3 stratified folds: per cell the rows scored and an accuracy check."""
+    """The full C × gamma grid, 3 stratified folds: accuracy of every cell over the left-out rows."""
     tr, _ = _doc_split(spark, sf)
     f = split.stratified_kfold(tr, "doc_id", "label", 3, 42)
     rows, _ = classify.grid_search(f, "features", "label", "fold")
-    top = tr.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
-    best = max(r[2] for r in rows)
-    return spark.createDataFrame([(g, c, n, 0.0 <= a <= 1.0, best >= top / n - 0.01) for g, c, a, n in rows],
-                                 "gamma string, C double, n_rows long, is_share boolean, best_near_majority boolean")
+    return spark.createDataFrame(rows, "gamma string, C double, accuracy double, n_rows long")
 
 
 def _emb_split(spark, sf):
@@ -876,42 +936,49 @@ def _emb_split(spark, sf):
 @q
 def random_forest(spark, sf):
     tr, te = _emb_split(spark, sf)
-    return _fit_rows(classify.fit_classifier(tr, "features", "label", "forest", 10), tr, te, 10)
+    return _predictions(classify.fit_classifier(tr, "features", "label", "forest", 10), tr, te, "vec_id")
 
 
 @q
 def mlp_fit(spark, sf):
     tr, te = _emb_split(spark, sf)
-    return _fit_rows(classify.fit_classifier(tr, "features", "label", "mlp", 10), tr, te, 10)
+    return _predictions(classify.fit_classifier(tr, "features", "label", "mlp", 10), tr, te, "vec_id")
 
 
-@q
-def compare_backends(spark, sf):
-    """Every backend on one split, judged per part and label."""
+def _every_backend(spark, sf, judged):
     tr, te = _emb_split(spark, sf)
     out = None
     for backend in classify.BACKENDS:
         m = classify.fit_classifier(tr, "features", "label", backend, 10)
-        a = _fit_rows(m, tr, te, 10).withColumn("backend", F.lit(backend))
+        a = judged(m, tr, te).withColumn("backend", F.lit(backend))
         out = a if out is None else out.unionByName(a)
     return out
 
 
+@q
+def compare_backends(spark, sf):
+    """Accuracy of every backend on one split, by part."""
+    def accuracy(m, tr, te):
+        p = _predictions(m, tr, te, "vec_id")
+        return p.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"), F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
+    return _every_backend(spark, sf, accuracy)
+
+
+@q
+def backend_relations(spark, sf):
+    """Every backend on one split, judged per part and label."""
+    return _every_backend(spark, sf, lambda m, tr, te: _fit_rows(m, tr, te, 10))
+
+
 @q
 def epoch_training(spark, sf):
-    """Warm-started MLP rounds with a validation history: part sizes, epochs in order, accuracies
-    that are shares of the validation rows, best epoch at least at the majority share."""
+    """Minibatch training in rounds with a validation history: losses and accuracies of every round."""
     e = emb(spark, sf).select("vec_id", "label", array_to_vector("embedding").alias("features"))
     s = split.stratified(e, "vec_id", "label", 0.15, 0.15, 42).persist(StorageLevel.MEMORY_AND_DISK)
     hist, _ = classify.epoch_training(s.where("split = 'train'"), s.where("split = 'val'"), "features", "label", 10,
                                       hidden=(32,), rounds=8, iters_per_round=5)
-    n = {r["split"]: r["n"] for r in s.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
-    top = s.where("split = 'val'").groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
     s.unpersist()
-    in_order = [h[0] for h in hist] == list(range(1, len(hist) + 1)) and 1 <= len(hist) <= 8
-    shares = all(abs(h[4] * n["val"] - round(h[4] * n["val"])) < 1e-6 for h in hist)
-    return spark.createDataFrame([(n["train"], n["val"], in_order, shares, round(max(h[4] for h in hist) * n["val"]) >= top)],
-                                 "n_train long, n_val long, in_order boolean, shares boolean, beats_majority boolean")
+    return spark.createDataFrame(hist, "epoch int, train_loss double, train_acc double, val_loss double, val_acc double")
 
 
 # ---------------------------------------------------------------- group-aware split, stream scoring
@@ -950,6 +1017,13 @@ def cv_rmse_summary(spark, sf):
 
 @q
 def platt_fit(spark, sf):
+    """Sigmoid calibration of a decision value: its two numbers."""
+    d = doc_feats(spark, sf).withColumn("f", F.col("letters") - F.lit(0.78))
+    return _r(spark.createDataFrame([classify.platt_fit(d, "f", "label")], "a double, b double"), 3)
+
+
+@q
+def platt_relations(spark, sf):
     """Sigmoid calibration of a decision value f: at the optimum the sums of p and of f·p equal
     those of the label and of f times the label."""
     d = doc_feats(spark, sf).withColumn("f", F.col("letters") - F.lit(0.78))
