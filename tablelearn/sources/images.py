@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelearn.errors import DataLoadError
+from tablelearn.sources import packing
 
 IMAGE_EXT = r"(?i)\.(png|jpe?g)$"
 
@@ -54,14 +55,19 @@ def index_tree(df: DataFrame, path: str, classes) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
-    """Paths (and sizes) only; the ``content`` column is never read."""
+    """Paths (and sizes) only; the ``content`` column is never read.  A packed folder lists its manifest."""
+    if not glob and packing.is_packed(spark, root):
+        return packing.read_manifest(spark, root).select("path", "length")
     r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(root).select("path", "length")
 
 
-def _decoded(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+def decoded(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """(path, height, width, channels, data) of every file, height -1 where it is no image."""
+    if packing.is_packed(spark, root):
+        return packing.read_packs(spark, root)
     df = (spark.read.format("image").option("dropInvalid", "false")
           .option("recursiveFileLookup", str(recursive).lower()).load(root))
     return df.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
@@ -74,7 +80,7 @@ def read_images(spark: SparkSession, root: str, on_bad: str = "skip", recursive:
 
     on_bad="skip" drops unreadable files; "fail" raises if any file cannot be decoded
     (bad files come back with height −1 when not dropped)."""
-    df = _decoded(spark, root, recursive)
+    df = decoded(spark, root, recursive)
     if on_bad == "fail":
         bad = df.where("height < 0").limit(1).count()
         if bad:
@@ -86,7 +92,7 @@ def read_images(spark: SparkSession, root: str, on_bad: str = "skip", recursive:
 
 def skipped_counts(spark: SparkSession, root: str, group: Column | None = None) -> DataFrame:
     """(group, n_valid, n_invalid): how many files decode and how many ``on_bad="skip"`` leaves out."""
-    df = _decoded(spark, root)
+    df = decoded(spark, root)
     return df.groupBy((group if group is not None else F.lit("all")).alias("grp")).agg(*valid_counts(F.col("height") >= 0))
 
 

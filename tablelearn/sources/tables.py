@@ -41,6 +41,11 @@ def paths_exist(spark: SparkSession, paths) -> bool:
     return True
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    jp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(jp).isDirectory())
+
+
 def read_or_default(spark: SparkSession, paths, reader, default_df: DataFrame | None,
                     allow_default: bool = True, persist_to: str | None = None) -> tuple[DataFrame, str]:
     """Use the real sources only if *all* exist; otherwise the caller's substitute.
