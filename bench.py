@@ -1,9 +1,8 @@
 """Benchmark: headline workflows and operator queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line.  One run of the price workflow warms the JVM; then every job is
-executed fully (noop sink, no collect) $BENCH_REPS times and the median is reported.
-The project-F configuration (random forest, 200 trees, depth 20) runs once; BENCH_FOREST=0
-leaves it out.
+executed fully (noop sink, no collect) $BENCH_REPS times and the median is reported.  The
+total is that of the four workflows, the forest (project F: 200 trees, depth 20) included.
 """
 
 from __future__ import annotations
@@ -66,12 +65,13 @@ HEADLINE = {
     "pipeline_price": pipeline_price,
     "pipeline_segments": pipeline_segments,
     "pipeline_images": pipeline_images,
+    "pipeline_images_forest": pipeline_images_forest,
 }
-EXTRA = {"pipeline_images_forest": pipeline_images_forest}
 OPERATORS = ["split_holdout", "split_stratified3", "kfold_assign", "median_cols", "describe_exact", "validate_orders",
              "duplicate_keys", "corr_matrix", "standard_scale", "regression_metrics_by", "classification_report",
              "confusion_matrix", "kmeans_fixed_init", "silhouette_sq", "davies_bouldin", "hog_blocks",
-             "color_hist_density", "early_stop", "lr_plateau", "lookup_default", "predictions_with_lookup"]
+             "color_hist_density", "early_stop", "lr_plateau", "lookup_default", "predictions_with_lookup",
+             "grid_search", "mlp_fit", "cv_rmse_full", "silhouette"]
 
 
 def main():
@@ -79,20 +79,11 @@ def main():
     spark = get_spark(f"local[{CPUS}]", shuffle_partitions=int(CPUS) * 2,
                       extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
-    jobs = dict(HEADLINE)
-    jobs.update({n: _query(n) for n in OPERATORS})
-    extra = dict(EXTRA) if os.environ.get("BENCH_FOREST", "1") == "1" else {}
+    jobs = {**HEADLINE, **{n: _query(n) for n in OPERATORS}}
     if only:
-        jobs = {k: v for k, v in {**jobs, **EXTRA}.items() if k in only}
-        extra = {}
+        jobs = {k: v for k, v in jobs.items() if k in only}
     times = {}
     pipeline_price(spark, SF_DIR)  # JVM / JIT / Python-worker warm-up
-    for name, fn in extra.items():
-        spark.catalog.clearCache()
-        t0 = time.perf_counter()
-        fn(spark, SF_DIR)
-        times[name] = round(time.perf_counter() - t0, 3)
-        print(f"# {name}: {times[name]}s (single run)", file=sys.stderr, flush=True)
     for name, fn in jobs.items():
         runs = []
         for _ in range(REPS):

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,12 @@ def _positions(n: int, p: float) -> tuple[int, int, float]:
     return lo, min(lo + 1, n - 1) if pos > lo else lo, pos - lo
 
 
+def costly(df: DataFrame) -> bool:
+    """Whether reading ``df`` again means joining or aggregating again, and nothing under it is cached."""
+    plan = df._jdf.queryExecution().withCachedData().toString()
+    return "InMemoryRelation" not in plan and ("Join" in plan or "Aggregate" in plan)
+
+
 def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000, max_bracket: int = MAX_BRACKET) -> dict:
     """Exact linear-interpolated quantiles of several columns, without one giant buffer.
 
@@ -32,11 +39,21 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000, max_brack
     scans does not depend on the number of columns and probabilities.  A
     bracket that misses its statistic is widened to [min, max], so the answer is always
     exact.  ``probs`` may differ by column ({col: probs}).  Returns {col: {p: value or None}}.
+    A joined or aggregated input is kept for the scans (its columns only).
     """
     cols = list(cols)
-    asked = {c: list(probs[c] if isinstance(probs, dict) else probs) for c in cols}
-    d = 3.0 / accuracy
     x = df.select(*[nan_to_null(df, c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    keep = costly(x)
+    x = x.persist(StorageLevel.MEMORY_AND_DISK) if keep else x
+    try:
+        return _bracketed(x, cols, {c: list(probs[c] if isinstance(probs, dict) else probs) for c in cols}, accuracy, max_bracket)
+    finally:
+        if keep:
+            x.unpersist()
+
+
+def _bracketed(x: DataFrame, cols: list, asked: dict, accuracy: int, max_bracket: int) -> dict:
+    d = 3.0 / accuracy
 
     def clip(v):
         return max(0.0, min(1.0, v))

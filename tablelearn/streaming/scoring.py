@@ -8,14 +8,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tablelearn.session import shared_dir
-from tablelearn.sources.tables import table_path
+from tablelearn.sources.tables import is_folder, table_path
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """A file stream over one table of ``sf_dir`` (schema taken from the batch footer)."""
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
+    """A file stream over one table of ``sf_dir``, a file or a folder of part files (schema taken
+    from the batch footer)."""
+    path = table_path(sf_dir, name)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    if is_folder(spark, path):  # every part file, also those still to come
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def run_to_sink(scored: DataFrame, sink: str | None = None, checkpoint: str | None = None,

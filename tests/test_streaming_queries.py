@@ -25,6 +25,23 @@ def test_stream_scoring_equals_batch(spark, tmpdir_path):
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
+def test_stream_over_a_folder_of_part_files(spark, tmpdir_path):
+    from tablelearn.streaming import scoring
+    want = spark.read.parquet(table_path(SF01, "orders"))
+    want.repartition(3).write.parquet(f"{tmpdir_path}/sf/orders.parquet")
+    _, sink = scoring.run_to_sink(scoring.stream_table(spark, f"{tmpdir_path}/sf", "orders"), f"{tmpdir_path}/sink", f"{tmpdir_path}/ckpt")
+    got = spark.read.parquet(sink)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_missing_optional_libraries_leave_the_other_queries(monkeypatch):
+    import subprocess
+    import sys
+    code = ("import sys; sys.modules['zstandard'] = None; sys.path.insert(0, '.'); import __spark_entry__ as e; "
+            "assert len(e.queries()) > 90 and not any(k.startswith('op') and k[2].isdigit() for k in e.queries()) and e.oracle_sql()")
+    subprocess.run([sys.executable, "-c", code], check=True)
+
+
 def _norm(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = []
