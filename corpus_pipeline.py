@@ -2,6 +2,10 @@
 
 Each stage works on the rows that the one before kept, is written as Parquet to the shared
 folder and read again, so a lost executor costs no finished stage.
+
+A null or empty text and one without a letter has no language and goes in the first stage.  Repeated
+rows (one id) are kept or dropped together.  Very long texts are handled piece by piece.  An
+empty table gives an empty one.  Other columns pass through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,10 +36,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced by its kind; ``n_chars`` follows the new text."""
     setup(spark)
-    out = pii.redact(docs)
-    if "n_chars" not in out.columns:
+    out, names = pii.redact(docs), docs.columns
+    if "n_chars" not in names:
         return out
-    return out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+    at, kind = names.index("n_chars"), docs.schema[names.index("n_chars")].dataType
+    cols = [f"c{i}" for i in range(len(names))]  # by position: other columns may have names that clash
+    length = F.coalesce(F.length(f"c{names.index('text')}").cast(kind), F.col(f"c{at}"))
+    return out.toDF(*cols).select(*[length if i == at else F.col(c) for i, c in enumerate(cols)]).toDF(*names)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,18 +130,21 @@ def groups(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def products(doc: np.ndarray, ga: np.ndarray, a: np.ndarray, gb: np.ndarray, b: np.ndarray):
     """(doc, a id << 32 | b id, links): per document the linked id pairs and how often they are linked.
 
-    ``doc`` gives the document of every group.  Equal ids of a group are counted first, and only
-    PAIR_BLOCK products are held at a time."""
+    ``doc`` gives the document of every group.  A group of one token on each side is one pair.  In
+    others equal ids are counted first, and only PAIR_BLOCK products are held at a time."""
     def counted(g, ids):
         key, n = np.unique(g << 32 | ids, return_counts=True)
         return key >> 32, key & 0xFFFFFFFF, n
 
-    ga, a, na = counted(ga, a)
-    gb, b, nb = counted(gb, b)
+    one = (np.bincount(ga, minlength=len(doc)) == 1) & (np.bincount(gb, minlength=len(doc)) == 1)
+    one_a, one_b = one[ga], one[gb]
+    single = a[one_a] << 32 | b[one_b]
+    done = [summed(doc[ga[one_a]], single, np.ones(len(single), np.int64))]
+    ga, a, na = counted(ga[~one_a], a[~one_a])
+    gb, b, nb = counted(gb[~one_b], b[~one_b])
     first = np.searchsorted(gb, ga)
     width = np.searchsorted(gb, ga, side="right") - first
     ends = np.cumsum(width)
-    done = []
     at = 0
     while at < len(ga):
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIR_BLOCK, side="right")))
@@ -151,17 +154,20 @@ def products(doc: np.ndarray, ga: np.ndarray, a: np.ndarray, gb: np.ndarray, b:
         if len(done) > 8:
             done = [summed(*map(np.concatenate, zip(*done)))]
         at = to
-    if not done:
-        none = np.zeros(0, np.int64)
-        return none, none, none
     return summed(*map(np.concatenate, zip(*done))) if len(done) > 1 else done[0]
 
 
 def summed(doc, pair, n):
-    order = np.lexsort((pair, doc))
-    doc, pair, n = doc[order], pair[order], n[order]
+    """Sums of n by document and pair, in their order."""
     if not len(doc):
         return doc, pair, n
+    a, b = pair >> 32, pair & 0xFFFFFFFF
+    wide = (int(a.max()) + 1, int(b.max()) + 1)
+    if (int(doc.max()) + 1) * wide[0] * wide[1] < 1 << 63:  # one key to sort by
+        order = np.argsort((doc * wide[0] + a) * wide[1] + b)
+    else:
+        order = np.lexsort((pair, doc))
+    doc, pair, n = doc[order], pair[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1]))))
     return doc[first], pair[first], np.add.reduceat(n, first)
 

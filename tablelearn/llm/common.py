@@ -40,6 +40,14 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*[F.col(f"_c{names.index(src)}").alias(new) for new, src in columns.items()])
 
 
+def map_rows(docs: DataFrame, run) -> DataFrame:
+    """All columns through ``run`` (batches to batches of the same columns), by position: columns may
+    have clashing names, also such as differ by case only."""
+    names = docs.columns
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    return plain.mapInArrow(lean(run), plain.schema).toDF(*names)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession

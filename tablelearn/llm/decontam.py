@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import WordHashes, chunks, lean, pick, setup, shingle_hashes, word_codes, written
+from tablelearn.llm.common import WordHashes, chunks, lean, map_rows, pick, setup, shingle_hashes, word_codes, written
 from tablelearn.llm.neardup import A, B, fold32
 
 HASHES = 48
@@ -204,5 +204,5 @@ def clean(docs: DataFrame, items: DataFrame, n: int = 5, least: float = 0.8, tex
                             keep[some[d][0]] = False
                 yield b.filter(pa.array(keep))
 
-        out = out.mapInArrow(lean(run), docs.schema)
+        out = map_rows(out, run)
     return out

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import chunks, lean, pick, setup, written
+from tablelearn.llm.common import chunks, lean, map_rows, pick, setup, written
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -35,6 +35,8 @@ BLOCKS, EPOCHS = 4, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.001
 SCALE = 30.0
 GRAM_CHUNK = 1 << 18
+#: Partitions whose document frequencies one task adds up.
+FAN_IN = 32
 
 _TABLES: dict = {}
 
@@ -52,17 +54,21 @@ def lower_letters() -> np.ndarray:
     return _TABLES["low"]
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, bucket) of all n-grams, grouped by text, and which texts have a letter."""
+def grams(parts: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part index, bucket) of all n-grams, grouped by part, and which parts have a letter.
+
+    A part is a string and the number of codes at its beginning that only lend context: an n-gram
+    counts where it ends.  What is no letter is a blank, and runs of blanks are one."""
     low = lower_letters()
-    size = np.array([len(t) + 2 for t in texts])
-    raw = "".join([f" {t} " for t in texts]).encode("utf-32-le", "surrogatepass")
-    c = low[np.frombuffer(raw, np.uint32)]
-    doc = np.repeat(np.arange(len(texts), dtype=np.int32), size)
+    size = np.array([len(t) for t, _ in parts])
+    c = low[np.frombuffer("".join([t for t, _ in parts]).encode("utf-32-le", "surrogatepass"), np.uint32)]
+    doc = np.repeat(np.arange(len(parts), dtype=np.int32), size)
     blank = c == 32
-    lettered = np.bincount(doc[~blank], minlength=len(texts)) > 0
+    lettered = np.bincount(doc[~blank], minlength=len(parts)) > 0
     keep = np.concatenate(([True], ~(blank[1:] & blank[:-1]) | (doc[1:] != doc[:-1])))
     c, doc = c[keep], doc[keep]
+    place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    counts_here = place >= np.array([k for _, k in parts])[doc]
     who, bucket = [], []
     for n in ORDERS:
         m = len(c) - n + 1
@@ -72,7 +78,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for i in range(n):
             h = (h ^ c[i:i + m]) * np.uint32(0x85EBCA6B)
             h ^= h >> np.uint32(15)
-        inside = doc[:m] == doc[n - 1:n - 1 + m]
+        inside = (doc[:m] == doc[n - 1:n - 1 + m]) & counts_here[n - 1:n - 1 + m]
         if n == 1:
             inside &= c != 32
         who.append(doc[:m][inside])
@@ -80,15 +86,23 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(who), np.concatenate(bucket), lettered
 
 
-def pieces(text: str) -> list[str]:
-    """A very long text in parts, cut behind a blank where there is one; n-grams across a cut do not count."""
-    out, at = [], 0
-    while len(text) - at > GRAM_CHUNK:
-        cut = max(text.rfind(" ", at + 1, at + GRAM_CHUNK), text.rfind("\n", at + 1, at + GRAM_CHUNK)) + 1
-        cut = cut or at + GRAM_CHUNK
-        out.append(text[at:cut])
-        at = cut
-    return [*out, text[at:]]
+def pieces(text: str) -> list[tuple[str, int]]:
+    """The text between blanks; a very long one in parts that overlap by the codes an n-gram reaches back,
+    so that cutting changes no count."""
+    text = f" {text} "
+    if len(text) <= GRAM_CHUNK:
+        return [(text, 0)]
+    low, out = lower_letters(), []
+    for at in range(0, len(text), GRAM_CHUNK):
+        back, codes = at, 0
+        while back > 0 and codes < max(ORDERS) - 1:
+            back -= 1
+            if low[ord(text[back])] == 32:
+                while back > 0 and low[ord(text[back - 1])] == 32:
+                    back -= 1
+            codes += 1
+        out.append((text[back:at + GRAM_CHUNK], codes))
+    return out
 
 
 def logits(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +110,7 @@ def logits(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
     out, n = np.zeros((len(texts), weights.shape[1])), np.zeros(len(texts))
     lettered = np.zeros(len(texts), bool)
     parts = [(k, p) for k, t in enumerate(texts) for p in pieces(t)]
-    for i, j in chunks([len(p) for _, p in parts], GRAM_CHUNK):
+    for i, j in chunks([len(p[0]) for _, p in parts], GRAM_CHUNK):
         of = np.array([k for k, _ in parts[i:j]])
         who, bucket, has = grams([p for _, p in parts[i:j]])
         np.add.at(n, of, np.bincount(who, minlength=j - i))
@@ -154,7 +168,7 @@ def held_remainder(name: str):
 
 
 def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """(documents per bucket, documents) over all texts: one row a partition, then a fixed fan-in."""
+    """(documents per bucket, documents) over all texts: one row a partition, added up in rounds of FAN_IN."""
     def count(batches):
         df, total = np.zeros(SIZE, np.int64), 0
         for b in batches:
@@ -174,7 +188,11 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
         if total:
             yield pa.RecordBatch.from_arrays([pa.array([df.tobytes()], pa.binary()), pa.array([total], pa.int64())], ["df", "n"])
 
-    parts = rows.select("text").mapInArrow(lean(count), "df binary, n long").repartition(4).mapInArrow(lean(add), "df binary, n long").collect()
+    parts, n = rows.select("text").mapInArrow(lean(count), "df binary, n long"), rows.rdd.getNumPartitions()
+    while n > 1:
+        n = -(-n // FAN_IN)
+        parts = parts.repartition(n).mapInArrow(lean(add), "df binary, n long")
+    parts = parts.collect()
     return (sum((np.frombuffer(r["df"], np.int64) for r in parts), np.zeros(SIZE, np.int64)), sum(r["n"] for r in parts))
 
 
@@ -291,4 +309,4 @@ def keep_known(docs: DataFrame, model: dict, least: float = 0.5, id_col: str = "
                 keep = np.flatnonzero(has & (softmax(x / m["temperature"]).max(1) >= least))
                 yield b.take(pa.array(keep))
 
-    return docs.mapInArrow(lean(run), docs.schema)
+    return map_rows(docs, run)

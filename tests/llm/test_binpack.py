@@ -83,3 +83,28 @@ def test_write_shards(spark, tmpdir_path):
     back = spark.read.parquet(f"{tmpdir_path}/out")
     assert sorted((r["doc_id"], r["text"], r["x.y"]) for r in back.collect()) == [(1, "a", 5), (2, "a", 6), (3, None, 7), (4, "bb", 8)]
     assert len({r["shard"] for r in back.where("text = 'a'").collect()}) == 1
+
+
+def test_fixed_capacity(spark, tmpdir_path):
+    """As many shards as the naive best fit needs for the same units, none above the capacity but for one large group."""
+    rnd = random.Random(6)
+    rows = [(i, "x" * rnd.randint(0, 300) + str(i)) for i in range(1200)] + [(None, "same")] * 500 + [(9000, "g" * 50_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    capacity = 20_000
+    got = binpack.shard_documents(docs, capacity=capacity).collect()
+    shards = 1 + max(r["shard"] for r in got)
+    sums = check(rows, got, shards)
+    assert sorted(v for v in sums.values() if v > capacity) == [50_008] and {r["law"] for r in got} == {"capacity"}
+    measured = binpack.measured(docs)
+    big, small, cells = binpack.placement(measured, None, capacity)
+    large, units = capacity // binpack.LARGE_PER_SHARD, Counter()
+    for r in measured.groupBy("_group").sum("size").collect():
+        units[("g", r[0]) if r[1] > large else ("c", r[0] % cells)] += r[1]
+    naive = naive_bfd([(k, v) for k, v in units.items() if v <= capacity], capacity)
+    assert shards == 1 + len(set(naive.values())) and big.count() + small.count() == len(units)
+    total = sum(sums.values()) - 50_008
+    assert shards - 1 <= 1.05 * total / capacity + 1
+    binpack.write_shards(docs, f"{tmpdir_path}/out", capacity=capacity)
+    back = spark.read.parquet(f"{tmpdir_path}/out")
+    assert back.count() == len(rows) and back.select("shard").distinct().count() == shards
+    assert binpack.shard_documents(docs.limit(0), capacity=100).collect() == []

@@ -20,7 +20,7 @@ def naive_grams(text):
 
 def test_grams_equal_a_plain_count():
     texts = ["Hello, Wörld 12 é", "", "  ..!", "a", "Übung\n\nmacht   den Meister", "x1y2z"]
-    who, bucket, has = langid.grams(texts)
+    who, bucket, has = langid.grams([p for t in texts for p in langid.pieces(t)])
     assert has.tolist() == [any(c.isalpha() for c in t) for t in texts]
     for k, t in enumerate(texts):
         mine = bucket[who == k]
@@ -28,6 +28,22 @@ def test_grams_equal_a_plain_count():
         assert len(mine) == sum(want.values()) and sorted(Counter(mine.tolist()).values()) == sorted(want.values()), t
 
 
+def test_cutting_a_long_text_changes_no_count(monkeypatch):
+    import random
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("ab é.1  ß\n") for _ in range(rnd.randint(0, 60))) for _ in range(400)] + ["a" * 50, " " * 50, "..a.." * 9, "a" + "." * 40 + "b"]
+    whole = [langid.counts(t) for t in texts]
+    w = np.random.default_rng(0).normal(size=(langid.SIZE, 3))
+    scores = langid.logits(texts, w)
+    for chunk in (1, 2, 3, 7):
+        monkeypatch.setattr(langid, "GRAM_CHUNK", chunk)
+        for t, (ids, n) in zip(texts, whole):
+            got = langid.counts(t)
+            assert got[0].tolist() == ids.tolist() and got[1].tolist() == n.tolist(), (t, chunk)
+        cut = langid.logits(texts, w)
+        assert np.allclose(cut[0], scores[0]) and (cut[1] == scores[1]).all()
+
+
 def test_ftrl_follows_the_formula():
     texts, idf = ["aa ab", "ba bb", "ab ab"], np.linspace(1, 2, langid.SIZE)
     z, n = np.zeros((langid.SIZE, 2)), np.zeros((langid.SIZE, 2))
@@ -75,7 +91,7 @@ def test_document_frequencies_cover_all_learnable(docs):
     texts = [r["text"] for r in rows.collect()]
     want = np.zeros(langid.SIZE, int)
     for t in texts:
-        want[np.unique(langid.grams([t])[1])] += 1
+        want[np.unique(langid.grams(langid.pieces(t))[1])] += 1
     assert n == len(texts) and (df == want).all()
 
 

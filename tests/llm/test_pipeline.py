@@ -56,3 +56,17 @@ def test_stages_keep_the_columns(spark):
         assert [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
         assert stage(spark, docs.limit(0), SF).collect() == []
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SF).collect() == []
+
+
+def test_stages_with_a_column_that_differs_by_case_only(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    docs = docs.selectExpr("doc_id", "'x' AS a", "text", "lang", "source", "n_chars", "7 AS b", "'y' AS id").toDF(
+        "doc_id", "Text", "text", "lang", "source", "n_chars", "N_chars", "id")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[1] == "x" and r[6] == 7 and r[7] == "y" for r in rows), name
+        if name == "redacted":
+            assert all(r[5] == len(r[2]) for r in rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
