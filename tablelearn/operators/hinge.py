@@ -5,7 +5,7 @@ all others), and the fold it leaves out.  The
 weights of all cells form one matrix; every step is one pass over the packed rows that gives the
 loss and the gradient of every cell (``blocks.total``).  The driver keeps an L-BFGS state per cell,
 so cells take their own steps, and those that have converged leave the pass.  The first guess of the
-inverse curvature comes from the products of some thousand rows, decomposed once for all cells;
+inverse curvature comes from about a thousand rows, decomposed once for all cells;
 it shortens the way and has no part in where it ends.
 
 Objective of a cell over its n rows: |w|² / (2 n C) + mean of max(0, 1 - y (w·x + b))², b not penalised.
@@ -30,9 +30,8 @@ from tablelearn.errors import ModelError
 from tablelearn.operators import blocks
 
 MEMORY = 10
-#: Rows that the first guess of the curvature is taken from, and the widest tables that have one.
-CURVATURE_ROWS = 4096
-CURVATURE_WIDTH = 2048
+#: Rows that the first guess of the curvature is taken from.
+CURVATURE_ROWS = 1024
 
 
 class Cell(NamedTuple):
@@ -103,22 +102,29 @@ def truth(y, fold, positive, negative, skip, held: bool = False):
     return sign if fold is None else sign * ((fold[:, None] == skip) if held else (fold[:, None] != skip))
 
 
-def curvature(packed: DataFrame, width: int, n: float):
-    """ridge → (q → (ridge + 2 X'X / n)^-1 q), estimated from about CURVATURE_ROWS rows; None for wide tables."""
-    if width > CURVATURE_WIDTH:
-        return lambda ridge: None
+def curvature(packed: DataFrame, n: float):
+    """ridge → (q → (ridge + 2 X'X / n)^-1 q), from the first rows of every block, CURVATURE_ROWS or so in
+    all: exact in the span of these rows, and with their least curvature outside it."""
     share = min(1.0, CURVATURE_ROWS / max(n, 1.0))
 
-    def products(x, *_):
-        some = x[:max(1, int(np.ceil(share * len(x))))]
-        some = np.hstack((some, np.ones((len(some), 1))))
-        return some.T @ some, np.array([len(some)])
-    p, rows = blocks.total(packed, products, [(width + 1, width + 1), (1,)])
-    value, vector = np.linalg.eigh(2.0 * p / rows[0])
-    value = np.maximum(value, 0.0)
+    def some(rows):
+        for r in rows:
+            x = np.frombuffer(r[1], np.float64).reshape(r[0], -1)
+            yield x[:max(1, int(share * len(x)))]
+    x = np.concatenate(packed.rdd.mapPartitions(some).collect())[:2 * CURVATURE_ROWS]
+    x = np.hstack((x, np.ones((len(x), 1))))
+    value, vector = np.linalg.eigh(2.0 / len(x) * (x @ x.T if len(x) < x.shape[1] else x.T @ x))
+    keep = value > 1e-10 * value[-1]
+    value, vector = value[keep], vector[:, keep]
+    if len(x) < x.shape[1]:
+        vector = x.T @ vector / np.sqrt(value * len(x) / 2.0)
+    rest = 0.0 if share == 1.0 else value[0]
 
     def inverse(ridge):
-        return lambda q: vector @ ((vector.T @ q) / (ridge + value))
+        def apply(q):
+            inside = vector.T @ q
+            return vector @ (inside / (ridge + value) - inside / (ridge + rest)) + q / (ridge + rest)
+        return apply
     return inverse
 
 
@@ -133,7 +139,7 @@ def fit_cells(packed: DataFrame, width: int, cells: list[Cell], tol: float = 1e-
     n = blocks.total(packed, sizes, [(len(cells),)])[0]
     if not (n > 0).all():
         raise ModelError("cannot fit on an empty table")
-    inverse = curvature(packed, width, float(n.max()))
+    inverse = curvature(packed, float(n.max()))
     runs = [Descent(width + 1, tol, inverse(1.0 / (rows * c.c))) for rows, c in zip(n, cells)]
     sc = packed.sparkSession.sparkContext
     for _ in range(max_iter):

@@ -689,10 +689,10 @@ ORACLE["ols_coefficients"] = f"""WITH {OF},
 x AS (SELECT id, target, 'train' AS split, TRUE AS tr, n_lines, qty, gross, CAST(yr AS DOUBLE) AS yr FROM of WHERE gross IS NOT NULL
       UNION ALL SELECT i, 0.0, 'probe', FALSE, CAST(i = -1 AS INT), CAST(i = -2 AS INT), CAST(i = -3 AS INT), CAST(i = -4 AS INT) FROM range(-4, 1) t(i)),
 {_projection(['n_lines', 'qty', 'gross', 'yr'])},
-at AS (SELECT id, prediction FROM pred WHERE split = 'probe')
-SELECT 'intercept' AS feature, ROUND(prediction, 3) AS coefficient FROM at WHERE id = 0
+moved AS (SELECT id, prediction FROM pred WHERE split = 'probe')
+SELECT 'intercept' AS feature, ROUND(prediction, 3) AS coefficient FROM moved WHERE id = 0
 UNION ALL SELECT CASE id WHEN -1 THEN 'n_lines' WHEN -2 THEN 'qty' WHEN -3 THEN 'gross' ELSE 'yr' END,
-                 ROUND(prediction - (SELECT prediction FROM at WHERE id = 0), 3) FROM at WHERE id < 0"""
+                 ROUND(prediction - (SELECT prediction FROM moved WHERE id = 0), 3) FROM moved WHERE id < 0"""
 ORACLE["model_roundtrip"] = f"""WITH {PREDICTED}
 SELECT id, ROUND(prediction, 2) AS prediction FROM pred WHERE split = 'test'"""
 
