@@ -143,7 +143,7 @@ def fit_classifier(df: DataFrame, features: str, label: str, backend: str, n_cla
     if backend == "mlp":
         more = {k: kw[k] for k in ("max_epochs", "rate", "l2", "batch_rows") if k in kw}
         return network.fit(few_tasks(df, n), features, label, n_classes, n_features, kw.get("hidden", [256, 128]), seed=seed, rows=n, **more)
-    some, steps = few_tasks(df, n), {"tol": kw.get("tol", 1e-5), "max_iter": kw.get("max_iter", 200)}
+    some, steps = few_tasks(df, n), {"tol": kw.get("tol", 1e-4), "max_iter": kw.get("max_iter", 200)}
     if backend == "svm_linear":
         return hinge.fit(some, features, label, n_classes, 1.0 / (n * kw.get("reg_param", 0.01)), n_features, **steps)
     stage = kernel_map(df, features, n_features, seed, **{k: kw[k] for k in ("gamma", "kernel_map", "n_components") if k in kw})
@@ -169,7 +169,7 @@ def platt_apply(score_col, a: float, b: float):
 
 
 def grid_search(df: DataFrame, features: str, label: str, fold: str, gammas=("scale", "auto"), cs=(0.5, 1.0, 5.0, 10.0),
-                n_components: int = 2000, seed: int = 42, kernel: str = "fourier", tol: float = 1e-5, max_iter: int = 200):
+                n_components: int = 2000, seed: int = 42, kernel: str = "fourier", tol: float = 1e-4, max_iter: int = 100):
     """C × gamma grid of RBF machines, k-fold by a fold column, mean accuracy per cell.
 
     For a gamma the mapped rows are packed once; all its C × fold machines, and those of every C
