@@ -47,7 +47,7 @@ class Newton:
         self.t, self.trial = 1.0, self.at if self.done else self.at + self.p
 
 
-def sigmoids(packed: DataFrame, cells: int, decide, smooth: bool = True, max_iter: int = 100) -> np.ndarray:
+def sigmoids(packed: DataFrame, cells: int, decide, smooth: bool = True, max_iter: int = 100, via=None) -> np.ndarray:
     """(cells, 2) numbers A, B.  ``decide(x, *scalars)`` gives the decision values (rows, cells) and the
     side of every row, +1, -1 or 0 where a cell leaves it out.
 
@@ -55,7 +55,7 @@ def sigmoids(packed: DataFrame, cells: int, decide, smooth: bool = True, max_ite
     def sizes(*block):
         side = decide(*block)[1]
         return (side > 0).sum(0), (side < 0).sum(0)
-    pos, neg = blocks.total(packed, sizes, [(cells,), (cells,)])
+    pos, neg = blocks.total(packed, sizes, [(cells,), (cells,)], via)
     hi, lo = ((pos + 1) / (pos + 2), 1 / (neg + 2)) if smooth else (np.ones(cells), np.zeros(cells))
     runs = [Newton(p, n, smooth) for p, n in zip(pos, neg)]
     for _ in range(max_iter):
@@ -73,7 +73,7 @@ def sigmoids(packed: DataFrame, cells: int, decide, smooth: bool = True, max_ite
             v = np.where(used, p * (1.0 - p), 0.0)
             loss = np.where(used, np.logaddexp(0.0, z) - (1.0 - t) * z, 0.0)
             return loss.sum(0), np.stack(((d * f).sum(0), d.sum(0))), np.stack(((v * f * f).sum(0), (v * f).sum(0), v.sum(0)))
-        loss, g, h = blocks.total(packed, kernel, [(cells,), (2, cells), (3, cells)])
+        loss, g, h = blocks.total(packed, kernel, [(cells,), (2, cells), (3, cells)], via)
         for k, r in enumerate(runs):
             if not r.done:
                 r.tell(loss[k], g[:, k], h[:, k])
@@ -147,10 +147,11 @@ class SigmoidModel(Model, HasFeaturesCol, HasPredictionCol, HasProbabilityCol, D
 def fit(df: DataFrame, label: str, fold: str, folds: int, n_classes: int, c: float, stage, tol: float = 1e-5, max_iter: int = 200) -> PipelineModel:
     """Machines on the mapped features of ``stage``, one per pair of classes, each with the sigmoid of its
     left-out margins: every machine is also fitted without each fold, all in the same passes."""
-    packed = blocks.pack(df, stage.getInputCol(), [label, fold], stage.mapping()).persist()
+    packed = blocks.pack(df, stage.getInputCol(), [label, fold]).persist()
+    via = df.sparkSession.sparkContext.broadcast(stage.mapping())
     pairs = list(combinations(range(n_classes), 2))
     cells = [hinge.Cell(c, float(j), f, float(i)) for f in [*range(folds), -1] for i, j in pairs]
-    w = hinge.fit_cells(packed, stage.size(), cells, tol, max_iter)
+    w = hinge.fit_cells(packed, stage.size(), cells, tol, max_iter, via)
     held = folds * len(pairs)
     of = hinge.sides(cells[:held])
     shared = df.sparkSession.sparkContext.broadcast(w[:, :held])
@@ -160,8 +161,9 @@ def fit(df: DataFrame, label: str, fold: str, folds: int, n_classes: int, c: flo
         side = hinge.truth(y, fold, *of, held=True).reshape(len(x), folds, len(pairs))
         f = (x @ w[:-1] + w[-1]).reshape(len(x), folds, len(pairs))
         return (f * (side != 0)).sum(1), side.sum(1)  # a row is held out by one fold only
-    ab = sigmoids(packed, len(pairs), decide)
+    ab = sigmoids(packed, len(pairs), decide, via=via)
     shared.destroy()
+    via.destroy()
     packed.unpersist()
     full = w[:, held:]
     model = SigmoidModel(featuresCol=stage.getOutputCol(), weights=[float(v) for v in full.T.ravel()], curves=[float(v) for v in ab.ravel()],

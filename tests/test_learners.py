@@ -311,3 +311,24 @@ def test_sums_over_more_partitions_than_one_task_adds(spark):
     assert np.abs(got[0] - x.sum(0)).max() < 1e-9 and np.abs(got[1] - (x * y[:, None]).sum(0)).max() < 1e-9
     empty = blocks.total(blocks.pack(frame(spark, x, y).limit(0), "features", ["label"]), lambda x, y: [x.sum(0)], [(3,)])
     assert (empty[0] == 0).all()
+
+
+def test_feature_maps_are_never_kept_or_sent(spark, monkeypatch):
+    """The packed rows stay as wide as they came, and a map sees few rows at a time in fit and scoring."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 3))
+    df = frame(spark, x, (x[:, 0] * x[:, 1] > 0).astype(int), parts=2)
+    packed = blocks.pack(df, "features", ["label"]).persist()
+    assert packed.agg(F.sum(F.length("x"))).first()[0] == x.size * 8
+    via = spark.sparkContext.broadcast(classify.rff_map(*classify.rff_matrix(3, 2000, 0.5, 1)))
+    widest, image = blocks.total(packed, lambda z, y: [[len(z) * z.shape[1]], z.sum(0)], [(1,), (2000,)], via)
+    assert widest[0] == 3000 * 2000 and max(len(z) for r in packed.collect() for z, _ in blocks.slices(r, via.value)) * 2000 <= blocks.IMAGE_VALUES
+    assert np.allclose(image, via.value(x).sum(0))
+    kept = []
+    pack = blocks.pack
+    monkeypatch.setattr(blocks, "pack", lambda *a, **k: kept.append(pack(*a, **k)) or kept[-1])
+    m = classify.fit_classifier(df, "features", "label", "svm_rbf", 2, C=5.0, gamma=0.5, n_components=500)
+    assert [p.agg(F.sum(F.length("x"))).first()[0] for p in kept] == [x.size * 8]
+    out = m.transform(df)
+    assert not any(c == "_svm_in" for c in out.columns)
+    assert out.where("prediction = label").count() > 0.95 * 3000
