@@ -10,7 +10,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 
 from tablelearn.errors import ModelError, SizeBoundError
 from tablelearn.functions.exprs import WIDE_DIM, grouped_vector_sums, matrix_literal, order_hash, vec_sqdist
+from tablelearn.operators import blocks
 
 MAX_K = 1000
 ROWS_PER_TASK = 20_000
+#: Rows that a task compares with the centres of a run at a time.
+SLICE_ROWS = 2048
 
 
 def assemble(df: DataFrame, cols, out: str = "x") -> DataFrame:
@@ -114,56 +117,74 @@ def _uniform(seed: int, r, j, key: str):
     return (F.pmod(h, F.lit(1 << 52)).cast("double") + 1.0) / float(1 << 52)
 
 
-def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(squared distance, centre) of the nearest centre of each row; ties go to the lower one."""
-    d = np.stack([((x - c) ** 2).sum(1) for c in centres], 1)
-    c = d.argmin(1)
-    return d[np.arange(len(x)), c], c
-
-
-def _batches(it, vec: str):
-    for pdf in it:
-        for i in range(0, len(pdf), 4096):
-            part = pdf.iloc[i:i + 4096]
-            yield part, np.stack([np.asarray(v, np.float64) for v in part[vec]])
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """(centres, rows) squared distances; ``x`` is (dimensions, rows)."""
+    out = np.zeros((len(centres), x.shape[1]))
+    for i in range(len(x)):
+        d = x[i] - centres[:, i, None]
+        d *= d
+        out += d
+    return out
 
 
-def _run_sums(data: DataFrame, vec: str, runs, dim: int) -> dict:
-    """{(run, cluster): (rows, squared distances, sums per dimension)} of all runs in one pass:
-    each task adds up its rows, Spark adds up the tasks; the plan is the same in every iteration."""
+def _run_sums(packed: DataFrame, runs, dim: int) -> dict:
+    """{(run, cluster): (rows, squared distances, sums per dimension)} of all runs in one pass over the
+    packed rows; ties go to the lower centre.  The same centres always give the same sums, so a run whose
+    rows stay where they are has come to rest."""
     centres = [np.array(r, np.float64) for r in runs]
-    names = [f"s{i}" for i in range(dim)]
-
-    def run(it):
-        total = [np.zeros((len(c), dim + 2)) for c in centres]
-        for _, x in _batches(it, vec):
-            for t, c in zip(total, centres):
-                d, near = _nearest(x, c)
-                t[:, 0] += np.bincount(near, minlength=len(c))
-                t[:, 1] += np.bincount(near, d, len(c))
-                for i in range(dim):
-                    t[:, 2 + i] += np.bincount(near, x[:, i], len(c))
-        out = [pd.DataFrame(t, columns=["m", "cost", *names]).assign(i=i, c=np.arange(len(t))) for i, t in enumerate(total)]
-        yield pd.concat(out)[["i", "c", "m", "cost", *names]]
-
-    schema = "i int, c int, m double, cost double, " + ", ".join(f"{n} double" for n in names)
-    rows = (data.select(vec).mapInPandas(run, schema).groupBy("i", "c")
-            .agg(*[F.sum(n).alias(n) for n in ("m", "cost", *names)]).where("m > 0").collect())
-    return {(r["i"], r["c"]): (int(r["m"]), r["cost"], [r[n] for n in names]) for r in rows}
+    begin = np.cumsum([0, *map(len, centres)])
+    shared = packed.sparkSession.sparkContext.broadcast(centres)
+
+    def kernel(x):
+        out = np.zeros((begin[-1], dim + 2))
+        for at in range(0, len(x), SLICE_ROWS):
+            some = x[at:at + SLICE_ROWS]
+            cols, m = np.ascontiguousarray(some.T), len(some)
+            table = np.concatenate((np.ones((m, 1)), np.zeros((m, 1)), some), 1)  # row, distance, coordinates
+            for a, c in zip(begin, shared.value):
+                d = _distances(cols, c)
+                best = d.min(0)
+                hit = d == best
+                if np.count_nonzero(hit) == m:
+                    table[:, 1] = best
+                    out[a:a + len(c)] += hit.astype(np.float64) @ table
+                    continue
+                near = d.argmin(0)  # ties or values that are no numbers
+                table[:, 1] = d[near, np.arange(m)]
+                for i in range(dim + 2):
+                    out[a:a + len(c), i] += np.bincount(near, table[:, i], len(c))
+        return [out]
+    got = blocks.total(packed, kernel, [(int(begin[-1]), dim + 2)])[0]
+    shared.destroy()
+    return {(i, c): (int(got[a + c, 0]), float(got[a + c, 1]), got[a + c, 2:].tolist())
+            for i, (a, r) in enumerate(zip(begin, centres)) for c in range(len(r)) if got[a + c, 0] > 0}
 
 
 def _next_seeds(data: DataFrame, vec: str, key: str, seeds, j: int, seed: int) -> dict:
-    """{restart: next centre}: the row that wins an exponential race weighted by squared distance."""
+    """{restart: next centre}: the row that wins an exponential race weighted by squared distance.  Each
+    batch sends on its winners only."""
     centres = [np.array(s, np.float64) for s in seeds]
+    draws = F.array(*[-F.log(_uniform(seed, F.lit(r), j, key)) for r in range(len(seeds))])
 
     def run(it):
-        for pdf, x in _batches(it, vec):
-            d = np.stack([_nearest(x, c)[0] for c in centres], 1) if j else np.ones((len(x), len(centres)))
-            yield pdf.assign(_w=list(d))
-    kinds = ", ".join(f"{c} {data.schema[c].dataType.simpleString()}" for c in (key, vec))
-    x = data.select(key, vec).mapInPandas(run, f"{kinds}, _w array<double>").select(key, vec, F.posexplode("_w").alias("_r", "_d"))
-    race = -F.log(_uniform(seed, F.col("_r"), j, key)) / F.col("_d")
-    rows = x.where(F.col("_d") > 0).groupBy("_r").agg(F.min_by(F.col(vec), F.struct(race, F.col(key))).alias("c")).collect()
+        for b in it:
+            if not len(b):
+                continue
+            x, draw = np.ascontiguousarray(blocks.matrix(b.column(1)).T), blocks.matrix(b.column(2))
+            for r, c in enumerate(centres):
+                d = _distances(x, c).min(0) if j else np.ones(len(b))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    race = draw[:, r] / d
+                some = np.flatnonzero(~(d <= 0))  # a distance that is no number loses to all others
+                if not len(some):
+                    continue
+                race = race[some]
+                won = some[(race == np.nanmin(race)) if not np.isnan(race).all() else np.isnan(race)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(won), r, np.int32)), pa.array((draw[won, r] / d[won])),
+                                                  b.column(0).take(pa.array(won)), b.column(1).take(pa.array(won))], ["_r", "_race", "_key", "_x"])
+    kinds = f"_r int, _race double, _key {data.schema[key].dataType.simpleString()}, _x array<double>"
+    x = data.select(F.col(key).alias("_key"), F.col(vec).cast("array<double>").alias("_x"), draws.alias("_draws")).mapInArrow(run, kinds)
+    rows = x.groupBy("_r").agg(F.min_by("_x", F.struct("_race", "_key")).alias("c")).collect()
     return {r["_r"]: [float(v) for v in r["c"]] for r in rows}
 
 
@@ -176,8 +197,8 @@ def fit_kmeans_batched(df: DataFrame, vec: str, key: str, k: int = 5, restarts:
 def fit_kmeans_many(df: DataFrame, vec: str, key: str, ks, restarts: int = 10, max_iter: int = 300,
                     tol: float = 1e-4, seed: int = 42) -> dict:
     """k-means with k-means++ initialisation for every k and ``restarts`` runs each, batched into
-    one data pass per step (like n_init): a Lloyd iteration is one aggregation grouped by
-    (run, cluster), so all runs together cost one scan per iteration.
+    one data pass per step (like n_init): the rows are packed once, and a Lloyd iteration is one
+    aggregation by (run, cluster) over the blocks, so all runs together cost one scan per iteration.
 
     Init: D²-weighted sampling of each next centre per restart via an exponential race
     (min of −ln(u)/d over rows, u hashed from (seed, restart, step, key)) — one job per step; the
@@ -193,7 +214,8 @@ def fit_kmeans_many(df: DataFrame, vec: str, key: str, ks, restarts: int = 10, m
         raise ModelError(f"k-means needs at least k={top} rows, got {n}")
     if top > MAX_K:
         raise SizeBoundError(f"more than {MAX_K} clusters")
-    whole, data = data, data.coalesce(max(1, -(-n // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)  # one small job per step
+    whole, data = data, blocks.tasks(data, n, ROWS_PER_TASK).persist(StorageLevel.MEMORY_AND_DISK)  # one small job per step
+    packed = blocks.pack(data, vec).persist()
     var = data.agg(*[F.var_pop(F.col(vec)[i]).alias(f"v{i}") for i in range(dim)]).first()
     tol_abs = tol * sum(float(var[f"v{i}"] or 0.0) for i in range(dim)) / dim
     # k-means++ seeding, all restarts per pass
@@ -208,7 +230,7 @@ def fit_kmeans_many(df: DataFrame, vec: str, key: str, ks, restarts: int = 10, m
     for _ in range(max_iter):
         if not active:
             break
-        sums = _run_sums(data, vec, [cents[run] for run in active], dim)
+        sums = _run_sums(packed, [cents[run] for run in active], dim)
         still = []
         for pos, run in enumerate(active):
             shift, new = 0.0, []
@@ -223,8 +245,8 @@ def fit_kmeans_many(df: DataFrame, vec: str, key: str, ks, restarts: int = 10, m
         active = still
     # inertia and sizes of every run in one pass; keep the best of each k
     runs = sorted(cents)
-    sums = _run_sums(data, vec, [cents[run] for run in runs], dim)
-    for d in (data, whole):
+    sums = _run_sums(packed, [cents[run] for run in runs], dim)
+    for d in (packed, data, whole):
         d.unpersist()
     cost, sizes = dict.fromkeys(runs, 0.0), {}
     for (i, c), (m, d, _) in sorted(sums.items()):

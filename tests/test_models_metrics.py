@@ -236,3 +236,26 @@ def test_long_run_and_epoch_numbers(spark, parts):
         h.unpersist()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_kmeans_passes_equal_a_plain_loop_and_repeat(spark):
+    import numpy as np
+
+    from tablelearn.operators import blocks, cluster
+
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(300, 3)), np.tile([1.0, 2.0, 3.0], (20, 1))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>").repartition(40)
+    packed = blocks.pack(df, "x").persist()
+    runs = [[[0.0, 0.0, 0.0], [1.0, 1.0, 1.0], [1.0, 1.0, 1.0]], [[2.0, 0.0, 0.0], [-1.0, 0.5, 0.0]]]
+    got = cluster._run_sums(packed, runs, 3)
+    assert got == cluster._run_sums(packed, runs, 3)
+    for i, c in enumerate(runs):
+        d = ((x[:, None] - np.array(c)) ** 2).sum(2)
+        near = d.argmin(1)  # of two equal centres the lower one
+        for k in range(len(c)):
+            rows = near == k
+            assert ((i, k) in got) == rows.any()
+            if rows.any():
+                n, cost, total = got[i, k]
+                assert n == rows.sum() and abs(cost - d[rows, k].sum()) < 1e-9 and np.allclose(total, x[rows].sum(0))
