@@ -332,3 +332,43 @@ def test_feature_maps_are_never_kept_or_sent(spark, monkeypatch):
     out = m.transform(df)
     assert not any(c == "_svm_in" for c in out.columns)
     assert out.where("prediction = label").count() > 0.95 * 3000
+
+
+@pytest.mark.parametrize("parts,size", [(1, 7), (5, 7), (40, 5000), (9, 70_001)])
+def test_sums_are_added_piece_by_piece_in_order(spark, parts, size):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(parts, size)) * 10.0 ** rng.integers(-8, 8, (parts, 1))
+    rdd = spark.sparkContext.parallelize(range(parts), parts).map(lambda i: (i, v[i]))
+    want = np.zeros(size)
+    for row in v:
+        want = want + row
+    assert blocks.added(rdd, size).tolist() == want.tolist()
+    assert max(len(p) for _, p in blocks.pieces(rdd, 1000, -(-size // 1000)).collect()) <= 1000
+
+
+def test_an_epoch_is_one_pass_in_lanes(spark, monkeypatch):
+    """More minibatches than a lane takes: one job an epoch, all rows met, lanes averaged by their rows."""
+    x, y = blobs(1000, 4, 3, seed=12)
+    df = frame(spark, x, y)
+    passes, added = [], blocks.added
+    monkeypatch.setattr(blocks, "added", lambda rdd, size: passes.append(rdd.getNumPartitions()) or added(rdd, size))
+    t = network.Training(df, "features", "label", [4, 8, 3], seed=3, rate=0.01, batch_rows=20)
+    assert (t.n_batches, t.lanes) == (50, 4)
+    mine = [[(a.copy(), b.copy()) for a, b in lane] for lane in t.blocks.glom().collect()]
+    assert [len(m) for m in mine] == [len(range(i, 50, 4)) for i in range(4)] and sum(len(b) for m in mine for _, b in m) == 1000
+    first = t.weights
+    loss, _ = t.epoch()
+    assert passes == [4] and loss > 0
+    ends = []
+    for m in mine:
+        w, adam = first, network.Adam(first, 0.01)
+        for a, b in m:
+            *g, stats = network.gradients(w, a, b)
+            w = adam.step(w, [(v + (1e-4 * u if u.ndim == 2 else 0)) / stats[2] for v, u in zip(g, w)])
+        ends.append((sum(len(b) for _, b in m), w))
+    for i, got in enumerate(t.weights):
+        assert np.allclose(got, sum(n * w[i] for n, w in ends) / 1000, atol=1e-12)
+    for _ in range(15):
+        loss, right = t.epoch()
+    assert right > 0.85
+    t.close()
