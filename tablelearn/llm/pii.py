@@ -6,9 +6,10 @@ generators then propose overlapping spans for what the rules miss: addresses wit
 each candidate from format and context features; a candidate clear of all base spans is added
 when its score reaches the threshold of its kind, calibrated on held-out candidates.
 
-The trees learn by weak supervision from a bounded sample (SAMPLE_DOCS documents, then
-SAMPLE_ROWS candidates): base spans and rewritings of them (plus sign dropped, other
-separators, (at) and [dot]) are positive, candidates that no rule confirms are negative.
+The trees learn by weak supervision from all documents: base spans and rewritings of them (plus sign
+dropped, other separators, (at) and [dot]) are positive, candidates that no rule confirms are
+negative.  The examples are packed once; every level of a tree is one pass that adds up gradients by
+node, feature and bin, and one more pass counts the held-out third by score for the thresholds.
 Extraction and scoring cover every whole text, in one pass without shuffle.
 
 Null text counts as empty: no spans.  Offsets are code points, ends exclusive.  Repeated rows
@@ -21,14 +22,17 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelearn.llm.common import chunks, hash64, lean, map_rows, pick, setup
+from tablelearn.operators import blocks
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 6_000
-SAMPLE_ROWS = 20_000
+#: Examples of a task when the trees learn, and steps of the score when held-out candidates are counted.
+EXAMPLES_PER_TASK = 20_000
+SCORE_STEPS = 1 << 16
 #: Share of added spans, on held-out candidates, that must be confirmed.
 PRECISION = 0.99
 
@@ -182,6 +186,16 @@ def examples(text: str):
             yield 0, features(kind, text[s:e], *context(text, s, e))
 
 
+def _walk(tree: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+    """The node of a tree that each binned row ends in."""
+    at = np.zeros(len(b), int)
+    for _ in range(depth):
+        j = tree[at, 0].astype(int)
+        go = b[np.arange(len(b)), np.maximum(j, 0)] <= tree[at, 1]
+        at = np.where(j < 0, at, np.where(go, tree[at, 2], tree[at, 3]).astype(int))
+    return at
+
+
 class Boosted:
     """Gradient-boosted trees for the logistic loss over binned features."""
 
@@ -229,6 +243,65 @@ class Boosted:
         tree[at][3] = len(tree)
         return out + self._grow(tree, b, rows[~left], g, h, depth - 1)
 
+    def fit_all(self, packed: DataFrame, cuts, positive: float, rows: float) -> "Boosted":
+        """The same trees from packed examples (x, label, held out) of any number: one pass a level.
+        Held-out rows take no part; ``cuts`` are the bin edges of every feature."""
+        self.cuts = cuts
+        p = min(max(positive / rows, 1e-4), 1 - 1e-4)
+        start, width, bins = float(np.log(p / (1 - p))), len(cuts), 1 + max(map(len, cuts))
+        self.start, self.trees = start, []
+        binned, rate, ridge, most = self._binned, self.rate, self.ridge, self.depth
+
+        def first(block):
+            x, y, held = next(blocks.slices(block))
+            return binned(x[held == 0]), y[held == 0], np.full(int((held == 0).sum()), start)
+        data = packed.rdd.map(first).persist(StorageLevel.MEMORY_AND_DISK)
+        for _ in range(self.n):
+            tree, open_ = [[-1, 0, 0, 0, 0.0]], [0]
+            for depth in range(most + 1):
+                size = len(open_) * width * bins * 2
+
+                def level(i, some, tree=tree, open_=open_, size=size):
+                    out = np.zeros((len(open_), width, 2, bins))
+                    t = np.array(tree, float)
+                    for b, y, f in some:
+                        at, p = _walk(t, b, most), 1 / (1 + np.exp(-f))
+                        for k, node in enumerate(open_):
+                            r = np.flatnonzero(at == node)
+                            g, h = (p - y)[r], (p * (1 - p))[r]
+                            for j in range(width):
+                                out[k, j, 0] += np.bincount(b[r, j], g, bins)
+                                out[k, j, 1] += np.bincount(b[r, j], h, bins)
+                    yield i, out.ravel()
+                hist = blocks.added(data.mapPartitionsWithIndex(level), size).reshape(len(open_), width, 2, bins)
+                after = []
+                for node, h in zip(open_, hist):
+                    sg, sh = h[0].sum(1)
+                    tree[node][4] = -rate * sg / (sh + ridge)
+                    if depth == most:
+                        continue
+                    gl, hl = np.cumsum(h, 2)[:, :, :-1].transpose(1, 0, 2)
+                    gain = gl ** 2 / (hl + ridge) + (sg - gl) ** 2 / (sh - hl + ridge) - sg ** 2 / (sh + ridge)
+                    gain = np.where((hl > 1e-3) & (sh - hl > 1e-3), gain, 0)
+                    j, cut = divmod(int(gain.argmax()), bins - 1)
+                    if gain[j, cut] > 1e-3:
+                        tree[node][:4] = j, cut, len(tree), len(tree) + 1
+                        after += [len(tree), len(tree) + 1]
+                        tree += [[-1, 0, 0, 0, 0.0], [-1, 0, 0, 0, 0.0]]
+                open_ = after
+                if not open_:
+                    break
+            self.trees.append(tree)
+
+            def step(block, t=np.array(tree, float)):
+                b, y, f = block
+                return b, y, f + t[_walk(t, b, most), 4]
+            data, old = data.map(step).persist(StorageLevel.MEMORY_AND_DISK), data
+            data.count()
+            old.unpersist()
+        data.unpersist()
+        return self
+
     def predict(self, x: np.ndarray) -> np.ndarray:
         if not len(x):
             return np.zeros(0)
@@ -258,30 +331,78 @@ def thresholds(score: np.ndarray, y: np.ndarray, kind: np.ndarray) -> dict:
     return out
 
 
+def counted_thresholds(right: np.ndarray, rows: np.ndarray) -> dict:
+    """``thresholds`` from counts (kinds, SCORE_STEPS) of held-out candidates by score."""
+    out, n = {}, rows.shape[1]
+    for name, t, m in zip(KINDS, right, rows):
+        ok, seen = np.cumsum(t[::-1])[::-1], np.cumsum(m[::-1])[::-1]
+        good = np.flatnonzero((m > 0) & (ok >= PRECISION * seen))
+        if len(good):
+            out[name] = max(0.9, good[0] / n)
+    return out
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-    """(trees, thresholds) from a bounded sample; (None, {}) where it shows only one label."""
-    spark = setup(docs.sparkSession)
-    rows = pick(docs, id=id_col, text=text_col)
-    share = min(1.0, SAMPLE_DOCS / max(1, rows.count()))
-    part = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(F.col("id").cast("string"), "text")
+    """(trees, thresholds) from all documents; (None, {}) where they show only one label."""
+    setup(docs.sparkSession)
+    part = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("string"), "text")
     width = len(features("ip", "1", "", ""))
 
     def run(batches):
         for b in batches:
-            got = [(hash64(f"{i}:{k}".encode()) >> 1, y, [float(v) for v in x]) for i, t in zip(*(c.to_pylist() for c in b.columns))
-                   if t and _NEEDED.search(t) for k, (y, x) in enumerate(examples(t))]
-            if got:
-                h, y, x = zip(*got)
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(y, pa.int32()),
-                                                  pa.array(x, pa.list_(pa.float64()))], ["h", "y", "x"])
-
-    got = (part.mapInArrow(lean(run), "h long, y int, x array<double>").orderBy("h", "y", "x").limit(SAMPLE_ROWS).toPandas())
-    x = np.array(got["x"].tolist(), float).reshape(-1, width)
-    y, held = got["y"].to_numpy(float), got["h"].to_numpy(np.int64) % 3 == 0
-    if len(set(y[~held])) < 2:
-        return None, {}
-    model = Boosted().fit(x[~held], y[~held])
-    return model, thresholds(model.predict(x[held]), y[held], x[held][:, :4].argmax(1))
+            for i, t in zip(*(c.to_pylist() for c in b.columns)):
+                if t and _NEEDED.search(t) and (some := list(examples(t))):
+                    held = np.array([(hash64(f"{i}:{k}".encode()) >> 1) % 3 == 0 for k in range(len(some))], float)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([len(some)], pa.int32()), pa.array([np.array([x for _, x in some], float).tobytes()], pa.binary()),
+                         pa.array([np.array([y for y, _ in some], float).tobytes()], pa.binary()), pa.array([held.tobytes()], pa.binary())],
+                        ["rows", "x", "s0", "s1"])
+
+    found = part.mapInArrow(lean(run), "rows int, x binary, s0 binary, s1 binary").persist()
+    try:
+        n = found.agg(F.sum("rows")).first()[0] or 0
+        packed = joined_blocks(blocks.tasks(found, n, EXAMPLES_PER_TASK)).persist()
+        (positive, rows), = blocks.total(packed, lambda x, y, held: [[y[held == 0].sum(), (held == 0).sum()]], [(2,)])
+        if not 0 < positive < rows:
+            return None, {}
+        model = Boosted()
+        model.fit_all(packed, bin_edges(packed, width, model.bins), positive, rows)
+
+        def judge(x, y, held):
+            x, y = x[held == 1], y[held == 1]
+            at = x[:, :4].argmax(1) * SCORE_STEPS + np.minimum(model.predict(x) * SCORE_STEPS, SCORE_STEPS - 1).astype(int)
+            return np.bincount(at, y, 4 * SCORE_STEPS), np.bincount(at, minlength=4 * SCORE_STEPS)
+        right, all_ = blocks.total(packed, judge, [(4, SCORE_STEPS)] * 2)
+        packed.unpersist()
+        return model, counted_thresholds(right, all_)
+    finally:
+        found.unpersist()
+
+
+def joined_blocks(found: DataFrame) -> DataFrame:
+    """The blocks of a batch as one."""
+    def run(batches):
+        for b in batches:
+            if len(b):
+                yield pa.RecordBatch.from_arrays([pa.array([sum(b.column(0).to_pylist())], pa.int32()),
+                                                  *[pa.array([b"".join(c.to_pylist())], pa.binary()) for c in b.columns[1:]]], b.schema.names)
+    return found.mapInArrow(run, found.schema)
+
+
+def bin_edges(packed: DataFrame, width: int, bins: int) -> list[np.ndarray]:
+    """Distinct quantiles of every feature over all examples that are not held out: the values are
+    counted exactly, feature by feature."""
+    def values(batches):
+        for b in batches:
+            for x, _, held in blocks.unpack(b):
+                for j, col in enumerate(x[held == 0].T):
+                    v, n = np.unique(col, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), j, np.int32)), pa.array(v), pa.array(n)], ["j", "v", "n"])
+    at = [float(q) for q in np.linspace(0, 1, bins + 1)[1:-1]]
+    counts = packed.mapInArrow(values, "j int, v double, n long").groupBy("j", "v").agg(F.sum("n").alias("n"))
+    rows = counts.groupBy("j").agg(F.percentile("v", F.array(*map(F.lit, at)), F.col("n")).alias("q")).collect()
+    got = {r["j"]: np.unique(r["q"]) for r in rows}
+    return [got[j] for j in range(width)]
 
 
 def all_spans(texts: list[str], model, limit: dict) -> list[tuple[list, list]]:

@@ -125,3 +125,26 @@ def test_rows(spark, learned):
     assert back == {(1, None, 9), (2, "", 9), (3, "[EMAIL]", 8)}
     assert pii.detect(df.limit(0)).collect() == []
     assert hashlib.sha256(b"").hexdigest() == hashlib.sha256(pii.joined([]).encode()).hexdigest()
+
+
+def test_trees_and_thresholds_come_from_all_documents(spark, monkeypatch):
+    """Every document's examples are counted, and the passes grow the trees that one array grows."""
+    rows = [(i, f"mail u{i}@h{i % 7}.example.org or call +1 (736) 555-{2000 + i}, build 20{i % 30:02d}-0{i % 9}-11 of {i * 37} items 12.{i} 55 1{i}")
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    seen, grown = [], pii.Boosted.fit_all
+
+    def spy(self, packed, cuts, positive, n):
+        seen.append((packed.collect(), cuts, n))
+        return grown(self, packed, cuts, positive, n)
+    monkeypatch.setattr(pii.Boosted, "fit_all", spy)
+    monkeypatch.setattr(pii.Boosted, "__init__", lambda self: self.__dict__.update(n=5, depth=3, rate=0.2, bins=32, ridge=1.0))
+    model, limit = pii.fit(df)
+    blocks_, cuts, n = seen[0]
+    assert sum(r["rows"] for r in blocks_) == sum(len(list(pii.examples(t))) for _, t in rows)
+    x, y, held = (np.concatenate(c) for c in zip(*(next(pii.blocks.slices(r)) for r in blocks_)))
+    plain = pii.Boosted().fit(x[held == 0], y[held == 0])
+    assert n == (held == 0).sum() and all(np.allclose(a, b) for a, b in zip(cuts, plain.cuts))
+    assert np.abs(model.predict(x) - plain.predict(x)).max() < 1e-6
+    want = pii.thresholds(model.predict(x[held == 1]), y[held == 1], x[held == 1][:, :4].argmax(1))
+    assert set(limit) == set(want) and all(abs(limit[k] - want[k]) <= 1 / pii.SCORE_STEPS for k in want)
