@@ -205,6 +205,51 @@ def test_routing_and_finished_subtrees_agree(spark):
     assert (forest.votes(a, x).argmax(1) == y).mean() > 0.9
 
 
+@pytest.mark.parametrize("root", [1, 5])
+def test_parts_keep_every_node(root):
+    x, y = blobs(200, 5, 3, seed=1, spread=2.0)
+    w = forest.bootstrap(np.arange(200), 3, 7)
+    nodes = sorted(forest.grow(x, y, w, 3, 3, root, 9, 2, 7))
+    tree, first, size, raw = forest._part(3, root, nodes)
+    assert (tree, first, size) == (3, root, len(nodes))
+    ids, feature, threshold, left, counts = forest._unpacked(root, raw, 3)
+    assert [n[:3] for n in nodes] == list(zip(ids.tolist(), feature.tolist(), threshold.tolist()))
+    assert (np.array([n[3] for n in nodes]) == counts).all()
+    assert (ids[left[feature >= 0]] == 2 * ids[feature >= 0]).all() and (left[feature < 0] == -1).all()
+
+
+@pytest.mark.parametrize("local_rows,group", [(50_000, 400), (40, 1000), (40, 1 << 23)])
+def test_a_large_forest_stays_in_a_table(spark, monkeypatch, tmpdir_path, local_rows, group):
+    """No node comes to the driver but in groups of parts, which split trees too; votes are those of the model in memory."""
+    x, y = blobs(300, 4, 3, seed=6, spread=2.5)
+    df = frame(spark, x, y)
+    args = (df, "features", "label", 3, 5, 20, None, 2, local_rows, "id")
+    small = forest.fit(*args)
+    assert small.getOrDefault(small.table) == ""
+    received = []
+    monkeypatch.setattr(forest, "INLINE_NODES", 10)
+    monkeypatch.setattr(forest, "GROUP_BYTES", group)
+    monkeypatch.setattr(forest, "SCORE_VALUES", 100)
+    monkeypatch.setattr(forest, "_received", lambda *a, f=forest._received: received.append(1) or f(*a))
+    large = forest.fit(*args)
+    assert large.getOrDefault(large.trees) == "" and large.getOrDefault(large.table)
+    cols = ["id", "prediction", vector_to_array("rawPrediction").alias("raw"), vector_to_array("probability").alias("p")]
+    want, got = (m.transform(df).select(*cols).orderBy("id").collect() for m in (small, large))
+    assert want == got and not received
+    groups = [b.value for b in large._groups]
+    assert all(sum(len(raw) for _, ps in g for _, raw in ps[1:]) <= group or sum(len(ps) for _, ps in g) <= 2 for g in groups)
+    assert group > 1000 or len(groups) > 2
+    a, b = small.arrays(), large.arrays()
+    assert all((a[k] == b[k]).all() for k in a)
+    large.write().overwrite().save(tmpdir_path + "/f")
+    again = forest.ForestModel.load(tmpdir_path + "/f")
+    assert again.getOrDefault(again.table) == tmpdir_path + "/f/trees"
+    assert again.transform(df).select(*cols).orderBy("id").collect() == want
+    PipelineModel(stages=[large]).write().overwrite().save(tmpdir_path + "/p")
+    assert PipelineModel.load(tmpdir_path + "/p").transform(df).select(*cols).orderBy("id").collect() == want
+    assert large.transform(df.limit(0)).count() == 0
+
+
 def test_network_epoch_equals_a_plain_loop(spark):
     x, y = blobs(300, 4, 3, seed=9)
     df = frame(spark, x, y)
