@@ -93,6 +93,28 @@ def test_grid_search_of_three_classes(spark):
     assert (p["label"] == p["prediction"]).mean() > 0.9
 
 
+def test_weak_ridges_take_few_passes(spark, monkeypatch):
+    """All cells on a mapped space are at their optimum within 20 passes, rare rows among them; one that goes on for long weights too."""
+    rng = np.random.default_rng(3)
+    x = np.r_[rng.normal(size=(2950, 3)), rng.normal(size=(50, 3)) * 5.0]
+    y = ((x ** 2).sum(1) + 0.6 * rng.normal(size=3000) > 3).astype(int)
+    fold = np.arange(3000) % 3
+    monkeypatch.setattr(hinge, "NEWTON_ROWS", 1000, raising=False)
+    packed = blocks.pack(frame(spark, x, y, fold=fold), "features", ["label", "fold"]).persist()
+    via = classify.rff_map(*classify.rff_matrix(3, 600, 1 / 3, 1))
+    cells = [hinge.Cell(c, 1.0, f) for c in (1.0, 100.0) for f in (0, -1)]
+    w = hinge.fit_cells(packed, 600, cells, 1e-4, 20, spark.sparkContext.broadcast(via))
+    z = via(x)
+    for k, c in enumerate(cells):
+        zz, sign = z[fold != c.skip], np.where(y[fold != c.skip] == 1, 1.0, -1.0)
+
+        def f(v):
+            return 0.5 * (v[:-1] ** 2).sum() / (len(zz) * c.c) + (np.maximum(0, 1 - sign * (zz @ v[:-1] + v[-1])) ** 2).mean()
+        best = f(plain_hinge(zz, sign, c.c))
+        assert best * 0.999999 <= f(w[:, k]) <= best * 1.001, (c, f(w[:, k]), best)
+    packed.unpersist()
+
+
 def test_landmarks_of_all_rows_are_the_exact_kernel_machine(spark):
     x, y = blobs(500, 3, 2, seed=2, spread=1.5)
     x = np.round(x, 2)
