@@ -100,6 +100,7 @@ def test_weak_ridges_take_few_passes(spark, monkeypatch):
     y = ((x ** 2).sum(1) + 0.6 * rng.normal(size=3000) > 3).astype(int)
     fold = np.arange(3000) % 3
     monkeypatch.setattr(hinge, "NEWTON_ROWS", 1000, raising=False)
+    monkeypatch.setattr(hinge, "LEFT", 1e-4, raising=False)
     packed = blocks.pack(frame(spark, x, y, fold=fold), "features", ["label", "fold"]).persist()
     via = classify.rff_map(*classify.rff_matrix(3, 600, 1 / 3, 1))
     cells = [hinge.Cell(c, 1.0, f) for c in (1.0, 100.0) for f in (0, -1)]
